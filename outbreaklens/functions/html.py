@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from outbreaklens.functions.text import strip
+from outbreaklens.functions.text import bind, strip
 
 CUT = "\u0001"
 RAW = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
@@ -46,7 +47,8 @@ def first_element(html: Column, tag: str) -> Column:
         )
 
     kept = F.aggregate(_pieces_at(html, tag), start, walk, lambda acc: acc["kept"])
-    return F.when(html.rlike(rf"(?i)<{tag}[\s/>]"), F.array_join(kept, ""))
+    present = html.rlike(rf"(?i)<{tag}[\s/>]")
+    return F.when(present, F.array_join(kept, ""))
 
 
 def drop_elements(html: Column, tags: str) -> Column:
@@ -64,33 +66,43 @@ def drop_elements(html: Column, tags: str) -> Column:
     return F.array_join(F.aggregate(_pieces_at(html, tags), start, walk, lambda acc: acc["kept"]), "")
 
 
+def _named_references() -> Column:
+    """Map from "&name;" to its character, as one literal."""
+    table = {f"&{name}": char for name, char in html5.items() if name.endswith(";") and char != "&"}
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+
 def unescape(c: Column) -> Column:
     """Decode character references; those that stand for `&` go last, so nothing is decoded twice."""
-    names = [name for name, char in html5.items() if name.endswith(";") and char != "&"]
-    table = F.map_from_arrays(
-        F.array(*[F.lit(f"&{name}") for name in names]), F.array(*[F.lit(html5[name]) for name in names])
-    )
-    found = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"), F.lit(0)))
+    reference = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+    named = _named_references()
 
     def decoded(ref: Column) -> Column:
         hexadecimal = F.conv(F.regexp_extract(ref, r"^&#[xX]([0-9a-fA-F]+);", 1), 16, 16)
         decimal = F.conv(F.regexp_extract(ref, r"^&#([0-9]+);", 1), 10, 16)
         code = F.coalesce(F.nullif(hexadecimal, F.lit("")), F.nullif(decimal, F.lit("")))
         char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-        return F.when(ref.startswith("&#"), char).otherwise(F.try_element_at(table, ref))
+        return F.when(ref.startswith("&#"), char).otherwise(F.try_element_at(named, ref))
 
-    pairs = F.transform(found, lambda ref: F.struct(ref.alias("ref"), decoded(ref).alias("char")))
-    plain = F.filter(pairs, lambda p: p["char"].isNotNull() & (p["char"] != "&"))
-    once = F.aggregate(plain, c, lambda acc, p: F.replace(acc, p["ref"], p["char"]))
-    return F.regexp_replace(once, r"&(?:amp|AMP|#0*38|#[xX]0*26);", "&")
+    def decode_all(text: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(reference), F.lit(0)))
+        pairs = F.transform(found, lambda ref: F.struct(ref.alias("ref"), decoded(ref).alias("char")))
+        plain = F.filter(pairs, lambda p: p["char"].isNotNull() & (p["char"] != "&"))
+        once = F.aggregate(plain, text, lambda acc, p: F.replace(acc, p["ref"], p["char"]))
+        return F.regexp_replace(once, r"&(?:amp|AMP|#0*38|#[xX]0*26);", "&")
 
+    return bind(c, decode_all)
 
-def article_text(html: Column) -> Column:
-    """Text nodes of the first main, article or body element, without navigation and scripts, one per line."""
-    markup = F.regexp_replace(html, RAW, CUT)
-    region = F.coalesce(
+
+def _region(markup: Column) -> Column:
+    return F.coalesce(
         first_element(markup, "main"), first_element(markup, "article"), first_element(markup, "body"), markup
     )
+
+
+def article_text(html: Column) -> Column:
+    """Text nodes of the first main, article or body element, without navigation and scripts, one per line."""
+    region = bind(F.regexp_replace(html, RAW, CUT), _region)
     marked = F.regexp_replace(drop_elements(region, BOILERPLATE), TAG, CUT)
     nodes = F.transform(F.split(unescape(marked), CUT, -1), strip)
     return F.array_join(F.filter(nodes, lambda node: F.length(node) > 0), "\n")

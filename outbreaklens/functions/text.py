@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +33,11 @@ ESCALATION = "concerning escalation"
 EMERGENCY = "emergency-level crisis"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` evaluated once, however often `use` mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def strip(c: Column) -> Column:
     """Drop leading and trailing Unicode white space (`trim` drops plain blanks only)."""
     return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
@@ -124,32 +131,38 @@ SEVERITY_TERMS = {
 SEVERITY_PRIOR = {ROUTINE: 1.0, ESCALATION: 0.5, EMERGENCY: 0.5}
 
 
-def severity(paragraph: Column) -> Column:
-    """Struct (label, confidence): the label with the largest share of prior weight plus stem hits."""
-    weights = {
-        label: F.lit(SEVERITY_PRIOR[label]) + F.regexp_count(paragraph, F.lit(f"(?i){stems}"))
-        for label, stems in SEVERITY_TERMS.items()
-    }
-    best = F.greatest(*weights.values())
-    total = sum(weights.values(), F.lit(0.0))
-    label = F.lit(ROUTINE)
-    for name in (ESCALATION, EMERGENCY):
-        label = F.when(weights[name] == best, F.lit(name)).otherwise(label)
-    return F.struct(label.alias("label"), F.round(best / total, 3).alias("confidence"))
+def paragraph_severity(text: Column, shorten: bool = True) -> Column:
+    """Array of (paragraph, label, confidence), in text order.
 
+    The label is the one with the largest share of prior weight plus stem hits. Every stage is its
+    own `transform`, so each regular expression runs once per paragraph.
+    """
+    names = (ROUTINE, ESCALATION, EMERGENCY)
 
-def paragraph_severity(text: Column) -> Column:
-    """Array of (paragraph preview, label, confidence), in text order."""
+    def hits(paragraph: Column, name: str) -> Column:
+        return F.lit(SEVERITY_PRIOR[name]) + F.regexp_count(paragraph, F.lit(f"(?i){SEVERITY_TERMS[name]}"))
+
+    weighed = F.transform(
+        paragraphs(text),
+        lambda p: F.struct(
+            (preview(p) if shorten else p).alias("paragraph"),
+            *[hits(p, name).alias(f"w{i}") for i, name in enumerate(names)],
+        ),
+    )
 
-    def record(paragraph: Column) -> Column:
-        judged = severity(paragraph)
+    def judged(p: Column) -> Column:
+        weights = [p[f"w{i}"] for i in range(len(names))]
+        best = F.greatest(*weights)
+        label = F.lit(names[0])
+        for name, weight in zip(names[1:], weights[1:]):
+            label = F.when(weight == best, F.lit(name)).otherwise(label)
         return F.struct(
-            preview(paragraph).alias("paragraph"),
-            judged["label"].alias("label"),
-            judged["confidence"].alias("confidence"),
+            p["paragraph"].alias("paragraph"),
+            label.alias("label"),
+            F.round(best / sum(weights[1:], weights[0]), 3).alias("confidence"),
         )
 
-    return F.transform(paragraphs(text), record)
+    return F.transform(weighed, judged)
 
 
 def most_severe(judged: Column) -> Column:
@@ -176,14 +189,14 @@ def word_tokens(text: Column) -> Column:
 
 def word_grams(text: Column, max_words: int) -> Column:
     """Distinct runs of 1..max_words words, joined by one blank."""
-    tokens = word_tokens(text)
 
-    def runs(n: int) -> Column:
-        count = F.size(tokens) - (n - 1)
-        starts = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
+    def runs(tokens: Column) -> Column:
+        grams, longer = tokens, tokens
+        for n in range(2, max_words + 1):
+            # The shorter side is padded with NULL, so a run that would pass the end becomes NULL.
+            following = F.slice(tokens, F.lit(n), F.size(tokens))
+            longer = F.zip_with(longer, following, lambda run, word: F.concat(run, F.lit(" "), word))
+            grams = F.concat(grams, longer)
+        return F.array_compact(F.array_distinct(grams))
 
-    grams = tokens
-    for n in range(2, max_words + 1):
-        grams = F.concat(grams, runs(n))
-    return F.array_distinct(grams)
+    return bind(word_tokens(text), runs)

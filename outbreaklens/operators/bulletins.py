@@ -98,8 +98,8 @@ def entities_by_model(bulletins: DataFrame, recognise: Callable[[str], list[tupl
 
 def headline(records: DataFrame) -> DataFrame:
     """Per record: largest counts, number of places, and the most severe paragraph with its class."""
-    worst = t.most_severe(F.col("paragraph_severity"))
-    return records.select(
+    worst = F.col("worst")
+    return records.withColumn("worst", t.most_severe(F.col("paragraph_severity"))).select(
         "bulletin",
         t.largest(F.col("case_death_counts"), "cases").alias("max_cases"),
         t.largest(F.col("case_death_counts"), "deaths").alias("max_deaths"),

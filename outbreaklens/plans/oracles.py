@@ -43,8 +43,8 @@ def _mentions(pattern: str, kind: str, first: int) -> str:
 SELECT bulletin, {first} AS part, i, '{kind}' AS type,
        TRY_CAST(replace(n[i], ',', '') AS BIGINT) AS value,
        text, length(w[i]) AS size,
-       coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0)
-         + coalesce(list_sum(list_transform(w[1:i - 1], lambda x: length(x))), 0) AS start
+       CAST(coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0)
+         + coalesce(list_sum(list_transform(w[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
 FROM (SELECT bulletin, text, w, n, p, unnest(generate_series(1, len(w))) AS i
       FROM (SELECT bulletin, text, regexp_extract_all(text, '{pattern}') AS w,
                    regexp_extract_all(text, '{pattern}', 1) AS n,
@@ -186,8 +186,8 @@ FROM (SELECT (new_cases - mx) / sx AS x, (rolling_3d_new_cases - my) / sy AS y,
         ["points", "scaling"],
         """
 SELECT xs, ys, cs, a0, list_transform(generate_series(1, len(xs)), lambda i: list_transform(generate_series(1, len(xs)),
-         lambda j: exp(-(SELECT gamma FROM scaling) * ((xs[i] - xs[j]) ** 2 + (ys[i] - ys[j]) ** 2)))) AS k
-FROM (SELECT list(x ORDER BY c DESC, x, y) AS xs, list(y ORDER BY c DESC, x, y) AS ys,
+         lambda j: exp(-gamma * ((xs[i] - xs[j]) ** 2 + (ys[i] - ys[j]) ** 2)))) AS k
+FROM scaling, (SELECT list(x ORDER BY c DESC, x, y) AS xs, list(y ORDER BY c DESC, x, y) AS ys,
              list(c ORDER BY c DESC, x, y) AS cs, list(a ORDER BY c DESC, x, y) AS a0 FROM points)""",
     ),
     "descent": (

@@ -66,6 +66,13 @@ def _scored(spark: SparkSession, folder: str) -> DataFrame:
     return pipeline.scored(pipeline.case_series(inputs), inputs)
 
 
+def _star(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Zones, daily cases and anomaly scores; the case series is stored as both facts read it."""
+    inputs = _inputs(spark, folder)
+    cases = checkpointed(pipeline.case_series(inputs))
+    return inputs.zones, _facts(cases), star.anomaly_scores(pipeline.scored(cases, inputs))
+
+
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
     inputs = _inputs(spark, folder)
     return pipeline.labelled(pipeline.case_series(inputs), inputs)
@@ -278,18 +285,12 @@ def density_impute(spark, folder):
 
 @query
 def star_latest_top10(spark, folder):
-    inputs = _inputs(spark, folder)
-    scored = _scored(spark, folder)
-    return serving.latest_picture(inputs.zones, _facts(scored), star.anomaly_scores(scored))
+    return serving.latest_picture(*_star(spark, folder))
 
 
 @query
 def watchlist_history(spark, folder):
-    inputs = _inputs(spark, folder)
-    scored = _scored(spark, folder)
-    return serving.watchlist_history(
-        inputs.zones, _facts(scored), star.anomaly_scores(scored), provinces=testviews.WATCHLIST
-    )
+    return serving.watchlist_history(*_star(spark, folder), provinces=testviews.WATCHLIST)
 
 
 @query
@@ -708,10 +709,8 @@ def roundtrip_json(spark, folder):
 @query
 def star_tables_sql(spark, folder):
     """Three written tables, joined by SQL on their registered names."""
-    inputs = _inputs(spark, folder)
-    scored = _scored(spark, folder)
-    tables = {"health_zones": inputs.zones, "daily_cases": _facts(scored), "anomaly_scores": star.anomaly_scores(scored)}
-    writers.replace_tables(tables, _fresh_folder(spark, "star"))
+    names = ("health_zones", "daily_cases", "anomaly_scores")
+    writers.replace_tables(dict(zip(names, _star(spark, folder))), _fresh_folder(spark, "star"))
     return spark.sql(
         """
         SELECT h.province, COUNT(*) AS zone_days, COUNT(DISTINCT h.nom) AS zones, MAX(a.anomaly_score) AS max_score

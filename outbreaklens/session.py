@@ -20,6 +20,7 @@ def build_session(app_name: str = "outbreaklens", master: str | None = None, **c
         # Split a skewed join input even when that costs one more exchange after the join.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     for key, value in settings.items():
