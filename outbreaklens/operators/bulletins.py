@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from outbreaklens.functions import text as t
 from outbreaklens.functions.display import severity_class
 
+BROADCAST_NAMES = 200_000
+
 
 def mentions(bulletins: DataFrame) -> DataFrame:
     """One row per count mention, in order."""
@@ -26,32 +28,27 @@ def bulletin_paragraphs(bulletins: DataFrame) -> DataFrame:
     return bulletins.select("bulletin", F.posexplode(t.paragraphs(F.col("text"))).alias("pos", "paragraph"))
 
 
-def longest_name(gazetteer: DataFrame) -> int:
-    """Number of words of the longest place name."""
-    words = F.size(t.word_tokens(F.col("name")))
-    return gazetteer.agg(F.max(words)).first()[0] or 1
-
-
-def locations(bulletins: DataFrame, gazetteer: DataFrame, max_words: int | None = None) -> DataFrame:
-    """Sorted distinct place names per bulletin.
+def locations(bulletins: DataFrame, gazetteer: DataFrame, broadcast_names: int = BROADCAST_NAMES) -> DataFrame:
+    """Sorted distinct place names per bulletin; bulletins without one are absent.
 
     Word runs become distinct within their text before they meet the gazetteer, so a frequent word
-    counts once per bulletin. The gazetteer is broadcast by the planner when its size allows.
+    counts once per bulletin. A gazetteer of at most `broadcast_names` names is broadcast, so that
+    runs which name no place are dropped where they arise; a larger one takes part in a shuffle join.
     """
-    width = max_words or longest_name(gazetteer)
-    names = gazetteer.select(
-        F.array_join(t.word_tokens(F.col("name")), " ").alias("gram"), "name"
-    ).where(F.col("gram") != "").distinct()
-    grams = bulletins.select("bulletin", F.explode(t.word_grams(F.col("text"), width)).alias("gram"))
-    found = grams.join(names, "gram").groupBy("bulletin").agg(
+    names = gazetteer.select(F.array_join(t.word_tokens(F.col("name")), " ").alias("gram"), "name")
+    names = names.where(F.col("gram") != "").distinct()
+    size = names.agg(F.count(F.lit(1)).alias("names"), F.max(F.size(F.split("gram", " "))).alias("words")).first()
+    if size["names"] <= broadcast_names:
+        names = F.broadcast(names)
+    grams = bulletins.select("bulletin", F.explode(t.word_grams(F.col("text"), size["words"] or 1)).alias("gram"))
+    return grams.join(names, "gram").groupBy("bulletin").agg(
         F.array_sort(F.collect_set("name")).alias("locations_mentioned")
     )
-    return found
 
 
-def extract(bulletins: DataFrame, gazetteer: DataFrame, max_words: int | None = None) -> DataFrame:
+def extract(bulletins: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """The stored record of every bulletin."""
-    places = locations(bulletins, gazetteer, max_words)
+    places = locations(bulletins, gazetteer)
     judged = bulletins.select(
         "bulletin",
         t.count_mentions(F.col("text")).alias("case_death_counts"),

@@ -472,12 +472,12 @@ def surge_evaluation(spark, folder):
 
 @query
 def html_article_text(spark, folder):
-    return readers.articles(testviews.table(spark, folder, "pages")).select("page_id", "article")
+    return readers.articles(testviews.pages(spark, folder)).select("page_id", "article")
 
 
 @query
 def article_lengths(spark, folder):
-    return readers.articles(testviews.table(spark, folder, "pages")).select(
+    return readers.articles(testviews.pages(spark, folder)).select(
         "page_id", F.length("article").alias("n_chars")
     )
 

@@ -56,6 +56,16 @@ def zone_features(spark: SparkSession, path: str) -> DataFrame:
     return collection.select(F.explode("features").alias("f")).select("f.properties")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows spread by a unique key when a scan yields fewer tasks than there are cores.
+
+    Meant for costly work per row on a few files. A table with at least as many splits as cores
+    passes unchanged, so a large scan is never shuffled for it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def bulletins(spark: SparkSession, folder: str) -> DataFrame:
     """One row per text file: bulletin (file stem) and whole text. An empty folder is an error."""
     files = spark.read.text(f"{folder.rstrip('/')}/*.txt", wholetext=True)

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from outbreaklens.sources import readers
+
 WATCHLIST = ("ASIA", "EUROPE")
 
 
@@ -87,7 +89,8 @@ def bulletins(spark: SparkSession, folder: str) -> DataFrame:
     doc = F.col("doc_id")
     number = F.lpad((600 + doc).cast("string"), 9, "0")
     day = F.date_add(F.lit("2026-01-01").cast("date"), (doc % 365).cast("int"))
-    return table(spark, folder, "documents").select(
+    documents = readers.spread(table(spark, folder, "documents"), "doc_id")
+    return documents.select(
         F.concat(F.lit("DON"), number, F.lit("_"), day.cast("string")).alias("bulletin"),
         "lang",
         F.concat(
@@ -105,6 +108,10 @@ def bulletins(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def pages(spark: SparkSession, folder: str) -> DataFrame:
+    return readers.spread(table(spark, folder, "pages"), "page_id")
+
+
 def gazetteer(spark: SparkSession, folder: str) -> DataFrame:
     """Names of zones and provinces."""
     zones = health_zones(spark, folder)
