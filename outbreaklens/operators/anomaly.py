@@ -199,7 +199,7 @@ def _fit_by_decomposition(
     points: DataFrame, features, scale: Scale, gamma: float, mass: float, size: int
 ) -> OneClassModel:
     order = [F.col("box").desc(), *[F.col(c) for c in features]]
-    ranked = running_totals(points.withColumn("one", F.lit(1)), order, ["box", "one"])
+    ranked, _ = running_totals(points.withColumn("one", F.lit(1)), order, ["box", "one"])
     start = F.greatest(F.least(F.lit(mass) - (F.col("cum_box") - F.col("box")), F.col("box")), F.lit(0.0))
     state = checkpointed(
         ranked.select(

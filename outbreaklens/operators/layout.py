@@ -19,9 +19,12 @@ from outbreaklens.session import checkpointed, shuffle_partitions
 ZONE = "nom_clean"
 DATE = "date"
 DAY = "day_number"  # the date as an integer: row and day frames can then share one sort
+ROW = "zone_row"  # row number in the zone, kept by the first step so that later steps see the same order
 CHUNK = "_chunk"
 POSITION = "_pos"
 
+CASE_TIES = ("nom", "cumulative_confirmed_cases")  # order of the rows of one zone and day
+
 LOOK_BACK = 14  # seven rows of lag, over sums of seven rows of differences
 MAX_ZONE_ROWS = 2_000_000
 CHUNK_ROWS = 500_000
@@ -55,12 +58,12 @@ class ZoneLayout:
 
 def zone_layout(
     df: DataFrame,
-    ties: tuple[str, ...] = (),
     one_row_per_day: bool = False,
     max_zone_rows: int = MAX_ZONE_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> ZoneLayout:
-    """Lay out `df` by zone; `ties` order the rows of one zone and day."""
+    """Lay out `df` by zone and day; several rows of one day keep the order of the first step."""
+    ties = () if one_row_per_day else (ROW,) if ROW in df.columns else CASE_TIES
     dated = df if DAY in df.columns else df.withColumn(DAY, F.unix_date(DATE))
     whole = ZoneLayout(dated, (DAY, *ties), split=False)
     if one_row_per_day:

@@ -64,22 +64,22 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
     return counts.select(F.explode(lines).alias("r")).select("r.*")
 
 
-def _score_totals(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Per distinct score, highest first: positives and rows at or above it, plus all positives."""
+def _score_totals(df: DataFrame, label: str, score: str) -> tuple[DataFrame, int]:
+    """Per distinct score, highest first: positives and rows at or above it; and all positives."""
     groups = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n")
     )
-    totals = running_totals(groups, [F.col("threshold").desc()], ["pos", "n"])
-    return totals.withColumn("all_pos", totals.agg(F.max("cum_pos")).scalar())
+    cumulated, totals = running_totals(groups, [F.col("threshold").desc()], ["pos", "n"])
+    return cumulated, totals["pos"]
 
 
 def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """One point per distinct score and the closing point (recall 0, precision 1) without a threshold."""
-    totals = _score_totals(df, label, score)
+    totals, positives = _score_totals(df, label, score)
     points = totals.select(
         "threshold",
         (F.col("cum_pos") / F.col("cum_n")).alias("precision"),
-        F.when(F.col("all_pos") > 0, F.col("cum_pos") / F.col("all_pos")).otherwise(F.lit(1.0)).alias("recall"),
+        (F.col("cum_pos") / F.lit(positives) if positives else F.lit(1.0)).alias("recall"),
     )
     closing = df.sparkSession.range(1).select(
         F.lit(None).cast(points.schema["threshold"].dataType).alias("threshold"),
@@ -90,9 +90,7 @@ def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Sum over scores of the recall step times the precision; not the trapezoid area."""
-    totals = _score_totals(df, label, score)
-    step = F.col("pos") / F.col("all_pos") * F.col("cum_pos") / F.col("cum_n")
-    return totals.where(F.col("all_pos") > 0).agg(
-        F.coalesce(F.sum(step), F.lit(0.0)).alias("average_precision")
-    )
+    """Sum over scores of the recall step times the precision; not the trapezoid area. 0 without positives."""
+    totals, positives = _score_totals(df, label, score)
+    step = F.col("pos") / F.lit(max(positives, 1)) * F.col("cum_pos") / F.col("cum_n")
+    return totals.agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("average_precision"))

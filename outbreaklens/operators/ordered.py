@@ -16,13 +16,18 @@ SINGLE_WINDOW_ROWS = 1_000_000
 
 def running_totals(
     groups: DataFrame, order: list[Column], sums: list[str], single_window_rows: int = SINGLE_WINDOW_ROWS
-) -> DataFrame:
-    """Add `cum_<s>` for every column in `sums`; `groups` holds one row per order key."""
+) -> tuple[DataFrame, dict[str, int]]:
+    """`groups` with `cum_<s>` for every column in `sums`, and the grand totals.
+
+    `groups` holds one row per order key.
+    """
     stored = checkpointed(groups)
+    counted = stored.agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(s).alias(s) for s in sums]).first()
+    totals = {s: counted[s] or 0 for s in sums}
     upto = (Window.unboundedPreceding, Window.currentRow)
-    if stored.limit(single_window_rows + 1).count() <= single_window_rows:
+    if counted["_rows"] <= single_window_rows:
         everything = Window.orderBy(*order).rowsBetween(*upto)
-        return stored.select("*", *[F.sum(s).over(everything).alias(f"cum_{s}") for s in sums])
+        return stored.select("*", *[F.sum(s).over(everything).alias(f"cum_{s}") for s in sums]), totals
     parts = checkpointed(
         stored.repartitionByRange(shuffle_partitions(groups.sparkSession), *order)
         .withColumn("_part", F.spark_partition_id())
@@ -34,32 +39,35 @@ def running_totals(
     )
     inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(*upto)
     local = parts.select("*", *[F.sum(s).over(inside).alias(f"_in_{s}") for s in sums])
-    return local.join(F.broadcast(offsets), "_part").select(
+    joined = local.join(F.broadcast(offsets), "_part").select(
         *groups.columns, *[(F.col(f"_in_{s}") + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums]
     )
+    return joined, totals
 
 
-def _ranked_values(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+def _ranked_values(df: DataFrame, column: str) -> tuple[DataFrame, int]:
     values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    ranked = running_totals(values, [F.col("v")], ["n"])
-    return ranked, ranked.agg(F.max("cum_n").alias("total"))
+    ranked, totals = running_totals(values, [F.col("v")], ["n"])
+    return ranked, totals["n"]
+
+
+def _value_at(index: int) -> Column:
+    """The value at a 0-based index of the sorted values."""
+    return F.min(F.when(F.col("cum_n") > index, F.col("v")))
 
 
 def median(df: DataFrame, column: str, out: str = "median") -> DataFrame:
     """Exact median (mean of the two middle values) as one row; NULL when there is no value."""
-    ranked, total = _ranked_values(df, column)
-    n = total.scalar()
-    low = F.min(F.when(F.col("cum_n") > F.floor((n - 1) / 2), F.col("v")))
-    high = F.min(F.when(F.col("cum_n") > F.floor(n / 2), F.col("v")))
-    return ranked.agg(((low + high) / 2).alias(out))
+    ranked, n = _ranked_values(df, column)
+    return ranked.agg(((_value_at((n - 1) // 2) + _value_at(n // 2)) / 2).alias(out))
 
 
 def upper_median(df: DataFrame, column: str, out: str = "upper_median") -> DataFrame:
     """The value at index n // 2 of the sorted values, as one row."""
-    ranked, total = _ranked_values(df, column)
-    return ranked.agg(F.min(F.when(F.col("cum_n") > F.floor(total.scalar() / 2), F.col("v"))).alias(out))
+    ranked, n = _ranked_values(df, column)
+    return ranked.agg(_value_at(n // 2).alias(out))
 
 
 def date_at_fraction(df: DataFrame, date: str, fraction: float) -> DataFrame:

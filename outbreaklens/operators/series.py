@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from outbreaklens.operators.layout import CHUNK, DATE, DAY, POSITION, ZONE, ZoneLayout, zone_layout
+from outbreaklens.operators.layout import CHUNK, DATE, DAY, POSITION, ROW, ZONE, ZoneLayout, zone_layout
 from outbreaklens.operators.ordered import date_at_fraction
 
 WEEK_ROWS = 7
@@ -16,8 +16,6 @@ SMOOTH_ROWS = 3
 HORIZON_DAYS = 7
 TRAIN_FRACTION = 0.70
 BASELINE_ROWS = 14
-CASE_TIES = ("nom", "cumulative_confirmed_cases")
-
 
 def _visible(df: DataFrame) -> DataFrame:
     """Without layout columns; the day number stays, so that the next step finds its rows sorted."""
@@ -49,23 +47,24 @@ def growth_ratio(layout: ZoneLayout, rolling: str, out: str = "rt_proxy", rows:
     return layout.with_df(with_prev.withColumn(out, ratio))
 
 
-def day_index(layout: ZoneLayout) -> ZoneLayout:
+def row_index(layout: ZoneLayout, out: str) -> ZoneLayout:
     """0-based row number in the zone."""
     index = F.col(POSITION) if layout.split else (F.row_number().over(layout.rows()) - 1).cast("bigint")
-    return layout.with_df(layout.df.withColumn("day_idx", index))
+    return layout.with_df(layout.df.withColumn(out, index))
 
 
 def case_series(cases: DataFrame, one_row_per_day: bool = False, **limits: int) -> DataFrame:
     """Cleaned case reports with `new_cases`, `rolling_7` and `rt_proxy`."""
-    layout = zone_layout(cases, CASE_TIES, one_row_per_day, **limits)
+    layout = zone_layout(cases, one_row_per_day, **limits)
     layout = rolling_sum(new_cases(layout), "rolling_7")
+    layout = layout if one_row_per_day else row_index(layout, ROW)
     return _visible(growth_ratio(layout, "rolling_7").drop_look_back())
 
 
 def anomaly_inputs(series: DataFrame, one_row_per_day: bool = False, **limits: int) -> DataFrame:
     """Case series with `day_idx`, the 3-row mean and the number of rows of the zone."""
-    layout = zone_layout(series, CASE_TIES, one_row_per_day, **limits)
-    layout = day_index(rolling_mean(layout, "rolling_3d_new_cases"))
+    layout = zone_layout(series, one_row_per_day, **limits)
+    layout = row_index(rolling_mean(layout, "rolling_3d_new_cases"), "day_idx")
     rows = layout.drop_look_back()
     if not layout.split:
         return _visible(rows.withColumn("zone_rows", F.count(F.lit(1)).over(Window.partitionBy(ZONE))))
@@ -75,7 +74,7 @@ def anomaly_inputs(series: DataFrame, one_row_per_day: bool = False, **limits: i
 
 def trend_features(series: DataFrame, one_row_per_day: bool = False, **limits: int) -> DataFrame:
     """Features known on the day of each row: zone age, 7-row sum, days since the last earlier case day."""
-    layout = rolling_sum(zone_layout(series, CASE_TIES, one_row_per_day, **limits), "rolling_7d_new_cases")
+    layout = rolling_sum(zone_layout(series, one_row_per_day, **limits), "rolling_7d_new_cases")
     case_day = F.when((F.col("new_cases") > 0) & ~layout.looked_back(), F.col(DAY))
     earlier = layout.rows().rowsBetween(Window.unboundedPreceding, -1)
     df = layout.df.withColumn("_last_case", F.last(case_day, ignorenulls=True).over(earlier))
@@ -106,7 +105,7 @@ def onset_label(
     series: DataFrame, one_row_per_day: bool = False, horizon: int = HORIZON_DAYS, **limits: int
 ) -> DataFrame:
     """Whether the zone reports a new case in the next `horizon` days, and whether its data reach that far."""
-    layout = zone_layout(series, CASE_TIES, one_row_per_day, **limits)
+    layout = zone_layout(series, one_row_per_day, **limits)
     ahead = Window.partitionBy(ZONE).orderBy(DAY).rangeBetween(1, horizon)
     rows, cases = layout.drop_look_back(), F.col("new_cases")
     if layout.split:
@@ -139,13 +138,12 @@ def latest_trend(series: DataFrame, fallback: Column) -> DataFrame:
     `fallback` is the growth ratio to use where the latest row has none. One aggregation per zone
     with partial results on the map side; no window.
     """
-    latest = F.struct(DATE, "cumulative_confirmed_cases", "new_cases")
     case_date = F.when(F.col("new_cases") > 0, F.col(DATE))
     since = F.datediff(F.max(DATE), F.coalesce(F.max(case_date), F.min(DATE)))
     return series.groupBy(ZONE).agg(
-        F.max_by("rolling_7", latest).alias("rolling_7d_new_cases"),
+        F.max_by("rolling_7", DATE).alias("rolling_7d_new_cases"),
         since.cast("bigint").alias("days_since_last_case"),
-        F.max_by("rt_proxy", latest).alias("_rt"),
+        F.max_by("rt_proxy", DATE).alias("_rt"),
     ).select(
         ZONE, "rolling_7d_new_cases", "days_since_last_case", F.coalesce("_rt", fallback).alias("rt_proxy")
     )

@@ -63,13 +63,12 @@ def anomaly_scores(scored: DataFrame) -> DataFrame:
 def latest_rows(fact: DataFrame, one_row_per_day: bool = False) -> DataFrame:
     """Rows of each zone at its latest date.
 
-    With one row per zone and day a single aggregation finds them. Otherwise the latest date per
-    zone is joined back, which keeps all rows of that date.
+    With one row per zone and day a single hash aggregation finds them. Otherwise the latest date
+    per zone is joined back, which keeps all rows of that date.
     """
     if one_row_per_day:
-        others = [c for c in fact.columns if c not in ("nom", "date")]
-        picked = fact.groupBy("nom").agg(F.max_by(F.struct("date", *others), "date").alias("r"))
-        return picked.select("nom", "r.*").select(*fact.columns)
+        others = [F.max_by(c, "date").alias(c) for c in fact.columns if c not in ("nom", "date")]
+        return fact.groupBy("nom").agg(F.max("date").alias("date"), *others).select(*fact.columns)
     latest = fact.groupBy("nom").agg(F.max("date").alias("date"))
     return fact.join(latest, ["nom", "date"], "left_semi")
 
@@ -84,16 +83,16 @@ def zone_state(zones: DataFrame, fact: DataFrame) -> DataFrame:
 
     One aggregation per zone gives first date, latest date and latest count together.
     """
-    latest = F.struct("date", "cumulative_confirmed_cases")
     state = fact.groupBy("nom").agg(
-        F.max(latest).alias("latest"), F.datediff(F.max("date"), F.min("date")).alias("age")
+        F.max_by("cumulative_confirmed_cases", "date").alias("latest"),
+        F.datediff(F.max("date"), F.min("date")).alias("age"),
     )
     return zones.join(state, "nom", "left").select(
         "nom",
         "province",
         "population_density",
-        F.col("latest").isNotNull().alias("has_case_data"),
-        F.coalesce("latest.cumulative_confirmed_cases", F.lit(0.0)).alias("cumulative_confirmed_cases"),
+        F.col("age").isNotNull().alias("has_case_data"),
+        F.coalesce("latest", F.lit(0.0)).alias("cumulative_confirmed_cases"),
         F.coalesce("age", F.lit(0)).cast("bigint").alias("days_since_first_case"),
     )
 

@@ -303,7 +303,7 @@ def usable_zones(spark, folder):
 @query
 def latest_per_zone(spark, folder):
     facts = _facts(_series(spark, folder)).select("nom", "date", "cumulative_confirmed_cases")
-    return star.latest_rows(facts)
+    return star.latest_rows(facts, one_row_per_day=True)
 
 
 @query

@@ -19,6 +19,7 @@ def build_session(app_name: str = "outbreaklens", master: str | None = None, **c
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Split a skewed join input even when that costs one more exchange after the join.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         **conf,
