@@ -81,38 +81,43 @@ def unmatched_zones(clean: DataFrame, official: DataFrame) -> DataFrame:
     )
 
 
+def _tally(reports: DataFrame, column: str) -> DataFrame:
+    """Rows per raw name, with whether the count is a number and whether the date needed repair.
+
+    All counts of the report follow from this small table, so the raw rows are shuffled as partial
+    counts only, however many of them share a name or have none.
+    """
+    dirty = F.coalesce(F.col("date") != clean_date_text(F.col("date")), F.lit(False))
+    return reports.groupBy(
+        "nom", to_number(F.col(column)).isNotNull().alias("reported"), dirty.alias("dirty_date")
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _rows_where(condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+
 def cleaning_report(cases: DataFrame, deaths: DataFrame, aliases: DataFrame, official: DataFrame) -> DataFrame:
     """All counts of the cleaning steps in one row; one pass over each report table."""
-    attributed = F.col("nom").isNotNull()
-
-    def prepared(reports: DataFrame, column: str) -> DataFrame:
-        named = clean_zone_names(reports, aliases)
-        return named.select(
-            "nom",
-            "nom_clean",
-            to_number(F.col(column)).alias("number"),
-            (F.col("date") != clean_date_text(F.col("date"))).alias("dirty_date"),
-        )
-
-    case_rows, death_rows = prepared(cases, CASES), prepared(deaths, DEATHS)
-    reported = attributed & F.col("number").isNotNull()
-    case_counts = case_rows.agg(
-        F.count(F.lit(1)).alias("case_rows"),
-        F.count_if(~attributed).alias("case_rows_without_zone"),
+    attributed, reported = F.col("nom").isNotNull(), F.col("reported")
+    case_tally = clean_zone_names(_tally(cases, CASES), aliases)
+    case_counts = case_tally.agg(
+        _rows_where(F.lit(True)).alias("case_rows"),
+        _rows_where(~attributed).alias("case_rows_without_zone"),
         F.countDistinct("nom").alias("zone_names_raw"),
-        F.count_if(F.col("nom") != F.col("nom_clean")).alias("names_changed"),
+        _rows_where(F.col("nom") != F.col("nom_clean")).alias("names_changed"),
         F.countDistinct("nom_clean").alias("zone_names_clean"),
-        F.count_if(attributed & F.col("number").isNull()).alias("case_counts_missing"),
-        F.count_if(reported & F.col("dirty_date")).alias("case_dates_cleaned"),
+        _rows_where(attributed & ~reported).alias("case_counts_missing"),
+        _rows_where(attributed & reported & F.col("dirty_date")).alias("case_dates_cleaned"),
     )
-    death_counts = death_rows.agg(
-        F.count(F.lit(1)).alias("death_rows"),
-        F.count_if(~attributed).alias("death_rows_without_zone"),
-        F.count_if(attributed & F.col("number").isNull()).alias("death_counts_missing"),
-        F.count_if(attributed & F.col("dirty_date")).alias("death_dates_cleaned"),
+    death_counts = _tally(deaths, DEATHS).agg(
+        _rows_where(F.lit(True)).alias("death_rows"),
+        _rows_where(~attributed).alias("death_rows_without_zone"),
+        _rows_where(attributed & ~reported).alias("death_counts_missing"),
+        _rows_where(attributed & F.col("dirty_date")).alias("death_dates_cleaned"),
     )
     official_count = official.agg(F.countDistinct("nom").alias("n"))
-    unmatched = unmatched_zones(case_rows.where(reported), official).agg(F.count(F.lit(1)).alias("n"))
+    unmatched = unmatched_zones(case_tally.where(attributed & reported), official).agg(F.count(F.lit(1)).alias("n"))
     deaths_once = death_counts.select(F.struct("*")).scalar()
     return case_counts.select(
         "*",

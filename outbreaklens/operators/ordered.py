@@ -45,10 +45,9 @@ def running_totals(
     return joined, totals
 
 
-def _ranked_values(df: DataFrame, column: str) -> tuple[DataFrame, int]:
-    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+def _ranked_values(df: DataFrame, column: str, weight: str | None) -> tuple[DataFrame, int]:
+    size = F.sum(weight) if weight else F.count(F.lit(1))
+    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(size.alias("n"))
     ranked, totals = running_totals(values, [F.col("v")], ["n"])
     return ranked, totals["n"]
 
@@ -58,15 +57,18 @@ def _value_at(index: int) -> Column:
     return F.min(F.when(F.col("cum_n") > index, F.col("v")))
 
 
-def median(df: DataFrame, column: str, out: str = "median") -> DataFrame:
-    """Exact median (mean of the two middle values) as one row; NULL when there is no value."""
-    ranked, n = _ranked_values(df, column)
+def median(df: DataFrame, column: str, out: str = "median", weight: str | None = None) -> DataFrame:
+    """Exact median (mean of the two middle values) as one row; NULL when there is no value.
+
+    With `weight`, each row stands for that many equal rows.
+    """
+    ranked, n = _ranked_values(df, column, weight)
     return ranked.agg(((_value_at((n - 1) // 2) + _value_at(n // 2)) / 2).alias(out))
 
 
 def upper_median(df: DataFrame, column: str, out: str = "upper_median") -> DataFrame:
     """The value at index n // 2 of the sorted values, as one row."""
-    ranked, n = _ranked_values(df, column)
+    ranked, n = _ranked_values(df, column, None)
     return ranked.agg(_value_at(n // 2).alias(out))
 
 

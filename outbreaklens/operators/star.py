@@ -25,17 +25,27 @@ def with_deaths(series: DataFrame, deaths: DataFrame) -> DataFrame:
     return series.join(deaths.select("nom_clean", "date", DEATHS), ["nom_clean", "date"], "left")
 
 
-def with_density(rows: DataFrame, zones: DataFrame) -> DataFrame:
+def known_density(zones: DataFrame) -> DataFrame:
+    return last_entry(zones, "nom", "population_density").withColumnRenamed("nom", "nom_clean")
+
+
+def median_density(rows: DataFrame, zones: DataFrame) -> DataFrame:
+    """Row-weighted median density: rows are counted per zone before they meet the zone table."""
+    per_zone = rows.groupBy("nom_clean").agg(F.count(F.lit(1)).alias("rows"))
+    return median(per_zone.join(known_density(zones), "nom_clean"), "population_density", weight="rows")
+
+
+def with_density(rows: DataFrame, zones: DataFrame, all_rows: DataFrame | None = None) -> DataFrame:
     """Population density per row, a flag where it was missing, and the row-weighted median in its place.
 
-    When every row lacks it the value is 0.
+    The median is that of `all_rows` when `rows` is a part of them. When every row lacks the density
+    it is 0.
     """
-    known = last_entry(zones, "nom", "population_density").withColumnRenamed("nom", "nom_clean")
-    joined = rows.join(known, "nom_clean", "left")
-    middle = median(joined.select("population_density"), "population_density")
+    middle = median_density(rows if all_rows is None else all_rows, zones).scalar()
+    joined = rows.join(known_density(zones), "nom_clean", "left")
     return joined.withColumn(
         "population_density_was_missing", F.col("population_density").isNull().cast("int")
-    ).withColumn("population_density", F.coalesce("population_density", middle.scalar(), F.lit(0.0)))
+    ).withColumn("population_density", F.coalesce("population_density", middle, F.lit(0.0)))
 
 
 def health_zones(features: DataFrame) -> DataFrame:

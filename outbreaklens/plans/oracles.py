@@ -512,7 +512,7 @@ SELECT avg(label_next_7d_onset) AS overall, avg(label_next_7d_onset) FILTER (WHE
        COUNT(*) FILTER (WHERE NOT is_train) AS test_rows FROM split""",
         "split",
     ),
-    "median_density": _sql("SELECT round(median(population_density), 6) AS median_density FROM density", "density"),
+    "median_density": _sql("SELECT round(median(known), 6) AS median_density FROM density", "density"),
     "upper_median_rt": _sql("SELECT quantile_disc(rt_proxy, 0.5 ORDER BY rt_proxy DESC) AS upper_median FROM series", "series"),
     "impute_growth": _sql(
         f"SELECT {KEY}, is_train, round(coalesce(rt_proxy, (SELECT median(rt_proxy) FROM split WHERE is_train)), 9) AS rt_proxy FROM split",

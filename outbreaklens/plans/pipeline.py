@@ -1,8 +1,10 @@
-"""The batch steps, from raw reports to cleaned, labelled and scored zone-day tables."""
+"""The batch steps, from raw reports to cleaned, labelled and scored zone-day tables.
 
-from __future__ import annotations
+`one_row_per_day` states that a zone has at most one case row per day after cleaning. Without it the
+series steps count rows per zone and cut long zones into chunks.
+"""
 
-from dataclasses import dataclass
+from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,57 +13,47 @@ from outbreaklens.operators import anomaly, cleaning, series, star
 from outbreaklens.session import checkpointed
 
 
-@dataclass(frozen=True)
-class Inputs:
-    """Raw tables. `one_row_per_day` states that a zone has at most one case row per day after
-    cleaning; without it the series steps count rows per zone and cut long zones into chunks."""
-
-    cases: DataFrame
-    deaths: DataFrame
-    aliases: DataFrame
-    zones: DataFrame
-    one_row_per_day: bool = False
-
-
-def case_series(inputs: Inputs) -> DataFrame:
+def case_series(cases: DataFrame, aliases: DataFrame, one_row_per_day: bool = False) -> DataFrame:
     """Cleaned cases with new cases and growth ratio."""
-    clean = cleaning.clean_cases(inputs.cases, inputs.aliases)
-    return series.case_series(clean, inputs.one_row_per_day)
+    return series.case_series(cleaning.clean_cases(cases, aliases), one_row_per_day)
 
 
-def cleaned(inputs: Inputs) -> DataFrame:
+def cleaned(cases: DataFrame, deaths: DataFrame, aliases: DataFrame, one_row_per_day: bool = False) -> DataFrame:
     """Case series with the deaths of the same zone and day."""
-    deaths = cleaning.clean_deaths(inputs.deaths, inputs.aliases)
-    return star.with_deaths(case_series(inputs), deaths)
+    rows = case_series(cases, aliases, one_row_per_day)
+    return star.with_deaths(rows, cleaning.clean_deaths(deaths, aliases))
+
 
+def featured(cases: DataFrame, one_row_per_day: bool = False) -> DataFrame:
+    """Trend features, label and full-window flag for every row of a case series."""
+    return series.onset_label(series.trend_features(cases, one_row_per_day), one_row_per_day)
 
-def featured(cases: DataFrame, inputs: Inputs) -> DataFrame:
-    """Trend features, label and full-window flag for every row."""
-    return series.onset_label(series.trend_features(cases, inputs.one_row_per_day), inputs.one_row_per_day)
 
+def labelled(cases: DataFrame, zones: DataFrame, one_row_per_day: bool = False) -> DataFrame:
+    """The modelling table: rows of a case series with a full future window, with imputed density.
 
-def labelled(cases: DataFrame, inputs: Inputs) -> DataFrame:
-    """Rows with a full future window, with imputed density: the modelling table."""
-    rows = featured(star.with_density(cases, inputs.zones), inputs)
-    return rows.where("has_full_future_window")
+    The density joins last, so the windows run on rows that are still sorted; its median is that of
+    all rows.
+    """
+    rows = featured(cases, one_row_per_day).where("has_full_future_window")
+    return star.with_density(rows, zones, all_rows=cases)
 
 
-def scored(cases: DataFrame, inputs: Inputs, min_rows: int | None = None) -> DataFrame:
-    """Anomaly scores of every row of the usable zones."""
+def scored(cases: DataFrame, one_row_per_day: bool = False, min_rows: int | None = None) -> DataFrame:
+    """Anomaly scores of every row of the usable zones of a case series."""
     # Stored once: the fit reads the baseline rows, the scoring reads all of them.
-    rows = checkpointed(series.anomaly_inputs(cases, inputs.one_row_per_day))
+    rows = checkpointed(series.anomaly_inputs(cases, one_row_per_day))
     rows = anomaly.usable_zones(rows, min_rows) if min_rows else anomaly.usable_zones(rows)
-    model = anomaly.fit_one_class(anomaly.baseline_rows(rows))
-    return anomaly.anomaly_score(rows, model)
+    return anomaly.anomaly_score(rows, anomaly.fit_one_class(anomaly.baseline_rows(rows)))
+
+
+def national(cases: DataFrame, deaths: DataFrame, aliases: DataFrame) -> DataFrame:
+    """National series out of the zone reports: sums per date."""
 
+    def per_date(rows: DataFrame, column: str) -> DataFrame:
+        return rows.groupBy("date").agg(F.sum(column).alias(f"national_{column}"))
 
-def national(inputs: Inputs) -> DataFrame:
-    """National series out of the zone series: sums per date."""
-    cases = cleaning.clean_cases(inputs.cases, inputs.aliases)
-    deaths = cleaning.clean_deaths(inputs.deaths, inputs.aliases)
     return star.national_table(
-        cases.groupBy("date").agg(F.sum("cumulative_confirmed_cases").alias("national_cumulative_confirmed_cases")),
-        deaths.groupBy("date").agg(
-            F.sum("cumulative_confirmed_deaths").alias("national_cumulative_confirmed_deaths")
-        ),
+        per_date(cleaning.clean_cases(cases, aliases), cleaning.CASES),
+        per_date(cleaning.clean_deaths(deaths, aliases), cleaning.DEATHS),
     )

@@ -13,7 +13,6 @@ from outbreaklens.functions import text as t
 from outbreaklens.functions.display import bar_percent, score_tier
 from outbreaklens.operators import anomaly, bulletins, cleaning, metrics, models, ordered, series, star
 from outbreaklens.plans import pipeline, serving
-from outbreaklens.plans.pipeline import Inputs
 from outbreaklens.session import checkpointed, ensure_checkpoint_dir
 from outbreaklens.sources import readers, testviews, writers
 
@@ -21,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SERIES_COLUMNS = ["nom_clean", "date", "cumulative_confirmed_cases"]
+ONE_ROW = True
 MIN_ROWS_ON_TEST_DATA = 25  # no zone of the test data falls under the default of 21
 
 
@@ -46,36 +46,30 @@ def _edge(df: DataFrame) -> DataFrame:
     return df.select(*[out(field) for field in df.schema.fields])
 
 
-def _inputs(spark: SparkSession, folder: str) -> Inputs:
+def _series(spark: SparkSession, folder: str) -> DataFrame:
     # The derived reports are grouped by user and day, so one row per zone and day holds.
-    return Inputs(
-        testviews.raw_cases(spark, folder),
-        testviews.raw_deaths(spark, folder),
-        testviews.aliases(spark, folder),
-        testviews.health_zones(spark, folder),
-        one_row_per_day=True,
-    )
+    return pipeline.case_series(testviews.raw_cases(spark, folder), testviews.aliases(spark, folder), ONE_ROW)
 
 
-def _series(spark: SparkSession, folder: str) -> DataFrame:
-    return pipeline.case_series(_inputs(spark, folder))
+def _national(spark: SparkSession, folder: str) -> DataFrame:
+    return pipeline.national(
+        testviews.raw_cases(spark, folder), testviews.raw_deaths(spark, folder), testviews.aliases(spark, folder)
+    )
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    inputs = _inputs(spark, folder)
-    return pipeline.scored(pipeline.case_series(inputs), inputs)
+    return pipeline.scored(_series(spark, folder), ONE_ROW)
 
 
 def _star(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Zones, daily cases and anomaly scores; the case series is stored as both facts read it."""
-    inputs = _inputs(spark, folder)
-    cases = checkpointed(pipeline.case_series(inputs))
-    return inputs.zones, _facts(cases), star.anomaly_scores(pipeline.scored(cases, inputs))
+    cases = checkpointed(_series(spark, folder))
+    scores = star.anomaly_scores(pipeline.scored(cases, ONE_ROW))
+    return testviews.health_zones(spark, folder), _facts(cases), scores
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
-    inputs = _inputs(spark, folder)
-    return pipeline.labelled(pipeline.case_series(inputs), inputs)
+    return pipeline.labelled(_series(spark, folder), testviews.health_zones(spark, folder), ONE_ROW)
 
 
 def _split(spark: SparkSession, folder: str) -> DataFrame:
@@ -148,14 +142,17 @@ def clean_deaths(spark, folder):
 
 @query
 def cleaning_report(spark, folder):
-    inputs = _inputs(spark, folder)
-    return cleaning.cleaning_report(inputs.cases, inputs.deaths, inputs.aliases, inputs.zones)
+    return cleaning.cleaning_report(
+        testviews.raw_cases(spark, folder),
+        testviews.raw_deaths(spark, folder),
+        testviews.aliases(spark, folder),
+        testviews.health_zones(spark, folder),
+    )
 
 
 @query
 def unmatched_zones(spark, folder):
-    inputs = _inputs(spark, folder)
-    return cleaning.unmatched_zones(cleaning.clean_cases(inputs.cases, inputs.aliases), inputs.zones)
+    return cleaning.unmatched_zones(clean_cases(spark, folder), testviews.health_zones(spark, folder))
 
 
 @query
@@ -259,22 +256,23 @@ def serving_trend(spark, folder):
 
 @query
 def national_outer_join(spark, folder):
-    return pipeline.national(_inputs(spark, folder))
+    return _national(spark, folder)
 
 
 @query
 def epidemic_curve(spark, folder):
-    return serving.epidemic_curve(pipeline.national(_inputs(spark, folder)))
+    return serving.epidemic_curve(_national(spark, folder))
 
 
 @query
 def cfr_trend(spark, folder):
-    return serving.cfr_trend(pipeline.national(_inputs(spark, folder)))
+    return serving.cfr_trend(_national(spark, folder))
 
 
 @query
 def cases_deaths_left_join(spark, folder):
-    return star.daily_cases(pipeline.cleaned(_inputs(spark, folder)))
+    deaths = clean_deaths(spark, folder)
+    return star.daily_cases(star.with_deaths(_series(spark, folder), deaths))
 
 
 @query
@@ -370,10 +368,8 @@ def class_balance(spark, folder):
 
 @query
 def median_density(spark, folder):
-    rows = star.with_density(clean_cases(spark, folder), testviews.health_zones(spark, folder))
-    return ordered.median(rows, "population_density", "median_density").select(
-        F.round("median_density", 6).alias("median_density")
-    )
+    middle = star.median_density(clean_cases(spark, folder), testviews.health_zones(spark, folder))
+    return middle.select(F.round("median", 6).alias("median_density"))
 
 
 @query
@@ -658,9 +654,8 @@ def mlp_predictions(spark, folder):
 
 @query
 def zone_predictions(spark, folder):
-    inputs = _inputs(spark, folder)
     train, _ = _train_and_test(spark, folder)
-    state = star.zone_state(inputs.zones, _facts(pipeline.case_series(inputs)))
+    state = star.zone_state(testviews.health_zones(spark, folder), _facts(_series(spark, folder)))
     scored = models.predict_zones(
         state,
         models.train_network(train),
@@ -692,7 +687,7 @@ def roundtrip_partitioned(spark, folder):
 @query
 def roundtrip_csv(spark, folder):
     path = _fresh_folder(spark, "national")
-    writers.write_csv(pipeline.national(_inputs(spark, folder)), path)
+    writers.write_csv(_national(spark, folder), path)
     national = readers.csv_table(spark, path)
     return national.select("date", *[F.col(c).cast("double") for c in national.columns if c != "date"])
 

@@ -84,7 +84,8 @@ def ranking_page(ranking: DataFrame, rows: int = 15, cross_border_only: bool = F
 
 def latest_picture(zones: DataFrame, cases: DataFrame, scores: DataFrame, limit: int = 10) -> DataFrame:
     """Zones, cases and scores on the latest case date, highest score first."""
-    joined = on_latest_date(cases).join(scores, ["nom", "date"]).join(zones, "nom")
+    latest = F.col("date") == cases.agg(F.max("date")).scalar()
+    joined = cases.where(latest).join(scores.where(latest), ["nom", "date"]).join(zones, "nom")
     return joined.select(
         "nom",
         "province",
@@ -107,7 +108,7 @@ def watchlist_history(
 ) -> DataFrame:
     """Case history of the watched provinces, most recent day first."""
     watched = zones.where(F.col("province").isin(*provinces)).select("nom", "province")
-    joined = cases.join(scores, ["nom", "date"]).join(watched, "nom")
+    joined = cases.join(watched, "nom").join(scores, ["nom", "date"])
     return (
         joined.select("nom", "province", "date", "new_cases", "rt_proxy", "anomaly_score")
         .orderBy(F.desc("date"), *_by_score())
@@ -120,6 +121,11 @@ def zone_history(cases: DataFrame, zone: str) -> DataFrame:
     return cases.where(F.col("nom") == zone).orderBy("date")
 
 
+def zone_prediction(predictions: DataFrame, zone: str) -> DataFrame:
+    """The record of one zone out of the batch of predictions; no rows when the zone is unknown."""
+    return predictions.where(F.col("nom") == zone)
+
+
 def epidemic_curve(national: DataFrame) -> DataFrame:
     return national.select("date", "national_cumulative_confirmed_cases").orderBy("date")
 

@@ -107,10 +107,9 @@ def test_pipeline_without_the_one_row_promise(spark, zones):
     raw = spark.createDataFrame(cases, "nom string, date string, cumulative_confirmed_cases string")
     deaths = raw.withColumnRenamed("cumulative_confirmed_cases", "cumulative_confirmed_deaths").where("nom = 'C'")
     aliases = spark.createDataFrame([("Aa", "A")], "observed_name string, canonical_nom string")
-    inputs = pipeline.Inputs(raw, deaths, aliases, zones)
-    cleaned = pipeline.cleaned(inputs)
+    cleaned = pipeline.cleaned(raw, deaths, aliases)
     assert cleaned.count() == 61
-    scored = pipeline.scored(cleaned, inputs)
+    scored = pipeline.scored(cleaned)
     assert scored.count() == 61 and scored.where("anomaly_score IS NULL").count() == 0
-    labelled = pipeline.labelled(cleaned, inputs)
+    labelled = pipeline.labelled(cleaned, zones)
     assert labelled.where("label_next_7d_onset = 1").count() == labelled.count() == 47
