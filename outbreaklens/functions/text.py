@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Python's str.strip() and \s treat as white space.
+# The characters Python's str.strip() and \s treat as white space, as a class and as a text.
 SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # Texts that a default pandas CSV read takes for a missing cell.
 NULL_TOKENS = [
@@ -16,7 +17,7 @@ NULL_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-NUMBER = rf"^{SPACE}*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?{SPACE}*$"
+NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 # The two mention patterns of the bulletins.
 CASE_MENTION = rf"(?i)([0-9][0-9,]*){SPACE}+(?:confirmed{SPACE}+|suspected{SPACE}+)?cases?"
@@ -40,7 +41,7 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def strip(c: Column) -> Column:
     """Drop leading and trailing Unicode white space (`trim` drops plain blanks only)."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def null_if_missing(c: Column) -> Column:
@@ -49,14 +50,13 @@ def null_if_missing(c: Column) -> Column:
 
 def to_number(c: Column) -> Column:
     """Number or NULL. The pattern keeps out what Spark's cast takes but a CSV number is not ("17d")."""
-    return F.when(c.rlike(NUMBER), strip(c).try_cast("double"))
+    bare = strip(c)
+    return F.when(bare.rlike(NUMBER), bare.try_cast("double"))
 
 
 def clean_date_text(c: Column) -> Column:
     """Strip blanks, then `]`, then `[`, then blanks again."""
-    no_close = F.regexp_replace(strip(c), r"^\]+|\]+$", "")
-    no_open = F.regexp_replace(no_close, r"^\[+|\[+$", "")
-    return strip(no_open)
+    return strip(F.btrim(F.btrim(strip(c), F.lit("]")), F.lit("[")))
 
 
 def _mentions(text: Column, pattern: str, kind: str) -> Column:
@@ -183,6 +183,12 @@ def largest(mentions: Column, kind: str) -> Column:
     return F.array_max(F.transform(F.filter(mentions, lambda m: m["type"] == kind), lambda m: m["value"]))
 
 
+def largest_mention(mentions: Column) -> Column:
+    """The mention with the largest value, the first of equals; NULL when there is none."""
+    keyed = F.transform(mentions, lambda m, i: F.struct(m["value"].alias("key"), (-i).alias("order"), m.alias("entry")))
+    return F.array_max(keyed)["entry"]
+
+
 def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{M}\p{N}_'’-]+"), F.lit(0))
 

@@ -39,6 +39,19 @@ def baseline_rows(inputs: DataFrame, rows: int = BASELINE_ROWS) -> DataFrame:
     return inputs.where(F.col("day_idx") < rows)
 
 
+def selection_summary(
+    inputs: DataFrame, min_rows: int = BASELINE_ROWS + WEEK_ROWS, rows: int = BASELINE_ROWS
+) -> DataFrame:
+    """Zones kept and dropped by the length rule, baseline rows to fit on and rows to score, as one row."""
+    kept, first = F.col("zone_rows") >= min_rows, F.col("day_idx") == 0
+    return inputs.agg(
+        F.count_if(kept & first).alias("zones_kept"),
+        F.count_if(~kept & first).alias("zones_dropped"),
+        F.count_if(kept & (F.col("day_idx") < rows)).alias("baseline_rows"),
+        F.count_if(kept).alias("scored_rows"),
+    )
+
+
 def standardiser(df: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
     """Mean and population standard deviation per feature, as one row."""
     return df.agg(

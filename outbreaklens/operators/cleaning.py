@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outbreaklens.functions.text import clean_date_text, strip, to_number
+from outbreaklens.session import checkpointed
 
 CASES = "cumulative_confirmed_cases"
 DEATHS = "cumulative_confirmed_deaths"
@@ -98,9 +99,12 @@ def _rows_where(condition: Column) -> Column:
 
 
 def cleaning_report(cases: DataFrame, deaths: DataFrame, aliases: DataFrame, official: DataFrame) -> DataFrame:
-    """All counts of the cleaning steps in one row; one pass over each report table."""
+    """All counts of the cleaning steps in one row; one pass over each report table.
+
+    The tally of the case reports is small and stored, as two results are read from it.
+    """
     attributed, reported = F.col("nom").isNotNull(), F.col("reported")
-    case_tally = clean_zone_names(_tally(cases, CASES), aliases)
+    case_tally = checkpointed(clean_zone_names(_tally(cases, CASES), aliases))
     case_counts = case_tally.agg(
         _rows_where(F.lit(True)).alias("case_rows"),
         _rows_where(~attributed).alias("case_rows_without_zone"),

@@ -477,6 +477,14 @@ ORDER BY s.date DESC, anomaly_score DESC, z.nom LIMIT 10""",
         "(SELECT nom_clean FROM inputs GROUP BY 1 HAVING COUNT(*) >= 25)",
         "inputs",
     ),
+    "selection_summary": _sql(
+        """
+SELECT COUNT(DISTINCT nom_clean) FILTER (WHERE n >= 25) AS zones_kept, COUNT(DISTINCT nom_clean) FILTER (WHERE n < 25) AS zones_dropped,
+       CAST(SUM(CASE WHEN n >= 25 THEN least(n, 14) ELSE 0 END) AS BIGINT) AS baseline_rows,
+       CAST(SUM(CASE WHEN n >= 25 THEN n ELSE 0 END) AS BIGINT) AS scored_rows
+FROM (SELECT nom_clean, COUNT(*) AS n FROM clean_cases GROUP BY nom_clean)""",
+        "clean_cases",
+    ),
     "latest_per_zone": _sql(
         f"SELECT {FACT}, {ISO}, cumulative_confirmed_cases FROM series s WHERE date = "
         "(SELECT MAX(date) FROM series l WHERE l.nom_clean = s.nom_clean)",
@@ -593,6 +601,11 @@ SELECT COUNT(*) AS evaluated_rows, CAST(SUM(true_surge) AS BIGINT) AS surges, ro
     "count_mentions": _sql("SELECT bulletin, pos, value, type FROM mentions", "mentions"),
     "mention_context": _sql("SELECT bulletin, pos, context FROM mentions", "mentions"),
     "max_counts": _sql("SELECT type, MAX(value) AS largest, COUNT(*) AS mentions FROM mentions GROUP BY type", "mentions"),
+    "largest_mention": _sql(
+        "SELECT b.bulletin, value, type, context FROM bulletins b LEFT JOIN (SELECT *, row_number() OVER "
+        "(PARTITION BY bulletin ORDER BY value DESC NULLS LAST, pos) AS rn FROM mentions) m ON b.bulletin = m.bulletin AND rn = 1",
+        "bulletins", "mentions",
+    ),
     "paragraphs": _sql("SELECT bulletin, pos, paragraph FROM paras", "paras"),
     "truncate_ellipsis": _sql(
         "SELECT bulletin, pos, CASE WHEN length(paragraph) > 150 THEN left(paragraph, 150) || '...' ELSE paragraph END AS preview FROM paras",

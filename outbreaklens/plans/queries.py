@@ -69,7 +69,9 @@ def _star(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataF
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
-    return pipeline.labelled(_series(spark, folder), testviews.health_zones(spark, folder), ONE_ROW)
+    # Stored, as the median of the density and the features both read it.
+    cases = checkpointed(_series(spark, folder))
+    return pipeline.labelled(cases, testviews.health_zones(spark, folder), ONE_ROW)
 
 
 def _split(spark: SparkSession, folder: str) -> DataFrame:
@@ -298,6 +300,12 @@ def usable_zones(spark, folder):
     return kept.select("nom_clean", "date", "day_idx", (F.col("day_idx") < series.BASELINE_ROWS).alias("is_baseline"))
 
 
+@query
+def selection_summary(spark, folder):
+    rows = series.anomaly_inputs(_series(spark, folder), one_row_per_day=True)
+    return anomaly.selection_summary(rows, MIN_ROWS_ON_TEST_DATA)
+
+
 @query
 def latest_per_zone(spark, folder):
     facts = _facts(_series(spark, folder)).select("nom", "date", "cumulative_confirmed_cases")
@@ -495,6 +503,14 @@ def max_counts(spark, folder):
     )
 
 
+@query
+def largest_mention(spark, folder):
+    biggest = t.largest_mention(t.count_mentions(F.col("text")))
+    return testviews.bulletins(spark, folder).select("bulletin", biggest.alias("m")).select(
+        "bulletin", "m.value", "m.type", "m.context"
+    )
+
+
 @query
 def paragraphs(spark, folder):
     return bulletins.bulletin_paragraphs(testviews.bulletins(spark, folder))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outbreaklens.functions.html import article_text
-from outbreaklens.functions.text import file_stem, null_if_missing
+from outbreaklens.functions.text import bulletin_date, bulletin_number, file_stem, null_if_missing
 from outbreaklens.sources.schemas import EXTRACTION, ZONES_GEOJSON
 
 
@@ -87,6 +87,31 @@ def articles(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.withColumn("article", article_text(F.col(html)))
 
 
+# The bulletins on file, name to page.
+BULLETIN_PAGES = {
+    "DON602_2026-05-17": "https://www.who.int/emergencies/disease-outbreak-news/item/2026-DON602",
+    "DON603_2026-05-21": "https://www.who.int/emergencies/disease-outbreak-news/item/2026-DON603",
+    "DON605_2026-05-29": "https://www.who.int/emergencies/disease-outbreak-news/item/2026-DON605",
+    "DON606_2026-06-08": "https://www.who.int/emergencies/disease-outbreak-news/item/2026-DON606",
+    "DON612_2026-07-03": "https://www.who.int/emergencies/disease-outbreak-news/item/2026-DON612",
+    "DON613_2026-07-17": "https://www.who.int/emergencies/disease-outbreak-news/item/2026-DON613",
+    "DON614_2026-08-01": "https://www.who.int/emergencies/disease-outbreak-news/item/2026-DON614",
+}
+
+
+def bulletin_manifest(spark: SparkSession, pages: dict[str, str] | None = None) -> DataFrame:
+    """Name, page address, number and date of every listed bulletin."""
+    entries = spark.createDataFrame(list((pages or BULLETIN_PAGES).items()), "name string, url string")
+    name = F.col("name")
+    return entries.select("name", "url", bulletin_number(name).alias("number"), bulletin_date(name).alias("published"))
+
+
+def missing_files(files: DataFrame, expected: list[str]) -> DataFrame:
+    """Expected file names that a listing of `file_integrity` does not hold."""
+    names = files.sparkSession.createDataFrame([(n,) for n in expected], "name string")
+    return names.join(files.select(F.element_at(F.split("path", "/"), -1).alias("name")), "name", "left_anti")
+
+
 def file_integrity(spark: SparkSession, pattern: str, min_bytes: int = 1000) -> DataFrame:
     """Size check of files; only the listing is used, no content is read."""
     files = spark.read.format("binaryFile").load(pattern).select("path", "length")

@@ -83,6 +83,15 @@ def test_integrity(spark, tmp_path):
     assert {r["path"].rsplit("/", 1)[1]: r["looks_broken"] for r in rows} == {"small.pdf": True, "large.pdf": False}
 
 
+    assert [r[0] for r in readers.missing_files(readers.file_integrity(spark, str(tmp_path / "*.pdf")), ["a.pdf", "small.pdf"]).collect()] == ["a.pdf"]
+
+
+def test_manifest(spark):
+    rows = readers.bulletin_manifest(spark).orderBy("name").collect()
+    assert len(rows) == 7
+    assert (rows[-1]["number"], str(rows[-1]["published"])) == ("DON614", "2026-08-01")
+
+
 def test_spread_leaves_wide_scans_alone(spark):
     assert readers.spread(spark.range(10, numPartitions=2), "id").rdd.getNumPartitions() == 8
     assert readers.spread(spark.range(10, numPartitions=9), "id").rdd.getNumPartitions() == 9
