@@ -82,6 +82,12 @@ def unmatched_zones(clean: DataFrame, official: DataFrame) -> DataFrame:
     )
 
 
+def duplicate_days(clean: DataFrame) -> DataFrame:
+    """Zone-days with more than one row, as an alias may merge two spellings; a quality figure."""
+    per_day = clean.groupBy("nom_clean", "date").agg(F.count(F.lit(1)).alias("n_rows"))
+    return per_day.where("n_rows > 1")
+
+
 def _tally(reports: DataFrame, column: str) -> DataFrame:
     """Rows per raw name, with whether the count is a number and whether the date needed repair.
 

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from outbreaklens.operators.anomaly import standardise, standardiser
 from outbreaklens.operators.ordered import date_at_fraction
+from outbreaklens.session import checkpointed
 
 FEATURES = ("cumulative_confirmed_cases", "days_since_first_case", "population_density")
 LABEL = "label_next_7d_onset"
 SEED = 42
 TREES, DEPTH = 300, 6
 HIDDEN = (32, 16)
-ITERATIONS = (25, 50, 100)
+MAX_ITERATIONS, SEGMENT, PATIENCE = 100, 20, 2
 VALIDATION_FRACTION = 0.15
 
 
@@ -102,28 +103,41 @@ def _log_loss(scored: DataFrame, label: str = LABEL) -> float:
 
 
 def train_network(
-    train: DataFrame, hidden: tuple[int, ...] = HIDDEN, iterations: tuple[int, ...] = ITERATIONS, seed: int = SEED
+    train: DataFrame,
+    hidden: tuple[int, ...] = HIDDEN,
+    segment: int = SEGMENT,
+    max_iterations: int = MAX_ITERATIONS,
+    seed: int = SEED,
 ) -> PipelineModel:
-    """Feed-forward network on standardised features.
+    """Feed-forward network on standardised features, with early stopping.
 
-    The latest part of the training dates is held out; of several iteration budgets the one with the
-    lowest loss there wins, which stands in for early stopping with best weights.
+    The latest part of the training dates is held out. Training goes on in segments of iterations,
+    each from the weights of the one before, until the loss on the held-out rows has not improved
+    for PATIENCE segments; the weights with the lowest loss are kept.
     """
     require_complete(train)
-    assembler = VectorAssembler(inputCols=[f"{c}_std" for c in FEATURES], outputCol="features")
+    inputs = [f"{c}_std" for c in FEATURES]
     cutoff = date_at_fraction(train, "date", 1 - VALIDATION_FRACTION).first()[0]
-    fit_rows = replicate_minority(train.where(F.col("date") < F.lit(cutoff)))
-    held_out = train.where(F.col("date") >= F.lit(cutoff))
-    stats = standardiser(train, FEATURES)
-    fit_rows, held_out = standardise(fit_rows, stats, FEATURES), standardise(held_out, stats, FEATURES)
-
-    def fitted(budget: int) -> PipelineModel:
-        network = MultilayerPerceptronClassifier(
-            labelCol=LABEL, layers=[len(FEATURES), *hidden, 2], maxIter=budget, seed=seed
-        )
-        return Pipeline(stages=[assembler, network]).fit(fit_rows)
-
-    return min((fitted(n) for n in iterations), key=lambda m: _log_loss(with_probability(m, held_out)))
+    scaled = standardise(train, standardiser(train, FEATURES), FEATURES).select("date", LABEL, *inputs)
+    # Stored, as every segment reads both parts again.
+    scaled = checkpointed(scaled)
+    fit_rows = replicate_minority(scaled.where(F.col("date") < F.lit(cutoff)))
+    held_out = scaled.where(F.col("date") >= F.lit(cutoff))
+
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
+    network = MultilayerPerceptronClassifier(
+        labelCol=LABEL, layers=[len(FEATURES), *hidden, 2], maxIter=segment, seed=seed
+    )
+    best, lowest, waited = None, float("inf"), 0
+    for _ in range(max(1, max_iterations // segment)):
+        model = Pipeline(stages=[assembler, network]).fit(fit_rows)
+        loss = _log_loss(with_probability(model, held_out))
+        best, lowest, waited = (model, loss, 0) if loss < lowest else (best, lowest, waited + 1)
+        if waited >= PATIENCE:
+            break
+        network = network.copy()
+        network.setInitialWeights(model.stages[-1].weights)
+    return best or model
 
 
 def with_probability(model: PipelineModel, df: DataFrame, out: str = "onset_probability") -> DataFrame:

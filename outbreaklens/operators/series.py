@@ -17,6 +17,7 @@ HORIZON_DAYS = 7
 TRAIN_FRACTION = 0.70
 BASELINE_ROWS = 14
 
+
 def _visible(df: DataFrame) -> DataFrame:
     """Without layout columns; the day number stays, so that the next step finds its rows sorted."""
     return df.drop(CHUNK, POSITION, "_prev_week")

@@ -399,6 +399,11 @@ SELECT * FROM (SELECT COUNT(*) AS case_rows, COUNT(*) - COUNT(r.nom) AS case_row
         "SELECT nom_clean FROM (SELECT nom_clean FROM clean_cases EXCEPT SELECT nom FROM health_zones) ORDER BY 1 LIMIT 10",
         "clean_cases", "health_zones",
     ),
+    "duplicate_reports": _sql(
+        f"SELECT {KEY}, COUNT(*) AS n_rows FROM (SELECT nom_clean, date FROM clean_cases UNION ALL "
+        "SELECT nom_clean, date FROM clean_deaths) GROUP BY nom_clean, date HAVING COUNT(*) > 1",
+        "clean_cases", "clean_deaths",
+    ),
     "distinct_zones": _sql("SELECT DISTINCT nom_clean FROM clean_cases", "clean_cases"),
     "new_cases": _sql(f"SELECT {KEY}, cumulative_confirmed_cases, new_cases FROM daily", "daily"),
     "rolling_7_sum": _sql(f"SELECT {KEY}, cumulative_confirmed_cases, rolling_7 FROM weekly", "weekly"),

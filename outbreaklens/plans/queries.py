@@ -162,6 +162,12 @@ def unmatched_preview(spark, folder):
     return unmatched_zones(spark, folder).orderBy("nom_clean").limit(10)
 
 
+@query
+def duplicate_reports(spark, folder):
+    """Reports of both kinds stacked: zone-days that occur more than once."""
+    return cleaning.duplicate_days(clean_cases(spark, folder).select("nom_clean", "date").union(clean_deaths(spark, folder).select("nom_clean", "date")))
+
+
 @query
 def distinct_zones(spark, folder):
     return clean_cases(spark, folder).select("nom_clean").distinct()

@@ -43,7 +43,7 @@ def test_forest_learns_and_reloads(train, tmp_path):
 
 def test_network_learns(train):
     base = train.agg(F.avg(models.LABEL)).first()[0]
-    network = models.train_network(train, iterations=(20, 40))
+    network = models.train_network(train, segment=20, max_iterations=60)
     stats = anomaly.standardiser(train, models.FEATURES)
     scored = models.with_probability(network, anomaly.standardise(train, stats, models.FEATURES))
     assert precision_of(scored) > base + 0.3
@@ -68,7 +68,7 @@ def test_missing_features_stop_training(train):
 
 
 def test_zone_predictions_for_silent_zones(spark, train):
-    forest, network = models.train_forest(train, trees=5), models.train_network(train, iterations=(10,))
+    forest, network = models.train_forest(train, trees=5), models.train_network(train, segment=10, max_iterations=10)
     state = spark.createDataFrame(
         [("A", "P", None, False, 0.0, 0), ("B", "P", 0.5, True, 90.0, 30)],
         "nom string, province string, population_density double, has_case_data boolean, "
