@@ -182,17 +182,23 @@ def _fit_whole(points: DataFrame, features, scale: Scale, gamma: float, mass: fl
 def _add_kernel_sum(
     df: DataFrame, features, scale: Scale, gamma: float, column: str, block: pd.DataFrame, weight: str
 ) -> DataFrame:
-    """`column` plus the kernel sum over a bounded block of weighted points, for every row."""
-    vectors = scale.apply(block[list(features)].to_numpy(float))
-    weights = block[weight].to_numpy(float)
+    """`column` plus the kernel sum over a bounded block of weighted points, for every row.
+
+    The function that travels to the workers holds arrays and names only, nothing of this package.
+    """
     names = list(features)
+    mean, sd = np.array(scale.mean), np.array(scale.sd)
+    vectors = (block[names].to_numpy(float) - mean) / sd
+    weights = block[weight].to_numpy(float)
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(batches):
         for batch in batches:
-            own = scale.apply(batch[names].to_numpy(float))
+            own = (batch[names].to_numpy(float) - mean) / sd
             total = batch[column].to_numpy(float).copy()
             for begin in range(0, len(own), 2_000):
-                total[begin : begin + 2_000] += _kernel(own[begin : begin + 2_000], vectors, gamma) @ weights
+                rows = own[begin : begin + 2_000]
+                squared = ((rows[:, None, :] - vectors[None, :, :]) ** 2).sum(axis=2)
+                total[begin : begin + 2_000] += np.exp(-gamma * squared) @ weights
             yield batch.assign(**{column: total})
 
     return df.mapInPandas(add, df.schema)
