@@ -26,6 +26,7 @@ SURGE_RATIO = 2.0
 WORKING_SET = 2_000
 GAP = 1e-10
 MAX_ROUNDS = 500
+BROADCAST_PAIRS = 200_000
 # Points on the boundary have score 0 up to solver error; rounding makes such ties equal.
 SCORE_DIGITS = 6
 
@@ -35,8 +36,8 @@ def usable_zones(inputs: DataFrame, min_rows: int = BASELINE_ROWS + WEEK_ROWS) -
     return inputs.where(F.col("zone_rows") >= min_rows)
 
 
-def baseline_rows(inputs: DataFrame, rows: int = BASELINE_ROWS) -> DataFrame:
-    return inputs.where(F.col("day_idx") < rows)
+def is_baseline(rows: int = BASELINE_ROWS) -> Column:
+    return F.col("day_idx") < rows
 
 
 def selection_summary(
@@ -134,35 +135,39 @@ def _offset(alpha: np.ndarray, box: np.ndarray, grad: np.ndarray) -> float:
     return float((below + above.min()) / 2) if above.size else float(below)
 
 
+def feature_pairs(rows: DataFrame, fitted: Column, features: tuple[str, ...] = FEATURES) -> DataFrame:
+    """Distinct feature values of all rows, stored, with the number of rows to fit on as `box`.
+
+    One pass over the rows, aggregated on the map side, serves both the fit and the scoring.
+    """
+    return checkpointed(rows.groupBy(*features).agg(F.count_if(fitted).cast("double").alias("box")))
+
+
 def fit_one_class(
-    baseline: DataFrame, features: tuple[str, ...] = FEATURES, nu: float = NU, working_set: int = WORKING_SET
+    pairs: DataFrame, features: tuple[str, ...] = FEATURES, nu: float = NU, working_set: int = WORKING_SET
 ) -> OneClassModel:
-    points = checkpointed(baseline.groupBy(*features).agg(F.count(F.lit(1)).cast("double").alias("box")))
-    moments = points.agg(
-        F.sum("box").alias("n"),
-        *[(F.sum(F.col(c) * F.col("box")) / F.sum("box")).alias(f"{c}_mean") for c in features],
-    )
+    """Fit on the pairs that hold rows to fit on."""
+    points = pairs.where("box > 0")
+    moments = points.agg(*[(F.sum(F.col(c) * F.col("box")) / F.sum("box")).alias(c) for c in features])
     centre = moments.select(F.struct("*")).scalar()
-    spread = points.agg(
+    found = points.agg(
         F.sum("box").alias("n"),
         F.count(F.lit(1)).alias("distinct"),
-        *[F.first(centre[f"{c}_mean"]).alias(f"{c}_mean") for c in features],
+        *[F.first(centre[c]).alias(f"{c}_mean") for c in features],
         *[
-            F.sqrt(F.sum(F.col("box") * F.pow(F.col(c) - centre[f"{c}_mean"], 2)) / F.sum("box")).alias(f"{c}_sd")
+            F.sqrt(F.sum(F.col("box") * F.pow(F.col(c) - centre[c], 2)) / F.sum("box")).alias(f"{c}_sd")
             for c in features
         ],
     ).first()
-    if not spread["distinct"]:
+    if not found["distinct"]:
         raise ValueError("no baseline rows to fit on")
-    deviations = [spread[f"{c}_sd"] for c in features]
-    scale = Scale(
-        tuple(spread[f"{c}_mean"] for c in features), tuple(sd if sd > 0 else 1.0 for sd in deviations)
-    )
+    deviations = [found[f"{c}_sd"] for c in features]
+    scale = Scale(tuple(found[f"{c}_mean"] for c in features), tuple(sd if sd > 0 else 1.0 for sd in deviations))
     # "scale" width: 1 / (features x variance of the standardised matrix).
     varying = sum(sd > 0 for sd in deviations)
     gamma = 1.0 / varying if varying else 1.0
-    mass = nu * spread["n"]
-    if spread["distinct"] <= working_set:
+    mass = nu * found["n"]
+    if found["distinct"] <= working_set:
         return _fit_whole(points, features, scale, gamma, mass)
     return _fit_by_decomposition(points, features, scale, gamma, mass, working_set)
 
@@ -261,7 +266,7 @@ def _fit_by_decomposition(
     return OneClassModel(features, scale, gamma, float(offset), points=state, block=size)
 
 
-def _decision(model: OneClassModel) -> Column:
+def _kernel_sum(model: OneClassModel) -> Column:
     """Kernel sum over literal support vectors, as a native expression."""
     scaled = [
         (F.col(c) - F.lit(mean)) / F.lit(sd) for c, mean, sd in zip(model.features, model.scale.mean, model.scale.sd)
@@ -277,20 +282,29 @@ def _decision(model: OneClassModel) -> Column:
     return F.aggregate(vectors, F.lit(0.0), term)
 
 
-def anomaly_score(rows: DataFrame, model: OneClassModel) -> DataFrame:
-    """Add `anomaly_score`, the negated decision value: higher is more anomalous."""
-    if model.points is None:
-        value = F.lit(model.rho) - _decision(model)
-        return rows.withColumn("anomaly_score", F.round(value, SCORE_DIGITS) + F.lit(0.0))
-    # Many support vectors: score each distinct feature pair once, block by block, and join back.
+def anomaly_score(
+    rows: DataFrame, model: OneClassModel, pairs: DataFrame, broadcast_pairs: int = BROADCAST_PAIRS
+) -> DataFrame:
+    """Add `anomaly_score`, the negated decision value: higher is more anomalous.
+
+    Every distinct feature pair is scored once and joined back to the rows. Few pairs are broadcast;
+    many take part in a shuffle join, where AQE splits the frequent ones.
+    """
     features = list(model.features)
-    pairs = rows.select(*features).distinct().withColumn("anomaly_score", F.lit(0.0))
-    for block in _blocks(model.points, features, model.block):
-        pairs = checkpointed(
-            _add_kernel_sum(pairs, features, model.scale, model.gamma, "anomaly_score", block, "alpha")
-        )
-    value = F.round(F.lit(model.rho) - F.col("anomaly_score"), SCORE_DIGITS) + F.lit(0.0)
-    return rows.join(pairs.withColumn("anomaly_score", value), features)
+    scored = pairs.select(*features)
+    if model.points is None:
+        scored = scored.withColumn("_kernel_sum", _kernel_sum(model))
+    else:
+        scored = scored.withColumn("_kernel_sum", F.lit(0.0))
+        for block in _blocks(model.points, features, model.block):
+            scored = checkpointed(
+                _add_kernel_sum(scored, features, model.scale, model.gamma, "_kernel_sum", block, "alpha")
+            )
+    value = F.round(F.lit(model.rho) - F.col("_kernel_sum"), SCORE_DIGITS) + F.lit(0.0)
+    scored = scored.select(*features, value.alias("anomaly_score"))
+    if pairs.limit(broadcast_pairs + 1).count() <= broadcast_pairs:
+        scored = F.broadcast(scored)
+    return rows.join(scored, features).select(*rows.columns, "anomaly_score")
 
 
 def evaluation_rows(scored: DataFrame, surge_ratio: float = SURGE_RATIO, baseline: int = BASELINE_ROWS) -> DataFrame:

@@ -41,10 +41,11 @@ def labelled(cases: DataFrame, zones: DataFrame, one_row_per_day: bool = False)
 
 def scored(cases: DataFrame, one_row_per_day: bool = False, min_rows: int | None = None) -> DataFrame:
     """Anomaly scores of every row of the usable zones of a case series."""
-    # Stored once: the fit reads the baseline rows, the scoring reads all of them.
+    # Stored, as the feature pairs and the scoring both read the rows.
     rows = checkpointed(series.anomaly_inputs(cases, one_row_per_day))
     rows = anomaly.usable_zones(rows, min_rows) if min_rows else anomaly.usable_zones(rows)
-    return anomaly.anomaly_score(rows, anomaly.fit_one_class(anomaly.baseline_rows(rows)))
+    pairs = anomaly.feature_pairs(rows, anomaly.is_baseline())
+    return anomaly.anomaly_score(rows, anomaly.fit_one_class(pairs), pairs)
 
 
 def national(cases: DataFrame, deaths: DataFrame, aliases: DataFrame) -> DataFrame:

@@ -303,7 +303,7 @@ def watchlist_history(spark, folder):
 def usable_zones(spark, folder):
     rows = series.anomaly_inputs(_series(spark, folder), one_row_per_day=True)
     kept = anomaly.usable_zones(rows, MIN_ROWS_ON_TEST_DATA)
-    return kept.select("nom_clean", "date", "day_idx", (F.col("day_idx") < series.BASELINE_ROWS).alias("is_baseline"))
+    return kept.select("nom_clean", "date", "day_idx", anomaly.is_baseline().alias("is_baseline"))
 
 
 @query

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from outbreaklens.operators import anomaly
 
@@ -16,6 +17,14 @@ def baseline(seed: int, n: int, values: int = 6) -> list[tuple]:
     return [(float(rng.randint(0, values)), rng.randint(0, 3 * values) / 3) for _ in range(n)]
 
 
+def pairs_of(df):
+    return anomaly.feature_pairs(df, F.lit(True))
+
+
+def fit(df, **options):
+    return anomaly.fit_one_class(pairs_of(df), **options)
+
+
 def decisions(rows, model) -> np.ndarray:
     x = model.scale.apply(np.array(rows))
     squared = ((x[:, None, :] - model.vectors[None, :, :]) ** 2).sum(axis=2)
@@ -26,7 +35,7 @@ def decisions(rows, model) -> np.ndarray:
 def test_solution_is_optimal(spark, seed, n):
     """Conditions of the nu-SVM: mass nu*n, weights within their box, and the margin where they say it is."""
     rows = baseline(seed, n)
-    model = anomaly.fit_one_class(spark.createDataFrame(rows, SCHEMA))
+    model = fit(spark.createDataFrame(rows, SCHEMA))
     x = np.array(rows)
     assert model.scale.mean == pytest.approx(tuple(x.mean(axis=0)))
     assert model.scale.sd == pytest.approx(tuple(x.std(axis=0)))
@@ -53,7 +62,7 @@ def test_solution_is_optimal(spark, seed, n):
 def test_equal_to_the_expanded_problem(spark):
     """Grouping equal rows does not change the decision values: solve row by row with projected gradients."""
     rows = baseline(5, 40, values=3)
-    model = anomaly.fit_one_class(spark.createDataFrame(rows, SCHEMA), nu=0.3)
+    model = fit(spark.createDataFrame(rows, SCHEMA), nu=0.3)
     x = model.scale.apply(np.array(rows))
     kernel = np.exp(-model.gamma * ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
     mass, alpha = 0.3 * len(rows), np.full(len(rows), 0.3)
@@ -70,13 +79,14 @@ def test_equal_to_the_expanded_problem(spark):
 def test_decomposition_equals_whole_solution(spark):
     rows = baseline(8, 500, values=12)
     df = spark.createDataFrame(rows, SCHEMA)
-    whole = anomaly.fit_one_class(df)
-    parts = anomaly.fit_one_class(df, working_set=40)
+    whole = fit(df)
+    parts = fit(df, working_set=40)
     assert parts.points is not None and whole.points is None
     assert parts.rho == pytest.approx(whole.rho, abs=1e-7)
     order = list(anomaly.FEATURES)
-    one = anomaly.anomaly_score(df.distinct(), whole).orderBy(order).collect()
-    other = anomaly.anomaly_score(df.distinct(), parts).orderBy(order).select(one[0].__fields__).collect()
+    pairs = pairs_of(df)
+    one = anomaly.anomaly_score(df.distinct(), whole, pairs).orderBy(order).collect()
+    other = anomaly.anomaly_score(df.distinct(), parts, pairs, broadcast_pairs=0).orderBy(order).collect()
     assert [tuple(r)[:2] for r in one] == [tuple(r)[:2] for r in other]
     assert [r["anomaly_score"] for r in one] == pytest.approx([r["anomaly_score"] for r in other], abs=2e-6)
     assert [r["anomaly_score"] for r in one] == pytest.approx(list(-decisions([tuple(r)[:2] for r in one], whole)), abs=1e-6)
@@ -84,16 +94,16 @@ def test_decomposition_equals_whole_solution(spark):
 
 def test_constant_features(spark):
     flat = spark.createDataFrame([(0.0, 0.0)] * 30, SCHEMA)
-    model = anomaly.fit_one_class(flat)
+    model = fit(flat)
     assert model.gamma == 1.0
-    assert {r["anomaly_score"] for r in anomaly.anomaly_score(flat, model).collect()} == {0.0}
+    assert {r["anomaly_score"] for r in anomaly.anomaly_score(flat, model, pairs_of(flat)).collect()} == {0.0}
     half = spark.createDataFrame([(0.0, float(i % 3)) for i in range(30)], SCHEMA)
-    assert anomaly.fit_one_class(half).gamma == pytest.approx(1.0)
+    assert fit(half).gamma == pytest.approx(1.0)
 
 
 def test_no_baseline(spark):
     with pytest.raises(ValueError):
-        anomaly.fit_one_class(spark.createDataFrame([], SCHEMA))
+        fit(spark.createDataFrame([], SCHEMA))
 
 
 def test_zone_length_rule(spark):
