@@ -696,6 +696,7 @@ FROM split WHERE is_train""",
         f"SELECT {KEY}, CAST(label_next_7d_onset AS BIGINT) AS label_next_7d_onset, days_since_first_case FROM labelled", "labelled"
     ),
     "roundtrip_csv": _sql("SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM national", "national"),
+    "csv_reports": _sql(f"SELECT nom, {KEY}, cumulative_confirmed_cases FROM clean_cases", "clean_cases"),
     "roundtrip_json": _sql("SELECT bulletin, value, type, context FROM mentions", "mentions"),
     "star_tables_sql": _sql(
         """

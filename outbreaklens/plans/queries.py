@@ -674,6 +674,27 @@ def mlp_predictions(spark, folder):
     return models.with_class(scored).drop("is_train", *[f"{c}_std" for c in models.FEATURES])
 
 
+@query
+def model_comparison(spark, folder):
+    """Average precision of both classifiers on the test dates, next to the share of positives."""
+    train, test = _train_and_test(spark, folder)
+    stats = anomaly.standardiser(train, models.FEATURES)
+    scored = {
+        "forest": models.with_probability(models.train_forest(train), test),
+        "network": models.with_probability(
+            models.train_network(train), anomaly.standardise(test, stats, models.FEATURES)
+        ),
+    }
+    base = test.agg(F.avg(models.LABEL)).scalar()
+    results = [
+        metrics.average_precision(rows, models.LABEL, "onset_probability").select(
+            F.lit(name).alias("model"), "average_precision", base.alias("positive_share")
+        )
+        for name, rows in scored.items()
+    ]
+    return results[0].unionByName(results[1])
+
+
 @query
 def zone_predictions(spark, folder):
     train, _ = _train_and_test(spark, folder)
@@ -714,6 +735,15 @@ def roundtrip_csv(spark, folder):
     return national.select("date", *[F.col(c).cast("double") for c in national.columns if c != "date"])
 
 
+@query
+def csv_reports(spark, folder):
+    """Raw reports and aliases written as CSV, read back as text and cleaned."""
+    paths = {name: _fresh_folder(spark, name) for name in ("cases", "aliases")}
+    writers.write_csv(testviews.raw_cases(spark, folder), paths["cases"])
+    writers.write_csv(testviews.aliases(spark, folder), paths["aliases"])
+    return cleaning.clean_cases(readers.zone_cases(spark, paths["cases"]), readers.aliases(spark, paths["aliases"]))
+
+
 @query
 def roundtrip_json(spark, folder):
     path = _fresh_folder(spark, "extractions")
@@ -730,12 +760,10 @@ def star_tables_sql(spark, folder):
     writers.replace_tables(dict(zip(names, _star(spark, folder))), _fresh_folder(spark, "star"))
     return spark.sql(
         """
-        SELECT h.province, COUNT(*) AS zone_days, COUNT(DISTINCT h.nom) AS zones, MAX(a.anomaly_score) AS max_score
-        FROM health_zones h
-        JOIN daily_cases d ON h.nom = d.nom
-        JOIN anomaly_scores a ON h.nom = a.nom AND d.date = a.date
-        WHERE d.date >= :since
-        GROUP BY h.province
+        SELECT province, COUNT(*) AS zone_days, COUNT(DISTINCT nom) AS zones, MAX(anomaly_score) AS max_score
+        FROM anomaly_scores JOIN daily_cases USING (nom, date) JOIN health_zones USING (nom)
+        WHERE date >= :since
+        GROUP BY province
         """,
         args={"since": "2024-01-15"},
     )

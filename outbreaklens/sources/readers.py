@@ -13,7 +13,15 @@ from outbreaklens.sources.schemas import EXTRACTION, ZONES_GEOJSON
 
 def csv_table(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file with a header, every column as text, the usual spellings of "missing" as NULL."""
-    raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
+    raw = spark.read.csv(
+        path,
+        header=True,
+        inferSchema=False,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
     return raw.select(*[null_if_missing(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
@@ -56,14 +64,14 @@ def zone_features(spark: SparkSession, path: str) -> DataFrame:
     return collection.select(F.explode("features").alias("f")).select("f.properties")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows spread by a unique key when a scan yields fewer tasks than there are cores.
+def spread(df: DataFrame) -> DataFrame:
+    """Rows spread evenly when a scan yields fewer tasks than there are cores.
 
     Meant for costly work per row on a few files. A table with at least as many splits as cores
     passes unchanged, so a large scan is never shuffled for it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def bulletins(spark: SparkSession, folder: str) -> DataFrame:

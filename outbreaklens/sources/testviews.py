@@ -100,7 +100,7 @@ def bulletins(spark: SparkSession, folder: str) -> DataFrame:
     doc = F.col("doc_id")
     number = F.lpad((600 + doc).cast("string"), 9, "0")
     day = F.date_add(F.lit("2026-01-01").cast("date"), (doc % 365).cast("int"))
-    documents = readers.spread(table(spark, folder, "documents"), "doc_id")
+    documents = readers.spread(table(spark, folder, "documents"))
     return documents.select(
         F.concat(F.lit("DON"), number, F.lit("_"), day.cast("string")).alias("bulletin"),
         "lang",
@@ -120,7 +120,7 @@ def bulletins(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return readers.spread(table(spark, folder, "pages"), "page_id")
+    return readers.spread(table(spark, folder, "pages"))
 
 
 def gazetteer(spark: SparkSession, folder: str) -> DataFrame:

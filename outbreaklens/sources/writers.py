@@ -15,7 +15,10 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, escape='"')
+    """Replace a CSV table; blanks at the ends of a text stay."""
+    df.write.mode("overwrite").csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def write_extractions(records: DataFrame, path: str) -> None:

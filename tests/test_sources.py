@@ -93,5 +93,5 @@ def test_manifest(spark):
 
 
 def test_spread_leaves_wide_scans_alone(spark):
-    assert readers.spread(spark.range(10, numPartitions=2), "id").rdd.getNumPartitions() == 8
-    assert readers.spread(spark.range(10, numPartitions=9), "id").rdd.getNumPartitions() == 9
+    assert readers.spread(spark.range(10, numPartitions=2)).rdd.getNumPartitions() == 8
+    assert readers.spread(spark.range(10, numPartitions=9)).rdd.getNumPartitions() == 9
