@@ -243,7 +243,7 @@ FROM latest_scores s JOIN health_zones z ON s.nom = z.nom""",
     "evaluation": (
         ["scores"],
         """
-SELECT anomaly_score, CASE WHEN rt_proxy > 2 THEN 1 ELSE 0 END AS true_surge,
+SELECT nom_clean, date, anomaly_score, CASE WHEN rt_proxy > 2 THEN 1 ELSE 0 END AS true_surge,
        CASE WHEN anomaly_score > 0 THEN 1 ELSE 0 END AS flagged
 FROM scores WHERE day_idx >= 14 AND rt_proxy IS NOT NULL""",
     ),
@@ -554,6 +554,15 @@ SELECT rank AS row, zone, cross_border_watch, anomaly_score,
 FROM (SELECT *, greatest((SELECT MAX(anomaly_score) FROM top200), 0.0001) AS m FROM top200) WHERE rank <= 15""",
         "top200",
     ),
+    "ranking_page_cross_border": _sql(
+        """
+SELECT row_number() OVER (ORDER BY rank) AS row, zone, cross_border_watch, anomaly_score,
+       CASE WHEN m > 0 THEN least(anomaly_score / m * 100, 100) ELSE 0 END AS bar_percent,
+       CASE WHEN least(anomaly_score / m, 1) > 0.66 THEN 'hot' WHEN least(anomaly_score / m, 1) > 0.33 THEN 'warm' ELSE 'cool' END AS tier
+FROM (SELECT *, greatest((SELECT MAX(anomaly_score) FROM top200), 0.0001) AS m FROM top200) WHERE cross_border_watch
+ORDER BY rank LIMIT 15""",
+        "top200",
+    ),
     "watchlist_chips": _sql(
         """
 SELECT zone, province, rank, anomaly_score,
@@ -567,6 +576,10 @@ SELECT {KEY}, new_cases, anomaly_score, CAST(MAX(date) FILTER (WHERE day_idx = 1
 WHERE nom_clean = (SELECT nom_clean FROM scores GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1)""",
         "scores",
     ),
+    "evaluation_rows": _sql(
+        f"SELECT {KEY}, anomaly_score, CAST(true_surge AS BIGINT) AS true_surge, CAST(flagged AS BIGINT) AS flagged FROM evaluation",
+        "evaluation",
+    ),
     "confusion_matrix": _sql(
         "SELECT CAST(true_surge AS BIGINT) AS label, CAST(flagged AS BIGINT) AS prediction, COUNT(*) AS n FROM evaluation GROUP BY 1, 2",
         "evaluation",
@@ -696,6 +709,12 @@ FROM split WHERE is_train""",
         f"SELECT {KEY}, CAST(label_next_7d_onset AS BIGINT) AS label_next_7d_onset, days_since_first_case FROM labelled", "labelled"
     ),
     "roundtrip_csv": _sql("SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM national", "national"),
+    "csv_national": _sql(
+        f"SELECT {ISO}, national_cumulative_confirmed_cases, national_cumulative_confirmed_deaths, CASE WHEN "
+        "national_cumulative_confirmed_cases <> 0 THEN national_cumulative_confirmed_deaths / "
+        "national_cumulative_confirmed_cases * 100 END AS cfr FROM national",
+        "national",
+    ),
     "csv_reports": _sql(f"SELECT nom, {KEY}, cumulative_confirmed_cases FROM clean_cases", "clean_cases"),
     "roundtrip_json": _sql("SELECT bulletin, value, type, context FROM mentions", "mentions"),
     "star_tables_sql": _sql(

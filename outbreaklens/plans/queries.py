@@ -429,6 +429,11 @@ def ranking_page(spark, folder):
     return serving.ranking_page(_ranking(spark, folder, serving.MAX_LIMIT))
 
 
+@query
+def ranking_page_cross_border(spark, folder):
+    return serving.ranking_page(_ranking(spark, folder, serving.MAX_LIMIT), cross_border_only=True)
+
+
 @query
 def watchlist_chips(spark, folder):
     return serving.watchlist_chips(_ranking(spark, folder, serving.MAX_LIMIT))
@@ -442,6 +447,11 @@ def zone_timeline(spark, folder):
 # --- metrics ----------------------------------------------------------------------------------
 
 
+@query
+def evaluation_rows(spark, folder):
+    return _evaluation(spark, folder).select("nom_clean", "date", "anomaly_score", "true_surge", "flagged")
+
+
 @query
 def confusion_matrix(spark, folder):
     return metrics.confusion_matrix(_evaluation(spark, folder), "true_surge", "flagged")
@@ -735,6 +745,20 @@ def roundtrip_csv(spark, folder):
     return national.select("date", *[F.col(c).cast("double") for c in national.columns if c != "date"])
 
 
+@query
+def csv_national(spark, folder):
+    """Both national series written as CSV, read back and joined."""
+    paths = {name: _fresh_folder(spark, name) for name in ("cases", "deaths")}
+    national = checkpointed(_national(spark, folder))
+    for name, path in paths.items():
+        column = f"national_cumulative_confirmed_{name}"
+        writers.write_csv(national.select("date", column).where(F.col(column).isNotNull()), path)
+    joined = star.national_table(
+        readers.national_cases(spark, paths["cases"]), readers.national_deaths(spark, paths["deaths"])
+    )
+    return star.with_cfr(joined)
+
+
 @query
 def csv_reports(spark, folder):
     """Raw reports and aliases written as CSV, read back as text and cleaned."""
