@@ -65,7 +65,6 @@ def _mentions(text: Column, pattern: str, kind: str) -> Column:
     Match offsets are a running sum over the pieces between matches and the matches themselves.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    number = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
     lengths = F.arrays_zip(
         F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
         F.transform(whole, F.length).alias("size"),
@@ -85,14 +84,12 @@ def _mentions(text: Column, pattern: str, kind: str) -> Column:
         end = m["start"] + F.length(m["whole"]) + CONTEXT_AFTER
         context = strip(F.translate(F.substring(text, begin + 1, end - begin), "\n", " "))
         return F.struct(
-            F.translate(m["number"], ",", "").try_cast("bigint").alias("value"),
+            F.translate(F.regexp_extract(m["whole"], "^[0-9,]+", 0), ",", "").try_cast("bigint").alias("value"),
             F.lit(kind).alias("type"),
             F.concat(F.lit("..."), context, F.lit("...")).alias("context"),
         )
 
-    return F.transform(
-        F.arrays_zip(whole.alias("whole"), number.alias("number"), start_of.alias("start")), record
-    )
+    return F.transform(F.arrays_zip(whole.alias("whole"), start_of.alias("start")), record)
 
 
 def count_mentions(text: Column) -> Column:
@@ -193,11 +190,16 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{M}\p{N}_'’-]+"), F.lit(0))
 
 
-def word_grams(text: Column, max_words: int) -> Column:
-    """Distinct runs of 1..max_words words, joined by one blank."""
+def word_grams(text: Column, max_words: int, first_words: list[str] | None = None) -> Column:
+    """Distinct words, and runs of 2..max_words words joined by one blank.
+
+    With `first_words`, only runs that begin with one of them.
+    """
 
     def runs(tokens: Column) -> Column:
         grams, longer = tokens, tokens
+        if first_words is not None:
+            longer = F.transform(tokens, lambda word: F.when(word.isin(first_words), word))
         for n in range(2, max_words + 1):
             # The shorter side is padded with NULL, so a run that would pass the end becomes NULL.
             following = F.slice(tokens, F.lit(n), F.size(tokens))

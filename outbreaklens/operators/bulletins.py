@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 
 from outbreaklens.functions import text as t
 from outbreaklens.functions.display import severity_class
+from outbreaklens.session import checkpointed
 
 BROADCAST_NAMES = 200_000
+FIRST_WORDS = 1_000  # up to so many, word runs are built only where a longer name can begin
 
 
 def mentions(bulletins: DataFrame) -> DataFrame:
@@ -35,12 +37,18 @@ def locations(bulletins: DataFrame, gazetteer: DataFrame, broadcast_names: int =
     counts once per bulletin. A gazetteer of at most `broadcast_names` names is broadcast, so that
     runs which name no place are dropped where they arise; a larger one takes part in a shuffle join.
     """
-    names = gazetteer.select(F.array_join(t.word_tokens(F.col("name")), " ").alias("gram"), "name")
-    names = names.where(F.col("gram") != "").distinct()
-    size = names.agg(F.count(F.lit(1)).alias("names"), F.max(F.size(F.split("gram", " "))).alias("words")).first()
+    gram = F.array_join(t.word_tokens(F.col("name")), " ")
+    names = checkpointed(gazetteer.select(gram.alias("gram"), "name").where(F.col("gram") != "").distinct())
+    words = F.split("gram", " ")
+    size = names.agg(F.count(F.lit(1)).alias("names"), F.max(F.size(words)).alias("words")).first()
+    first_words = None
+    if (size["words"] or 1) > 1:
+        starts = names.where(F.size(words) > 1).select(words[0]).distinct().limit(FIRST_WORDS + 1).collect()
+        first_words = [r[0] for r in starts] if len(starts) <= FIRST_WORDS else None
     if size["names"] <= broadcast_names:
         names = F.broadcast(names)
-    grams = bulletins.select("bulletin", F.explode(t.word_grams(F.col("text"), size["words"] or 1)).alias("gram"))
+    runs = t.word_grams(F.col("text"), size["words"] or 1, first_words)
+    grams = bulletins.select("bulletin", F.explode(runs).alias("gram"))
     return grams.join(names, "gram").groupBy("bulletin").agg(
         F.array_sort(F.collect_set("name")).alias("locations_mentioned")
     )
