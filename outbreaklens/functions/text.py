@@ -59,17 +59,13 @@ def clean_date_text(c: Column) -> Column:
     return strip(F.btrim(F.btrim(strip(c), F.lit("]")), F.lit("[")))
 
 
-def _mentions(text: Column, pattern: str, kind: str) -> Column:
-    """Array of (value, type, context) for every match of `pattern`, in text order.
-
-    Match offsets are a running sum over the pieces between matches and the matches themselves.
-    """
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def _starts(text: Column, pattern: str, whole: Column) -> Column:
+    """Offset of every match: a running sum over the pieces between matches and the matches themselves."""
     lengths = F.arrays_zip(
         F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
         F.transform(whole, F.length).alias("size"),
     )
-    start_of = F.aggregate(
+    return F.aggregate(
         F.slice(lengths, F.lit(1), F.size(whole)),
         F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
         lambda acc, m: F.struct(
@@ -79,6 +75,10 @@ def _mentions(text: Column, pattern: str, kind: str) -> Column:
         lambda acc: acc["starts"],
     )
 
+
+def _mentions(text: Column, pattern: str, kind: str) -> Column:
+    """Array of (value, type, context) for every match of `pattern`, in text order."""
+
     def record(m: Column) -> Column:
         begin = F.greatest(m["start"] - CONTEXT_BEFORE, F.lit(0))
         end = m["start"] + F.length(m["whole"]) + CONTEXT_AFTER
@@ -89,7 +89,11 @@ def _mentions(text: Column, pattern: str, kind: str) -> Column:
             F.concat(F.lit("..."), context, F.lit("...")).alias("context"),
         )
 
-    return F.transform(F.arrays_zip(whole.alias("whole"), start_of.alias("start")), record)
+    def records(whole: Column) -> Column:
+        starts = _starts(text, pattern, whole)
+        return F.transform(F.arrays_zip(whole.alias("whole"), starts.alias("start")), record)
+
+    return bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), records)
 
 
 def count_mentions(text: Column) -> Column:
