@@ -48,10 +48,13 @@ def null_if_missing(c: Column) -> Column:
     return F.when(~c.isin(NULL_TOKENS), c)
 
 
+def is_number(c: Column) -> Column:
+    return strip(c).rlike(NUMBER)
+
+
 def to_number(c: Column) -> Column:
     """Number or NULL. The pattern keeps out what Spark's cast takes but a CSV number is not ("17d")."""
-    bare = strip(c)
-    return F.when(bare.rlike(NUMBER), bare.try_cast("double"))
+    return F.when(is_number(c), strip(c).try_cast("double"))
 
 
 def clean_date_text(c: Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outbreaklens.functions.text import clean_date_text, strip, to_number
+from outbreaklens.functions.text import clean_date_text, is_number, strip, to_number
 from outbreaklens.session import checkpointed
 
 CASES = "cumulative_confirmed_cases"
@@ -48,25 +48,30 @@ def coerce_counts(reports: DataFrame, column: str) -> DataFrame:
     return reports.withColumn(column, to_number(F.col(column)))
 
 
-def parsed_date(text: Column, strict: bool = True) -> Column:
-    """Date of a cleaned text; a text that is no date raises, or gives NULL when not strict."""
-    date = text.try_cast("date")
-    if not strict:
-        return date
-    wrong = F.raise_error(F.concat(F.lit("not a date: "), text)).cast("date")
-    return F.when(text.isNotNull() & date.isNull(), wrong).otherwise(date)
+def parsed_date(c: Column, strict: bool = True) -> Column:
+    """Date of a date text; a text that is no date raises, or gives NULL when not strict.
+
+    A text that is a date as it stands is not repaired first: the repair strips its ends only.
+    """
+    choices = [c.try_cast("date"), clean_date_text(c).try_cast("date")]
+    if strict:
+        wrong = F.raise_error(F.concat(F.lit("not a date: "), c)).cast("date")
+        choices.append(F.when(c.isNotNull(), wrong))
+    return F.coalesce(*choices)
 
 
 def clean_dates(reports: DataFrame, strict: bool = True) -> DataFrame:
-    repaired = reports.withColumn("date", clean_date_text(F.col("date")))
-    return repaired.withColumn("date", parsed_date(F.col("date"), strict))
+    return reports.withColumn("date", parsed_date(F.col("date"), strict))
 
 
 def clean_cases(reports: DataFrame, aliases: DataFrame, strict: bool = True) -> DataFrame:
-    """Attributed rows with a canonical name, a numeric count and a date."""
-    named = clean_zone_names(drop_unattributed(reports), aliases)
-    counted = coerce_counts(named, CASES).where(F.col(CASES).isNotNull())
-    return clean_dates(counted, strict)
+    """Attributed rows with a canonical name, a numeric count and a date.
+
+    The pattern test filters the raw rows, in front of the join, and the cast follows on what is left.
+    """
+    kept = drop_unattributed(reports).where(is_number(F.col(CASES)))
+    named = clean_zone_names(kept, aliases)
+    return clean_dates(named.withColumn(CASES, strip(F.col(CASES)).try_cast("double")), strict)
 
 
 def clean_deaths(reports: DataFrame, aliases: DataFrame, strict: bool = True) -> DataFrame:
