@@ -148,35 +148,17 @@ def fit_one_class(
 ) -> OneClassModel:
     """Fit on the pairs that hold rows to fit on."""
     points = pairs.where("box > 0")
-    moments = points.agg(*[(F.sum(F.col(c) * F.col("box")) / F.sum("box")).alias(c) for c in features])
-    centre = moments.select(F.struct("*")).scalar()
-    found = points.agg(
-        F.sum("box").alias("n"),
-        F.count(F.lit(1)).alias("distinct"),
-        *[F.first(centre[c]).alias(f"{c}_mean") for c in features],
-        *[
-            F.sqrt(F.sum(F.col("box") * F.pow(F.col(c) - centre[c], 2)) / F.sum("box")).alias(f"{c}_sd")
-            for c in features
-        ],
-    ).first()
-    if not found["distinct"]:
+    local = points.limit(working_set + 1).toPandas()
+    if local.empty:
         raise ValueError("no baseline rows to fit on")
-    deviations = [found[f"{c}_sd"] for c in features]
-    scale = Scale(tuple(found[f"{c}_mean"] for c in features), tuple(sd if sd > 0 else 1.0 for sd in deviations))
-    # "scale" width: 1 / (features x variance of the standardised matrix).
-    varying = sum(sd > 0 for sd in deviations)
-    gamma = 1.0 / varying if varying else 1.0
-    mass = nu * found["n"]
-    if found["distinct"] <= working_set:
-        return _fit_whole(points, features, scale, gamma, mass)
-    return _fit_by_decomposition(points, features, scale, gamma, mass, working_set)
-
-
-def _fit_whole(points: DataFrame, features, scale: Scale, gamma: float, mass: float) -> OneClassModel:
-    local = points.toPandas().sort_values(["box", *features], ascending=[False, *[True] * len(features)])
-    x = scale.apply(local[list(features)].to_numpy(float))
-    box = local["box"].to_numpy(float)
-    alpha = np.clip(mass - (box.cumsum() - box), 0.0, box)
+    if len(local) > working_set:
+        return _fit_by_decomposition(points, features, nu, working_set)
+    local = local.sort_values(["box", *features], ascending=[False, *[True] * len(features)])
+    raw, box = local[list(features)].to_numpy(float), local["box"].to_numpy(float)
+    mean = box @ raw / box.sum()
+    scale, gamma = _scale(mean, np.sqrt(box @ (raw - mean) ** 2 / box.sum()))
+    x = scale.apply(raw)
+    alpha = np.clip(nu * box.sum() - (box.cumsum() - box), 0.0, box)
     kernel = _kernel(x, x, gamma)
     grad = kernel @ alpha
     _solve(kernel, box, alpha, grad, GAP)
@@ -184,6 +166,14 @@ def _fit_whole(points: DataFrame, features, scale: Scale, gamma: float, mass: fl
     return OneClassModel(features, scale, gamma, _offset(alpha, box, grad), x[used], alpha[used])
 
 
+def _scale(mean, deviation) -> tuple[Scale, float]:
+    """The scale, where a constant feature is only centred, and the kernel width that goes with it:
+    1 / (features x variance of the standardised matrix)."""
+    varying = sum(float(sd) > 0 for sd in deviation)
+    sd = tuple(float(sd) if sd > 0 else 1.0 for sd in deviation)
+    return Scale(tuple(map(float, mean)), sd), 1.0 / varying if varying else 1.0
+
+
 def _add_kernel_sum(
     df: DataFrame, features, scale: Scale, gamma: float, column: str, block: pd.DataFrame, weight: str
 ) -> DataFrame:
@@ -219,9 +209,14 @@ def _blocks(points: DataFrame, features, block: int) -> Iterator[pd.DataFrame]:
             yield local
 
 
-def _fit_by_decomposition(
-    points: DataFrame, features, scale: Scale, gamma: float, mass: float, size: int
-) -> OneClassModel:
+def _fit_by_decomposition(points: DataFrame, features: tuple[str, ...], nu: float, size: int) -> OneClassModel:
+    total = F.sum("box")
+    means = points.agg(total.alias("n"), *[(F.sum(F.col(c) * F.col("box")) / total).alias(c) for c in features]).first()
+    variances = points.agg(
+        *[(F.sum(F.col("box") * F.pow(F.col(c) - F.lit(means[c]), 2)) / total).alias(c) for c in features]
+    ).first()
+    scale, gamma = _scale([means[c] for c in features], [variances[c] ** 0.5 for c in features])
+    mass = nu * means["n"]
     order = [F.col("box").desc(), *[F.col(c) for c in features]]
     ranked, _ = running_totals(points.withColumn("one", F.lit(1)), order, ["box", "one"])
     start = F.greatest(F.least(F.lit(mass) - (F.col("cum_box") - F.col("box")), F.col("box")), F.lit(0.0))
