@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from outbreaklens.functions.text import bind, strip
 
 CUT = "\u0001"
-RAW = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+RAW = r"(?is)<!--.*?-->|<(script|style)\b.*?(?:</\1\s*>|\z)"
 TAG = r"""(?s)<[a-zA-Z/!?](?:[^'">]++|"[^"]*"|'[^']*')*+>"""
 BOILERPLATE = "nav|header|footer"
 

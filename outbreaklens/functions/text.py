@@ -62,6 +62,12 @@ def clean_date_text(c: Column) -> Column:
     return strip(F.btrim(F.btrim(strip(c), F.lit("]")), F.lit("[")))
 
 
+def date_or_error(c: Column, *repaired: Column) -> Column:
+    """Date of a text, or of the first repaired form that is one; a text that is no date raises."""
+    wrong = F.raise_error(F.concat(F.lit("not a date: "), c)).cast("date")
+    return F.coalesce(*[form.try_cast("date") for form in (c, *repaired)], F.when(c.isNotNull(), wrong))
+
+
 def _starts(text: Column, pattern: str, whole: Column) -> Column:
     """Offset of every match: a running sum over the pieces between matches and the matches themselves."""
     lengths = F.arrays_zip(

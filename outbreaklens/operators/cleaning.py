@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outbreaklens.functions.text import clean_date_text, is_number, strip, to_number
+from outbreaklens.functions.text import clean_date_text, date_or_error, is_number, strip, to_number
 from outbreaklens.session import checkpointed
 
 CASES = "cumulative_confirmed_cases"
@@ -53,11 +53,10 @@ def parsed_date(c: Column, strict: bool = True) -> Column:
 
     A text that is a date as it stands is not repaired first: the repair strips its ends only.
     """
-    choices = [c.try_cast("date"), clean_date_text(c).try_cast("date")]
+    repaired = clean_date_text(c)
     if strict:
-        wrong = F.raise_error(F.concat(F.lit("not a date: "), c)).cast("date")
-        choices.append(F.when(c.isNotNull(), wrong))
-    return F.coalesce(*choices)
+        return date_or_error(c, repaired)
+    return F.coalesce(c.try_cast("date"), repaired.try_cast("date"))
 
 
 def clean_dates(reports: DataFrame, strict: bool = True) -> DataFrame:

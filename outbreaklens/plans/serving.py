@@ -11,6 +11,7 @@ from outbreaklens.operators.bulletins import latest
 from outbreaklens.operators.series import BASELINE_ROWS
 from outbreaklens.operators.star import latest_rows, on_latest_date, with_cfr
 
+# The watched provinces and the limits of the ranking.
 CROSS_BORDER_PROVINCES = ("Nord-Kivu", "Sud-Kivu")
 DEFAULT_LIMIT, MAX_LIMIT = 20, 200
 

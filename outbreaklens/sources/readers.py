@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outbreaklens.functions.html import article_text
-from outbreaklens.functions.text import bulletin_date, bulletin_number, file_stem, null_if_missing
+from outbreaklens.functions.text import bulletin_date, bulletin_number, date_or_error, file_stem, null_if_missing
 from outbreaklens.sources.schemas import EXTRACTION, ZONES_GEOJSON
 
 
@@ -34,14 +34,14 @@ def _required(df: DataFrame, columns: list[str], path: str) -> DataFrame:
 
 def national_cases(spark: SparkSession, path: str) -> DataFrame:
     df = _required(csv_table(spark, path), ["date", "national_cumulative_confirmed_cases"], path)
-    return df.withColumn("date", F.to_date("date")).withColumn(
+    return df.withColumn("date", date_or_error(F.col("date"))).withColumn(
         "national_cumulative_confirmed_cases", F.col("national_cumulative_confirmed_cases").cast("double")
     )
 
 
 def national_deaths(spark: SparkSession, path: str) -> DataFrame:
     df = _required(csv_table(spark, path), ["date", "national_cumulative_confirmed_deaths"], path)
-    return df.withColumn("date", F.to_date("date")).withColumn(
+    return df.withColumn("date", date_or_error(F.col("date"))).withColumn(
         "national_cumulative_confirmed_deaths", F.col("national_cumulative_confirmed_deaths").cast("double")
     )
 
@@ -75,9 +75,13 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def bulletins(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per text file: bulletin (file stem) and whole text. An empty folder is an error."""
+    """One row per text file: bulletin (file stem) and whole text with plain line ends.
+
+    An empty folder is an error.
+    """
     files = spark.read.text(f"{folder.rstrip('/')}/*.txt", wholetext=True)
-    return files.select(file_stem(F.col("_metadata.file_name")).alias("bulletin"), F.col("value").alias("text"))
+    text = F.regexp_replace("value", "\r\n?", "\n")
+    return files.select(file_stem(F.col("_metadata.file_name")).alias("bulletin"), text.alias("text"))
 
 
 def extractions(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

@@ -45,10 +45,10 @@ def test_geojson(spark, tmp_path):
 
 def test_bulletin_files(spark, tmp_path):
     (tmp_path / "DON2_2026-05-29.txt").write_text("zwei\nZeilen é", encoding="utf-8")
-    (tmp_path / "DON1_2026-05-17.txt").write_text("eins", encoding="utf-8")
+    (tmp_path / "DON1_2026-05-17.txt").write_bytes(b"eins\r\ndrei\rvier")
     (tmp_path / "notes.md").write_text("no bulletin")
     rows = readers.bulletins(spark, str(tmp_path)).orderBy("bulletin").collect()
-    assert [tuple(r) for r in rows] == [("DON1_2026-05-17", "eins"), ("DON2_2026-05-29", "zwei\nZeilen é")]
+    assert [tuple(r) for r in rows] == [("DON1_2026-05-17", "eins\ndrei\nvier"), ("DON2_2026-05-29", "zwei\nZeilen é")]
     (tmp_path / "empty").mkdir()
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         readers.bulletins(spark, str(tmp_path / "empty")).collect()

@@ -174,6 +174,7 @@ PAGES = [
     "<body><nav>menu</nav><article class='a>b'><h1>T</h1><p>x<b>y</b> z</p><article>in</article>tail</article><article>other</article></body>",
     "<body><header>h<nav>n</nav>h2</header><main id=m>A<footer>f</footer>B<!-- <main> c -->C<script>if(a</b)'</main>'</script>D</main>E</body>",
     "<body><article>caf&eacute; &lt;tag&gt; &#233;&#x20AC; &amp;lt; &nbsp;x&nbsp; &copy; &quot;q&quot;<br/>&#38;amp;</article></body>",
+    "<body><p>before</p><script>never closed <p>dropped</p>",
     '<body><p title="a > b">kept</p><style>p>a{}</style>\n   <div>last</div></body>',
 ]
 
