@@ -241,7 +241,8 @@ def date_cutoff_split(spark, folder):
 
 @query
 def trending_up(spark, folder):
-    return serving.trending_up(_series(spark, folder))
+    # Stored, as the latest date and the rows on it are read from the same table.
+    return serving.trending_up(checkpointed(_series(spark, folder).select("nom_clean", "date", "rt_proxy")))
 
 
 @query
@@ -285,8 +286,8 @@ def cases_deaths_left_join(spark, folder):
 
 @query
 def density_impute(spark, folder):
-    rows = star.with_density(clean_cases(spark, folder), testviews.health_zones(spark, folder))
-    return rows.select("nom_clean", "date", "population_density", "population_density_was_missing")
+    cases = checkpointed(clean_cases(spark, folder).select("nom_clean", "date"))
+    return star.with_density(cases, testviews.health_zones(spark, folder))
 
 
 @query
@@ -406,7 +407,8 @@ def longest_zone(spark, folder):
 
 @query
 def top15_zones(spark, folder):
-    return serving.top_zones(clean_cases(spark, folder))
+    rows = clean_cases(spark, folder).select("nom_clean", "date", "cumulative_confirmed_cases")
+    return serving.top_zones(checkpointed(rows))
 
 
 @query
