@@ -21,6 +21,7 @@ from outbreaklens.operators.series import BASELINE_ROWS, WEEK_ROWS
 from outbreaklens.session import checkpointed
 
 FEATURES = ("new_cases", "rolling_3d_new_cases")
+MIN_ROWS = BASELINE_ROWS + WEEK_ROWS
 NU = 0.1
 SURGE_RATIO = 2.0
 WORKING_SET = 2_000
@@ -31,7 +32,7 @@ BROADCAST_PAIRS = 200_000
 SCORE_DIGITS = 6
 
 
-def usable_zones(inputs: DataFrame, min_rows: int = BASELINE_ROWS + WEEK_ROWS) -> DataFrame:
+def usable_zones(inputs: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     """Rows of zones with enough rows for a baseline and a later period."""
     return inputs.where(F.col("zone_rows") >= min_rows)
 
@@ -40,9 +41,7 @@ def is_baseline(rows: int = BASELINE_ROWS) -> Column:
     return F.col("day_idx") < rows
 
 
-def selection_summary(
-    inputs: DataFrame, min_rows: int = BASELINE_ROWS + WEEK_ROWS, rows: int = BASELINE_ROWS
-) -> DataFrame:
+def selection_summary(inputs: DataFrame, min_rows: int = MIN_ROWS, rows: int = BASELINE_ROWS) -> DataFrame:
     """Zones kept and dropped by the length rule, baseline rows to fit on and rows to score, as one row."""
     kept, first = F.col("zone_rows") >= min_rows, F.col("day_idx") == 0
     return inputs.agg(

@@ -39,11 +39,15 @@ def labelled(cases: DataFrame, zones: DataFrame, one_row_per_day: bool = False)
     return star.with_density(rows, zones, all_rows=cases)
 
 
-def scored(cases: DataFrame, one_row_per_day: bool = False, min_rows: int | None = None) -> DataFrame:
+def scored(cases: DataFrame, one_row_per_day: bool = False, min_rows: int = anomaly.MIN_ROWS) -> DataFrame:
     """Anomaly scores of every row of the usable zones of a case series."""
     # Stored, as the feature pairs and the scoring both read the rows.
-    rows = checkpointed(series.anomaly_inputs(cases, one_row_per_day))
-    rows = anomaly.usable_zones(rows, min_rows) if min_rows else anomaly.usable_zones(rows)
+    return score(checkpointed(series.anomaly_inputs(cases, one_row_per_day)), min_rows)
+
+
+def score(inputs: DataFrame, min_rows: int = anomaly.MIN_ROWS) -> DataFrame:
+    """Scores for stored anomaly inputs."""
+    rows = anomaly.usable_zones(inputs, min_rows)
     pairs = anomaly.feature_pairs(rows, anomaly.is_baseline())
     return anomaly.anomaly_score(rows, anomaly.fit_one_class(pairs), pairs)
 

@@ -62,10 +62,10 @@ def _scored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _star(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Zones, daily cases and anomaly scores; the case series is stored as both facts read it."""
-    cases = checkpointed(_series(spark, folder))
-    scores = star.anomaly_scores(pipeline.scored(cases, ONE_ROW))
-    return testviews.health_zones(spark, folder), _facts(cases), scores
+    """Zones, daily cases and anomaly scores; the case rows are stored as both facts read them."""
+    inputs = checkpointed(series.anomaly_inputs(_series(spark, folder), ONE_ROW))
+    scores = star.anomaly_scores(pipeline.score(inputs))
+    return testviews.health_zones(spark, folder), _facts(inputs), scores
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
