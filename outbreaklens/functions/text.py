@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -19,9 +20,12 @@ NULL_TOKENS = [
 
 NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
-# The two mention patterns of the bulletins.
-CASE_MENTION = rf"(?i)([0-9][0-9,]*){SPACE}+(?:confirmed{SPACE}+|suspected{SPACE}+)?cases?"
-DEATH_MENTION = rf"(?i)([0-9][0-9,]*){SPACE}+deaths?"
+# The two mention patterns of the bulletins; a digit is any decimal digit.
+CASE_MENTION = rf"(?i)(\p{{Nd}}[\p{{Nd}},]*){SPACE}+(?:confirmed{SPACE}+|suspected{SPACE}+)?cases?"
+DEATH_MENTION = rf"(?i)(\p{{Nd}}[\p{{Nd}},]*){SPACE}+deaths?"
+# Decimal digits of other scripts, and the ASCII digit of each.
+OTHER_DIGITS = "".join(c for c in map(chr, range(0x80, 0x10000)) if c.isdecimal())
+ASCII_DIGITS = "".join(str(unicodedata.decimal(c)) for c in OTHER_DIGITS)
 CONTEXT_BEFORE = 60
 CONTEXT_AFTER = 20
 
@@ -85,6 +89,13 @@ def _starts(text: Column, pattern: str, whole: Column) -> Column:
     )
 
 
+def _digits(number: Column) -> Column:
+    """A number without commas, in ASCII digits."""
+    # Characters without a partner are dropped, hence the comma at the end.
+    converted = F.translate(number, OTHER_DIGITS + ",", ASCII_DIGITS)
+    return F.when(number.rlike("[^0-9,]"), converted).otherwise(F.translate(number, ",", ""))
+
+
 def _mentions(text: Column, pattern: str, kind: str) -> Column:
     """Array of (value, type, context) for every match of `pattern`, in text order."""
 
@@ -93,7 +104,7 @@ def _mentions(text: Column, pattern: str, kind: str) -> Column:
         end = m["start"] + F.length(m["whole"]) + CONTEXT_AFTER
         context = strip(F.translate(F.substring(text, begin + 1, end - begin), "\n", " "))
         return F.struct(
-            F.translate(F.regexp_extract(m["whole"], "^[0-9,]+", 0), ",", "").try_cast("bigint").alias("value"),
+            _digits(F.regexp_extract(m["whole"], r"^[\p{Nd},]+", 0)).try_cast("bigint").alias("value"),
             F.lit(kind).alias("type"),
             F.concat(F.lit("..."), context, F.lit("...")).alias("context"),
         )

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 WS = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 NUM = rf"^{WS}*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?{WS}*$"
-CASE_RE = rf"(?i)([0-9][0-9,]*){WS}+(?:confirmed{WS}+|suspected{WS}+)?cases?"
-DEATH_RE = rf"(?i)([0-9][0-9,]*){WS}+deaths?"
+CASE_RE = rf"(?i)(\p{{Nd}}[\p{{Nd}},]*){WS}+(?:confirmed{WS}+|suspected{WS}+)?cases?"
+DEATH_RE = rf"(?i)(\p{{Nd}}[\p{{Nd}},]*){WS}+deaths?"
 
 
 def _strip(c: str) -> str:
@@ -506,7 +506,7 @@ FROM health_zones z LEFT JOIN (SELECT nom_clean, arg_max(cumulative_confirmed_ca
     "zone_history": _sql(
         f"SELECT {FACT}, {ISO}, cumulative_confirmed_cases, new_cases, rt_proxy FROM series WHERE nom_clean = 'Zone_7'", "series"
     ),
-    "manifest_anti_join": "SELECT 'DON' || CAST(page_id AS VARCHAR) AS name, url FROM pages WHERE page_id % 3 <> 0",
+    "manifest_anti_join": "SELECT 'DON' || CAST(page_id AS VARCHAR) AS name, url FROM pages WHERE url NOT LIKE 'http://%'",
     "report_batches_union": _sql(
         "SELECT nom, date, cumulative_confirmed_cases AS number, 'cases' AS type FROM raw_cases UNION ALL "
         "SELECT nom, date, cumulative_confirmed_deaths, 'deaths' FROM raw_deaths",

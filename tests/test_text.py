@@ -17,6 +17,7 @@ TEXTS = [
     "😀" * 70 + " 5 cases " + "é" * 30 + "\n 6 deaths",
     "7 cases and 8\tdeaths 99999999999999999999 cases ,12 cases",
     "1 case2 cases3 deaths" * 40,
+    "٣ cases, 1٢,٠ deaths and ５６ suspected cases",
     "x" * 200 + "44 confirmed\n\ncases" + "y" * 200 + "\n" + "z" * 60 + "\n" + "w" * 61 + "\n  " + "v" * 61 + "  ",
 ]
 
