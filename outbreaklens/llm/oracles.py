@@ -28,7 +28,7 @@ WITH w AS (
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
          coalesce(c.n, 0)::BIGINT AS n_repeat_words,
          len(lines)::BIGINT AS n_lines,
-         len(list_filter(words, lambda x: list_contains([{_STOP}], lower(trim(x, '.,;:!?"''()')))))::BIGINT AS n_stop_words,
+         len(list_filter(words, lambda x: lower(x) IN ({_STOP})))::BIGINT AS n_stop_words,
          len(list_filter(words, lambda x: regexp_matches(x, '\\p{{L}}')))::BIGINT AS n_letter_words,
          len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…)\\s*$')))::BIGINT AS n_ellipsis_lines,
          len(list_filter(lines, lambda x: regexp_matches(x, '^\\s*[-•*]\\s')))::BIGINT AS n_bullet_lines

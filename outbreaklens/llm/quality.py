@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACES = "\t\n\x0b\x0c\r "
-WORD_GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
@@ -60,7 +59,9 @@ def _count(items: Column, test) -> Column:
 
 
 def words(text: str) -> Column:
-    return F.filter(F.split(F.coalesce(F.col(text), F.lit("")), WORD_GAP), lambda w: w != "")
+    # A single plain character splits without a regular expression.
+    spaced = F.translate(F.coalesce(F.col(text), F.lit("")), SPACES, " " * len(SPACES))
+    return F.filter(F.split(spaced, " "), lambda w: w != "")
 
 
 def lines_with_word(text: str) -> Column:
@@ -70,15 +71,22 @@ def lines_with_word(text: str) -> Column:
 def repeat_words(tokens: Column, window: int = WINDOW) -> Column:
     """Number of words inside windows of `window` words that the text holds twice or more.
 
-    Windows are sorted together with their place, so equal ones stand side by side; the places of the
-    repeated ones, in order, then cover `min(window, distance to the next)` words each. n log n for any text.
+    Most texts repeat no window, which the number of distinct hashes shows. For the others windows are sorted
+    together with their place, so equal ones stand side by side; the places of the repeated ones, in order, then
+    cover `min(window, distance to the next)` words each. n log n for any text.
     """
 
     def of(found: Column) -> Column:
-        # Two windows count as equal when two independent 64-bit hashes agree.
-        def placed(i: Column) -> Column:
-            part = [F.get(found, i + k) for k in range(window)]
-            return F.struct(F.xxhash64(*part).alias("a"), F.hash(*reversed(part)).alias("b"), i.alias("at"))
+        def part(i: Column) -> list[Column]:
+            return [F.get(found, i + k) for k in range(window)]
+
+        # Two windows count as equal when two independent hashes, 96 bits in all, agree.
+        def placed(hashes: Column) -> Column:
+            return F.sort_array(
+                F.transform(
+                    hashes, lambda a, i: F.struct(a.alias("a"), F.hash(*reversed(part(i))).alias("b"), i.alias("at"))
+                )
+            )
 
         def repeated(order: Column) -> Column:
             def same(one: Column, other: Column) -> Column:
@@ -96,9 +104,14 @@ def repeat_words(tokens: Column, window: int = WINDOW) -> Column:
             )
             return F.aggregate(steps, F.lit(0).cast("long"), lambda total, step: total + step)
 
+        def counted(hashes: Column) -> Column:
+            return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(
+                _bound(placed(hashes), lambda order: _bound(repeated(order), covered))
+            )
+
         starts = F.sequence(F.lit(0), F.size(found) - window)
         return F.when(F.size(found) <= window, F.lit(0).cast("long")).otherwise(
-            _bound(F.sort_array(F.transform(starts, placed)), lambda order: _bound(repeated(order), covered))
+            _bound(F.transform(starts, lambda i: F.xxhash64(*part(i))), counted)
         )
 
     return _bound(tokens, of)
@@ -122,7 +135,7 @@ def quality(
     """Counts and verdict of every row of `df`; other columns are not read."""
     source = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     cut = source.select("key", "text", words("text").alias("words"), lines_with_word("text").alias("lines"))
-    stop = F.array(*map(F.lit, sorted(set(STOP_WORDS))))
+    stop = sorted(set(STOP_WORDS))
     plain = F.coalesce(F.col("text"), F.lit(""))
     counted = cut.select(
         "key",
@@ -132,9 +145,7 @@ def quality(
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeat_words(F.col("words")).alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
-        _count(F.col("words"), lambda w: F.array_contains(stop, F.lower(F.trim(w, F.lit(".,;:!?\"'()"))))).alias(
-            "n_stop_words"
-        ),
+        _count(F.col("words"), lambda w: F.lower(w).isin(stop)).alias("n_stop_words"),
         _count(F.col("words"), lambda w: w.rlike(r"\p{L}")).alias("n_letter_words"),
         _count(F.col("lines"), lambda one: one.rlike(r"(\.\.\.|…)\s*$")).alias("n_ellipsis_lines"),
         _count(F.col("lines"), lambda one: one.rlike(r"^\s*[-•*]\s")).alias("n_bullet_lines"),
