@@ -6,7 +6,61 @@ from outbreaklens.llm.quality import STOP_WORDS
 
 _STOP = ", ".join(f"'{word}'" for word in sorted(set(STOP_WORDS)))
 
+_WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": f"""
+WITH w AS (
+  SELECT doc_id, {_WORDS} AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w
+), firsts AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY list_aggregate(words[i:i + 12], 'string_agg', ' ')) AS least FROM starts
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM firsts WHERE least < doc_id
+), holes AS (
+  SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id
+), each AS (
+  SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS k FROM w
+), left_over AS (
+  SELECT e.doc_id, string_agg(e.words[e.k], ' ' ORDER BY e.k) AS t
+  FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.k = g.k WHERE g.k IS NULL GROUP BY e.doc_id
+)
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(len(h.ks), 0)::BIGINT AS n_removed,
+       sha256(coalesce(l.t, '')) AS kept_sha256
+FROM w LEFT JOIN holes h USING (doc_id) LEFT JOIN left_over l USING (doc_id)
+""",
+    "op2_warc_round_trip": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS t FROM pages
+), d AS (
+  SELECT page_id, strlen(t)::BIGINT AS payload_bytes, sha1(t) AS hex, min(page_id) OVER (PARTITION BY t) AS first FROM p
+), coded AS (
+  SELECT *, list_transform(range(0, 8), lambda i: ('0x' || hex[i * 5 + 1:i * 5 + 5])::BIGINT) AS parts FROM d
+)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(parts, lambda v:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 15) & 31)::INT + 1, 1)
+         || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 10) & 31)::INT + 1, 1)
+         || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 5) & 31)::INT + 1, 1)
+         || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v & 31)::INT + 1, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM coded
+""",
+    "op3_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s
+)
+SELECT * FROM r WHERE rank <= 10
+""",
     "op8_quality_rules": f"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t,
