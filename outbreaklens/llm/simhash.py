@@ -73,6 +73,10 @@ def ball(width: int, radius: int) -> list[int]:
     return [sum(1 << bit for bit in bits) for r in range(radius + 1) for bits in combinations(range(width), r)]
 
 
+def _long(bits: int) -> Column:
+    return F.lit(bits - (1 << 64) if bits >> 63 else bits).cast("long")
+
+
 def bucket_rows(prints: DataFrame, bits: int = BITS, segments: int = SEGMENTS) -> DataFrame:
     """(segment, value, seeks, fp): the table row of every fingerprint and its look-ups.
 
@@ -84,9 +88,9 @@ def bucket_rows(prints: DataFrame, bits: int = BITS, segments: int = SEGMENTS) -
     parts = []
     for number, (low, high) in enumerate(zip(edges, edges[1:])):
         width = high - low
-        value = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << width) - 1))
+        value = F.shiftrightunsigned("fp", low).bitwiseAND(_long((1 << width) - 1))
         part = prints.select(F.lit(number).cast("byte").alias("segment"), value.alias("own"), "fp")
-        masks = F.array(*[F.lit(mask).cast("long") for mask in ball(width, radius) if mask])
+        masks = F.array(*[_long(mask) for mask in ball(width, radius) if mask])
         found = F.transform(masks, lambda mask: F.when(F.col("own").bitwiseAND(mask) == 0, F.col("own").bitwiseOR(mask)))
         if radius > 1:
             found = F.transform(masks, lambda mask: F.col("own").bitwiseXOR(mask))
@@ -161,7 +165,7 @@ def _sorted_links(rows: np.ndarray, bits: int) -> Iterator[tuple[int, int]]:
     tables = np.add.reduceat((~rows["seeks"]).astype(np.int64), starts)
     for at in np.flatnonzero((sizes > 1) & (tables > 0)):
         start, n = starts[at], tables[at]  # table rows come first
-        fp = rows["fp"][start : start + sizes[at]]
+        fp = rows["fp"][start : start + sizes[at]].view(np.uint64)  # bit counts of negative numbers are of their size
         yield from _forest(fp[:n], fp[n:], bits)
 
 
@@ -204,7 +208,7 @@ def links(prints: DataFrame, bits: int = BITS, segments: int = SEGMENTS, block_r
 
 
 def _link_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    both = np.array(pairs, np.int64)
+    both = np.array(pairs, np.uint64).view(np.int64)
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
