@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from outbreaklens.session import ensure_checkpoint_dir
 
-VERSION = b"WARC/1.1\r\n"
+FORMAT = b"WARC/1.1"
+VERSION = FORMAT + b"\r\n"
 RECORD_END = b"\r\n\r\n"
 RECORD_START = RECORD_END + VERSION
 CHUNK = 1 << 20
@@ -53,11 +54,11 @@ def base32(sha1: bytes) -> str:
 
 
 def cuts(payload: bytes, size: int = CHUNK) -> list[int]:
-    """Ends of the chunks: every `size` bytes, and inside each spelling of the version line.
+    """Ends of the chunks: every `size` bytes, and inside each spelling of the format's name.
 
-    So no chunk holds a record start, nor completes one with the end of its header.
+    So no chunk holds a record start, nor makes one up with the header before or the record end behind it.
     """
-    inside = (m.start() + 1 for m in re.finditer(re.escape(VERSION), payload))
+    inside = (m.start() + 1 for m in re.finditer(re.escape(FORMAT), payload))
     return sorted({*range(size, len(payload), size), *inside, len(payload)})
 
 

@@ -84,12 +84,12 @@ def test_running_digests(spark):
             assert r["total_sha1"] == base64.b32encode(hashlib.sha1(parts[r["record"]]).digest()).decode()
 
 
-@given(st.lists(st.sampled_from([warc.VERSION, warc.RECORD_END, b"W", b"\r\n", b"abc"]), max_size=30), st.integers(1, 40))
-def test_no_chunk_holds_a_version_line(parts, size):
+@given(st.lists(st.sampled_from([warc.VERSION, warc.FORMAT, warc.RECORD_END, b"W", b"\r\n", b"abc"]), max_size=30), st.integers(1, 40))
+def test_no_chunk_holds_the_format_name(parts, size):
     payload = b"".join(parts)
     ends = warc.cuts(payload, size)
     chunks = [payload[a:b] for a, b in zip([0, *ends], ends)]
-    assert b"".join(chunks) == payload and all(warc.VERSION not in c and len(c) <= size for c in chunks)
+    assert b"".join(chunks) == payload and all(warc.FORMAT not in c and len(c) <= size for c in chunks)
     assert all(chunks) or payload == b""
 
 
