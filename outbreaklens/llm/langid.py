@@ -1,12 +1,14 @@
 """Language identification by compression: the language whose sample text helps zstandard most wins.
 
-Every learned language has a raw-content dictionary, cut from whole sampled texts of that language. A text is
-compressed once with each dictionary; the smallest result names the language, ties go to the smaller name.
-The score grows with the margin to the second best and lies between 0 and 1. Where the margin is narrow the
-prediction is marked as rejected.
+Every learned language has a raw-content dictionary, cut from sampled texts of that language. A text, in lower case
+and in pieces of `PIECE_BYTES`, is compressed with each dictionary; the smallest sum names the language, ties go to
+the smaller name. Pieces keep a long text from being its own dictionary. The score is the margin to the second best,
+between 0 and 1. Where the margin is narrow the prediction is marked as rejected.
 
 The fit is bounded: `SAMPLE_TEXTS` texts per language (those with the smallest hash of their id) and
-`DICTIONARY_BYTES` of them. Prediction reads texts only.
+`DICTIONARY_BYTES` of them. Wrong labels would bring whole foreign texts into a dictionary. So lines that the sample
+holds under several languages go; then the sample is cut in halves, and texts go that the other half's dictionaries
+assign to another language. Prediction reads texts only.
 
 A text that is null or has no letter is `und` with score 0 and rejected, and so is every text when nothing
 could be learned. Rows without text or language teach nothing.
@@ -23,11 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 UNKNOWN = "und"
-SAMPLE_TEXTS = 150
-DICTIONARY_BYTES = 96 * 1024
-LANGUAGES = 512  # most languages a model may hold, so that it stays under 48 MiB
-LEVEL = 3
-MARGIN = 0.01  # of the smallest size; a narrower lead is rejected
+SAMPLE_TEXTS = 300
+DICTIONARY_BYTES = 192 * 1024
+LANGUAGES = 256  # most languages a model may hold, so that it stays under 48 MiB
+PIECE_BYTES = 2048
+LEVEL = 6
+MARGIN = 0.003  # of the second smallest size; a narrower lead is rejected
 PREDICTION = "struct<lang_pred:string,score:double,rejected:boolean>"
 HAS_LETTER = r"\p{L}"
 
@@ -71,12 +74,28 @@ def fit(
         .where(F.col("place") <= sample_texts)
         .collect()
     )
-    parts: dict[str, list[tuple[int, bytes]]] = {}
-    for row in texts:
-        parts.setdefault(row["lang"], []).append((row["place"], row["text"].encode()))
-    return tuple(
-        (name, b"\n".join(part for _, part in sorted(parts[name]))[:dictionary_bytes]) for name in sorted(parts)
-    )
+    sample: dict[str, list[str]] = {}
+    for row in sorted(texts, key=lambda row: (row["lang"], row["place"])):
+        sample.setdefault(row["lang"], []).append(row["text"])
+    under: dict[str, set[str]] = {}
+    for name, own in sample.items():
+        for line in {line for text in own for line in text.split("\n")}:
+            under.setdefault(line, set()).add(name)
+    sample = {
+        name: ["\n".join(line for line in text.split("\n") if len(under[line]) == 1) for text in own]
+        for name, own in sample.items()
+    }
+    halves = [_model({name: own[half::2] for name, own in sample.items()}, dictionary_bytes) for half in (0, 1)]
+    agreed = {
+        name: [text for i, text in enumerate(own) if predict_text(halves[1 - i % 2], text)[0] == name]
+        for name, own in sample.items()
+    }
+    return _model({name: agreed[name] or own for name, own in sample.items()}, dictionary_bytes)
+
+
+def _model(sample: dict[str, list[str]], dictionary_bytes: int) -> Model:
+    joined = {name: "\n".join(texts).lower().encode()[:dictionary_bytes] for name, texts in sample.items()}
+    return tuple((name, joined[name]) for name in sorted(joined) if joined[name])
 
 
 @cache
@@ -97,8 +116,11 @@ def _compressors(model: Model, level: int) -> list[tuple[str, zstandard.ZstdComp
 
 
 def predict_text(model: Model, text: str, margin: float = MARGIN, level: int = LEVEL) -> tuple[str, float, bool]:
-    data = text.encode()
-    sizes = sorted((len(one.compress(data)), name) for name, one in _compressors(model, level))
+    if not model:
+        return UNKNOWN, 0.0, True
+    data = text.lower().encode()
+    pieces = [data[at : at + PIECE_BYTES] for at in range(0, len(data), PIECE_BYTES)]
+    sizes = sorted((sum(len(one.compress(piece)) for piece in pieces), name) for name, one in _compressors(model, level))
     best, name = sizes[0]
     lead = (sizes[1][0] - best) / sizes[1][0] if len(sizes) > 1 else 1.0
     return name, lead, lead < margin
@@ -111,7 +133,7 @@ def predict(text: Column | str, model: Model, margin: float = MARGIN, level: int
     @F.arrow_udf(PREDICTION)
     def run(texts: pa.Array, lettered: pa.Array) -> pa.Array:
         found = [
-            predict_text(model, one, margin, level) if judged and model else (UNKNOWN, 0.0, True)
+            predict_text(model, one, margin, level) if judged else (UNKNOWN, 0.0, True)
             for one, judged in zip(texts.to_pylist(), lettered.to_pylist())
         ]
         return pa.StructArray.from_arrays(

@@ -19,7 +19,7 @@ def test_held_out_accuracy(documents, model):
     right, rejected, n = found.agg(
         F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.avg(F.col("rejected").cast("int")), F.count("*")
     ).first()
-    assert n > 150 and right > 0.97 and rejected < 0.05
+    assert n > 150 and right > 0.97 and rejected < 0.02
     assert found.where("score < 0 or score > 1").count() == 0
 
 
@@ -31,13 +31,13 @@ def test_fit_is_bounded_and_ignores_unlabelled(spark, documents):
 
 
 def test_edge_rows(spark, model):
-    rows = [(1, None), (2, ""), (3, "123 ... 456"), (4, "the of and the"), (5, "la " * 300_000), (None, "and this is"), (4, "the of and the")]
+    rows = [(1, None), (2, ""), (3, "123 ... 456"), (4, "the one of them and that is the other of the two"), (5, "la " * 300_000), (None, "and this is"), (4, "the one of them and that is the other of the two")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash"))
     found = sorted(langid.identify(df, model).collect(), key=str)
     assert len(found) == len(rows)
     by_id = {r["doc_id"]: r for r in found}
     assert all(by_id[i]["lang_pred"] == "und" and by_id[i]["score"] == 0 and by_id[i]["rejected"] for i in (1, 2, 3))
-    assert by_id[4]["lang_pred"] == "en" and by_id[5]["lang_pred"] in ("fr", "es") and by_id[None]["held_out"]
+    assert by_id[4]["lang_pred"] == "en" and by_id[5]["lang_pred"] in dict(model) and by_id[None]["held_out"]
     assert langid.identify(df.limit(0), model).collect() == []
     assert {r["lang_pred"] for r in langid.identify(df, ()).collect()} == {"und"}
 

@@ -52,7 +52,7 @@ def test_counts(spark):
     found = rows(spark, TEXTS)
     for i, text in enumerate(TEXTS):
         assert tuple(found[i][1:7]) == plain(text), text and text[:40]
-    assert not found[0]["kept"] and found[10]["kept"]
+    assert not found[0]["kept"] and not found[10]["base_failed"]
 
 
 @settings(max_examples=12, deadline=None)
