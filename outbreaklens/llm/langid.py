@@ -122,7 +122,7 @@ def predict_text(model: Model, text: str, margin: float = MARGIN, level: int = L
     pieces = [data[at : at + PIECE_BYTES] for at in range(0, len(data), PIECE_BYTES)]
     sizes = sorted((sum(len(one.compress(piece)) for piece in pieces), name) for name, one in _compressors(model, level))
     best, name = sizes[0]
-    lead = (sizes[1][0] - best) / sizes[1][0] if len(sizes) > 1 else 1.0
+    lead = (sizes[1][0] - best) / max(sizes[1][0], 1) if len(sizes) > 1 else 1.0
     return name, lead, lead < margin
 
 
