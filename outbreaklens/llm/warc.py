@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outbreaklens.session import ensure_checkpoint_dir
+from outbreaklens.session import checkpointed, ensure_checkpoint_dir
 
 FORMAT = b"WARC/1.1"
 VERSION = FORMAT + b"\r\n"
@@ -93,8 +93,9 @@ def marked(pages: DataFrame, key: str = "page_id", url: str = "url", payload: st
     )
     keys = rows.where(F.octet_length("payload") >= least).select("page_id", "digest")
     firsts = keys.groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("final"))
-    # Payloads of one page alone leave before the join; a frequent payload is a skewed key that AQE splits.
-    repeated = firsts.where("first < final").select("digest", "first")
+    # Payloads of one page alone leave before the join. A frequent payload is a skewed key, which AQE splits only
+    # when no aggregation stands between the join and its exchanges: the groups are stored first.
+    repeated = checkpointed(firsts.where("first < final").select("digest", "first"))
     revisits = (
         keys.join(repeated, "digest")
         .where("page_id > first")
