@@ -15,6 +15,7 @@ def _strip(c: str) -> str:
 def _raw(event_type: str, column: str) -> str:
     return f"""
 SELECT CASE WHEN user_id % 37 = 36 THEN NULL
+            WHEN user_id % 31 = 9 THEN 'Zoen_' || CAST(user_id AS VARCHAR)
             WHEN user_id % 13 = 5 THEN 'Zne_' || CAST(user_id AS VARCHAR)
             WHEN user_id % 7 = 3 THEN '  Zone_' || CAST(user_id AS VARCHAR) || ' '
             ELSE 'Zone_' || CAST(user_id AS VARCHAR) END AS nom,
@@ -24,8 +25,8 @@ SELECT CASE WHEN user_id % 37 = 36 THEN NULL
             ELSE CAST(cum AS VARCHAR) END AS {column}
 FROM (SELECT user_id, d, 5 + SUM(n) OVER (PARTITION BY user_id ORDER BY d)
              - CASE WHEN (user_id + day(d)) % 23 = 0 THEN 1 ELSE 0 END AS cum
-      FROM (SELECT user_id, CAST(ts AS DATE) AS d,
-                   SUM(CASE WHEN event_type = '{event_type}' AND value > 40 THEN 1 ELSE 0 END) AS n
+      FROM (SELECT user_id, CASE WHEN user_id % 17 = 2 THEN CAST(date_trunc('week', ts) AS DATE) ELSE CAST(ts AS DATE) END AS d,
+                   SUM(CASE WHEN event_type = '{event_type}' THEN 1 ELSE 0 END) AS n
             FROM events GROUP BY 1, 2))"""
 
 
@@ -73,8 +74,7 @@ SELECT 'Zone_' || CAST(c_custkey AS VARCHAR) AS nom, r_name AS province,
        CASE WHEN c_custkey % 11 = 4 THEN NULL ELSE abs(c_acctbal) END AS population_density,
        CAST(c_nationkey AS DOUBLE) / 8 AS healthsite_density,
        CAST(300 + 40 * n_nationkey AS DOUBLE) AS gdp_per_capita
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE c_custkey % 29 <> 28""",
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     ),
     "clean_cases": (
         ["raw_cases", "aliases"],
@@ -356,6 +356,10 @@ def _sql(final: str, *reads: str) -> str:
 ISO = "CAST(date AS VARCHAR) AS date"
 KEY = f"nom_clean, {ISO}"
 FACT = "nom_clean AS nom"
+LABELLED_ROWS = f"""
+SELECT {KEY}, * EXCLUDE (nom_clean, date, population_density, population_density_was_missing, label_next_7d_onset),
+       population_density, CAST(population_density_was_missing AS BIGINT) AS population_density_was_missing,
+       CAST(label_next_7d_onset AS BIGINT) AS label_next_7d_onset FROM labelled"""
 
 ORACLES: dict[str, str] = {
     "drop_unattributed": _sql("SELECT * FROM raw_cases WHERE nom IS NOT NULL", "raw_cases"),
@@ -423,12 +427,7 @@ SELECT COUNT(*) FILTER (WHERE has_full_future_window) AS kept, COUNT(*) FILTER (
        avg(label_next_7d_onset) FILTER (WHERE has_full_future_window) AS positive_share FROM outlook""",
         "outlook",
     ),
-    "labelled_features": _sql(
-        f"""SELECT {KEY}, * EXCLUDE (nom_clean, date, population_density, population_density_was_missing, label_next_7d_onset),
-       population_density, CAST(population_density_was_missing AS BIGINT) AS population_density_was_missing,
-       CAST(label_next_7d_onset AS BIGINT) AS label_next_7d_onset FROM labelled""",
-        "labelled",
-    ),
+    "labelled_features": _sql(LABELLED_ROWS, "labelled"),
     "date_cutoff_split": _sql(
         "SELECT is_train, COUNT(*) AS n, CAST(MIN(date) AS VARCHAR) AS first_date, CAST(MAX(date) AS VARCHAR) AS last_date "
         "FROM split GROUP BY is_train",
@@ -479,14 +478,14 @@ ORDER BY s.date DESC, anomaly_score DESC, z.nom LIMIT 10""",
     ),
     "usable_zones": _sql(
         f"SELECT {KEY}, day_idx, day_idx < 14 AS is_baseline FROM inputs WHERE nom_clean IN "
-        "(SELECT nom_clean FROM inputs GROUP BY 1 HAVING COUNT(*) >= 25)",
+        "(SELECT nom_clean FROM inputs GROUP BY 1 HAVING COUNT(*) >= 21)",
         "inputs",
     ),
     "selection_summary": _sql(
         """
-SELECT COUNT(DISTINCT nom_clean) FILTER (WHERE n >= 25) AS zones_kept, COUNT(DISTINCT nom_clean) FILTER (WHERE n < 25) AS zones_dropped,
-       CAST(SUM(CASE WHEN n >= 25 THEN least(n, 14) ELSE 0 END) AS BIGINT) AS baseline_rows,
-       CAST(SUM(CASE WHEN n >= 25 THEN n ELSE 0 END) AS BIGINT) AS scored_rows
+SELECT COUNT(DISTINCT nom_clean) FILTER (WHERE n >= 21) AS zones_kept, COUNT(DISTINCT nom_clean) FILTER (WHERE n < 21) AS zones_dropped,
+       CAST(SUM(CASE WHEN n >= 21 THEN least(n, 14) ELSE 0 END) AS BIGINT) AS baseline_rows,
+       CAST(SUM(CASE WHEN n >= 21 THEN n ELSE 0 END) AS BIGINT) AS scored_rows
 FROM (SELECT nom_clean, COUNT(*) AS n FROM clean_cases GROUP BY nom_clean)""",
         "clean_cases",
     ),
@@ -602,7 +601,8 @@ UNION ALL SELECT 'weighted avg', round(SUM(precision * support) / SUM(support),
         "evaluation",
     ),
     "pr_curve": _sql(
-        "SELECT threshold, tp / flagged_rows AS precision, CASE WHEN all_pos > 0 THEN tp / all_pos ELSE 1 END AS recall FROM curve",
+        "SELECT threshold, tp / flagged_rows AS precision, CASE WHEN all_pos > 0 THEN tp / all_pos ELSE 1 END AS recall FROM curve "
+        "UNION ALL SELECT NULL, 1, 0",
         "curve",
     ),
     "average_precision": _sql(
@@ -705,9 +705,7 @@ FROM split WHERE is_train""",
     "roundtrip_parquet": _sql(
         f"SELECT {KEY}, cumulative_confirmed_cases, new_cases, rolling_7, rt_proxy FROM series", "series"
     ),
-    "roundtrip_partitioned": _sql(
-        f"SELECT {KEY}, CAST(label_next_7d_onset AS BIGINT) AS label_next_7d_onset, days_since_first_case FROM labelled", "labelled"
-    ),
+    "roundtrip_partitioned": _sql(LABELLED_ROWS, "labelled"),
     "roundtrip_csv": _sql("SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM national", "national"),
     "csv_national": _sql(
         f"SELECT {ISO}, national_cumulative_confirmed_cases, national_cumulative_confirmed_deaths, CASE WHEN "
@@ -716,11 +714,19 @@ FROM split WHERE is_train""",
         "national",
     ),
     "csv_reports": _sql(f"SELECT nom, {KEY}, cumulative_confirmed_cases FROM clean_cases", "clean_cases"),
-    "roundtrip_json": _sql("SELECT bulletin, value, type, context FROM mentions", "mentions"),
+    "roundtrip_json": _sql(
+        """
+SELECT bulletin, 'count' AS part, pos, type AS name, CAST(value AS DOUBLE) AS number, context AS body FROM mentions
+UNION ALL SELECT bulletin, 'place', i - 1, names[i], NULL, NULL
+FROM (SELECT bulletin, names, unnest(generate_series(1, len(names))) AS i FROM places)
+UNION ALL SELECT bulletin, 'paragraph', pos, label, confidence,
+       CASE WHEN length(paragraph) > 150 THEN left(paragraph, 150) || '...' ELSE paragraph END FROM judged""",
+        "mentions", "places", "judged",
+    ),
     "star_tables_sql": _sql(
         """
 SELECT province, COUNT(*) AS zone_days, COUNT(DISTINCT z.nom) AS zones, MAX(anomaly_score) AS max_score
-FROM scores s JOIN health_zones z ON s.nom_clean = z.nom WHERE s.date >= DATE '2024-01-15' GROUP BY province""",
+FROM scores s JOIN health_zones z ON s.nom_clean = z.nom GROUP BY province""",
         "scores", "health_zones",
     ),
 }

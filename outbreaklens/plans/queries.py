@@ -21,7 +21,6 @@ QUERIES: dict[str, Query] = {}
 
 SERIES_COLUMNS = ["nom_clean", "date", "cumulative_confirmed_cases"]
 ONE_ROW = True
-MIN_ROWS_ON_TEST_DATA = 25  # no zone of the test data falls under the default of 21
 
 
 def query(function: Query) -> Query:
@@ -303,14 +302,14 @@ def watchlist_history(spark, folder):
 @query
 def usable_zones(spark, folder):
     rows = series.anomaly_inputs(_series(spark, folder), one_row_per_day=True)
-    kept = anomaly.usable_zones(rows, MIN_ROWS_ON_TEST_DATA)
+    kept = anomaly.usable_zones(rows)
     return kept.select("nom_clean", "date", "day_idx", anomaly.is_baseline().alias("is_baseline"))
 
 
 @query
 def selection_summary(spark, folder):
     rows = series.anomaly_inputs(_series(spark, folder), one_row_per_day=True)
-    return anomaly.selection_summary(rows, MIN_ROWS_ON_TEST_DATA)
+    return anomaly.selection_summary(rows)
 
 
 @query
@@ -466,7 +465,7 @@ def classification_report(spark, folder):
 
 @query
 def pr_curve(spark, folder):
-    return metrics.pr_curve(_evaluation(spark, folder), "true_surge", "anomaly_score").where("threshold IS NOT NULL")
+    return metrics.pr_curve(_evaluation(spark, folder), "true_surge", "anomaly_score")
 
 
 @query
@@ -733,8 +732,7 @@ def roundtrip_parquet(spark, folder):
 @query
 def roundtrip_partitioned(spark, folder):
     path = _fresh_folder(spark, "labelled")
-    rows = _labelled(spark, folder).select("nom_clean", "date", "label_next_7d_onset", "days_since_first_case")
-    writers.write_table(rows.repartition("date"), path, partition_by=["date"])
+    writers.write_table(labelled_features(spark, folder).repartition("date"), path, partition_by=["date"])
     return spark.read.parquet(path).withColumn("date", F.col("date").cast("date"))
 
 
@@ -775,7 +773,17 @@ def roundtrip_json(spark, folder):
     views = testviews.bulletins(spark, folder), testviews.gazetteer(spark, folder)
     writers.write_extractions(bulletins.extract(*views), path)
     stored = readers.extractions(spark, path)
-    return stored.select("bulletin", F.explode("case_death_counts").alias("m")).select("bulletin", "m.*")
+
+    def part(name: str, field: str, *columns) -> DataFrame:
+        rows = stored.select("bulletin", F.lit(name).alias("part"), F.posexplode(field).alias("pos", "m"))
+        return rows.select("bulletin", "part", "pos", *[c.alias(n) for n, c in zip(("name", "number", "body"), columns)])
+
+    m, nothing = F.col("m"), F.lit(None)
+    return (
+        part("count", "case_death_counts", m["type"], m["value"].cast("double"), m["context"])
+        .unionByName(part("place", "locations_mentioned", m, nothing.cast("double"), nothing.cast("string")))
+        .unionByName(part("paragraph", "paragraph_severity", m["label"], m["confidence"], m["paragraph"]))
+    )
 
 
 @query
@@ -787,10 +795,8 @@ def star_tables_sql(spark, folder):
         """
         SELECT province, COUNT(*) AS zone_days, COUNT(DISTINCT nom) AS zones, MAX(anomaly_score) AS max_score
         FROM anomaly_scores JOIN daily_cases USING (nom, date) JOIN health_zones USING (nom)
-        WHERE date >= :since
         GROUP BY province
-        """,
-        args={"since": "2024-01-15"},
+        """
     )
 
 

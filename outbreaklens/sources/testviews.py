@@ -1,5 +1,5 @@
 """Surveillance tables derived from the generic test tables: zone = user, day = event day,
-count = strong events of one type."""
+count = events of one type. Some users report once a week, some under a misspelt name that no alias mends."""
 
 from __future__ import annotations
 
@@ -29,19 +29,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def _reports(spark: SparkSession, folder: str, event_type: str, column: str) -> DataFrame:
     """One row per user and day with a dirty cumulative count. The events are grouped first, so what
     reaches a user's window is bounded by the number of days."""
-    strong = (F.col("event_type") == event_type) & (F.col("value") > 40)
+    user, k = F.col("user_id"), F.dayofmonth("d")
+    day = F.when(user % 17 == 2, F.trunc("ts", "week")).otherwise(F.to_date("ts"))
     days = (
         table(spark, folder, "events")
-        .groupBy("user_id", F.to_date("ts").alias("d"))
-        .agg(F.count_if(strong).alias("n"))
+        .groupBy("user_id", day.alias("d"))
+        .agg(F.count_if(F.col("event_type") == event_type).alias("n"))
     )
-    user, k = F.col("user_id"), F.dayofmonth("d")
     running = days.withColumn("running", F.sum("n").over(Window.partitionBy("user_id").orderBy("d")))
     revised = F.when((user + k) % 23 == 0, 1).otherwise(0)
     number = (5 + F.col("running") - revised).cast("string")
     label = user.cast("string")
     return running.select(
         F.when(user % 37 == 36, F.lit(None))
+        .when(user % 31 == 9, F.concat(F.lit("Zoen_"), label))
         .when(user % 13 == 5, F.concat(F.lit("Zne_"), label))
         .when(user % 7 == 3, F.concat(F.lit("  Zone_"), label, F.lit(" ")))
         .otherwise(F.concat(F.lit("Zone_"), label))
@@ -82,7 +83,6 @@ def health_zones(spark: SparkSession, folder: str) -> DataFrame:
     key, nation = F.col("c_custkey"), F.col("n_nationkey")
     return (
         table(spark, folder, "customer")
-        .where(key % 29 != 28)
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == nation)
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
