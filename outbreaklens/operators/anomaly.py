@@ -4,11 +4,16 @@ Rows with equal features carry equal dual weight, so Spark first groups the base
 pair. The dual is then solved on the distinct points: in one piece when they fit into one working
 set, and otherwise by decomposition, where Spark keeps weights and gradients of all points, picks the
 worst violators, and only that bounded working set is solved at a time.
+
+Counts enter as shares of all rows, so the problem has the same scale for any number of rows; offset and
+weights are scaled back at the end. A solution is accepted only when the optimality gap, from a gradient
+computed anew, is at most `GAP` of the largest gradient. There is no limit on steps or rounds: a solver that
+no longer gets closer raises an error.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,11 +30,11 @@ MIN_ROWS = BASELINE_ROWS + WEEK_ROWS
 NU = 0.1
 SURGE_RATIO = 2.0
 WORKING_SET = 2_000
-GAP = 1e-10
-MAX_ROUNDS = 500
+GAP = 1e-12  # of the largest gradient
+STALLS = 3  # sweeps or gradients computed anew that bring nothing before the solver gives up
 BROADCAST_PAIRS = 200_000
-# Points on the boundary have score 0 up to solver error; rounding makes such ties equal.
-SCORE_DIGITS = 6
+# Points on the boundary have score 0 up to solver error; scores below this share of the offset become 0.
+BOUNDARY = 1e-7
 
 
 def usable_zones(inputs: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
@@ -89,7 +94,7 @@ class OneClassModel:
     """Scale, kernel width, offset, and the weighted support vectors.
 
     `vectors` and `alpha` hold them when they fit into one working set; otherwise `points` is a
-    stored table of all points (id, features, alpha) that is read in blocks.
+    stored table (features, alpha) that is read in blocks.
     """
 
     features: tuple[str, ...]
@@ -107,14 +112,21 @@ def _kernel(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
     return np.exp(-gamma * squared)
 
 
-def _solve(kernel: np.ndarray, box: np.ndarray, alpha: np.ndarray, grad: np.ndarray, gap: float) -> None:
-    """Pairwise descent on 1/2 a'Ka with fixed sum and 0 <= a <= box; changes alpha and grad in place."""
-    for _ in range(200 * len(box) + 100_000):
+def _gap(alpha: np.ndarray, box: np.ndarray, grad: np.ndarray) -> float:
+    """Optimality gap as a share of the largest gradient."""
+    up, down = grad[alpha < box], grad[alpha > 0]
+    return float((down.max() - up.min()) / np.abs(grad).max()) if up.size and down.size else 0.0
+
+
+def _descend(kernel: np.ndarray, box: np.ndarray, alpha: np.ndarray, grad: np.ndarray, gap: float, steps: int) -> None:
+    """Steps of pairwise descent on 1/2 a'Ka with fixed sum and 0 <= a <= box; changes alpha and grad in place."""
+    least = gap * np.abs(grad).max()
+    for _ in range(steps):
         up = np.where(alpha < box, grad, np.inf)
         down = np.where(alpha > 0, grad, -np.inf)
         i = int(np.argmin(up))
         excess = down - up[i]
-        if excess.max() < gap:
+        if excess.max() <= least:
             return
         curvature = np.maximum(2.0 - 2.0 * kernel[i], 1e-12)
         j = int(np.argmax(np.where(excess > 0, excess**2 / curvature, -np.inf)))
@@ -125,6 +137,25 @@ def _solve(kernel: np.ndarray, box: np.ndarray, alpha: np.ndarray, grad: np.ndar
         grad += step * (kernel[i] - kernel[j])
 
 
+def _solve(kernel: np.ndarray, box: np.ndarray, alpha: np.ndarray, outside: np.ndarray | float, gap: float) -> np.ndarray:
+    """Descend until the gap is closed; `outside` is the gradient that other points add. Returns the gradient.
+
+    The gradient is computed anew after every sweep, and only such a gradient ends the search.
+    """
+    lowest, nearest, stalls = math.inf, math.inf, 0
+    while True:
+        own = kernel @ alpha
+        grad = own + outside
+        open_gap, value = _gap(alpha, box, grad), float(alpha @ (own / 2 + outside))
+        if open_gap <= gap:
+            return grad
+        stalls = 0 if value < lowest or open_gap < nearest else stalls + 1
+        if stalls > STALLS:
+            raise RuntimeError(f"the one-class SVM did not converge: gap {open_gap:.3g}")
+        lowest, nearest = min(lowest, value), min(nearest, open_gap)
+        _descend(kernel, box, alpha, grad, gap / 2, 20 * len(box) + 1_000)
+
+
 def _offset(alpha: np.ndarray, box: np.ndarray, grad: np.ndarray) -> float:
     free = (alpha > 0) & (alpha < box)
     if free.any():
@@ -154,15 +185,15 @@ def fit_one_class(
         return _fit_by_decomposition(points, features, nu, working_set)
     local = local.sort_values(["box", *features], ascending=[False, *[True] * len(features)])
     raw, box = local[list(features)].to_numpy(float), local["box"].to_numpy(float)
-    mean = box @ raw / box.sum()
-    scale, gamma = _scale(mean, np.sqrt(box @ (raw - mean) ** 2 / box.sum()))
+    rows = box.sum()
+    box = box / rows
+    mean = box @ raw
+    scale, gamma = _scale(mean, np.sqrt(box @ (raw - mean) ** 2))
     x = scale.apply(raw)
-    alpha = np.clip(nu * box.sum() - (box.cumsum() - box), 0.0, box)
-    kernel = _kernel(x, x, gamma)
-    grad = kernel @ alpha
-    _solve(kernel, box, alpha, grad, GAP)
+    alpha = np.clip(nu - (box.cumsum() - box), 0.0, box)
+    grad = _solve(_kernel(x, x, gamma), box, alpha, 0.0, GAP)
     used = alpha > 0
-    return OneClassModel(features, scale, gamma, _offset(alpha, box, grad), x[used], alpha[used])
+    return OneClassModel(features, scale, gamma, rows * _offset(alpha, box, grad), x[used], rows * alpha[used])
 
 
 def _scale(mean, deviation) -> tuple[Scale, float]:
@@ -198,14 +229,49 @@ def _add_kernel_sum(
     return df.mapInPandas(add, df.schema)
 
 
-def _blocks(points: DataFrame, features, block: int) -> Iterator[pd.DataFrame]:
-    """The points with weight, `block` ids at a time; ids are 1..m in order of the first weights."""
-    top = points.where("alpha > 0").agg(F.max("id")).first()[0] or 0
-    for begin in range(0, int(top), block):
-        part = points.where(F.col("id").between(begin + 1, begin + block) & (F.col("alpha") > 0))
-        local = part.select(*features, "alpha").toPandas()
-        if len(local):
-            yield local
+def _kernel_sums(
+    targets: DataFrame, vectors: DataFrame, features, scale: Scale, gamma: float, weight: str, size: int
+) -> DataFrame:
+    """Kernel sum of all weighted `vectors` at every distinct target, in one job: (features, _sum).
+
+    Both sides are packed into blocks of about `size` rows by hash; every block of targets meets every block of
+    vectors by the vectors' block number, and the partial sums of a target are added up.
+    """
+    names = list(features)
+    mean, sd = np.array(scale.mean), np.array(scale.sd)
+    n_targets, n_vectors = targets.count(), vectors.count()
+    own, other = max(1, math.ceil(n_targets / size)), max(1, math.ceil(n_vectors / size))
+
+    def packed(df: DataFrame, blocks: int, block: str, rows: str, columns: list[str]) -> DataFrame:
+        number = F.pmod(F.xxhash64(*names), F.lit(blocks)).alias(block)
+        return df.select(number, F.struct(*columns).alias("_row")).groupBy(block).agg(F.collect_list("_row").alias(rows))
+
+    met = (
+        packed(targets, own, "_own", "targets", names)
+        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(other - 1))))
+        .join(packed(vectors, other, "_block", "vectors", [*names, weight]), "_block")
+        .select("targets", "vectors")
+    )
+
+    def add(batches):
+        for batch in batches:
+            for ones, others in zip(batch["targets"], batch["vectors"]):
+                x = np.array([[row[c] for c in names] for row in ones], float)
+                v = np.array([[row[c] for c in names] for row in others], float)
+                weights = np.array([row[weight] for row in others], float)
+                a, b = (x - mean) / sd, (v - mean) / sd
+                squared = sum((a[:, i][:, None] - b[:, i][None, :]) ** 2 for i in range(a.shape[1]))
+                part = pd.DataFrame(x, columns=names)
+                part["_sum"] = np.exp(-gamma * squared) @ weights
+                yield part
+
+    schema = ", ".join(f"{c} double" for c in [*names, "_sum"])
+    return met.mapInPandas(add, schema).groupBy(*names).agg(F.sum("_sum").alias("_sum"))
+
+
+def _renewed_gradient(state: DataFrame, features, scale: Scale, gamma: float, size: int) -> DataFrame:
+    sums = _kernel_sums(state, state.where("alpha > 0"), features, scale, gamma, "alpha", size)
+    return checkpointed(state.drop("grad").join(sums.withColumnRenamed("_sum", "grad"), list(features)))
 
 
 def _fit_by_decomposition(points: DataFrame, features: tuple[str, ...], nu: float, size: int) -> OneClassModel:
@@ -215,40 +281,50 @@ def _fit_by_decomposition(points: DataFrame, features: tuple[str, ...], nu: floa
         *[(F.sum(F.col("box") * F.pow(F.col(c) - F.lit(means[c]), 2)) / total).alias(c) for c in features]
     ).first()
     scale, gamma = _scale([means[c] for c in features], [variances[c] ** 0.5 for c in features])
-    mass = nu * means["n"]
+    rows = float(means["n"])
     order = [F.col("box").desc(), *[F.col(c) for c in features]]
-    ranked, _ = running_totals(points.withColumn("one", F.lit(1)), order, ["box", "one"])
-    start = F.greatest(F.least(F.lit(mass) - (F.col("cum_box") - F.col("box")), F.col("box")), F.lit(0.0))
-    state = checkpointed(
-        ranked.select(
-            F.col("cum_one").cast("bigint").alias("id"), *features, "box", start.alias("alpha"), F.lit(0.0).alias("grad")
-        )
+    shares = points.withColumn("box", F.col("box") / rows).withColumn("one", F.lit(1))
+    ranked, _ = running_totals(shares, order, ["box", "one"])
+    start = F.greatest(F.least(F.lit(nu) - (F.col("cum_box") - F.col("box")), F.col("box")), F.lit(0.0))
+    state = ranked.select(
+        F.col("cum_one").cast("bigint").alias("id"), *features, "box", start.alias("alpha"), F.lit(0.0).alias("grad")
     )
-    filled = state
-    for block in _blocks(state, features, size):
-        filled = checkpointed(_add_kernel_sum(filled, features, scale, gamma, "grad", block, "alpha"))
-    state = filled
+    state = _renewed_gradient(checkpointed(state), features, scale, gamma, size)
 
-    for _ in range(MAX_ROUNDS):
+    # The gradient of all points follows every change; it is computed anew before a solution is accepted and
+    # whenever the worst violators cannot be improved.
+    fresh, nearest, stalls = True, math.inf, 0
+    while True:
         up = state.where("alpha < box").orderBy("grad", "id").limit(size // 2).toPandas()
         down = state.where("alpha > 0").orderBy(F.desc("grad"), "id").limit(size // 2).toPandas()
-        if up.empty or down.empty or down["grad"].max() - up["grad"].min() < GAP:
+        largest = state.agg(F.max(F.abs("grad"))).first()[0]
+        open_gap = (down["grad"].max() - up["grad"].min()) / largest if len(up) and len(down) else 0.0
+        if open_gap <= GAP and fresh:
             break
-        work = pd.concat([up, down]).drop_duplicates("id").reset_index(drop=True)
-        x = scale.apply(work[list(features)].to_numpy(float))
-        alpha, grad = work["alpha"].to_numpy(float).copy(), work["grad"].to_numpy(float).copy()
-        _solve(_kernel(x, x, gamma), work["box"].to_numpy(float), alpha, grad, GAP / 10)
-        work["change"], work["moved"] = alpha - work["alpha"], alpha
-        moved = work[work["change"] != 0]
+        moved = up[:0]
+        if open_gap > GAP:
+            work = pd.concat([up, down]).drop_duplicates("id").reset_index(drop=True)
+            x = scale.apply(work[list(features)].to_numpy(float))
+            kernel, alpha = _kernel(x, x, gamma), work["alpha"].to_numpy(float).copy()
+            outside = work["grad"].to_numpy(float) - kernel @ alpha
+            _solve(kernel, work["box"].to_numpy(float), alpha, outside, GAP / 2)
+            work["change"], work["moved"] = alpha - work["alpha"], alpha
+            moved = work[work["change"] != 0]
         if moved.empty:
-            break
+            if fresh:
+                raise RuntimeError(f"the one-class SVM did not converge: gap {open_gap:.3g}")
+            stalls = 0 if open_gap < nearest else stalls + 1
+            if stalls > STALLS:
+                raise RuntimeError(f"the one-class SVM did not converge: gap {open_gap:.3g}")
+            nearest = min(nearest, open_gap)
+            state, fresh = _renewed_gradient(state, features, scale, gamma, size), True
+            continue
         lookup = state.sparkSession.createDataFrame(moved[["id", "moved"]])
         # At most one working set of rows, hence the broadcast.
         renewed = state.join(F.broadcast(lookup), "id", "left").withColumn("alpha", F.coalesce("moved", "alpha"))
         renewed = renewed.select(*state.columns)
         state = checkpointed(_add_kernel_sum(renewed, features, scale, gamma, "grad", moved, "change"))
-    else:
-        raise RuntimeError("the one-class SVM did not converge")
+        fresh = False
 
     free = (F.col("alpha") > 0) & (F.col("alpha") < F.col("box"))
     rho = state.agg(
@@ -256,8 +332,12 @@ def _fit_by_decomposition(points: DataFrame, features: tuple[str, ...], nu: floa
         F.max(F.when(F.col("alpha") >= F.col("box"), F.col("grad"))).alias("below"),
         F.min(F.when(F.col("alpha") <= 0, F.col("grad"))).alias("above"),
     ).first()
-    offset = rho["free"] if rho["free"] is not None else (rho["below"] + rho["above"]) / 2
-    return OneClassModel(features, scale, gamma, float(offset), points=state, block=size)
+    if rho["free"] is not None:
+        offset = rho["free"]
+    else:
+        offset = rho["below"] if rho["above"] is None else (rho["below"] + rho["above"]) / 2
+    weighted = state.where("alpha > 0").withColumn("alpha", F.col("alpha") * rows)
+    return OneClassModel(features, scale, gamma, rows * float(offset), points=weighted, block=size)
 
 
 def _kernel_sum(model: OneClassModel) -> Column:
@@ -289,12 +369,10 @@ def anomaly_score(
     if model.points is None:
         scored = scored.withColumn("_kernel_sum", _kernel_sum(model))
     else:
-        scored = scored.withColumn("_kernel_sum", F.lit(0.0))
-        for block in _blocks(model.points, features, model.block):
-            scored = checkpointed(
-                _add_kernel_sum(scored, features, model.scale, model.gamma, "_kernel_sum", block, "alpha")
-            )
-    value = F.round(F.lit(model.rho) - F.col("_kernel_sum"), SCORE_DIGITS) + F.lit(0.0)
+        sums = _kernel_sums(scored, model.points, features, model.scale, model.gamma, "alpha", model.block)
+        scored = checkpointed(sums.withColumnRenamed("_sum", "_kernel_sum"))
+    value = F.lit(model.rho) - F.col("_kernel_sum")
+    value = F.when(F.abs(value) < BOUNDARY * abs(model.rho), F.lit(0.0)).otherwise(value)
     scored = scored.select(*features, value.alias("anomaly_score"))
     if pairs.limit(broadcast_pairs + 1).count() <= broadcast_pairs:
         scored = F.broadcast(scored)

@@ -172,14 +172,14 @@ SELECT avg(new_cases) AS mx, avg(rolling_3d_new_cases) AS my,
        CASE WHEN stddev_pop(rolling_3d_new_cases) > 0 THEN stddev_pop(rolling_3d_new_cases) ELSE 1 END AS sy,
        1.0 / (CASE WHEN stddev_pop(new_cases) > 0 THEN 1 ELSE 0 END
               + CASE WHEN stddev_pop(rolling_3d_new_cases) > 0 THEN 1 ELSE 0 END) AS gamma,
-       0.1 * COUNT(*) AS mass
+       COUNT(*) AS n
 FROM usable WHERE day_idx < 14""",
     ),
     "points": (
         ["usable", "scaling"],
         """
-SELECT x, y, c, greatest(least((SELECT mass FROM scaling) - (SUM(c) OVER (ORDER BY c DESC, x, y ROWS UNBOUNDED PRECEDING) - c), c), 0.0) AS a
-FROM (SELECT (new_cases - mx) / sx AS x, (rolling_3d_new_cases - my) / sy AS y, CAST(COUNT(*) AS DOUBLE) AS c
+SELECT x, y, c, greatest(least(CAST(0.1 AS DOUBLE) - (SUM(c) OVER (ORDER BY c DESC, x, y ROWS UNBOUNDED PRECEDING) - c), c), 0.0) AS a
+FROM (SELECT (new_cases - mx) / sx AS x, (rolling_3d_new_cases - my) / sy AS y, CAST(COUNT(*) AS DOUBLE) / max(n) AS c
       FROM usable, scaling WHERE day_idx < 14 GROUP BY 1, 2)""",
     ),
     "problem": (
@@ -206,7 +206,7 @@ FROM (SELECT *, least((g[j] - g[i]) / greatest(2 - 2 * k[i][j], 1e-12), cs[i] -
                          list_transform(s.g, lambda v, t: CASE WHEN s.a[t] < p.cs[t] THEN v ELSE 1e300 END) AS up,
                          list_transform(s.g, lambda v, t: CASE WHEN s.a[t] > 0 THEN v ELSE -1e300 END) AS down
                   FROM descent s, problem p)))
-WHERE g[j] - g[i] > 1e-11 AND it < 50000""",
+WHERE g[j] - g[i] > 2e-14""",
     ),
     "solution": (
         ["descent", "problem"],
@@ -220,10 +220,10 @@ FROM (SELECT arg_max(a, it) AS a, arg_max(g, it) AS g FROM descent) d, problem p
     "scores": (
         ["usable", "scaling", "solution"],
         """
-SELECT u.*, round(m.rho - list_sum(list_transform(m.a, lambda v, t: v * exp(-s.gamma * (
-         ((u.new_cases - s.mx) / s.sx - m.xs[t]) ** 2 + ((u.rolling_3d_new_cases - s.my) / s.sy - m.ys[t]) ** 2)))), 6)
-       + 0.0 AS anomaly_score
-FROM usable u, scaling s, solution m""",
+SELECT * EXCLUDE (value, rho), CASE WHEN abs(value) < 1e-7 * abs(rho) THEN 0.0 ELSE value END AS anomaly_score
+FROM (SELECT u.*, s.n * m.rho AS rho, s.n * (m.rho - list_sum(list_transform(m.a, lambda v, t: v * exp(-s.gamma * (
+         ((u.new_cases - s.mx) / s.sx - m.xs[t]) ** 2 + ((u.rolling_3d_new_cases - s.my) / s.sy - m.ys[t]) ** 2))))) AS value
+      FROM usable u, scaling s, solution m)""",
     ),
     "latest_scores": (
         ["scores"],
@@ -233,7 +233,7 @@ FROM usable u, scaling s, solution m""",
         ["latest_scores", "health_zones"],
         """
 SELECT s.nom AS zone, province, province IN ('ASIA', 'EUROPE') AS cross_border_watch, CAST(s.date AS VARCHAR) AS date,
-       CAST(round(CAST(anomaly_score AS DECIMAL(18, 6)), 4) AS DOUBLE) AS anomaly_score, anomaly_score AS exact
+       round(anomaly_score, 4) AS anomaly_score, anomaly_score AS exact
 FROM latest_scores s JOIN health_zones z ON s.nom = z.nom""",
     ),
     "top200": (
@@ -464,16 +464,16 @@ FROM health_zones z LEFT JOIN (SELECT nom_clean, arg_max(rolling_7, date) AS r,
     ),
     "star_latest_top10": _sql(
         f"""
-SELECT z.nom, province, population_density, healthsite_density, {ISO}, cumulative_confirmed_cases, new_cases, rt_proxy, anomaly_score
+SELECT z.nom, province, population_density, healthsite_density, {ISO}, cumulative_confirmed_cases, new_cases, rt_proxy, round(s.anomaly_score, 6) AS anomaly_score
 FROM scores s JOIN health_zones z ON s.nom_clean = z.nom WHERE s.date = (SELECT MAX(date) FROM scores)
-ORDER BY anomaly_score DESC, z.nom LIMIT 10""",
+ORDER BY s.anomaly_score DESC, z.nom LIMIT 10""",
         "scores", "health_zones",
     ),
     "watchlist_history": _sql(
         f"""
-SELECT z.nom, province, CAST(s.date AS VARCHAR) AS date, new_cases, rt_proxy, anomaly_score
+SELECT z.nom, province, CAST(s.date AS VARCHAR) AS date, new_cases, rt_proxy, round(s.anomaly_score, 6) AS anomaly_score
 FROM scores s JOIN health_zones z ON s.nom_clean = z.nom WHERE province IN ('ASIA', 'EUROPE')
-ORDER BY s.date DESC, anomaly_score DESC, z.nom LIMIT 10""",
+ORDER BY s.date DESC, s.anomaly_score DESC, z.nom LIMIT 10""",
         "scores", "health_zones",
     ),
     "usable_zones": _sql(
@@ -571,12 +571,12 @@ FROM (SELECT *, greatest((SELECT MAX(anomaly_score) FROM top200), 0.0001) AS m F
     ),
     "zone_timeline": _sql(
         f"""
-SELECT {KEY}, new_cases, anomaly_score, CAST(MAX(date) FILTER (WHERE day_idx = 14) OVER () AS VARCHAR) AS baseline_ends FROM scores
+SELECT {KEY}, new_cases, round(anomaly_score, 6) AS anomaly_score, CAST(MAX(date) FILTER (WHERE day_idx = 14) OVER () AS VARCHAR) AS baseline_ends FROM scores
 WHERE nom_clean = (SELECT nom_clean FROM scores GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1)""",
         "scores",
     ),
     "evaluation_rows": _sql(
-        f"SELECT {KEY}, anomaly_score, CAST(true_surge AS BIGINT) AS true_surge, CAST(flagged AS BIGINT) AS flagged FROM evaluation",
+        f"SELECT {KEY}, round(anomaly_score, 6) AS anomaly_score, CAST(true_surge AS BIGINT) AS true_surge, CAST(flagged AS BIGINT) AS flagged FROM evaluation",
         "evaluation",
     ),
     "confusion_matrix": _sql(
@@ -601,7 +601,7 @@ UNION ALL SELECT 'weighted avg', round(SUM(precision * support) / SUM(support),
         "evaluation",
     ),
     "pr_curve": _sql(
-        "SELECT threshold, tp / flagged_rows AS precision, CASE WHEN all_pos > 0 THEN tp / all_pos ELSE 1 END AS recall FROM curve "
+        "SELECT round(threshold, 6) AS threshold, tp / flagged_rows AS precision, CASE WHEN all_pos > 0 THEN tp / all_pos ELSE 1 END AS recall FROM curve "
         "UNION ALL SELECT NULL, 1, 0",
         "curve",
     ),
@@ -652,7 +652,7 @@ FROM headlines h WHERE h.bulletin = (SELECT MAX(bulletin) FROM bulletins)""",
     "json_props": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
     "score_tiers": _sql(
         """
-SELECT nom, anomaly_score,
+SELECT nom, round(anomaly_score, 6) AS anomaly_score,
        CASE WHEN least(anomaly_score / m, 1) > 0.66 THEN 'hot' WHEN least(anomaly_score / m, 1) > 0.33 THEN 'warm' ELSE 'cool' END AS tier,
        round(least(anomaly_score / m * 100, 100), 6) AS bar_percent
 FROM (SELECT *, greatest(MAX(anomaly_score) OVER (), 0.0001) AS m FROM latest_scores)""",
@@ -662,7 +662,7 @@ FROM (SELECT *, greatest(MAX(anomaly_score) OVER (), 0.0001) AS m FROM latest_sc
         f"SELECT {KEY}, round(ln(1 + cumulative_confirmed_cases), 9) AS cumulative_log, round(ln(1 + rolling_7), 9) AS rolling_7_log FROM weekly",
         "weekly",
     ),
-    "anomaly_scores": _sql(f"SELECT {KEY}, anomaly_score FROM scores", "scores"),
+    "anomaly_scores": _sql(f"SELECT {KEY}, round(anomaly_score, 6) AS anomaly_score FROM scores", "scores"),
     "standardise_train_stats": _sql(
         "SELECT "
         + ", ".join(
@@ -725,7 +725,7 @@ UNION ALL SELECT bulletin, 'paragraph', pos, label, confidence,
     ),
     "star_tables_sql": _sql(
         """
-SELECT province, COUNT(*) AS zone_days, COUNT(DISTINCT z.nom) AS zones, MAX(anomaly_score) AS max_score
+SELECT province, COUNT(*) AS zone_days, COUNT(DISTINCT z.nom) AS zones, round(MAX(anomaly_score), 6) AS max_score
 FROM scores s JOIN health_zones z ON s.nom_clean = z.nom GROUP BY province""",
         "scores", "health_zones",
     ),

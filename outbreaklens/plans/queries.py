@@ -56,6 +56,11 @@ def _national(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _shown(df: DataFrame, score: str = "anomaly_score") -> DataFrame:
+    """Scores to six decimals, for comparison with another solver; rankings and curves use them as they are."""
+    return df.withColumn(score, F.round(score, 6))
+
+
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
     return pipeline.scored(_series(spark, folder), ONE_ROW)
 
@@ -291,12 +296,12 @@ def density_impute(spark, folder):
 
 @query
 def star_latest_top10(spark, folder):
-    return serving.latest_picture(*_star(spark, folder))
+    return _shown(serving.latest_picture(*_star(spark, folder)))
 
 
 @query
 def watchlist_history(spark, folder):
-    return serving.watchlist_history(*_star(spark, folder), provinces=testviews.WATCHLIST)
+    return _shown(serving.watchlist_history(*_star(spark, folder), provinces=testviews.WATCHLIST))
 
 
 @query
@@ -441,7 +446,7 @@ def watchlist_chips(spark, folder):
 
 @query
 def zone_timeline(spark, folder):
-    return serving.zone_timeline(_scored(spark, folder))
+    return _shown(serving.zone_timeline(_scored(spark, folder)))
 
 
 # --- metrics ----------------------------------------------------------------------------------
@@ -449,7 +454,7 @@ def zone_timeline(spark, folder):
 
 @query
 def evaluation_rows(spark, folder):
-    return _evaluation(spark, folder).select("nom_clean", "date", "anomaly_score", "true_surge", "flagged")
+    return _shown(_evaluation(spark, folder)).select("nom_clean", "date", "anomaly_score", "true_surge", "flagged")
 
 
 @query
@@ -465,7 +470,7 @@ def classification_report(spark, folder):
 
 @query
 def pr_curve(spark, folder):
-    return metrics.pr_curve(_evaluation(spark, folder), "true_surge", "anomaly_score")
+    return _shown(metrics.pr_curve(_evaluation(spark, folder), "true_surge", "anomaly_score"), "threshold")
 
 
 @query
@@ -601,7 +606,7 @@ def score_tiers(spark, folder):
     top = F.greatest(latest.agg(F.max("anomaly_score")).scalar(), F.lit(0.0001))
     return latest.select(
         "nom",
-        "anomaly_score",
+        F.round("anomaly_score", 6).alias("anomaly_score"),
         score_tier(F.col("anomaly_score"), top).alias("tier"),
         F.round(bar_percent(F.col("anomaly_score"), top), 6).alias("bar_percent"),
     )
@@ -623,7 +628,7 @@ def log_features(spark, folder):
 
 @query
 def anomaly_scores(spark, folder):
-    return _scored(spark, folder).select("nom_clean", "date", "anomaly_score")
+    return _shown(_scored(spark, folder)).select("nom_clean", "date", "anomaly_score")
 
 
 @query
@@ -793,7 +798,7 @@ def star_tables_sql(spark, folder):
     writers.replace_tables(dict(zip(names, _star(spark, folder))), _fresh_folder(spark, "star"))
     return spark.sql(
         """
-        SELECT province, COUNT(*) AS zone_days, COUNT(DISTINCT nom) AS zones, MAX(anomaly_score) AS max_score
+        SELECT province, COUNT(*) AS zone_days, COUNT(DISTINCT nom) AS zones, ROUND(MAX(anomaly_score), 6) AS max_score
         FROM anomaly_scores JOIN daily_cases USING (nom, date) JOIN health_zones USING (nom)
         GROUP BY province
         """

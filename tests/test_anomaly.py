@@ -126,3 +126,35 @@ def test_standardise_uses_population_deviation(spark):
     got = anomaly.standardise(df, anomaly.standardiser(df), anomaly.FEATURES).orderBy("new_cases").collect()
     assert [(r["new_cases_std"], r["rolling_3d_new_cases_std"]) for r in got] == [(-1.0, 0.0), (1.0, 0.0)]
     assert math.isclose(anomaly.standardiser(df).first()["new_cases_sd"], 1.0)
+
+
+def test_scale_of_the_counts_does_not_matter(spark):
+    """The same shares of rows give the same ranking, and scores in proportion, however many rows there are."""
+    df = spark.createDataFrame(baseline(9, 700, values=9), SCHEMA)
+    pairs = pairs_of(df)
+    many = pairs.withColumn("box", F.col("box") * 1e8)
+    order = list(anomaly.FEATURES)
+    small, large = (
+        anomaly.anomaly_score(df.distinct(), anomaly.fit_one_class(p, working_set=size), p).orderBy(order).collect()
+        for p, size in ((pairs, 2_000), (many, 2_000))
+    )
+    assert [r["anomaly_score"] * 1e8 for r in small] == pytest.approx([r["anomaly_score"] for r in large], rel=1e-6, abs=1e-2)
+    rank = [sorted(range(len(rows)), key=lambda i: (-rows[i]["anomaly_score"], i)) for rows in (small, large)]
+    assert rank[0] == rank[1]
+
+
+def test_solver_raises_when_it_cannot_close_the_gap():
+    kernel = np.array([[1.0, 0.5], [0.5, 1.0]])
+    with pytest.raises(RuntimeError):
+        anomaly._solve(kernel, np.array([1.0, 1.0]), np.array([1.0, 0.0]), np.array([0.0, np.nan]), -1.0)
+
+
+def test_above_one_working_set_equals_the_whole_solution(spark):
+    """More distinct points than the default working set."""
+    rng = random.Random(11)
+    rows = [(float(rng.randint(0, 60)), rng.randint(0, 180) / 3) for _ in range(2_600)]
+    pairs = pairs_of(spark.createDataFrame(rows, SCHEMA))
+    assert pairs.count() > anomaly.WORKING_SET
+    whole, parts = anomaly.fit_one_class(pairs, working_set=5_000), anomaly.fit_one_class(pairs)
+    assert whole.points is None and parts.points is not None
+    assert parts.rho == pytest.approx(whole.rho, rel=1e-9)
