@@ -13,6 +13,7 @@ from outbreaklens.session import checkpointed
 
 CASES = "cumulative_confirmed_cases"
 DEATHS = "cumulative_confirmed_deaths"
+ENTRY = "_entry"  # place of an entry in its files, which the readers carry from the scan
 
 
 def drop_unattributed(reports: DataFrame) -> DataFrame:
@@ -21,13 +22,13 @@ def drop_unattributed(reports: DataFrame) -> DataFrame:
 
 
 def last_entry(table: DataFrame, key: str, value: str) -> DataFrame:
-    """One row per key; of several entries the last one in load order holds."""
-    return (
-        table.where(F.col(key).isNotNull() & F.col(value).isNotNull())
-        .select(key, value, F.monotonically_increasing_id().alias("_line"))
-        .groupBy(key)
-        .agg(F.max_by(value, "_line").alias(value))
-    )
+    """One row per key; of several entries the last one of the files holds.
+
+    A table without the place of its entries has no order: there the largest value holds.
+    """
+    known = table.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+    last = F.max_by(value, ENTRY) if ENTRY in table.columns else F.max(value)
+    return known.groupBy(key).agg(last.alias(value))
 
 
 def clean_zone_names(reports: DataFrame, aliases: DataFrame) -> DataFrame:

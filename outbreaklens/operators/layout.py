@@ -24,6 +24,7 @@ CHUNK = "_chunk"
 POSITION = "_pos"
 
 CASE_TIES = ("nom", "cumulative_confirmed_cases")  # order of the rows of one zone and day
+COPY_TIES = ("cumulative_confirmed_deaths",)
 
 LOOK_BACK = 14  # seven rows of lag, over sums of seven rows of differences
 MAX_ZONE_ROWS = 2_000_000
@@ -63,7 +64,9 @@ def zone_layout(
     chunk_rows: int = CHUNK_ROWS,
 ) -> ZoneLayout:
     """Lay out `df` by zone and day; several rows of one day keep the order of the first step."""
-    ties = () if one_row_per_day else (ROW,) if ROW in df.columns else CASE_TIES
+    # Copies of a row that a join with several death rows made share its number.
+    numbered = (ROW, *[c for c in COPY_TIES if c in df.columns])
+    ties = () if one_row_per_day else numbered if ROW in df.columns else CASE_TIES
     dated = df if DAY in df.columns else df.withColumn(DAY, F.unix_date(DATE))
     whole = ZoneLayout(dated, (DAY, *ties), split=False)
     if one_row_per_day:
@@ -74,6 +77,11 @@ def zone_layout(
     return ZoneLayout(_chunked(dated, ties, chunk_rows), (POSITION,), split=True, chunk_rows=chunk_rows)
 
 
+def report_order(columns: list[str]) -> Column:
+    """Order of a zone's reports: by date, and on one day by the row number or else by the count."""
+    return F.struct(DATE, ROW if ROW in columns else CASE_TIES[-1])
+
+
 def _chunked(df: DataFrame, ties: tuple[str, ...], chunk_rows: int) -> DataFrame:
     """Rows with their exact position in the zone, spread over chunks of `chunk_rows` positions.
 

@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outbreaklens.operators.anomaly import standardise, standardiser
@@ -86,14 +86,27 @@ def importances(model: PipelineModel) -> list[tuple[str, float]]:
 
 
 def replicate_minority(train: DataFrame, label: str = LABEL) -> DataFrame:
-    """Repeat the rows of the rarer class by the rounded class ratio: the network takes no row weights."""
+    """Repeat the rows of the rarer class until it is as large as the other: the network takes no row weights.
+
+    The rare class thus weighs exactly the class ratio. With the ratio a / b, the i-th rare row by date is repeated
+    floor((i + 1) a / b) - floor(i a / b) times, so the rows with one more copy lie evenly over the dates.
+    """
     counts = {r[label]: r["class_rows"] for r in balanced_weights(train, label).collect()}
     if len(counts) < 2:
         return train
     rare = min(counts, key=lambda c: (counts[c], c))
-    times = max(1, round(max(counts.values()) / counts[rare]))
-    copies = F.when(F.col(label) == rare, F.lit(times)).otherwise(F.lit(1))
-    return train.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
+    few, many = F.lit(counts[rare]), F.lit(max(counts.values()))
+    ours = train.where(F.col(label) == rare)
+    # One row per date reaches the running total.
+    before = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    dates = ours.groupBy("date").count().select("date", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("date").orderBy(*[c for c in train.columns if c not in ("date", label)])
+    place = F.col("_before") + F.row_number().over(inside) - 1
+    # Whole-number division, so that no ratio is rounded.
+    copies = F.call_function("div", (place + 1) * many, few) - F.call_function("div", place * many, few)
+    repeated = ours.join(dates, "date").withColumn("_copies", copies).where("_copies > 0")
+    repeated = repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*train.columns)
+    return train.where(F.col(label) != rare).unionByName(repeated)
 
 
 def _log_loss(scored: DataFrame, label: str = LABEL) -> float:

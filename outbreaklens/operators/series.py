@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from outbreaklens.operators.layout import CHUNK, DATE, DAY, POSITION, ROW, ZONE, ZoneLayout, zone_layout
+from outbreaklens.operators.layout import CHUNK, DATE, DAY, POSITION, ROW, ZONE, ZoneLayout, report_order, zone_layout
 from outbreaklens.operators.ordered import date_at_fraction
 
 WEEK_ROWS = 7
@@ -133,18 +133,26 @@ def split_by_date(model_rows: DataFrame, fraction: float = TRAIN_FRACTION) -> Da
     return model_rows.withColumn("is_train", F.col(DATE) < cutoff.scalar())
 
 
+def full_window_cutoff(series: DataFrame, fraction: float = TRAIN_FRACTION, horizon: int = HORIZON_DAYS) -> DataFrame:
+    """The split date of the rows with a full future window, from zones and dates alone, as one row."""
+    ends = series.groupBy(ZONE).agg(F.max(DATE).alias("_last"))
+    rows = series.select(ZONE, DATE).join(ends, ZONE).where(F.col("_last") >= F.date_add(DATE, horizon))
+    return date_at_fraction(rows, DATE, fraction)
+
+
 def latest_trend(series: DataFrame, fallback: Column) -> DataFrame:
     """Serving features per zone at its latest row; here the current row counts as a case day.
 
     `fallback` is the growth ratio to use where the latest row has none. One aggregation per zone
-    with partial results on the map side; no window.
+    with partial results on the map side; no window. Of several rows on the latest day the last one counts.
     """
+    order = report_order(series.columns)
     case_date = F.when(F.col("new_cases") > 0, F.col(DATE))
     since = F.datediff(F.max(DATE), F.coalesce(F.max(case_date), F.min(DATE)))
     return series.groupBy(ZONE).agg(
-        F.max_by("rolling_7", DATE).alias("rolling_7d_new_cases"),
+        F.max_by("rolling_7", order).alias("rolling_7d_new_cases"),
         since.cast("bigint").alias("days_since_last_case"),
-        F.max_by("rt_proxy", DATE).alias("_rt"),
+        F.max_by("rt_proxy", order).alias("_rt"),
     ).select(
         ZONE, "rolling_7d_new_cases", "days_since_last_case", F.coalesce("_rt", fallback).alias("rt_proxy")
     )

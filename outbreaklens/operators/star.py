@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outbreaklens.operators.cleaning import DEATHS, last_entry
+from outbreaklens.operators.cleaning import DEATHS, ENTRY, last_entry
+from outbreaklens.operators.layout import report_order
 from outbreaklens.operators.ordered import median
 
 
@@ -57,6 +58,7 @@ def health_zones(features: DataFrame) -> DataFrame:
         F.col(p + "worldpop.pop_density.pop_density").alias("population_density"),
         F.col(p + "grid3_healthsites.healthsite_density.healthsite_density").alias("healthsite_density"),
         F.col(p + "gdp_pc.gdp_pc.gdp_pc").alias("gdp_per_capita"),
+        *[c for c in (ENTRY,) if c in features.columns],
     )
 
 
@@ -91,10 +93,11 @@ def on_latest_date(df: DataFrame) -> DataFrame:
 def zone_state(zones: DataFrame, fact: DataFrame) -> DataFrame:
     """Every official zone with its latest cumulative count and age; zones without reports stay.
 
-    One aggregation per zone gives first date, latest date and latest count together.
+    One aggregation per zone gives first date, latest date and latest count together; of several reports on the
+    latest day the last one counts.
     """
     state = fact.groupBy("nom").agg(
-        F.max_by("cumulative_confirmed_cases", "date").alias("latest"),
+        F.max_by("cumulative_confirmed_cases", report_order(fact.columns)).alias("latest"),
         F.datediff(F.max("date"), F.min("date")).alias("age"),
     )
     return zones.join(state, "nom", "left").select(

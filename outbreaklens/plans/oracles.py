@@ -39,6 +39,12 @@ FROM {source} r LEFT JOIN aliases a ON trim(r.nom) = a.observed_name
 WHERE r.nom IS NOT NULL"""
 
 
+def _twice(source: str, column: str) -> str:
+    second = f"coalesce(CAST(TRY_CAST({column} AS BIGINT) + 3 AS VARCHAR), {column}) AS {column}"
+    both = f"SELECT * FROM {source} UNION ALL SELECT replace(nom, 'Zne_', 'Zone_') AS nom, date, {second} FROM {source} WHERE nom LIKE 'Zne_%'"
+    return _clean(f"({both})", column)
+
+
 def _mentions(pattern: str, kind: str, first: int) -> str:
     return f"""
 SELECT bulletin, {first} AS part, i, '{kind}' AS type,
@@ -162,6 +168,19 @@ SELECT coalesce(c.date, d.date) AS date, c.n AS national_cumulative_confirmed_ca
 FROM (SELECT date, SUM(cumulative_confirmed_cases) AS n FROM clean_cases GROUP BY date) c
 FULL JOIN (SELECT date, SUM(cumulative_confirmed_deaths) AS n FROM clean_deaths GROUP BY date) d ON c.date = d.date""",
     ),
+    "twice_cases": (["raw_cases", "aliases"], _twice("raw_cases", "cumulative_confirmed_cases")),
+    "twice_deaths": (["raw_deaths", "aliases"], _twice("raw_deaths", "cumulative_confirmed_deaths")),
+    "twice_series": (
+        ["twice_cases"],
+        """
+SELECT * EXCLUDE (prev), CASE WHEN prev > 0 THEN rolling_7 / prev END AS rt_proxy
+FROM (SELECT *, lag(rolling_7, 7) OVER (PARTITION BY nom_clean ORDER BY zone_row) AS prev
+      FROM (SELECT *, SUM(new_cases) OVER (PARTITION BY nom_clean ORDER BY zone_row ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_7
+            FROM (SELECT nom_clean, date, cumulative_confirmed_cases, row_number() OVER w - 1 AS zone_row,
+                         greatest(coalesce(cumulative_confirmed_cases - lag(cumulative_confirmed_cases) OVER w, 0), 0) AS new_cases
+                  FROM twice_cases WHERE cumulative_confirmed_cases IS NOT NULL
+                  WINDOW w AS (PARTITION BY nom_clean ORDER BY date, nom, cumulative_confirmed_cases))))""",
+    ),
     # One-class SVM: distinct baseline points, then pairwise descent on the dual over lists.
     "usable": (["inputs"], "SELECT * FROM inputs WHERE zone_rows >= 21"),
     "scaling": (
@@ -511,6 +530,35 @@ FROM health_zones z LEFT JOIN (SELECT nom_clean, arg_max(cumulative_confirmed_ca
         "SELECT nom, date, cumulative_confirmed_deaths, 'deaths' FROM raw_deaths",
         "raw_cases", "raw_deaths",
     ),
+    "twice_series": _sql(
+        f"SELECT {KEY}, zone_row, cumulative_confirmed_cases, new_cases, rolling_7, rt_proxy FROM twice_series", "twice_series"
+    ),
+    "twice_latest_per_zone": _sql(
+        f"SELECT {FACT}, {ISO}, cumulative_confirmed_cases FROM twice_series s WHERE date = "
+        "(SELECT MAX(date) FROM twice_series l WHERE l.nom_clean = s.nom_clean)",
+        "twice_series",
+    ),
+    "twice_zone_state": _sql(
+        """
+SELECT z.nom, province, population_density, t.nom_clean IS NOT NULL AS has_case_data, coalesce(t.c, 0) AS cumulative_confirmed_cases,
+       coalesce(t.age, 0) AS days_since_first_case
+FROM health_zones z LEFT JOIN (SELECT nom_clean, arg_max(cumulative_confirmed_cases, zone_row) AS c, MAX(date) - MIN(date) AS age
+                               FROM twice_series GROUP BY 1) t ON z.nom = t.nom_clean""",
+        "health_zones", "twice_series",
+    ),
+    "twice_serving_trend": _sql(
+        """
+SELECT nom_clean, arg_max(rolling_7, zone_row) AS rolling_7d_new_cases,
+       MAX(date) - coalesce(MAX(date) FILTER (WHERE new_cases > 0), MIN(date)) AS days_since_last_case,
+       coalesce(arg_max_null(rt_proxy, zone_row), 1) AS rt_proxy
+FROM twice_series GROUP BY 1""",
+        "twice_series",
+    ),
+    "twice_cases_deaths": _sql(
+        f"""SELECT s.nom_clean AS nom, CAST(s.date AS VARCHAR) AS date, s.cumulative_confirmed_cases, s.new_cases, s.rt_proxy,
+       d.cumulative_confirmed_deaths FROM twice_series s LEFT JOIN twice_deaths d ON s.nom_clean = d.nom_clean AND s.date = d.date""",
+        "twice_series", "twice_deaths",
+    ),
     "zone_counts": _sql("SELECT nom_clean, COUNT(*) AS n_rows FROM clean_cases GROUP BY 1", "clean_cases"),
     "table_summary": _sql(
         "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT nom_clean) AS zones, CAST(MIN(date) AS VARCHAR) AS first_date, "
@@ -652,10 +700,11 @@ FROM headlines h WHERE h.bulletin = (SELECT MAX(bulletin) FROM bulletins)""",
     "json_props": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
     "score_tiers": _sql(
         """
-SELECT nom, round(anomaly_score, 6) AS anomaly_score,
+SELECT nom, anomaly_score,
        CASE WHEN least(anomaly_score / m, 1) > 0.66 THEN 'hot' WHEN least(anomaly_score / m, 1) > 0.33 THEN 'warm' ELSE 'cool' END AS tier,
        round(least(anomaly_score / m * 100, 100), 6) AS bar_percent
-FROM (SELECT *, greatest(MAX(anomaly_score) OVER (), 0.0001) AS m FROM latest_scores)""",
+FROM (SELECT *, greatest(MAX(anomaly_score) OVER (), 0.0001) AS m
+      FROM (SELECT nom, round(anomaly_score, 6) AS anomaly_score FROM latest_scores))""",
         "latest_scores",
     ),
     "log_features": _sql(
@@ -695,6 +744,11 @@ FROM (SELECT *, greatest(MAX(anomaly_score) OVER (), 0.0001) AS m FROM latest_sc
         "(SELECT COUNT(*) FROM split WHERE is_train) / (2 * COUNT(*)) AS weight FROM split WHERE is_train GROUP BY 1",
         "split",
     ),
+    "network_class_copies": _sql(
+        "SELECT CAST(label_next_7d_onset AS BIGINT) AS label_next_7d_onset, MAX(COUNT(*)) OVER () AS copies "
+        "FROM split WHERE is_train GROUP BY 1",
+        "split",
+    ),
     "loss_weight": _sql(
         """
 SELECT COUNT(*) FILTER (WHERE label_next_7d_onset = 1) AS n_pos, COUNT(*) FILTER (WHERE label_next_7d_onset = 0) AS n_neg,

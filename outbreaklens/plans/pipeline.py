@@ -52,6 +52,20 @@ def score(inputs: DataFrame, min_rows: int = anomaly.MIN_ROWS) -> DataFrame:
     return anomaly.anomaly_score(rows, anomaly.fit_one_class(pairs), pairs)
 
 
+def latest_scores(inputs: DataFrame, one_row_per_day: bool = False, min_rows: int = anomaly.MIN_ROWS) -> DataFrame:
+    """Scores of the latest rows of every usable zone of stored anomaly inputs: (nom, date, anomaly_score).
+
+    The model is fitted on all zones; only the latest rows are scored.
+    """
+    rows = anomaly.usable_zones(inputs, min_rows)
+    model = anomaly.fit_one_class(anomaly.feature_pairs(rows, anomaly.is_baseline()))
+    facts = rows.select(F.col("nom_clean").alias("nom"), "date", *anomaly.FEATURES)
+    latest = checkpointed(star.latest_rows(facts, one_row_per_day))
+    return anomaly.anomaly_score(latest, model, latest.select(*anomaly.FEATURES).distinct()).select(
+        "nom", "date", "anomaly_score"
+    )
+
+
 def national(cases: DataFrame, deaths: DataFrame, aliases: DataFrame) -> DataFrame:
     """National series out of the zone reports: sums per date."""
 

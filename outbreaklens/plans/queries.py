@@ -79,20 +79,29 @@ def _labelled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, folder: str) -> DataFrame:
-    return series.split_by_date(_labelled(spark, folder))
+    """Labelled rows with `is_train`; the cutoff needs zones and dates only, so the features are computed once."""
+    cases = checkpointed(_series(spark, folder))
+    rows = pipeline.labelled(cases, testviews.health_zones(spark, folder), ONE_ROW)
+    return rows.withColumn("is_train", F.col("date") < series.full_window_cutoff(cases).scalar())
 
 
 def _facts(cases: DataFrame) -> DataFrame:
     return cases.withColumnRenamed("nom_clean", "nom_key").drop("nom").withColumnRenamed("nom_key", "nom")
 
 
-def _scores(spark: SparkSession, folder: str) -> DataFrame:
-    return star.anomaly_scores(_scored(spark, folder))
+def _latest_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return pipeline.latest_scores(checkpointed(series.anomaly_inputs(_series(spark, folder), ONE_ROW)), ONE_ROW)
+
+
+def _latest_rows(rows: DataFrame) -> DataFrame:
+    """The latest row of every zone, stored; one row per zone."""
+    named = rows.withColumnRenamed("nom_clean", "nom")
+    return checkpointed(star.latest_rows(named, ONE_ROW)).withColumnRenamed("nom", "nom_clean")
 
 
 def _ranking(spark: SparkSession, folder: str, limit: int, cross_border_only: bool = False) -> DataFrame:
     return serving.early_warning(
-        _scores(spark, folder),
+        _latest_scores(spark, folder),
         testviews.health_zones(spark, folder),
         limit,
         cross_border_only,
@@ -245,8 +254,7 @@ def date_cutoff_split(spark, folder):
 
 @query
 def trending_up(spark, folder):
-    # Stored, as the latest date and the rows on it are read from the same table.
-    return serving.trending_up(checkpointed(_series(spark, folder).select("nom_clean", "date", "rt_proxy")))
+    return serving.trending_up(_latest_rows(_series(spark, folder).select("nom_clean", "date", "rt_proxy")))
 
 
 @query
@@ -354,6 +362,44 @@ def report_batches_union(spark, folder):
     return tagged[0].unionByName(tagged[1])
 
 
+# --- two spellings of a zone on one day, an alias given twice, and no promise of one row per day ---------------
+
+
+def _series_twice(spark: SparkSession, folder: str) -> DataFrame:
+    return pipeline.case_series(testviews.raw_cases_twice(spark, folder), testviews.aliases_twice(spark, folder))
+
+
+@query
+def twice_series(spark, folder):
+    rows = _series_twice(spark, folder)
+    return rows.select("nom_clean", "date", "zone_row", "cumulative_confirmed_cases", "new_cases", "rolling_7", "rt_proxy")
+
+
+@query
+def twice_latest_per_zone(spark, folder):
+    facts = _facts(_series_twice(spark, folder)).select("nom", "date", "cumulative_confirmed_cases")
+    return star.latest_rows(facts)
+
+
+@query
+def twice_zone_state(spark, folder):
+    return star.zone_state(testviews.health_zones(spark, folder), _facts(_series_twice(spark, folder)))
+
+
+@query
+def twice_serving_trend(spark, folder):
+    return series.latest_trend(_series_twice(spark, folder).drop("nom"), F.lit(1.0))
+
+
+@query
+def twice_cases_deaths(spark, folder):
+    """Two case rows and two death rows of one day give four rows."""
+    deaths = cleaning.clean_deaths(
+        testviews.raw_deaths_twice(spark, folder), testviews.aliases_twice(spark, folder)
+    )
+    return star.daily_cases(star.with_deaths(_series_twice(spark, folder), deaths))
+
+
 # --- aggregates and top-k ---------------------------------------------------------------------
 
 
@@ -411,7 +457,7 @@ def longest_zone(spark, folder):
 @query
 def top15_zones(spark, folder):
     rows = clean_cases(spark, folder).select("nom_clean", "date", "cumulative_confirmed_cases")
-    return serving.top_zones(checkpointed(rows))
+    return serving.top_zones(_latest_rows(rows))
 
 
 @query
@@ -570,10 +616,10 @@ def bulletin_headlines(spark, folder):
 
 @query
 def bulletin_briefing(spark, folder):
-    records = checkpointed(
-        bulletins.extract(testviews.bulletins(spark, folder), testviews.gazetteer(spark, folder))
-    )
-    brief = serving.briefing(records)
+    texts = testviews.bulletins(spark, folder)
+    names = texts.agg(F.max("bulletin").alias("last"), F.count(F.lit(1)).alias("n")).first()  # reads no text
+    last = texts.where(F.col("bulletin") == F.lit(names["last"]))
+    brief = serving.briefing(bulletins.extract(last, testviews.gazetteer(spark, folder)), F.lit(names["n"]))
     return brief.select(
         "bulletin",
         F.array_join("locations_mentioned", "|").alias("locations"),
@@ -602,11 +648,11 @@ def json_props(spark, folder):
 
 @query
 def score_tiers(spark, folder):
-    latest = star.latest_rows(_scores(spark, folder), one_row_per_day=True)
+    latest = _shown(_latest_scores(spark, folder))
     top = F.greatest(latest.agg(F.max("anomaly_score")).scalar(), F.lit(0.0001))
     return latest.select(
         "nom",
-        F.round("anomaly_score", 6).alias("anomaly_score"),
+        "anomaly_score",
         score_tier(F.col("anomaly_score"), top).alias("tier"),
         F.round(bar_percent(F.col("anomaly_score"), top), 6).alias("bar_percent"),
     )
@@ -655,6 +701,13 @@ def balanced_weights(spark, folder):
     return models.balanced_weights(_split(spark, folder).where("is_train"))
 
 
+@query
+def network_class_copies(spark, folder):
+    """Rows of each class as the network sees them: the rarer one weighs exactly the class ratio."""
+    rows = checkpointed(_split(spark, folder).where("is_train").select("date", "nom_clean", models.LABEL))
+    return models.replicate_minority(rows).groupBy(models.LABEL).agg(F.count(F.lit(1)).alias("copies"))
+
+
 @query
 def loss_weight(spark, folder):
     return models.loss_weight(_split(spark, folder).where("is_train"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outbreaklens.functions.display import SCORE_FLOOR, bar_percent, score_tier
@@ -166,9 +166,12 @@ def zone_timeline(scored: DataFrame, baseline: int = BASELINE_ROWS) -> DataFrame
     ).orderBy("date")
 
 
-def briefing(records: DataFrame) -> DataFrame:
-    """The latest extraction record with its most severe paragraph and the number of bulletins."""
-    count = records.agg(F.count(F.lit(1))).scalar()
+def briefing(records: DataFrame, count: Column | None = None) -> DataFrame:
+    """The latest extraction record with its most severe paragraph and the number of bulletins.
+
+    `count` is that number when `records` holds a part of them only.
+    """
+    count = records.agg(F.count(F.lit(1))).scalar() if count is None else count
     return latest(records).select(
         "*",
         most_severe(F.col("paragraph_severity")).alias("most_severe_paragraph"),

@@ -8,21 +8,30 @@ from pyspark.sql import functions as F
 
 from outbreaklens.functions.html import article_text
 from outbreaklens.functions.text import bulletin_date, bulletin_number, date_or_error, file_stem, null_if_missing
+from outbreaklens.operators.cleaning import ENTRY
 from outbreaklens.sources.schemas import EXTRACTION, ZONES_GEOJSON
 
 
-def csv_table(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file with a header, every column as text, the usual spellings of "missing" as NULL."""
+def csv_table(spark: SparkSession, path: str, entry: bool = False) -> DataFrame:
+    """A CSV file with a header, every column as text, the usual spellings of "missing" as NULL.
+
+    Quoted line breaks stay in their cell; files of one folder with other columns are an error. With `entry`, the
+    place of every row in the files comes along.
+    """
     raw = spark.read.csv(
         path,
         header=True,
         inferSchema=False,
+        enforceSchema=False,
+        multiLine=True,
         quote='"',
         escape='"',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
-    return raw.select(*[null_if_missing(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    cells = [null_if_missing(F.col(f"`{c}`")).alias(c) for c in raw.columns]
+    return raw.select(*cells, place.alias(ENTRY)) if entry else raw.select(*cells)
 
 
 def _required(df: DataFrame, columns: list[str], path: str) -> DataFrame:
@@ -55,13 +64,14 @@ def zone_deaths(spark: SparkSession, path: str) -> DataFrame:
 
 
 def aliases(spark: SparkSession, path: str) -> DataFrame:
-    return _required(csv_table(spark, path), ["observed_name", "canonical_nom"], path)
+    return _required(csv_table(spark, path, entry=True), ["observed_name", "canonical_nom"], path)
 
 
 def zone_features(spark: SparkSession, path: str) -> DataFrame:
     """One row per GeoJSON feature; the geometry is never parsed."""
     collection = spark.read.schema(ZONES_GEOJSON).json(path, multiLine=True)
-    return collection.select(F.explode("features").alias("f")).select("f.properties")
+    features = collection.select(F.col("_metadata.file_path").alias("path"), F.posexplode("features").alias("pos", "f"))
+    return features.select("f.properties", F.struct("path", "pos").alias(ENTRY))
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from outbreaklens.operators.cleaning import ENTRY
 from outbreaklens.sources import readers
 
 WATCHLIST = ("ASIA", "EUROPE")
@@ -65,6 +66,30 @@ def raw_deaths(spark: SparkSession, folder: str) -> DataFrame:
     return _reports(spark, folder, "signup", "cumulative_confirmed_deaths")
 
 
+def _twice(reports: DataFrame, column: str) -> DataFrame:
+    """Reports under an alias come a second time under the canonical name, with three more."""
+    aliased = reports.where(F.col("nom").startswith("Zne_"))
+    more = F.coalesce((F.col(column).try_cast("bigint") + 3).cast("string"), F.col(column))
+    return reports.unionByName(
+        aliased.withColumn("nom", F.replace("nom", F.lit("Zne_"), F.lit("Zone_"))).withColumn(column, more)
+    )
+
+
+def raw_cases_twice(spark: SparkSession, folder: str) -> DataFrame:
+    return _twice(raw_cases(spark, folder), "cumulative_confirmed_cases")
+
+
+def raw_deaths_twice(spark: SparkSession, folder: str) -> DataFrame:
+    return _twice(raw_deaths(spark, folder), "cumulative_confirmed_deaths")
+
+
+def aliases_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """Every alias has a wrong entry in front of the right one."""
+    rows = aliases(spark, folder)
+    wrong = rows.withColumn("canonical_nom", F.lit("Zone_wrong")).withColumn(ENTRY, F.lit(1))
+    return rows.withColumn(ENTRY, F.lit(2)).unionByName(wrong)
+
+
 def aliases(spark: SparkSession, folder: str) -> DataFrame:
     user = F.col("user_id")
     return (
