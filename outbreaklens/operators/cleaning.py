@@ -24,11 +24,12 @@ def drop_unattributed(reports: DataFrame) -> DataFrame:
 def last_entry(table: DataFrame, key: str, value: str) -> DataFrame:
     """One row per key; of several entries the last one of the files holds.
 
-    A table without the place of its entries has no order: there the largest value holds.
+    The readers carry the place of an entry in its files. A table without it, one made in memory, counts in the
+    order of its rows.
     """
     known = table.where(F.col(key).isNotNull() & F.col(value).isNotNull())
-    last = F.max_by(value, ENTRY) if ENTRY in table.columns else F.max(value)
-    return known.groupBy(key).agg(last.alias(value))
+    place = F.col(ENTRY) if ENTRY in table.columns else F.monotonically_increasing_id()
+    return known.select(key, value, place.alias("_place")).groupBy(key).agg(F.max_by(value, "_place").alias(value))
 
 
 def clean_zone_names(reports: DataFrame, aliases: DataFrame) -> DataFrame:

@@ -49,8 +49,11 @@ def with_density(rows: DataFrame, zones: DataFrame, all_rows: DataFrame | None =
     ).withColumn("population_density", F.coalesce("population_density", middle, F.lit(0.0)))
 
 
-def health_zones(features: DataFrame) -> DataFrame:
-    """Zone dimension out of exploded GeoJSON features; absent paths give NULL."""
+def health_zones(features: DataFrame, entry: bool = False) -> DataFrame:
+    """Zone dimension out of exploded GeoJSON features; absent paths give NULL.
+
+    With `entry`, the place of each feature comes along, so that of repeated zones the last one holds.
+    """
     p = "properties."
     return features.select(
         F.col(p + "nom").alias("nom"),
@@ -58,7 +61,7 @@ def health_zones(features: DataFrame) -> DataFrame:
         F.col(p + "worldpop.pop_density.pop_density").alias("population_density"),
         F.col(p + "grid3_healthsites.healthsite_density.healthsite_density").alias("healthsite_density"),
         F.col(p + "gdp_pc.gdp_pc.gdp_pc").alias("gdp_per_capita"),
-        *[c for c in (ENTRY,) if c in features.columns],
+        *([ENTRY] if entry else []),
     )
 
 

@@ -40,8 +40,8 @@ def _table(spark: SparkSession, out: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{out}/{name}")
 
 
-def _zones(spark: SparkSession, raw: Raw) -> DataFrame:
-    return star.health_zones(readers.zone_features(spark, raw.path("zones")))
+def _zones(spark: SparkSession, raw: Raw, entry: bool = False) -> DataFrame:
+    return star.health_zones(readers.zone_features(spark, raw.path("zones")), entry)
 
 
 def clean(spark: SparkSession, raw: Raw, out: str) -> None:
@@ -62,7 +62,7 @@ def clean(spark: SparkSession, raw: Raw, out: str) -> None:
 
 def train(spark: SparkSession, raw: Raw, out: str) -> None:
     """Labelled features, both classifiers, and their evaluation on the test dates."""
-    labelled = pipeline.labelled(_table(spark, out, "zone_cases_cleaned"), _zones(spark, raw))
+    labelled = pipeline.labelled(_table(spark, out, "zone_cases_cleaned"), _zones(spark, raw, entry=True))
     writers.write_table(labelled, f"{out}/zone_day_features_labelled")
     rows = checkpointed(series.split_by_date(_table(spark, out, "zone_day_features_labelled")))
     seen, held = rows.where("is_train"), rows.where(~F.col("is_train"))
