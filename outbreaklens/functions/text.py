@@ -72,23 +72,6 @@ def date_or_error(c: Column, *repaired: Column) -> Column:
     return F.coalesce(*[form.try_cast("date") for form in (c, *repaired)], F.when(c.isNotNull(), wrong))
 
 
-def _starts(text: Column, pattern: str, whole: Column) -> Column:
-    """Offset of every match: a running sum over the pieces between matches and the matches themselves."""
-    lengths = F.arrays_zip(
-        F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
-        F.transform(whole, F.length).alias("size"),
-    )
-    return F.aggregate(
-        F.slice(lengths, F.lit(1), F.size(whole)),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda acc, m: F.struct(
-            (acc["at"] + m["gap"] + m["size"]).alias("at"),
-            F.array_append(acc["starts"], acc["at"] + m["gap"]).alias("starts"),
-        ),
-        lambda acc: acc["starts"],
-    )
-
-
 def _digits(number: Column) -> Column:
     """A number without commas, in ASCII digits."""
     # Characters without a partner are dropped, hence the comma at the end.
@@ -96,22 +79,44 @@ def _digits(number: Column) -> Column:
     return F.when(number.rlike("[^0-9,]"), converted).otherwise(F.translate(number, ",", ""))
 
 
+def _joined(parts: list[Column]) -> Column:
+    return F.concat(*[F.coalesce(part, F.lit("")) for part in parts])
+
+
 def _mentions(text: Column, pattern: str, kind: str) -> Column:
-    """Array of (value, type, context) for every match of `pattern`, in text order."""
+    """Array of (value, type, context) for every match of `pattern`, in text order.
 
-    def record(m: Column) -> Column:
-        begin = F.greatest(m["start"] - CONTEXT_BEFORE, F.lit(0))
-        end = m["start"] + F.length(m["whole"]) + CONTEXT_AFTER
-        context = strip(F.translate(F.substring(text, begin + 1, end - begin), "\n", " "))
-        return F.struct(
-            _digits(F.regexp_extract(m["whole"], r"^[\p{Nd},]+", 0)).try_cast("bigint").alias("value"),
-            F.lit(kind).alias("type"),
-            F.concat(F.lit("..."), context, F.lit("...")).alias("context"),
-        )
+    The context is cut from the pieces next to a match, the texts between matches shortened to what a context can
+    hold, so a text of many mentions takes time in proportion to its length.
+    """
+    # A match has six characters at least ("1 case"): so many of them can lie inside a context.
+    back, ahead = CONTEXT_BEFORE // 6, CONTEXT_AFTER // 6 + 1
 
     def records(whole: Column) -> Column:
-        starts = _starts(text, pattern, whole)
-        return F.transform(F.arrays_zip(whole.alias("whole"), starts.alias("start")), record)
+        def with_gaps(gaps: Column) -> Column:
+            def with_ends(tails: Column) -> Column:
+                def with_heads(heads: Column) -> Column:
+                    def record(match: Column, i: Column) -> Column:
+                        before = [part for k in range(back, 0, -1) for part in (F.get(tails, i - k), F.get(whole, i - k))]
+                        after = [part for k in range(1, ahead + 1) for part in (F.get(heads, i + k), F.get(whole, i + k))]
+                        context = F.concat(
+                            F.right(_joined([*before, F.get(tails, i)]), F.lit(CONTEXT_BEFORE)),
+                            match,
+                            F.left(_joined(after), F.lit(CONTEXT_AFTER)),
+                        )
+                        return F.struct(
+                            _digits(F.regexp_extract(match, r"^[\p{Nd},]+", 0)).try_cast("bigint").alias("value"),
+                            F.lit(kind).alias("type"),
+                            F.concat(F.lit("..."), strip(F.translate(context, "\n", " ")), F.lit("...")).alias("context"),
+                        )
+
+                    return F.transform(whole, record)
+
+                return bind(F.transform(gaps, lambda gap: F.left(gap, F.lit(CONTEXT_AFTER))), with_heads)
+
+            return bind(F.transform(gaps, lambda gap: F.right(gap, F.lit(CONTEXT_BEFORE))), with_ends)
+
+        return bind(F.split(text, pattern, -1), with_gaps)
 
     return bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), records)
 

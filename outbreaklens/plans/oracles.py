@@ -59,6 +59,20 @@ FROM (SELECT bulletin, text, w, n, p, unnest(generate_series(1, len(w))) AS i
             FROM bulletins) WHERE len(w) > 0)"""
 
 
+def _page_text(region: str) -> str:
+    """Text of a region of the test pages; some of them leave the body open."""
+    lazy, end = ("?", "|$") if region == "body" else ("", "")
+    return rf"""
+SELECT page_id, array_to_string(list_filter(list_transform(string_split(
+         replace(replace(replace(replace(
+           regexp_replace(regexp_replace(regexp_extract(regexp_replace(html, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', chr(1), 'g'),
+             '(?s)<{region}[^>]*>(.*{lazy})(?:</{region}>{end})', 1), '(?s)<(nav|header|footer)[^a-z].*?</(nav|header|footer)>', chr(1), 'g'),
+             '<[^>]*>', chr(1), 'g'),
+         '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&'), chr(1)),
+       lambda x: {_strip("x")}), lambda x: length(x) > 0), chr(10)) AS article
+FROM pages"""
+
+
 def _stems(pattern: str) -> str:
     return f"len(regexp_extract_all(paragraph, '(?i){pattern}'))"
 
@@ -339,18 +353,8 @@ LEFT JOIN (SELECT bulletin, MAX(CASE WHEN type = 'cases' THEN value END) AS max_
                   MAX(CASE WHEN type = 'deaths' THEN value END) AS max_deaths FROM mentions GROUP BY 1) m USING (bulletin)
 LEFT JOIN places p USING (bulletin) LEFT JOIN worst w USING (bulletin)""",
     ),
-    "page_text": (
-        [],
-        rf"""
-SELECT page_id, array_to_string(list_filter(list_transform(string_split(
-         replace(replace(replace(replace(
-           regexp_replace(regexp_replace(regexp_extract(regexp_replace(html, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', chr(1), 'g'),
-             '(?s)<article[^>]*>(.*)</article>', 1), '(?s)<(nav|header|footer)[^a-z].*?</(nav|header|footer)>', chr(1), 'g'),
-             '<[^>]*>', chr(1), 'g'),
-         '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&'), chr(1)),
-       lambda x: {_strip("x")}), lambda x: length(x) > 0), chr(10)) AS article
-FROM pages""",
-    ),
+    "page_text": ([], _page_text("article")),
+    "body_text": ([], _page_text("body")),
 }
 
 
@@ -662,6 +666,12 @@ SELECT COUNT(*) AS evaluated_rows, CAST(SUM(true_surge) AS BIGINT) AS surges, ro
        (SELECT round(SUM(pos / all_pos * tp / flagged_rows), 9) FROM curve) AS average_precision FROM evaluation""",
         "evaluation", "curve",
     ),
+    "html_page_forms": _sql(
+        """
+SELECT page_id, CASE page_id % 4 WHEN 1 THEN b.article WHEN 3 THEN '“x” © 2020' || chr(10) || a.article ELSE a.article END AS article
+FROM page_text a JOIN body_text b USING (page_id)""",
+        "page_text", "body_text",
+    ),
     "html_article_text": _sql("SELECT page_id, article FROM page_text", "page_text"),
     "article_lengths": _sql("SELECT page_id, length(article) AS n_chars FROM page_text", "page_text"),
     "count_mentions": _sql("SELECT bulletin, pos, value, type FROM mentions", "mentions"),

@@ -546,6 +546,20 @@ def html_article_text(spark, folder):
     return readers.articles(testviews.pages(spark, folder)).select("page_id", "article")
 
 
+@query
+def html_page_forms(spark, folder):
+    """The pages rewritten into other forms: a main element, a body alone, a self-closed nav, old references."""
+    page, form = F.col("html"), F.col("page_id") % 4
+    rewritten = (
+        F.when(form == 0, F.replace(F.replace(page, F.lit("<article>"), F.lit("<main>")), F.lit("</article>"), F.lit("</main>")))
+        .when(form == 1, F.replace(F.replace(page, F.lit("<article>"), F.lit("<div>")), F.lit("</article>"), F.lit("</div>")))
+        .when(form == 2, F.replace(page, F.lit("<article>"), F.lit("<article><nav/>")))
+        .otherwise(F.replace(page, F.lit("<article>"), F.lit("<article><p title=it's>&#147;x&#148; &copy 2020</p>")))
+    )
+    pages = testviews.pages(spark, folder).withColumn("html", rewritten)
+    return readers.articles(pages).select("page_id", "article")
+
+
 @query
 def article_lengths(spark, folder):
     return readers.articles(testviews.pages(spark, folder)).select(

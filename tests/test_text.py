@@ -180,6 +180,38 @@ PAGES = [
 ]
 
 
+FORMS = [
+    ("<main>one<nav/>two <b>three</b></main>", "one\ntwo\nthree"),
+    ("<main><div><header>x</div>kept</main>", "kept"),
+    ("<main><nav>x<main>y</main>z</main>after", ""),
+    ("<main>&#147;a&#148; &#146; &copy 2020 &amp b</main>", "\u201ca\u201d \u2019 \u00a9 2020 &amp; b".replace("&amp;", "&")),
+    ("<main><p title=it's>alpha</p><p>beta</main>", "alpha\nbeta"),
+    ("no element at <b>all", "no element at\nall"),
+    ("<body><p>one<br>two<img src=x>three</body>", "one\ntwo\nthree"),
+    ("<article/><body>b<article>a</article></body>", ""),
+    (None, None),
+    ("", ""),
+]
+
+
+@pytest.mark.parametrize("page, text", FORMS)
+def test_pages_that_are_not_well_formed(spark, page, text):
+    assert html.page_text(page) == text
+
+
+def test_page_text_takes_linear_time():
+    import time
+
+    def seconds(n: int) -> float:
+        page = "<body>" + "<div><nav>x<p>" * n + "</div>" * n + "y</body>"
+        begin = time.perf_counter()
+        assert html.page_text(page) == "y"
+        return time.perf_counter() - begin
+
+    seconds(1_000)
+    assert seconds(40_000) < 10 * max(seconds(10_000), 0.02)
+
+
 @pytest.mark.parametrize("page", PAGES)
 def test_article_text(spark, page):
     got = spark.createDataFrame([(page,)], "c string").select(html.article_text(F.col("c"))).first()[0]
@@ -190,3 +222,40 @@ def test_article_text_of_the_test_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for row in pages.select("html", html.article_text(F.col("html")).alias("article")).collect():
         assert row["article"] == python_article(row["html"])
+
+
+def test_contexts_of_dense_mentions(spark):
+    """Contexts that reach over many neighbouring mentions, against slices of the text."""
+    import random
+    import re
+
+    draw = random.Random(12)
+    parts = ["1 case", "22 cases", "7 deaths", " ", "", "é", "\n", "word ", "a longer stretch of words between two of them, and more of it, "]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randrange(60))) for _ in range(80)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, text string")
+    rows = df.select("i", t.count_mentions(F.col("text")).alias("m")).collect()
+    patterns = [r"(?i)(\d[\d,]*)\s+(?:confirmed\s+|suspected\s+)?cases?", r"(?i)(\d[\d,]*)\s+deaths?"]
+    for r in rows:
+        text = texts[r["i"]]
+        want = [
+            "..." + text[max(m.start() - 60, 0) : m.end() + 20].replace("\n", " ").strip() + "..."
+            for pattern in patterns
+            for m in re.finditer(pattern, text)
+        ]
+        assert [m["context"] for m in r["m"]] == want
+
+
+def test_mentions_take_linear_time(spark):
+    import time
+
+    def seconds(n: int) -> float:
+        df = spark.createDataFrame([("in all 12 cases were seen " * n,)], "text string")
+        taken = []
+        for _ in range(3):
+            begin = time.perf_counter()
+            assert len(df.select(F.size(t.count_mentions(F.col("text")))).collect()) == 1
+            taken.append(time.perf_counter() - begin)
+        return min(taken)
+
+    seconds(2_000)
+    assert seconds(80_000) < 10 * max(seconds(20_000), 0.1)
