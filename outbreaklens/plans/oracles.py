@@ -778,6 +778,27 @@ FROM split WHERE is_train""",
         "national",
     ),
     "csv_reports": _sql(f"SELECT nom, {KEY}, cumulative_confirmed_cases FROM clean_cases", "clean_cases"),
+    "csv_death_reports": _sql(f"SELECT nom, {KEY}, cumulative_confirmed_deaths FROM clean_deaths", "clean_deaths"),
+    "geojson_zones": _sql("SELECT * FROM health_zones", "health_zones"),
+    "appended_articles": _sql(
+        "SELECT 'DON' || CAST(page_id AS VARCHAR) AS name, length(article) AS n_chars FROM page_text", "page_text"
+    ),
+    "bulletin_file_stems": _sql("SELECT bulletin, bulletin AS stem FROM bulletins", "bulletins"),
+    "stored_probabilities": _sql(
+        f"SELECT {KEY}, round_even(days_since_first_case * 7919 % 1000 / 1000, 2) AS shown, "
+        "CAST(days_since_first_case * 7919 % 1000 >= 500 AS BIGINT) AS predicted FROM labelled",
+        "labelled",
+    ),
+    "stored_probabilities_confusion": _sql(
+        "SELECT CAST(label_next_7d_onset AS BIGINT) AS label, CAST(days_since_first_case * 7919 % 1000 >= 500 AS BIGINT) AS prediction, "
+        "COUNT(*) AS n FROM labelled GROUP BY 1, 2",
+        "labelled",
+    ),
+    "reloaded_models": _sql(
+        "SELECT model, COUNT(*) FILTER (WHERE NOT is_train) AS n_rows, 0::BIGINT AS changed "
+        "FROM split, (VALUES ('forest'), ('network')) v(model) GROUP BY model",
+        "split",
+    ),
     "roundtrip_json": _sql(
         """
 SELECT bulletin, 'count' AS part, pos, type AS name, CAST(value AS DOUBLE) AS number, context AS body FROM mentions

@@ -839,6 +839,95 @@ def csv_reports(spark, folder):
     return cleaning.clean_cases(readers.zone_cases(spark, paths["cases"]), readers.aliases(spark, paths["aliases"]))
 
 
+@query
+def csv_death_reports(spark, folder):
+    """Raw death reports and aliases written as CSV, read back as text and cleaned."""
+    paths = {name: _fresh_folder(spark, name) for name in ("deaths", "aliases")}
+    writers.write_csv(testviews.raw_deaths(spark, folder), paths["deaths"])
+    writers.write_csv(testviews.aliases(spark, folder), paths["aliases"])
+    return cleaning.clean_deaths(readers.zone_deaths(spark, paths["deaths"]), readers.aliases(spark, paths["aliases"]))
+
+
+@query
+def geojson_zones(spark, folder):
+    """The zones written as feature collections of some hundred features, and read back."""
+    path = _fresh_folder(spark, "geojson")
+    measure = lambda column, *names: F.struct(F.struct(F.col(column).alias(names[1])).alias(names[1])).alias(names[0])
+    properties = F.struct(
+        "nom",
+        "province",
+        measure("population_density", "worldpop", "pop_density"),
+        measure("healthsite_density", "grid3_healthsites", "healthsite_density"),
+        measure("gdp_per_capita", "gdp_pc", "gdp_pc"),
+    )
+    zones = testviews.health_zones(spark, folder)
+    files = max(1, zones.count() // 500)
+    feature = F.struct(F.lit("Feature").alias("type"), properties.alias("properties"))
+    collections = zones.groupBy(F.pmod(F.xxhash64("nom"), F.lit(files)).alias("part")).agg(F.collect_list(feature).alias("features"))
+    collections.withColumn("type", F.lit("FeatureCollection")).write.partitionBy("part").json(path)
+    return star.health_zones(readers.zone_features(spark, f"{path}/*/*.json"))
+
+
+@query
+def appended_articles(spark, folder):
+    """Articles of the pages fetched over plain http are stored; the others are appended."""
+    path = _fresh_folder(spark, "articles")
+    pages = readers.articles(testviews.pages(spark, folder))
+    named = pages.select(F.concat(F.lit("DON"), F.col("page_id").cast("string")).alias("name"), "url", "article")
+    first = named.where(F.col("url").startswith("http://")).withColumn("n_chars", F.length("article"))
+    writers.write_table(first, path)
+    writers.append_articles(named, checkpointed(spark.read.parquet(path).select("name")), path)
+    return spark.read.parquet(path).select("name", "n_chars")
+
+
+@query
+def bulletin_file_stems(spark, folder):
+    path = F.concat(F.lit("file:/raw/who.reports/"), F.col("bulletin"), F.lit(".txt"))
+    return testviews.bulletins(spark, folder).select("bulletin", t.file_stem(path).alias("stem"))
+
+
+def _stored_probabilities(spark: SparkSession, folder: str) -> DataFrame:
+    """Stand-in probabilities from the age of a zone, written and read back, with the class at one half."""
+    path = _fresh_folder(spark, "probabilities")
+    probability = (F.col("days_since_first_case") * 7919 % 1000 / 1000).alias("onset_probability")
+    writers.write_table(_labelled(spark, folder).select("nom_clean", "date", models.LABEL, probability), path)
+    return models.with_class(spark.read.parquet(path))
+
+
+@query
+def stored_probabilities(spark, folder):
+    rows = _stored_probabilities(spark, folder)
+    return rows.withColumn("shown", F.bround("onset_probability", 2)).select("nom_clean", "date", "shown", "predicted")
+
+
+@query
+def stored_probabilities_confusion(spark, folder):
+    return metrics.confusion_matrix(_stored_probabilities(spark, folder), models.LABEL, "predicted")
+
+
+@query
+def reloaded_models(spark, folder):
+    """Rows whose prediction changes when a model is saved and loaded: none."""
+    train, test = _train_and_test(spark, folder)
+    stats = anomaly.standardiser(train, models.FEATURES)
+    inputs = {"forest": test, "network": anomaly.standardise(test, stats, models.FEATURES)}
+    fitted = {"forest": models.train_forest(train, trees=20), "network": models.train_network(train, max_iterations=20)}
+    parts = []
+    for name, model in fitted.items():
+        path = _fresh_folder(spark, name)
+        models.save_model(model, path)
+        before = models.with_probability(model, inputs[name])
+        both = models.with_probability(models.load_model(path), before, "again")
+        parts.append(
+            both.agg(
+                F.lit(name).alias("model"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.count_if(~F.col("again").eqNullSafe(F.col("onset_probability"))).alias("changed"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def roundtrip_json(spark, folder):
     path = _fresh_folder(spark, "extractions")

@@ -22,7 +22,7 @@ def test_every_oracle_has_a_query():
 
 
 # Pages are read by the parser of the standard library, in Arrow batches.
-PARSED = {"html_article_text", "article_lengths", "html_page_forms"}
+PARSED = {"html_article_text", "article_lengths", "html_page_forms", "appended_articles"}
 # No join without keys, and no Python in the rows' way.
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "InPandas")
 
