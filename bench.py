@@ -48,7 +48,7 @@ def main() -> None:
     spark = build_session(
         "outbreaklens-bench",
         master=f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"},
+        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()
