@@ -6,29 +6,34 @@ from outbreaklens.llm.quality import STOP_WORDS
 
 _STOP = ", ".join(f"'{word}'" for word in sorted(set(STOP_WORDS)))
 
+
+def _window(n: int) -> str:
+    """The words from here on, joined by a blank; null where the text ends too early."""
+    return " || ' ' || ".join(["t", *[f"lead(t, {k}) OVER o" for k in range(1, n)]])
+
+
 _WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": f"""
 WITH w AS (
   SELECT doc_id, {_WORDS} AS words FROM documents
+), tokens AS (
+  SELECT doc_id, unnest(words) AS t, unnest(range(1, len(words) + 1)) AS k FROM w
 ), starts AS (
-  SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w
-), firsts AS (
-  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY list_aggregate(words[i:i + 12], 'string_agg', ' ')) AS least FROM starts
+  SELECT doc_id, k, {_window(13)} AS win FROM tokens WINDOW o AS (PARTITION BY doc_id ORDER BY k)
+), least AS (
+  SELECT win, min(doc_id) AS least FROM starts WHERE win IS NOT NULL GROUP BY win
 ), gone AS (
-  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM firsts WHERE least < doc_id
-), holes AS (
-  SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id
-), each AS (
-  SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS k FROM w
+  SELECT DISTINCT doc_id, unnest(range(k, k + 13)) AS k FROM starts JOIN least USING (win) WHERE least < doc_id
+), counted AS (
+  SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
 ), left_over AS (
-  SELECT e.doc_id, string_agg(e.words[e.k], ' ' ORDER BY e.k) AS t
-  FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.k = g.k WHERE g.k IS NULL GROUP BY e.doc_id
+  SELECT doc_id, string_agg(t, ' ' ORDER BY k) AS t FROM tokens ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id
 )
-SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(len(h.ks), 0)::BIGINT AS n_removed,
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_removed,
        sha256(coalesce(l.t, '')) AS kept_sha256
-FROM w LEFT JOIN holes h USING (doc_id) LEFT JOIN left_over l USING (doc_id)
+FROM w LEFT JOIN counted c USING (doc_id) LEFT JOIN left_over l USING (doc_id)
 """,
     "op2_warc_round_trip": """
 WITH p AS (
@@ -67,12 +72,14 @@ WITH w AS (
          list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM documents
+), tokens AS (
+  SELECT doc_id, unnest(words) AS t, unnest(range(1, len(words) + 1)) AS k FROM w
 ), starts AS (
-  SELECT doc_id, t, words, unnest(range(1, len(words) - 3)) AS i FROM w
-), wins AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, list_aggregate(words[i:i + 4], 'string_agg', ' ')) AS times FROM starts
+  SELECT doc_id, k, {_window(5)} AS win FROM tokens WINDOW o AS (PARTITION BY doc_id ORDER BY k)
+), twice AS (
+  SELECT doc_id, win FROM starts WHERE win IS NOT NULL GROUP BY doc_id, win HAVING count(*) > 1
 ), marked AS (
-  SELECT DISTINCT doc_id, unnest(range(i, i + 5)) AS k FROM wins WHERE times > 1
+  SELECT DISTINCT doc_id, unnest(range(k, k + 5)) AS k FROM starts JOIN twice USING (doc_id, win)
 ), covered AS (
   SELECT doc_id, count(*) AS n FROM marked GROUP BY doc_id
 ), counts AS (
