@@ -167,7 +167,8 @@ def score(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     plain = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
     coder = Coder(vocabulary(plain))
     chosen = targets(labels)
-    marked = plain.join(chosen, plain["id"] == chosen["target_id"], "left").select(
+    # The labels grow with the documents: a shuffle at every size, never a broadcast that a small table would get.
+    marked = plain.join(chosen.hint("merge"), plain["id"] == chosen["target_id"], "left").select(
         "text", F.col("target_id").isNotNull().alias("is_target")
     )
     models = df.sparkSession.sparkContext.broadcast((coder, *fit(marked, coder)))
