@@ -378,7 +378,8 @@ def remove_repeats(
         return F.pmod(F.xxhash64("id", digest_column), F.lit(blocks)).cast("int")
 
     ordered = F.coalesce("id", F.lit(int(NO_ID)))
-    first = (
+    # Stored, so that no aggregation stands between the join and its exchanges: AQE then splits a frequent text's rows.
+    first = checkpointed(
         keys.groupBy("digest").agg(F.min(ordered).alias("least"), F.max(ordered).alias("most")).where("least < most")
     )
     copies = (
