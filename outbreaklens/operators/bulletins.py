@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from outbreaklens.functions import text as t
 from outbreaklens.functions.display import severity_class
 from outbreaklens.session import checkpointed
+from outbreaklens.sources.schemas import EXTRACTION
 
+RECORD = T.StructType([field for field in EXTRACTION.fields if field.name in ("case_death_counts", "paragraph_severity")])
 BROADCAST_NAMES = 200_000
 FIRST_WORDS = 1_000  # up to so many, word runs are built only where a longer name can begin
 
@@ -30,13 +32,8 @@ def bulletin_paragraphs(bulletins: DataFrame) -> DataFrame:
     return bulletins.select("bulletin", F.posexplode(t.paragraphs(F.col("text"))).alias("pos", "paragraph"))
 
 
-def locations(bulletins: DataFrame, gazetteer: DataFrame, broadcast_names: int = BROADCAST_NAMES) -> DataFrame:
-    """Sorted distinct place names per bulletin; bulletins without one are absent.
-
-    Word runs become distinct within their text before they meet the gazetteer, so a frequent word
-    counts once per bulletin. A gazetteer of at most `broadcast_names` names is broadcast, so that
-    runs which name no place are dropped where they arise; a larger one takes part in a shuffle join.
-    """
+def _names_and_runs(gazetteer: DataFrame, broadcast_names: int) -> tuple[DataFrame, Column]:
+    """Gazetteer names by word run, and the distinct word runs of a text that can name one. Runs jobs on the gazetteer."""
     gram = F.array_join(t.word_tokens(F.col("name")), " ")
     names = checkpointed(gazetteer.select(gram.alias("gram"), "name").where(F.col("gram") != "").distinct())
     words = F.split("gram", " ")
@@ -47,27 +44,45 @@ def locations(bulletins: DataFrame, gazetteer: DataFrame, broadcast_names: int =
         first_words = [r[0] for r in starts] if len(starts) <= FIRST_WORDS else None
     if size["names"] <= broadcast_names:
         names = F.broadcast(names)
-    runs = t.word_grams(F.col("text"), size["words"] or 1, first_words)
+    return names, t.word_grams(F.col("text"), size["words"] or 1, first_words)
+
+
+def locations(bulletins: DataFrame, gazetteer: DataFrame, broadcast_names: int = BROADCAST_NAMES) -> DataFrame:
+    """Sorted distinct place names per bulletin; bulletins without one are absent.
+
+    Word runs become distinct within their text before they meet the gazetteer, so a frequent word
+    counts once per bulletin. A gazetteer of at most `broadcast_names` names is broadcast, so that
+    runs which name no place are dropped where they arise; a larger one takes part in a shuffle join.
+    """
+    names, runs = _names_and_runs(gazetteer, broadcast_names)
     grams = bulletins.select("bulletin", F.explode(runs).alias("gram"))
     return grams.join(names, "gram").groupBy("bulletin").agg(
         F.array_sort(F.collect_set("name")).alias("locations_mentioned")
     )
 
 
-def extract(bulletins: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """The stored record of every bulletin."""
-    places = locations(bulletins, gazetteer)
-    judged = bulletins.select(
-        "bulletin",
+def extract(bulletins: DataFrame, gazetteer: DataFrame, broadcast_names: int = BROADCAST_NAMES) -> DataFrame:
+    """The stored record of every bulletin.
+
+    One scan of the texts: each gives a row with its counts and paragraphs, and a row for every word run, of which
+    only place names are left. One aggregation brings them together.
+    """
+    names, runs = _names_and_runs(gazetteer, broadcast_names)
+    record = F.struct(
         t.count_mentions(F.col("text")).alias("case_death_counts"),
         t.paragraph_severity(F.col("text")).alias("paragraph_severity"),
     )
-    none = F.array().cast("array<string>")
-    return judged.join(places, "bulletin", "left").select(
-        "bulletin",
-        F.coalesce("locations_mentioned", none).alias("locations_mentioned"),
-        "case_death_counts",
-        "paragraph_severity",
+    no_record = F.lit(None).cast(RECORD)
+    rows = F.concat(
+        F.array(F.struct(F.lit(None).cast("string").alias("gram"), record.cast(RECORD).alias("record"))),
+        F.transform(runs, lambda run: F.struct(run.alias("gram"), no_record.alias("record"))),
+    )
+    told = bulletins.select("bulletin", F.explode(rows).alias("row")).select("bulletin", "row.gram", "row.record")
+    placed = told.join(names, "gram", "left").where(F.col("record").isNotNull() | F.col("name").isNotNull())
+    return (
+        placed.groupBy("bulletin")
+        .agg(F.array_sort(F.collect_set("name")).alias("locations_mentioned"), F.first("record", ignorenulls=True).alias("record"))
+        .select("bulletin", "locations_mentioned", "record.case_death_counts", "record.paragraph_severity")
     )
 
 
