@@ -9,8 +9,8 @@ document with a smaller id; windows are judged on the input, not on what is left
 The tables move in packed blocks of about `BLOCK_BYTES` of text, dealt by a hash of id and text, so that no source,
 copy group or passage is dealt together. Copies of a whole text are settled by their digest. A window can only
 repeat in another block if the least hash of its five-word runs does, so only those suffixes are sent, each once
-a block, and a frequent passage makes at most one row a block and window. Equality in a tree is that of all
-words' codes and of a 64-bit fingerprint.
+a block, and a frequent passage makes at most one row a block and window. A suffix travels as 16-bit codes of its
+words, which order the tree, and a 64-bit fingerprint over all of them; equality is that of both, 272 bits.
 
 Ids that repeat are not smaller than each other. A null id counts as larger than any other. A null text has no words.
 Texts of fewer than `WINDOW` words stay as they are. A single text has to fit into one task.
@@ -240,7 +240,7 @@ def suffixes(packed: DataFrame, notes: DataFrame, heavy: np.ndarray, buckets: in
             if not longer.any():
                 break
             prefix[longer] = grams(hashes, level)[at[longer]]
-        codes = (hashes >> np.uint64(32)).astype(np.uint32)
+        codes = (hashes >> np.uint64(48)).astype(np.uint16)
         number, rows = key[0].as_py(), []
         for bucket, part in _dealt(mixed(prefix), buckets):
             matrix = codes[at[part][None, :] + np.arange(WINDOW)[:, None]]  # one row per depth
@@ -280,7 +280,7 @@ def removals(sent: DataFrame) -> DataFrame:
             n = int.from_bytes(data[:8], "little")
             prints.append(np.frombuffer(data, np.uint64, n, 8))
             ids.append(np.frombuffer(data, np.int64, n, 8 + 8 * n))
-            codes.append(np.frombuffer(data, np.uint32, n * WINDOW, 8 + 16 * n).reshape(WINDOW, n))
+            codes.append(np.frombuffer(data, np.uint16, n * WINDOW, 8 + 16 * n).reshape(WINDOW, n))
             sizes.append(n)
         prints, ids = np.concatenate(prints), np.concatenate(ids)
         tree = Subtree(np.concatenate(codes, axis=1), prints)
