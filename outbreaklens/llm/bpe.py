@@ -16,6 +16,7 @@ import re
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column, DataFrame
@@ -54,8 +55,20 @@ def encode_text(encoding: tiktoken.Encoding, text: str | None, size: int = PIECE
     return [i for piece in pieces(text, size) for i in encoding.encode_ordinary(piece)]
 
 
-def _id_lists(lists: list[list[int]]) -> pa.Array:
-    return pa.array(lists, pa.list_(pa.int32()))
+def _encoded(encoding: tiktoken.Encoding, texts: pa.Array, decoded: list[bytes] | None = None) -> pa.Array:
+    """Id lists of a batch; `decoded` takes the bytes of each list.
+
+    Text by text, four bytes an id: a batch never stands in memory as Python numbers.
+    """
+    parts, ends = [], [0]
+    for text in texts:
+        ids = encode_text(encoding, text.as_py())
+        parts.append(np.array(ids, np.int32))
+        ends.append(ends[-1] + len(ids))
+        if decoded is not None:
+            decoded.append(encoding.decode_bytes(ids))
+    values = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
 
 def encode(text: Column | str, rank_file: str, pattern: str) -> Column:
@@ -63,8 +76,7 @@ def encode(text: Column | str, rank_file: str, pattern: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
-        encoding = tokenizer(rank_file, pattern)
-        return _id_lists([encode_text(encoding, text) for text in texts.to_pylist()])
+        return _encoded(tokenizer(rank_file, pattern), texts)
 
     return run(text)
 
@@ -75,7 +87,7 @@ def decode(ids: Column | str, rank_file: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def run(lists: pa.Array) -> pa.Array:
         encoding = tokenizer(rank_file, pattern)
-        return pa.array([encoding.decode_bytes(one or []) for one in lists.to_pylist()], pa.binary())
+        return pa.array([encoding.decode_bytes(one.as_py() or []) for one in lists], pa.binary())
 
     return run(ids)
 
@@ -85,10 +97,9 @@ def round_trip(text: Column | str, rank_file: str, pattern: str) -> Column:
 
     @F.arrow_udf(ENCODED)
     def run(texts: pa.Array) -> pa.Array:
-        encoding = tokenizer(rank_file, pattern)
-        ids = [encode_text(encoding, text) for text in texts.to_pylist()]
-        decoded = pa.array([encoding.decode_bytes(one) for one in ids], pa.binary())
-        return pa.StructArray.from_arrays([_id_lists(ids), decoded], ["ids", "decoded"])
+        decoded: list[bytes] = []
+        ids = _encoded(tokenizer(rank_file, pattern), texts, decoded)
+        return pa.StructArray.from_arrays([ids, pa.array(decoded, pa.binary())], ["ids", "decoded"])
 
     return run(text)
 
