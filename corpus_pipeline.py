@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outbreaklens.llm import bpe, langid, mixing, simhash, substrings, warc
+from outbreaklens.llm.batches import bound_batches
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 ROW_KEY = "__row_key"
@@ -30,6 +31,7 @@ def _row_key(docs: DataFrame) -> Column:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a clear margin; the others go."""
+    bound_batches(spark)
     model = langid.fit(docs.where(~langid.held_out()))
     judged = docs.withColumn(ADDED, langid.predict("text", model))
     return judged.where(~F.col(f"{ADDED}.rejected")).drop(ADDED)
@@ -37,6 +39,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of every group linked by SimHash fingerprints."""
+    bound_batches(spark)
     keyed = docs.withColumn(ROW_KEY, _row_key(docs))
     found = simhash.near_duplicates(keyed, ROW_KEY)
     first = found.select(F.col("component_id").alias(ADDED)).distinct()
@@ -50,6 +53,7 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a document of a smaller id holds; those left empty by that go."""
+    bound_batches(spark)
     others = [field for field in docs.schema.fields if field.name not in ("doc_id", "text", "n_chars")]
     carry = F.to_json(F.struct(*[F.col(f"`{field.name}`") for field in others])) if others else F.lit("")
     found = substrings.remove_repeats(docs, carry=carry).where("n_removed = 0 or n_removed < n_words")
@@ -81,6 +85,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids, and the digest of the bytes decoded from them."""
+    bound_batches(spark)
     coded = docs.withColumn(ADDED, bpe.round_trip("text", RANK_FILE, public_tokenizers.PATTERN))
     return coded.select(
         *[F.col(f"`{name}`") for name in docs.columns],

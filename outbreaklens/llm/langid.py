@@ -16,7 +16,7 @@ could be learned. Rows without text or language teach nothing.
 
 from __future__ import annotations
 
-from functools import cache
+from functools import lru_cache
 
 import pyarrow as pa
 import zstandard
@@ -98,7 +98,7 @@ def _model(sample: dict[str, list[str]], dictionary_bytes: int) -> Model:
     return tuple((name, joined[name]) for name in sorted(joined) if joined[name])
 
 
-@cache
+@lru_cache(maxsize=2)
 def _compressors(model: Model, level: int) -> list[tuple[str, zstandard.ZstdCompressor]]:
     found = []
     for name, content in model:

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outbreaklens.llm import bpe, langid, lmscore, mixing, quality, sharding, simhash, substrings, topk, warc
+from outbreaklens.llm.batches import bound_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 
-SLICE = 1 << 20
+SLICE = 1 << 17
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -42,14 +42,14 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A polynomial of the bytes of every span, from differences of one running sum."""
-    up, down = _powers(1 << max(20, (len(data) - 1).bit_length()))
+    up, down = _powers(1 << max(18, (len(data) - 1).bit_length()))
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
     return mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
 def words(texts: list[bytes]) -> Words:
-    """Words of the texts joined by one space, in slices of about a megabyte that end at white space."""
+    """Words of the texts joined by one space, in slices of `SLICE` bytes that end at white space."""
     joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     gaps = SPACE[joined]
     edges = np.flatnonzero(gaps[1:] != gaps[:-1]) + 1
