@@ -1,14 +1,16 @@
 """Language-model scores by cross-entropy difference.
 
-Two bigram models of the same form share one vocabulary: the `VOCABULARY` most frequent words of the whole corpus
-at most, all other words being one unknown word. The background model counts every document, the target model the
-documents marked as target. A document's score is its loss per token under the target model minus that under the
-background model: the lower, the more it reads like the target.
+Two bigram models of the same form share one vocabulary: every word of the whole corpus. The background model counts
+every document, the target model the documents marked as target. A document's score is its loss per token under the
+target model minus that under the background model: the lower, the more it reads like the target.
 
-A model is a table of `CELLS` cells for word pairs, shared by hash, and of word counts. Both are bounded, whatever
-the corpus; the counts they hold, and the word counts that choose the vocabulary, come from all of it.
+The counts are exact for every word and every pair of words, told apart by 64-bit hashes of the words. Frequent ones,
+at most `VOCABULARY` words and `HELD_PAIRS` pairs, are counted by every task for itself, and their sums are held by
+every task. All other pairs travel as rows of (document, word, word before) and meet in the partition of the pair or,
+when the word is not held, of the word; there they are counted and scored, and losses are added up by document. Which
+words and pairs are held decides where something is counted, never what comes out but for the last digits of a sum.
 
-P(w | v) = (pairs(v, w) + PRIOR * P(w)) / (words(v) + PRIOR), P(w) = (words(w) + 1) / (all words + vocabulary).
+P(w | v) = (pairs(v, w) + PRIOR * P(w)) / (words(v) + PRIOR), P(w) = (words(w) + 1) / (all words + vocabulary + 1).
 
 A document without words scores 0 with both losses 0. Null texts have no words. Labels of one id are combined: a
 target needs quality 1 on all and toxic on none. Repeated rows count and score as often as they stand there.
@@ -17,23 +19,35 @@ target needs quality 1 on all and toxic on none. Repeated rows count and score a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outbreaklens.llm.wordhash import mixed, words
+from outbreaklens.session import checkpointed
 
-VOCABULARY = 1 << 16
-CELLS = 1 << 20
+VOCABULARY = 1 << 16  # words held by every task
+HELD_PAIRS = 1 << 18  # pairs held by every task
+OFTEN = 4  # times that a pair to be held stands in some slice of texts
+CELLS = (1 << 64) - 1  # keys by which pairs are dealt
 PRIOR = 50.0
 BATCH_TEXT = 4 << 20
-FINE = 16  # steps of word counts per power of two, when the vocabulary is cut
-
-COUNTS = "cell long, background long, target long"
-SCORES = "id long, n_tokens long, target_loss double, background_loss double"
+MEETING_ROWS = 200_000
+FINE = 16  # steps of counts per power of two, when the most frequent are taken
+
+COUNTS = "place long, background long, target long"
+ROWS = (
+    "row long, id long, n_tokens long, target_loss double, background_loss double,"
+    " key long, word int, before long, n int, after int, own boolean"
+)
+ROW_NAMES = [field.split()[0] for field in ROWS.split(",")]
+LOSSES = "row long, id long, n_tokens long, target_loss double, background_loss double"
 _PAIR = np.uint64(0x9FB21C651E98DF25)
+_START = np.uint64(0x5851F42D4C957F2D)
 
 
 def _slices(texts: list[str | None]) -> Iterator[tuple[int, int, list[bytes]]]:
@@ -49,11 +63,8 @@ def _slices(texts: list[str | None]) -> Iterator[tuple[int, int, list[bytes]]]:
         yield low, len(texts), held
 
 
-def vocabulary(texts: DataFrame, text: str = "text", most: int = VOCABULARY) -> np.ndarray:
-    """Sorted hashes of the most frequent words of the corpus, words of equal frequency in or out together.
-
-    Words are counted by hash over all texts. A histogram of the counts, of at most 64 * FINE rows, tells where to cut.
-    """
+def _word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
+    """(item, n) of every word of the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -61,10 +72,18 @@ def vocabulary(texts: DataFrame, text: str = "text", most: int = VOCABULARY) ->
             if parts:
                 word, n = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"]
+                    [pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["item", "n"]
                 )
 
-    counts = texts.select(text).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = texts.select(text).mapInArrow(run, "item long, n long").groupBy("item").agg(F.sum("n").alias("n"))
+    return checkpointed(counts)
+
+
+def _most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, int]:
+    """At most `most` items of (item, n), those of equal frequency in or out together, and the number of all items.
+
+    A histogram of the counts, of at most 64 * FINE rows, tells where to cut.
+    """
     step = F.floor(F.log2("n") * FINE)
     steps = counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
     lowest, total = None, 0
@@ -73,14 +92,30 @@ def vocabulary(texts: DataFrame, text: str = "text", most: int = VOCABULARY) ->
         if total > most:
             break
         lowest = row["step"]
+    everything = sum(row["count"] for row in steps)
     if lowest is None:
-        return np.zeros(0, np.uint64)
-    chosen = counts.where(step >= lowest).select("word").toArrow().column("word").to_numpy()
-    return np.sort(chosen.view(np.uint64))
+        return np.zeros(0, np.int64), everything
+    return counts.where(step >= lowest).select("item").toArrow().column("item").to_numpy(), everything
+
+
+def vocabulary(texts: DataFrame, text: str = "text", most: int = VOCABULARY) -> np.ndarray:
+    """Sorted hashes of the most frequent words of the corpus, words of equal frequency in or out together."""
+    return np.sort(_most_frequent(_word_counts(texts, text), most)[0].view(np.uint64))
+
+
+class Tokens(NamedTuple):
+    """Hash and number of the word and of the word before, text number and whether a word follows, of every token."""
+
+    word: np.ndarray
+    before: np.ndarray
+    number: np.ndarray
+    number_before: np.ndarray
+    text: np.ndarray
+    followed: np.ndarray
 
 
 class Coder:
-    """Words to vocabulary numbers and cells; number 0 is the unknown word, the last the start of a text."""
+    """Words to numbers; number 0 is a word that is not held, the last the start of a text."""
 
     def __init__(self, known: np.ndarray) -> None:
         self.known, self.size = known, len(known) + 2
@@ -92,63 +127,223 @@ class Coder:
         at[at == len(self.known)] = 0
         return np.where(self.known[at] == hashes, at + 1, 0)
 
-    def coded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Word, word before, cell of the pair and text number of every token."""
+    def coded(self, texts: list[bytes]) -> Tokens:
         found = words(texts)
-        word = self.numbers(found.hashes)
-        before = np.empty_like(word)
-        before[1:] = word[:-1]
-        first = np.concatenate([[True], found.text[1:] != found.text[:-1]]) if len(word) else np.zeros(0, bool)
-        before[first] = self.size - 1
-        pair = mixed(before.astype(np.uint64) * _PAIR + word.astype(np.uint64))
-        return word, before, (pair % np.uint64(CELLS)).astype(np.int64), found.text
+        word, number = found.hashes, self.numbers(found.hashes)
+        first, followed = np.ones(len(word), bool), np.zeros(len(word), bool)
+        first[1:] = found.text[1:] != found.text[:-1]
+        followed[:-1] = ~first[1:]
+        before, number_before = np.roll(word, 1), np.roll(number, 1)
+        before[first], number_before[first] = _START, self.size - 1
+        return Tokens(word, before, number, number_before, found.text, followed)
+
 
+class Held(NamedTuple):
+    """Words and pairs of held words that every task holds; `distinct` words are in the corpus."""
 
-def counts(df: DataFrame, coder: Coder) -> DataFrame:
-    """(cell, background, target) over all texts of (text, is_target): pair cells, then words as CELLS + number.
+    coder: Coder
+    pairs: np.ndarray
+    distinct: int
 
-    Every task adds up its own texts before anything is shuffled.
+    def places(self, tokens: Tokens) -> np.ndarray:
+        """Number of each token's pair, -1 for a pair that is not held."""
+        if not len(self.pairs):
+            return np.full(len(tokens.word), -1)
+        code = tokens.number_before * self.coder.size + tokens.number
+        at = np.searchsorted(self.pairs, code)
+        at[at == len(self.pairs)] = 0
+        return np.where((self.pairs[at] == code) & (tokens.number > 0) & (tokens.number_before > 0), at, -1)
+
+
+def frequent_pairs(texts: DataFrame, coder: Coder, most: int = HELD_PAIRS) -> np.ndarray:
+    """Sorted codes of pairs of held words that stand `OFTEN` times in some slice of texts, the most frequent of them."""
+    shared = texts.sparkSession.sparkContext.broadcast(coder)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = shared.value
+        for batch in batches:
+            for _, _, held in _slices(batch.column(0).to_pylist()):
+                tokens = coder.coded(held)
+                both = (tokens.number > 0) & (tokens.number_before > 0)
+                code, n = np.unique((tokens.number_before * coder.size + tokens.number)[both], return_counts=True)
+                often = n >= OFTEN
+                yield pa.RecordBatch.from_arrays([pa.array(code[often]), pa.array(n[often].astype(np.int64))], ["item", "n"])
+
+    counts = texts.select("text").mapInArrow(run, "item long, n long").groupBy("item").agg(F.sum("n").alias("n"))
+    return np.sort(_most_frequent(checkpointed(counts), most)[0])
+
+
+def counts(df: DataFrame, held: Held) -> DataFrame:
+    """(place, background, target) over all texts of (text, is_target): words by number, then held pairs.
+
+    Number 0 counts all words that are not held. Every task adds up its own texts before anything is shuffled.
     """
+    shared = df.sparkSession.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros((2, CELLS + coder.size), np.int64)
+        kept = shared.value
+        size = kept.coder.size
+        tables = np.zeros((2, size + len(kept.pairs)), np.int64)
         for batch in batches:
             target = np.array(batch.column(1).to_pylist(), bool)
-            for low, high, held in _slices(batch.column(0).to_pylist()):
-                word, before, cell, text = coder.coded(held)
-                own = target[low:high][text]
-                for table, mask in zip(tables, (slice(None), own)):
-                    np.add.at(table, cell[mask], 1)
-                    np.add.at(table, CELLS + word[mask], 1)
-                    np.add.at(table, CELLS + before[mask][before[mask] == coder.size - 1], 1)
+            for low, high, texts in _slices(batch.column(0).to_pylist()):
+                tokens = kept.coder.coded(texts)
+                place, own = kept.places(tokens), target[low:high][tokens.text]
+                for table, mask in zip(tables, (np.ones(len(own), bool), own)):
+                    table[:size] += np.bincount(tokens.number[mask], minlength=size)
+                    table[size - 1] += np.count_nonzero(tokens.number_before[mask] == size - 1)
+                    table[size:] += np.bincount(place[mask & (place >= 0)], minlength=len(kept.pairs))
         seen = np.flatnonzero(tables[0])
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(tables[0][seen]), pa.array(tables[1][seen])], ["cell", "background", "target"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen), pa.array(tables[0][seen]), pa.array(tables[1][seen])], ["place", "background", "target"]
+        )
 
     parts = df.select("text", "is_target").mapInArrow(run, COUNTS)
-    return parts.groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+    return parts.groupBy("place").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
 
 
 class Model:
-    """Log losses of one model; the start of a text counts as a word before, never as a word."""
+    """Losses of one model; the start of a text counts as a word before, never as a word."""
+
+    def __init__(self, table: np.ndarray, held: Held) -> None:
+        size = held.coder.size
+        self.words, self.pairs = table[:size], table[size:]
+        self.all = self.words[: size - 1].sum() + held.distinct + 1
+        self.single = (self.words + 1) / self.all
+
+    def pair_loss(self, pairs: np.ndarray, single: np.ndarray) -> np.ndarray:
+        return -np.log(pairs + PRIOR * single)
 
-    def __init__(self, table: np.ndarray, size: int) -> None:
-        self.pairs, self.words = table[:CELLS], table[CELLS:]
-        total = self.words[: size - 1].sum()
-        self.single = (self.words + 1) / (total + size - 1)
+    def before_loss(self, words: np.ndarray) -> np.ndarray:
+        return np.log(words + PRIOR)
 
-    def loss(self, word: np.ndarray, before: np.ndarray, cell: np.ndarray) -> np.ndarray:
-        # Cells are shared, so a pair counts at most as often as its first word.
-        seen = np.minimum(self.pairs[cell], self.words[before])
-        return -np.log((seen + PRIOR * self.single[word]) / (self.words[before] + PRIOR))
+    def held_loss(self, tokens: Tokens, place: np.ndarray, texts: int) -> np.ndarray:
+        """What the held counts tell of the losses of `texts` texts."""
+        known, seen = tokens.number_before > 0, place >= 0
+        before = self.before_loss(self.words[tokens.number_before[known]])
+        pair = self.pair_loss(self.pairs[place[seen]], self.single[tokens.number[seen]])
+        found = np.bincount(tokens.text[known], before, texts) + np.bincount(tokens.text[seen], pair, texts)
+        return found.astype(float)  # counts of nothing are whole numbers
 
 
-def fit(df: DataFrame, coder: Coder) -> tuple[Model, Model]:
-    """Target and background model of (text, is_target); at most CELLS plus vocabulary rows reach the driver."""
-    table = counts(df, coder).toArrow()
-    both = np.zeros((2, CELLS + coder.size), np.int64)
+def fit(df: DataFrame, held: Held) -> tuple[Model, Model]:
+    """Held counts of target and background model of (text, is_target); only these reach the driver."""
+    table = counts(df, held).toArrow()
+    both = np.zeros((2, held.coder.size + len(held.pairs)), np.int64)
     for row, name in zip(both, ("target", "background")):
-        row[table.column("cell").to_numpy()] = table.column(name).to_numpy()
-    return Model(both[0], coder.size), Model(both[1], coder.size)
+        row[table.column("place").to_numpy()] = table.column(name).to_numpy()
+    return Model(both[0], held), Model(both[1], held)
+
+
+def _first_of_runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of rows equal in all columns begins."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([column[1:] != column[:-1] for column in columns])
+    return np.flatnonzero(new)
+
+
+def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum of its run for every row."""
+    return np.repeat(np.add.reduceat(values, starts), np.diff(np.append(starts, len(values))))
+
+
+def scattered(df: DataFrame, shared: Broadcast) -> DataFrame:
+    """A row per document of (row, id, text, is_target) with its held losses, and one per pair in it that is not held.
+
+    `after` counts how often a word that is not held has a word behind it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, models = shared.value
+        for batch in batches:
+            rows, ids = batch.column(0).to_numpy(), batch.column(1)
+            target = np.array(batch.column(3).to_pylist(), bool)
+            for low, high, texts in _slices(batch.column(2).to_pylist()):
+                tokens = held.coder.coded(texts)
+                place, size = held.places(tokens), high - low
+                zeros = np.zeros(size, np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(rows[low:high]),
+                        ids.slice(low, size),
+                        pa.array(np.bincount(tokens.text, minlength=size).astype(np.int64)),
+                        *(pa.array(model.held_loss(tokens, place, size)) for model in models),
+                        pa.array(mixed(rows[low:high].astype(np.uint64)).view(np.int64)),
+                        pa.array(zeros - 1),
+                        pa.array(zeros.astype(np.int64)),
+                        pa.array(zeros),
+                        pa.array(zeros),
+                        pa.array(zeros > 0),
+                    ],
+                    ROW_NAMES,
+                )
+                rest = np.flatnonzero(place < 0)
+                if not len(rest):
+                    continue
+                rest = rest[np.lexsort((tokens.before[rest], tokens.word[rest], tokens.text[rest]))]
+                starts = _first_of_runs(tokens.text[rest], tokens.word[rest], tokens.before[rest])
+                one = rest[starts]
+                word, before, number, text = tokens.word[one], tokens.before[one], tokens.number[one], tokens.text[one]
+                key = np.where(number > 0, mixed(before * _PAIR + word) % np.uint64(CELLS), word)
+                nothing = np.zeros(len(one))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(rows[low:high][text]),
+                        pa.nulls(len(one), pa.int64()),
+                        pa.nulls(len(one), pa.int64()),
+                        pa.array(nothing),
+                        pa.array(nothing),
+                        pa.array(key.view(np.int64)),
+                        pa.array(number.astype(np.int32)),
+                        pa.array(before.view(np.int64)),
+                        pa.array(np.diff(np.append(starts, len(rest))).astype(np.int32)),
+                        pa.array(np.add.reduceat(tokens.followed[rest].astype(np.int32), starts).astype(np.int32)),
+                        pa.array(target[low:high][text]),
+                    ],
+                    ROW_NAMES,
+                )
+
+    return df.select("row", "id", "text", "is_target").mapInArrow(run, ROWS)
+
+
+
+def _met(table: pa.Table, models: tuple[Model, Model]) -> pa.RecordBatch:
+    """Losses of sorted rows that hold every row of their keys."""
+    of = {name: table.column(name).to_numpy() for name in ("target_loss", "background_loss", *ROW_NAMES[5:])}
+    by_word = _first_of_runs(of["key"], of["word"])
+    by_pair = _first_of_runs(of["key"], of["word"], of["before"])
+    n, after, word = of["n"].astype(np.int64), of["after"], of["word"]
+    losses = []
+    for model, mine, base in zip(models, (n * of["own"], n), (of["target_loss"], of["background_loss"])):
+        own_words = _sums(mine, by_word)
+        single = np.where(word > 0, model.single[np.maximum(word, 0)], (own_words + 1) / model.all)
+        losses.append(base + n * model.pair_loss(_sums(mine, by_pair), single) + after * (word == 0) * model.before_loss(own_words))
+    columns = [pa.concat_arrays(table.column(name).chunks) for name in ROW_NAMES[:3]]
+    return pa.RecordBatch.from_arrays([*columns, *map(pa.array, losses)], ROW_NAMES[:5])
+
+
+def met(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    """Losses of the rows of `scattered`: the rows of a key meet in one partition, sorted, and are counted there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = shared.value[1]
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size < MEETING_ROWS or not batch.num_rows:
+                continue
+            table = pa.Table.from_batches(held)
+            key = table.column("key").to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
+            if cut:
+                yield _met(table.slice(0, cut), models)
+            held, size = table.slice(cut).to_batches(), (len(table) - cut if cut else 0)
+        if sum(batch.num_rows for batch in held):
+            yield _met(pa.Table.from_batches(held), models)
+
+    return rows.repartition("key").sortWithinPartitions("key", "word", "before").mapInArrow(run, LOSSES)
 
 
 def targets(labels: DataFrame) -> DataFrame:
@@ -164,31 +359,24 @@ def targets(labels: DataFrame) -> DataFrame:
 
 def score(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Losses and score of every row of `df`; the models are fitted on all of it."""
-    plain = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    coder = Coder(vocabulary(plain))
+    plain = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    known, distinct = _most_frequent(_word_counts(plain), VOCABULARY)
+    coder = Coder(np.sort(known.view(np.uint64)))
+    held = Held(coder, frequent_pairs(plain, coder, HELD_PAIRS), distinct)
     chosen = targets(labels)
     # The labels grow with the documents: a shuffle at every size, never a broadcast that a small table would get.
     marked = plain.join(chosen.hint("merge"), plain["id"] == chosen["target_id"], "left").select(
-        "text", F.col("target_id").isNotNull().alias("is_target")
+        F.monotonically_increasing_id().alias("row"), "id", "text", F.col("target_id").isNotNull().alias("is_target")
+    )
+    shared = df.sparkSession.sparkContext.broadcast((held, fit(marked, held)))
+    losses = met(scattered(marked, shared), shared)
+    per_token = [F.sum(name) / F.greatest(F.max("n_tokens"), F.lit(1)) for name in ("target_loss", "background_loss")]
+    scored = losses.groupBy("row").agg(
+        F.max("id").alias("id"),
+        F.max("n_tokens").alias("n_tokens"),
+        per_token[0].alias("target_loss"),
+        per_token[1].alias("background_loss"),
     )
-    models = df.sparkSession.sparkContext.broadcast((coder, *fit(marked, coder)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coded_by, target, background = models.value
-        for batch in batches:
-            for low, high, held in _slices(batch.column(1).to_pylist()):
-                word, before, cell, owner = coded_by.coded(held)
-                n = np.bincount(owner, minlength=len(held))
-                losses = [
-                    np.bincount(owner, model.loss(word, before, cell), len(held)) / np.maximum(n, 1)
-                    for model in (target, background)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(n.astype(np.int64)), *map(pa.array, losses)],
-                    ["id", "n_tokens", "target_loss", "background_loss"],
-                )
-
-    scored = plain.select(F.col("id").cast("long"), "text").mapInArrow(run, SCORES)
     return scored.select(
         F.col("id").alias(key),
         "n_tokens",

@@ -91,3 +91,53 @@ def test_edges(spark):
         assert all(map(math.isfinite, r[2:])) and (r["n_tokens"] or r["score"] == 0)
     assert lmscore.score(df.limit(0), labels).collect() == []
     assert lmscore.score(df, labels.limit(0)).count() == len(rows)
+
+
+def exact(rows, good):
+    """Scores over all words and pairs themselves, with nothing hashed or left out."""
+    texts = [(i, WORD.findall(text or "")) for i, text in rows]
+    known = {w for _, own in texts for w in own}
+
+    def model(chosen):
+        single, pairs = Counter(), Counter()
+        for own in chosen:
+            single.update(own + [None] * bool(own))
+            pairs.update(zip([None, *own], own))
+        total = sum(n for w, n in single.items() if w is not None)
+
+        def loss(before, word):
+            p1 = (single[word] + 1) / (total + len(known) + 1)
+            return -math.log((pairs[before, word] + lmscore.PRIOR * p1) / (single[before] + lmscore.PRIOR))
+
+        return loss
+
+    models = [model([own for i, own in texts if i in good]), model([own for _, own in texts])]
+    for i, own in texts:
+        losses = [sum(m(a, b) for a, b in zip([None, *own], own)) / max(len(own), 1) for m in models]
+        yield i, len(own), *losses, losses[0] - losses[1]
+
+
+def check_exact(spark, rows, good):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in good] or [(None, 1, 0)], LABELS)
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], round(r[4], 6))
+    want, found = sorted(exact(rows, good), key=order), sorted(lmscore.score(df.repartition(5), labels).collect(), key=order)
+    assert len(found) == len(want)
+    for r, w in zip(found, want):
+        assert r[0] == w[0] and tuple(r[1:]) == pytest.approx(w[1:], rel=1e-9, abs=1e-9)
+
+
+def test_more_words_than_are_held(spark):
+    rows = [(i, " ".join(f"w{(i * 300 + j) % 70_000} the of" for j in range(300))) for i in range(280)]
+    rows += [(None, "the of w1 w2"), (3, "w5 w5 w5"), (3, "w5 w5 w5"), (900, None), (901, "")]
+    check_exact(spark, rows, {i for i in range(280) if i % 3 == 0})
+
+
+@pytest.mark.parametrize("held_words, held_pairs", [(0, 0), (50, 0), (50, 20), (1 << 16, 1 << 18)])
+def test_what_is_held_does_not_change_scores(spark, monkeypatch, held_words, held_pairs):
+    monkeypatch.setattr(lmscore, "VOCABULARY", held_words)
+    monkeypatch.setattr(lmscore, "HELD_PAIRS", held_pairs)
+    monkeypatch.setattr(lmscore, "MEETING_ROWS", 100)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).collect()
+    rows = [(r["doc_id"], r["text"]) for r in docs]
+    check_exact(spark, rows + rows[:2], {i for i, _ in rows[::3]})
