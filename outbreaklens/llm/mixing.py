@@ -4,7 +4,8 @@ The words of a source, document after document in a pseudorandom order, are pack
 The mix is a number of slots, dealt over output shards; every slot of a shard draws its source, so the source
 counts of a shard are multinomial. Draws beyond a source's whole number of slots pass to sources that drew too
 few, which makes the totals exact. The slots of a source, counted over all shards, are mapped to its blocks by a
-pseudorandom permutation for every pass over the source, and blocks are joined by index.
+pseudorandom permutation for every pass over the source, and blocks are joined by index: `shards` has the words of
+every slot of every shard, piece by piece with the row they come from, and `mix` adds up these pieces by row.
 
 Targets: weights repeat over the sources in code point order, null last. The sources share `share` times all
 words by weight, no source gets more than `cap` times its words, and what is cut off goes to the others by weight.
@@ -33,6 +34,7 @@ CELLS = 4096
 PACK_ROWS = 50_000
 SMALL_SOURCES = 10_000  # a table of so many sources is broadcast
 SEED = 42
+IDENTITY = ["sid", "part", "tie", "key", "source", "size", "source_size", "target"]
 # Primes above any number of blocks, so that each is a step through all blocks.
 STEPS = (2305843009213693951, 1152921504606846883, 576460752303423619, 288230376151711717)
 
@@ -135,9 +137,9 @@ def slots(sources: DataFrame, total: int) -> DataFrame:
 
 
 def packed(rows: DataFrame, n_rows: int) -> DataFrame:
-    """Rows (sid, key, size) with the place of their first word in their source."""
+    """Rows (sid, key, size, mark) with the place of their first word in their source; `mark` orders rows of one key."""
     parts = rows.withColumn("part", _uniform(F.lit(max(1, math.ceil(n_rows / PACK_ROWS))), F.col("key")))
-    inside = Window.partitionBy("sid", "part").orderBy(F.xxhash64("key"), "key", "size")
+    inside = Window.partitionBy("sid", "part").orderBy(F.xxhash64("key"), "key", "size", "mark")
     before = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         parts.groupBy("sid", "part")
@@ -155,22 +157,18 @@ def packed(rows: DataFrame, n_rows: int) -> DataFrame:
     )
 
 
-def mix(
-    df: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    weights=WEIGHTS,
-    share: float = SHARE,
-    cap: float = CAP,
-    block: int = BLOCK,
-) -> DataFrame:
-    """For every row of `df` its size, its source's size and target, and the words the mix takes of it."""
+def _laid_out(
+    df: DataFrame, key: str, text: str, source: str, weights, share: float, cap: float, block: int, content: bool
+) -> tuple[DataFrame, DataFrame]:
+    """The packed rows of `df`, and a row for every piece of a row in a slot of a shard, with its words if `content`."""
+    kept = [words(text).alias("tokens")] if content else []
     rows = checkpointed(
         df.select(
             F.col(key).alias("key"),
             F.col(source).cast("string").alias("source"),
             F.size(words(text)).cast("long").alias("size"),
+            F.xxhash64(text).alias("mark"),
+            *kept,
         )
     )
     sizes = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
@@ -186,28 +184,73 @@ def mix(
     n_sources, total = sources.agg(F.count(F.lit(1)), F.coalesce(F.sum("wanted"), F.lit(0))).first()
     side = F.broadcast(sources) if n_sources <= SMALL_SOURCES else sources
     known = rows.alias("r").join(side.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source"))).select(
-        "r.key", "r.size", "s.sid", "s.source_size", "s.target"
+        "r.key", "r.size", "r.mark", "r.source", "s.sid", "s.source_size", "s.target", *(["r.tokens"] if content else [])
     )
     placed = packed(known, rows.count())
 
     turn, index = F.floor(F.col("index") / F.col("blocks")), F.col("index") % F.col("blocks")
-    times = (
+    in_shard = Window.partitionBy("shard").orderBy(_uniform(F.lit(1 << 62), F.col("sid"), F.col("index")), "sid", "index")
+    mapped = (
         slots(sources.select("sid", "wanted"), total)
+        .withColumn("slot", F.row_number().over(in_shard) - 1)
         .join(side.select("sid", "blocks"), "sid")
-        .select("sid", _permuted(index, F.col("blocks"), F.col("sid"), turn).alias("block"))
-        .groupBy("sid", "block")
-        .agg(F.count(F.lit(1)).alias("times"))
+        .select("shard", "slot", "sid", _permuted(index, F.col("blocks"), F.col("sid"), turn).alias("block"))
     )
+
+    def piece(number: Column) -> Column:
+        low = F.greatest(number * block, F.col("start"))
+        n = F.least((number + 1) * block, F.col("start") + F.col("size")) - low
+        first = low - F.col("start")
+        content_of = [F.array_join(F.slice("tokens", (first + 1).cast("int"), n.cast("int")), " ").alias("words")]
+        return F.struct(
+            number.alias("block"), (low - number * block).alias("place"), first.alias("first"), n.alias("n_words"),
+            *(content_of if content else []),
+        )
+
     first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
-    pieces = placed.where("size > 0").select("*", F.explode(F.sequence(first, last)).alias("block")).withColumn(
-        "words",
-        F.least((F.col("block") + 1) * block, F.col("start") + F.col("size")) - F.greatest(F.col("block") * block, F.col("start")),
+    pieces = (
+        placed.where("size > 0")
+        .select(*IDENTITY, F.explode(F.transform(F.sequence(first, last), piece)).alias("piece"))
+        .select(*IDENTITY, "piece.*")
     )
-    identity = ["sid", "part", "tie", "key", "size", "source_size", "target"]
+    return placed, pieces.join(mapped, ["sid", "block"])
+
+
+def shards(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights=WEIGHTS,
+    share: float = SHARE,
+    cap: float = CAP,
+    block: int = BLOCK,
+) -> DataFrame:
+    """The mix itself: (shard, slot, source, place, key, first, n_words, words) for every piece of a block in a slot.
+
+    The words of a slot are its pieces in the order of `place`, the place of the piece in the block; `first` is the
+    place of the piece's first word in its row. The slots of a shard are in pseudorandom order.
+    """
+    laid = _laid_out(df, key, text, source, weights, share, cap, block, True)[1]
+    return laid.select("shard", "slot", "source", "place", F.col("key").alias(key), "first", "n_words", "words")
+
+
+def mix(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights=WEIGHTS,
+    share: float = SHARE,
+    cap: float = CAP,
+    block: int = BLOCK,
+) -> DataFrame:
+    """For every row of `df` its size, its source's size and target, and the words that the slots of all shards hold of it."""
+    placed, laid = _laid_out(df, key, text, source, weights, share, cap, block, False)
     taken = (
-        pieces.join(times, ["sid", "block"], "left")
-        .groupBy(*identity)
-        .agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
-        .unionByName(placed.where("size = 0").select(*identity, F.lit(0).cast("long").alias("taken")))
+        laid.select(*IDENTITY, "n_words")
+        .unionByName(placed.select(*IDENTITY, F.lit(0).cast("long").alias("n_words")))
+        .groupBy(*IDENTITY)
+        .agg(F.sum("n_words").alias("taken"))
     )
     return taken.select(F.col("key").alias(key), "size", "source_size", "target", "taken")

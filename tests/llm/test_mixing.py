@@ -100,3 +100,36 @@ def test_edges(spark):
 def test_no_python(spark):
     plan = mixing.mix(documents(spark, ROWS[:50]))._jdf.queryExecution().executedPlan().toString()
     assert not [word for word in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop") if word in plan]
+
+
+def test_shards_hold_the_words_of_the_mix(spark):
+    rows = [(i, " \n".join(f"{s}{i}-{k}" for k in range(n or 0)) if n is not None else None, s) for i, (n, s) in enumerate(ROWS)]
+    rows += [(0, "x y z", "hot"), (0, "u v w", "hot")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    texts, sizes = defaultdict(list), defaultdict(int)
+    for i, text, s in rows:
+        texts[i, s].append((text or "").split())
+        sizes[s] += len((text or "").split())
+    found, slots, taken = mixing.shards(df).collect(), defaultdict(list), defaultdict(int)
+    for r in found:
+        own = r["words"].split(" ")
+        assert len(own) == r["n_words"]
+        assert any(t[r["first"] : r["first"] + r["n_words"]] == own for t in texts[r["doc_id"], r["source"]])
+        slots[r["shard"], r["slot"]].append((r["place"], r["n_words"], r["source"]))
+        taken[r["doc_id"]] += r["n_words"]
+    blocks = defaultdict(int)
+    for held in slots.values():
+        held.sort()
+        assert len({s for *_, s in held}) == 1 and [p for p, *_ in held] == [sum(n for _, n, _ in held[:k]) for k in range(len(held))]
+        size = sum(n for _, n, _ in held)
+        assert size in (mixing.BLOCK, sizes[held[0][2]] % mixing.BLOCK)
+        blocks[held[0][2]] += 1
+    for s, target in plain_targets(sizes).items():
+        assert blocks[s] == round(target * -(-sizes[s] // mixing.BLOCK) / sizes[s]) if sizes[s] else s not in blocks
+    for shard in {shard for shard, _ in slots}:
+        numbers = sorted(slot for k, slot in slots if k == shard)
+        assert numbers == list(range(len(numbers))) and len(numbers) <= mixing.SHARD_SLOTS
+    by_row = defaultdict(int)
+    for r in mixing.mix(df).collect():
+        by_row[r["doc_id"]] += r["taken"]
+    assert {i: n for i, n in by_row.items() if n} == dict(taken)
