@@ -3,7 +3,8 @@
 Each stage takes documents and returns documents, the last one with their token ids. `run` writes what a stage
 returns as Parquet to the shared folder of `spark.checkpoint.dir` and reads it again for the next one.
 
-Rows without an id are told apart by a hash of the row; of rows that repeat an id near-duplicate removal keeps one.
+Rows are told apart by a SHA-256 of the row: different rows may share an id or have none. Near-duplicate removal
+leaves one row of an id.
 Columns beyond those of the stage's operator travel along unchanged.
 """
 
@@ -15,18 +16,16 @@ from pyspark.sql import functions as F
 
 from outbreaklens.llm import bpe, langid, mixing, simhash, substrings, warc
 from outbreaklens.llm.batches import bound_batches
+from outbreaklens.session import checkpointed
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 ROW_KEY = "__row_key"
 ADDED = "__added"
-LAST_KEY = (1 << 63) - 1
 
 
 def _row_key(docs: DataFrame) -> Column:
-    """The id; for rows without one a number above all ids, from the row itself."""
-    return F.coalesce(
-        F.col("doc_id").cast("long"), F.lit(LAST_KEY - 1) - F.pmod(F.xxhash64(*docs.columns), F.lit(1 << 40))
-    )
+    """SHA-256 of the whole row: rows of one key are the same row."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(f"`{name}`") for name in docs.columns])), 256))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,15 +37,22 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of every group linked by SimHash fingerprints."""
+    """One document of every group linked by SimHash fingerprints: that of the smallest id, then of the least row hash.
+
+    Ids are unique afterwards: of several groups whose documents share an id, that of the least row hash stays.
+    """
     bound_batches(spark)
     keyed = docs.withColumn(ROW_KEY, _row_key(docs))
-    found = simhash.near_duplicates(keyed, ROW_KEY)
-    first = found.select(F.col("component_id").alias(ADDED)).distinct()
-    kept = keyed.join(first, keyed[ROW_KEY] == first[ADDED], "left_semi")
-    repeated = keyed.groupBy(ROW_KEY).count().where("count > 1").select(ROW_KEY)
+    order = F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("id"), F.col(ROW_KEY).alias("row"))
+    prints = checkpointed(keyed.select(order.alias("least"), simhash.fingerprints("text").alias("fp")))
+    classes = checkpointed(prints.groupBy("fp").agg(F.min("least").alias("least")))
+    first = checkpointed(simhash.with_components(classes).groupBy("component").agg(F.min("least").alias("least")).select("least.*"))
+    stay = first.where("id is not null").groupBy("id").agg(F.min("row").alias(ADDED)).select(ADDED)
+    stay = stay.unionByName(first.where("id is null").select(F.col("row").alias(ADDED)))
+    kept = keyed.join(stay, F.col(ROW_KEY) == F.col(ADDED), "left_semi")
+    repeated = prints.groupBy(F.col("least.row").alias(ROW_KEY)).count().where("count > 1").select(ROW_KEY)
     if not repeated.isEmpty():
-        again = kept.join(repeated, ROW_KEY, "left_semi").dropDuplicates([ROW_KEY])
+        again = kept.join(repeated, ROW_KEY, "left_semi").dropDuplicates([ROW_KEY])  # the same row again
         kept = kept.join(repeated, ROW_KEY, "left_anti").unionByName(again)
     return kept.drop(ROW_KEY)
 
@@ -70,7 +76,7 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many whole copies of a document as the mix takes of its words, fractions drawn by a hash of its id."""
+    """As many whole copies of a document as the mix takes of its words, fractions drawn by a hash of the row."""
     keyed = docs.withColumn(ROW_KEY, _row_key(docs))
     taken = (
         mixing.mix(keyed, ROW_KEY)

@@ -212,16 +212,21 @@ def _link_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
+def with_components(classes: DataFrame, bits: int = BITS) -> DataFrame:
+    """The rows of `classes`, one per fingerprint `fp`, with the `component` of the fingerprint, itself a fingerprint."""
+    joined = components(links(classes.select("fp"), bits))
+    return classes.join(joined, classes["fp"] == joined["vertex"], "left").select(
+        *[classes[name] for name in classes.columns], F.coalesce("component", "fp").alias("component")
+    )
+
+
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS
 ) -> DataFrame:
     """Fingerprint and component of every row of `df`; other columns are not read. Stores the fingerprints once."""
     rows = checkpointed(df.select(F.col(key).alias("key"), fingerprints(text, shingle).alias("fp")))
     classes = checkpointed(rows.groupBy("fp").agg(F.min("key").alias("least")))
-    joined = components(links(classes.select("fp"), bits))
-    labelled = classes.join(joined, classes["fp"] == joined["vertex"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
+    labelled = with_components(classes, bits)
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     named = labelled.join(smallest, "component").select(F.col("fp").alias("class_fp"), "component_id")
     return rows.join(named, rows["fp"] == named["class_fp"]).select(

@@ -119,3 +119,28 @@ def test_run_and_empty_table(spark, documents, tmp_path):
     documents.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, f"file://{tmp_path}").collect() == []
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "language_id" and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    draw = random.Random(3)
+    text = lambda: " ".join(draw.choice(["red", "green", "blue", "one", "two", "three"]) + str(draw.randrange(900)) for _ in range(200))
+    base = text()
+    rows = [(3, base), (5, base.replace(" ", "  ", 2)), (5, text()), (5, text())] + [(None, text()) for _ in range(20)]
+    rows += [(5, rows[3][1]), (None, rows[4][1]), (4, rows[5][1])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), [1]) for i, t in rows], SCHEMA)
+    seen = set()
+    for parts in (1, 5):
+        after = corpus_pipeline.remove_near_duplicates(spark, docs.coalesce(1) if parts == 1 else docs.repartition(parts), FOLDER).collect()
+        found = Counter((r["doc_id"], r["text"]) for r in after)
+        shared = [row for row in found if row[0] == 5]
+        # The copy of document 3 goes, not the text that stands in no other row.
+        assert len(shared) == 1 and shared[0] in rows[2:4]
+        assert found == Counter([rows[0], *shared, rows[4], rows[-1], *rows[6:24]])
+        seen.add(shared[0])
+    assert len(seen) == 1
+
+
+def test_rows_without_an_id_have_a_wide_key(spark):
+    docs = spark.createDataFrame([(None, "a", "en", "s", 1, [1]), (None, "a", None, "s", 1, [1])], SCHEMA)
+    keys = [r[0] for r in docs.select(corpus_pipeline._row_key(docs)).collect()]
+    assert keys[0] != keys[1] and all(len(key) == 32 for key in keys)
