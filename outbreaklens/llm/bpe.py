@@ -1,9 +1,11 @@
 """Byte-level BPE encoding and decoding with the tiktoken library and a local rank file.
 
-A text is cut in front of single spaces between two non-space characters before it is encoded. The split
-pattern always starts a match at such a space and looks at nothing behind it, so the ids of the pieces, one
-after another, are the ids of the whole text, and no call works on more than one piece. Text without such a
-place stays in one piece. Special tokens are never produced: their spelling is ordinary text.
+A text is cut in front of white space after a non-space character before it is encoded. The split pattern always
+starts a match at such a place and looks at nothing behind it, so the ids of the pieces, one after another, are the
+ids of the whole text, and no call works on more than one piece. Of a run of white space in front of a non-space
+character all but the last character is one match of the pattern, and a run at the end of the text is one whole
+match: such a match, if long, is merged without the pattern, which would backtrack over it. Text without white space
+stays in one piece. Special tokens are never produced: their spelling is ordinary text.
 
 A null text counts as empty: no ids, no bytes. Decoding concatenates the raw bytes of the ranks, which need
 not be valid UTF-8 for an arbitrary list of ids; null ids decode to no bytes.
@@ -23,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PIECE_CHARS = 1 << 16
-BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # what \s is in the split pattern
+BOUNDARY = re.compile(f"(?<=[^{SPACE}])[{SPACE}]")
 ENCODED = "struct<ids:array<int>,decoded:binary>"
 
 
@@ -35,16 +38,31 @@ def tokenizer(rank_file: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(rank_file, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
+def _cut(text: str, start: int, end: int, size: int) -> Iterator[str]:
     """Cut at the first safe place after every `size` characters."""
-    start = 0
-    while len(text) - start > size:
-        place = BOUNDARY.search(text, start + size)
+    while end - start > size:
+        place = BOUNDARY.search(text, start + size, end)
         if place is None:
             break
         yield text[start : place.start()]
         start = place.start()
-    yield text[start:]
+    yield text[start:end]
+
+
+def _matched(text: str, size: int) -> Iterator[tuple[str, bool]]:
+    """The pieces of a text, and whether a piece is one match of white space."""
+    at = 0
+    for run in re.finditer(f"(?<![{SPACE}])[{SPACE}]{{{max(size, 2)},}}", text):
+        end = run.end() - (run.end() < len(text))
+        yield from ((piece, False) for piece in _cut(text, at, run.start(), size))
+        yield text[run.start() : end], True
+        at = end
+    yield from ((piece, False) for piece in _cut(text, at, len(text), size))
+
+
+def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
+    """Pieces of about `size` characters; long runs of white space are pieces of their own."""
+    return (piece for piece, _ in _matched(text, size))
 
 
 def encode_text(encoding: tiktoken.Encoding, text: str | None, size: int = PIECE_CHARS) -> list[int]:
@@ -52,7 +70,11 @@ def encode_text(encoding: tiktoken.Encoding, text: str | None, size: int = PIECE
         return []
     if len(text) <= size:
         return encoding.encode_ordinary(text)
-    return [i for piece in pieces(text, size) for i in encoding.encode_ordinary(piece)]
+    return [
+        i
+        for piece, single in _matched(text, size)
+        for i in (encoding._encode_single_piece(piece) if single else encoding.encode_ordinary(piece))
+    ]
 
 
 def _encoded(encoding: tiktoken.Encoding, texts: pa.Array, decoded: list[bytes] | None = None) -> pa.Array:

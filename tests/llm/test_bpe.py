@@ -63,3 +63,25 @@ def test_null_ids_and_empty_table(spark):
     df = spark.createDataFrame([(None, None), (1, "a")], "doc_id long, text string")
     assert bpe.token_digests(df, RANKS, PATTERN).count() == 2
     assert bpe.token_digests(df.limit(0), RANKS, PATTERN).collect() == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.sampled_from("a'1. \n\t\r\x0b\x1c\x1f\x85\xa0  ​　"), max_size=40))
+def test_runs_of_white_space_do_not_change_ids(text):
+    encoding = bpe.tokenizer(RANKS, PATTERN)
+    for size in (1, 2, 5):
+        assert bpe.encode_text(encoding, text, size=size) == encoding.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("run", [" " * 3_000_000, "\n" * 2_000_000, " \n" * 1_500_000])
+def test_runs_of_millions_of_white_space_characters(encoding, run):
+    short = run[:1000]
+    for text, alike in ((f"one{run}two", f"one{short}two"), (f"one{run}", f"one{short}"), (f"{run}.", f"{short}.")):
+        ids = bpe.encode_text(encoding, text)
+        assert encoding.decode_bytes(ids) == text.encode()
+        same = encoding.encode_ordinary(alike)
+        assert ids[0] == same[0] and ids[-1] == same[-1]
+
+
+def test_lines_without_spaces_are_cut():
+    assert max(map(len, bpe.pieces("word\n" * 100_000, 1000))) < 1100
