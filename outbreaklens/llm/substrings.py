@@ -10,7 +10,8 @@ The tables move in packed blocks of about `BLOCK_BYTES` of text, dealt by a hash
 copy group or passage is dealt together. Copies of a whole text are settled by their digest. A window can only
 repeat in another block if the least hash of its five-word runs does, so only those suffixes are sent, each once
 a block, and a frequent passage makes at most one row a block and window. A suffix travels as 16-bit codes of its
-words, which order the tree, and a 64-bit fingerprint over all of them; equality is that of both, 272 bits.
+words, which order the tree, and a 64-bit fingerprint over all of them; in a tree equality is that of both, 272 bits.
+Windows of one block, and the removals sent back to it, are matched by the fingerprint alone.
 
 Ids that repeat are not smaller than each other. A null id counts as larger than any other. A null text has no words.
 Texts of fewer than `WINDOW` words stay as they are. A single text has to fit into one task.
