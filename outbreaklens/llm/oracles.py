@@ -104,5 +104,79 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
          AND n_bullet_lines / greatest(n_lines, 1) <= 0.9 AS kept,
        n_lines, n_stop_words, n_letter_words, n_ellipsis_lines, n_bullet_lines
 FROM counts
+""",
+    "op12_conversation_trie": """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(
+           length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || ':' || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT DISTINCT conv_id, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda v, b: list_reduce([xor(v, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda w, z: CASE WHEN w & 1 = 1 THEN xor(w >> 1, 3988292384) ELSE w >> 1 END))) % 6 AS h
+  FROM t
+), parts AS (
+  SELECT c.conv_id, 0 AS own, t.place, t.r, t.x
+  FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.place, t.r, t.x FROM c JOIN t ON t.conv_id = c.conv_id AND t.place > c.h
+), turns AS (
+  SELECT conv_id, x, sha256(length(r)::VARCHAR || ':' || r || ':' || x) AS digest,
+         row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth FROM parts
+), paths AS (
+  SELECT conv_id, depth, x, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY depth) AS key FROM turns
+  UNION ALL
+  SELECT conv_id, 0, '', '' FROM c
+), members AS (
+  SELECT *, lag(key) OVER w AS parent, lead(key) OVER w IS NULL AS ends FROM paths WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+), nodes AS (
+  SELECT key, min(conv_id) AS conv_id, min(depth) AS depth, min(parent) AS parent, count(*) AS n_convs, min(length(x)) AS chars,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends) AS ids
+  FROM members GROUP BY key
+), kids AS (
+  SELECT parent, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), sums AS (
+  SELECT m.key, sum((v.n_convs - 1) * v.chars) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+  FROM nodes v LEFT JOIN kids k ON k.parent = v.key JOIN members m ON m.conv_id = v.conv_id AND m.depth <= v.depth
+  GROUP BY m.key
+)
+SELECT v.conv_id, v.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs::BIGINT AS n_convs,
+       coalesce(k.n, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens,
+       sha256(coalesce(v.ids, '')) AS ends_sha256
+FROM nodes v JOIN sums s USING (key) LEFT JOIN kids k ON k.parent = v.key LEFT JOIN nodes p ON p.key = v.parent
+""",
+    "op13_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents WHERE text IS NOT NULL
+), tf AS (
+  SELECT row, doc_id, term, count(*) AS tf FROM d GROUP BY ALL
+), lengths AS (
+  SELECT row, sum(tf)::BIGINT AS n FROM tf GROUP BY row
+), total AS (
+  SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM lengths
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+), df AS (
+  SELECT term, count(*) AS df FROM tf SEMI JOIN q USING (term) GROUP BY term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, total
+), impacts AS (
+  SELECT row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))) AS impact
+  FROM tf JOIN weights USING (term) JOIN lengths USING (row), total
+), scores AS (
+  SELECT item_id, row, doc_id, sum(impact)::BIGINT AS score FROM q JOIN impacts USING (term) GROUP BY ALL
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
 """,
 }

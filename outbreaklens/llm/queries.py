@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outbreaklens.llm import bpe, langid, lmscore, mixing, quality, sharding, simhash, substrings, topk, warc
+from outbreaklens.llm import (
+    bpe, langid, lexical, lmscore, mixing, prefixtrie, quality, sharding, simhash, substrings, topk, toxicity, warc,
+)
 from outbreaklens.llm.batches import bound_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +67,19 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))
+
+
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.conversation_trie(table(spark, folder, "conversations"))
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(lexical.index(table(spark, folder, "documents")), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     run.__name__: run
     for run in (
@@ -78,5 +93,8 @@ QUERIES: dict[str, Query] = {
         op8_quality_rules,
         op9_lm_scoring,
         op10_sharding,
+        op11_toxicity,
+        op12_conversation_trie,
+        op13_lexical_search,
     )
 }

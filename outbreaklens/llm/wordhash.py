@@ -14,6 +14,9 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+# Terms are runs of ASCII letters, digits and all characters beyond ASCII.
+NO_TERM = np.ones(256, bool)
+NO_TERM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 
 
 class Words(NamedTuple):
@@ -48,10 +51,13 @@ def _span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def words(texts: list[bytes]) -> Words:
-    """Words of the texts joined by one space, in slices of `SLICE` bytes that end at white space."""
+def words(texts: list[bytes], between: np.ndarray = SPACE) -> Words:
+    """Words of the texts joined by one space, in slices of `SLICE` bytes that end between words.
+
+    `between` tells for every byte whether it separates words; the space has to.
+    """
     joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    gaps = SPACE[joined]
+    gaps = between[joined]
     edges = np.flatnonzero(gaps[1:] != gaps[:-1]) + 1
     if not gaps[0]:
         edges = np.concatenate([[0], edges])
@@ -67,6 +73,11 @@ def words(texts: list[bytes]) -> Words:
     return Words(hashes, np.searchsorted(begins, start, "right") - 1, start, end)
 
 
+def terms(texts: list[str | None]) -> Words:
+    """Terms of texts, A-Z in lower case; a text that is null has none."""
+    return words([(text or "").encode().lower() for text in texts], NO_TERM)
+
+
 def grams(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of `size` words, runs over text borders included."""
     n = len(hashes) - size + 1
