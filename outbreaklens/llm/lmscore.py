@@ -4,11 +4,16 @@ Two bigram models of the same form share one vocabulary: every word of the whole
 every document, the target model the documents marked as target. A document's score is its loss per token under the
 target model minus that under the background model: the lower, the more it reads like the target.
 
-The counts are exact for every word and every pair of words, told apart by 64-bit hashes of the words. Frequent ones,
-at most `VOCABULARY` words and `HELD_PAIRS` pairs, are counted by every task for itself, and their sums are held by
-every task. All other pairs travel as rows of (document, word, word before) and meet in the partition of the pair or,
-when the word is not held, of the word; there they are counted and scored, and losses are added up by document. Which
-words and pairs are held decides where something is counted, never what comes out but for the last digits of a sum.
+The counts are exact for every word and every pair of words, told apart by 64-bit hashes. Frequent ones, at most
+`VOCABULARY` words and `HELD_PAIRS` pairs, are counted by every task for itself, and their sums are held by every task.
+
+All others are counted slice by slice. The texts cross the network once, to meet their labels, and are stored as slices of
+about `SLICE_TEXT` bytes. A slice adds up its own words and pairs and sends each of them once: sorted hashes with their
+counts, cut into runs by the range of the hash (`sent`). Where the runs of a range meet, they are added up, and every run is
+answered by the totals of its items in its own order, without their hashes (`answered`). The answers go back to their
+slice, which scores its texts (`scored`). So what is shuffled of a pair is some six bytes a slice that holds it, however often
+it stands there, and a range holds at most one item a slice of any pair. Which words and pairs are held decides where
+something is counted, never what comes out but for the last digits of a sum.
 
 P(w | v) = (pairs(v, w) + PRIOR * P(w)) / (words(v) + PRIOR), P(w) = (words(w) + 1) / (all words + vocabulary + 1).
 
@@ -23,7 +28,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+import zstandard
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,19 +39,18 @@ from outbreaklens.session import checkpointed
 VOCABULARY = 1 << 16  # words held by every task
 HELD_PAIRS = 1 << 18  # pairs held by every task
 OFTEN = 4  # times that a pair to be held stands in some slice of texts
-CELLS = (1 << 64) - 1  # keys by which pairs are dealt
+CELLS = (1 << 64) - 1  # pairs differ by their hash modulo this
 PRIOR = 50.0
 BATCH_TEXT = 4 << 20
-MEETING_ROWS = 200_000
+SLICE_TEXT = 8 << 20
+MEETING_ROWS = 1 << 20  # words of text for each range of hashes
 FINE = 16  # steps of counts per power of two, when the most frequent are taken
 
 COUNTS = "place long, background long, target long"
-ROWS = (
-    "row long, id long, n_tokens long, target_loss double, background_loss double,"
-    " key long, word int, before long, n int, after int, own boolean"
-)
-ROW_NAMES = [field.split()[0] for field in ROWS.split(",")]
-LOSSES = "row long, id long, n_tokens long, target_loss double, background_loss double"
+SLICES = "slice long, words long, ids array<long>, own array<boolean>, payload binary"
+RUNS = "slice long, bucket int, n_words int, n_pairs int, payload binary"
+ANSWERS = "slice long, bucket int, n_words int, n_pairs int, payload binary"
+LOSSES = "id long, n_tokens long, target_loss double, background_loss double"
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 _START = np.uint64(0x5851F42D4C957F2D)
 
@@ -173,22 +178,64 @@ def frequent_pairs(texts: DataFrame, coder: Coder, most: int = HELD_PAIRS) -> np
     return np.sort(_most_frequent(checkpointed(counts), most)[0])
 
 
-def counts(df: DataFrame, held: Held) -> DataFrame:
-    """(place, background, target) over all texts of (text, is_target): words by number, then held pairs.
+def sliced(texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """The texts of (id, text) with the mark of their label, stored in numbered slices of about SLICE_TEXT bytes."""
+    chosen = checkpointed(targets(labels))
+    # The labels grow with the documents: a shuffle at every size, never a broadcast that a small table would get.
+    marked = texts.join(chosen.hint("merge"), texts["id"] == chosen["target_id"], "left").select(
+        "id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), F.col("target_id").isNotNull().alias("own")
+    )
+
+    def row(number: int, ids: list[int | None], held: list[bytes], own: list[bool]) -> pa.RecordBatch:
+        part = (TaskContext.get().partitionId() << 32) + number
+        lengths = np.array([len(text) for text in held], np.int64)
+        payload = zstandard.compress(lengths.tobytes() + b"".join(held), 3)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([part], pa.int64()), pa.array([len(words(held).hashes)], pa.int64()),
+                pa.array([ids], pa.list_(pa.int64())), pa.array([own], pa.list_(pa.bool_())), pa.array([payload], pa.binary()),
+            ],
+            [field.split()[0] for field in SLICES.split(", ")],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, size = 0, 0
+        rows: tuple[list, list, list] = ([], [], [])
+        for batch in batches:
+            for one in zip(*(column.to_pylist() for column in batch.columns)):
+                for held, value in zip(rows, one):
+                    held.append(value)
+                size += len(one[1])
+                if size >= SLICE_TEXT:
+                    yield row(number, *rows)
+                    number, size, rows = number + 1, 0, ([], [], [])
+        if rows[0]:
+            yield row(number, *rows)
+
+    return checkpointed(marked.mapInArrow(run, SLICES))
+
+
+def _texts(payload: bytes, n: int) -> list[bytes]:
+    data = zstandard.decompress(payload)
+    ends = np.cumsum(np.frombuffer(data, np.int64, n)) + 8 * n
+    return [data[low:high] for low, high in zip([8 * n, *ends[:-1].tolist()], ends.tolist())]
+
+
+def counts(slices: DataFrame, held: Held) -> DataFrame:
+    """(place, background, target) over all texts of the slices: words by number, then held pairs.
 
     Number 0 counts all words that are not held. Every task adds up its own texts before anything is shuffled.
     """
-    shared = df.sparkSession.sparkContext.broadcast(held)
+    shared = slices.sparkSession.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = shared.value
         size = kept.coder.size
         tables = np.zeros((2, size + len(kept.pairs)), np.int64)
         for batch in batches:
-            target = np.array(batch.column(1).to_pylist(), bool)
-            for low, high, texts in _slices(batch.column(0).to_pylist()):
-                tokens = kept.coder.coded(texts)
-                place, own = kept.places(tokens), target[low:high][tokens.text]
+            for marks, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                tokens = kept.coder.coded(_texts(payload, len(marks)))
+                place, own = kept.places(tokens), np.array(marks, bool)[tokens.text]
                 for table, mask in zip(tables, (np.ones(len(own), bool), own)):
                     table[:size] += np.bincount(tokens.number[mask], minlength=size)
                     table[size - 1] += np.count_nonzero(tokens.number_before[mask] == size - 1)
@@ -198,7 +245,7 @@ def counts(df: DataFrame, held: Held) -> DataFrame:
             [pa.array(seen), pa.array(tables[0][seen]), pa.array(tables[1][seen])], ["place", "background", "target"]
         )
 
-    parts = df.select("text", "is_target").mapInArrow(run, COUNTS)
+    parts = slices.select("own", "payload").mapInArrow(run, COUNTS)
     return parts.groupBy("place").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
 
 
@@ -226,124 +273,149 @@ class Model:
         return found.astype(float)  # counts of nothing are whole numbers
 
 
-def fit(df: DataFrame, held: Held) -> tuple[Model, Model]:
-    """Held counts of target and background model of (text, is_target); only these reach the driver."""
-    table = counts(df, held).toArrow()
+def fit(slices: DataFrame, held: Held) -> tuple[Model, Model]:
+    """Held counts of target and background model; only these reach the driver."""
+    table = counts(slices, held).toArrow()
     both = np.zeros((2, held.coder.size + len(held.pairs)), np.int64)
     for row, name in zip(both, ("target", "background")):
         row[table.column("place").to_numpy()] = table.column(name).to_numpy()
     return Model(both[0], held), Model(both[1], held)
 
 
-def _first_of_runs(*columns: np.ndarray) -> np.ndarray:
-    """Where a run of rows equal in all columns begins."""
-    new = np.ones(len(columns[0]), bool)
-    new[1:] = np.logical_or.reduce([column[1:] != column[:-1] for column in columns])
-    return np.flatnonzero(new)
+class Rest(NamedTuple):
+    """Words and pairs of a slice that are not held: sorted hashes and the place of each token's word and pair in them.
 
+    `word_at` and `pair_at` hold tokens that have such a word or pair, `word_is` and `pair_is` which one it is.
+    """
 
-def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sum of its run for every row."""
-    return np.repeat(np.add.reduceat(values, starts), np.diff(np.append(starts, len(values))))
+    words: np.ndarray
+    word_at: np.ndarray
+    word_is: np.ndarray
+    pairs: np.ndarray
+    pair_at: np.ndarray
+    pair_is: np.ndarray
 
 
-def scattered(df: DataFrame, shared: Broadcast) -> DataFrame:
-    """A row per document of (row, id, text, is_target) with its held losses, and one per pair in it that is not held.
+def _rest(tokens: Tokens, place: np.ndarray) -> Rest:
+    word_at, pair_at = np.flatnonzero(tokens.number == 0), np.flatnonzero(place < 0)
+    found, word_is = np.unique(tokens.word[word_at], return_inverse=True)
+    pairs = mixed(tokens.before[pair_at] * _PAIR + tokens.word[pair_at]) % np.uint64(CELLS)
+    pairs, pair_is = np.unique(pairs, return_inverse=True)
+    return Rest(found, word_at, word_is, pairs, pair_at, pair_is)
 
-    `after` counts how often a word that is not held has a word behind it.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, models = shared.value
-        for batch in batches:
-            rows, ids = batch.column(0).to_numpy(), batch.column(1)
-            target = np.array(batch.column(3).to_pylist(), bool)
-            for low, high, texts in _slices(batch.column(2).to_pylist()):
-                tokens = held.coder.coded(texts)
-                place, size = held.places(tokens), high - low
-                zeros = np.zeros(size, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(rows[low:high]),
-                        ids.slice(low, size),
-                        pa.array(np.bincount(tokens.text, minlength=size).astype(np.int64)),
-                        *(pa.array(model.held_loss(tokens, place, size)) for model in models),
-                        pa.array(mixed(rows[low:high].astype(np.uint64)).view(np.int64)),
-                        pa.array(zeros - 1),
-                        pa.array(zeros.astype(np.int64)),
-                        pa.array(zeros),
-                        pa.array(zeros),
-                        pa.array(zeros > 0),
-                    ],
-                    ROW_NAMES,
-                )
-                rest = np.flatnonzero(place < 0)
-                if not len(rest):
-                    continue
-                rest = rest[np.lexsort((tokens.before[rest], tokens.word[rest], tokens.text[rest]))]
-                starts = _first_of_runs(tokens.text[rest], tokens.word[rest], tokens.before[rest])
-                one = rest[starts]
-                word, before, number, text = tokens.word[one], tokens.before[one], tokens.number[one], tokens.text[one]
-                key = np.where(number > 0, mixed(before * _PAIR + word) % np.uint64(CELLS), word)
-                nothing = np.zeros(len(one))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(rows[low:high][text]),
-                        pa.nulls(len(one), pa.int64()),
-                        pa.nulls(len(one), pa.int64()),
-                        pa.array(nothing),
-                        pa.array(nothing),
-                        pa.array(key.view(np.int64)),
-                        pa.array(number.astype(np.int32)),
-                        pa.array(before.view(np.int64)),
-                        pa.array(np.diff(np.append(starts, len(rest))).astype(np.int32)),
-                        pa.array(np.add.reduceat(tokens.followed[rest].astype(np.int32), starts).astype(np.int32)),
-                        pa.array(target[low:high][text]),
-                    ],
-                    ROW_NAMES,
-                )
+def _pressed(arrays: list[np.ndarray]) -> bytes:
+    """64-bit whole numbers, bytes of equal rank together, so that zstandard finds the many zeros."""
+    planes = (np.ascontiguousarray(one.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes() for one in arrays)
+    return zstandard.compress(b"".join(planes), 3)
 
-    return df.select("row", "id", "text", "is_target").mapInArrow(run, ROWS)
 
+def _released(payload: bytes, sizes: list[int]) -> list[np.ndarray]:
+    data, at, found = zstandard.decompress(payload), 0, []
+    for size in sizes:
+        planes = np.frombuffer(data, np.uint8, 8 * size, at).reshape(8, size)
+        found.append(np.ascontiguousarray(planes.T).view(np.uint64).reshape(size))
+        at += 8 * size
+    return found
 
 
-def _met(table: pa.Table, models: tuple[Model, Model]) -> pa.RecordBatch:
-    """Losses of sorted rows that hold every row of their keys."""
-    of = {name: table.column(name).to_numpy() for name in ("target_loss", "background_loss", *ROW_NAMES[5:])}
-    by_word = _first_of_runs(of["key"], of["word"])
-    by_pair = _first_of_runs(of["key"], of["word"], of["before"])
-    n, after, word = of["n"].astype(np.int64), of["after"], of["word"]
-    losses = []
-    for model, mine, base in zip(models, (n * of["own"], n), (of["target_loss"], of["background_loss"])):
-        own_words = _sums(mine, by_word)
-        single = np.where(word > 0, model.single[np.maximum(word, 0)], (own_words + 1) / model.all)
-        losses.append(base + n * model.pair_loss(_sums(mine, by_pair), single) + after * (word == 0) * model.before_loss(own_words))
-    columns = [pa.concat_arrays(table.column(name).chunks) for name in ROW_NAMES[:3]]
-    return pa.RecordBatch.from_arrays([*columns, *map(pa.array, losses)], ROW_NAMES[:5])
+def _steps(values: np.ndarray) -> np.ndarray:
+    return np.diff(values, prepend=np.uint64(0))
 
 
-def met(rows: DataFrame, shared: Broadcast) -> DataFrame:
-    """Losses of the rows of `scattered`: the rows of a key meet in one partition, sorted, and are counted there."""
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Range of the hash, of equal widths and rising with it."""
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _named(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * 5
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kind) for column, kind in zip(columns, kinds)], ["slice", "bucket", "n_words", "n_pairs", "payload"]
+    )
+
+
+def sent(slices: DataFrame, shared: Broadcast, buckets: int) -> DataFrame:
+    """Runs of the words and pairs of every slice that are not held: hashes as steps, counts over all texts and the target's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value[1]
-        held: list[pa.RecordBatch] = []
-        size = 0
+        held = shared.value[0]
         for batch in batches:
-            held.append(batch)
-            size += batch.num_rows
-            if size < MEETING_ROWS or not batch.num_rows:
-                continue
-            table = pa.Table.from_batches(held)
-            key = table.column("key").to_numpy()
-            cut = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
-            if cut:
-                yield _met(table.slice(0, cut), models)
-            held, size = table.slice(cut).to_batches(), (len(table) - cut if cut else 0)
-        if sum(batch.num_rows for batch in held):
-            yield _met(pa.Table.from_batches(held), models)
-
-    return rows.repartition("key").sortWithinPartitions("key", "word", "before").mapInArrow(run, LOSSES)
+            for number, marks, payload in zip(*(column.to_pylist() for column in batch.columns)):
+                tokens = held.coder.coded(_texts(payload, len(marks)))
+                rest, own = _rest(tokens, held.places(tokens)), np.array(marks, bool)[tokens.text]
+                parts = []
+                for items, at, which in ((rest.words, rest.word_at, rest.word_is), (rest.pairs, rest.pair_at, rest.pair_is)):
+                    n = [np.bincount(some, minlength=len(items)) for some in (which, which[own[at]])]
+                    cuts = np.searchsorted(_bucket(items, buckets), np.arange(buckets + 1))
+                    parts.append((items, *n, cuts))
+                rows = []
+                for bucket in np.unique(np.concatenate([_bucket(part[0], buckets) for part in parts])).tolist():
+                    found = [[values[cuts[bucket] : cuts[bucket + 1]] for values in part] for *part, cuts in parts]
+                    arrays = [one for items, n, mine in found for one in (_steps(items), n, mine)]
+                    rows.append((number, bucket, len(found[0][0]), len(found[1][0]), _pressed(arrays)))
+                for low in range(0, len(rows), 64):
+                    yield _named(rows[low : low + 64])
+
+    return slices.select("slice", "own", "payload").mapInArrow(run, RUNS)
+
+
+def answered(runs: DataFrame) -> DataFrame:
+    """For every run the totals of its words and pairs over all slices, in the order of the run."""
+
+    def add(table: pa.Table) -> pa.Table:
+        sizes = list(zip(table.column("n_words").to_pylist(), table.column("n_pairs").to_pylist()))
+        opened = [
+            _released(payload, [w, w, w, p, p, p]) for payload, (w, p) in zip(table.column("payload").to_pylist(), sizes)
+        ]
+        totals = []
+        for kind in (0, 3):
+            items, which = np.unique(np.concatenate([np.cumsum(one[kind]) for one in opened]), return_inverse=True)
+            for at in (kind + 1, kind + 2):
+                sums = np.bincount(which, np.concatenate([one[at] for one in opened]), len(items))
+                totals.append(np.split(sums[which], np.cumsum([len(one[kind]) for one in opened])[:-1]))
+        payloads = [_pressed(list(arrays)) for arrays in zip(*totals)]
+        return table.set_column(table.schema.get_field_index("payload"), "payload", pa.array(payloads, pa.binary()))
+
+    return runs.groupBy("bucket").applyInArrow(add, ANSWERS)
+
+
+def scored(slices: DataFrame, answers: DataFrame, shared: Broadcast) -> DataFrame:
+    """Losses of every text of the slices, from what is held and from the answers to the slice."""
+    kept = slices.select("slice", F.lit(-1).alias("bucket"), F.lit(0).alias("n_words"), F.lit(0).alias("n_pairs"), "payload", "ids")
+    both = kept.unionByName(answers.withColumn("ids", F.lit(None).cast("array<long>")))
+
+    def run(table: pa.Table) -> pa.Table:
+        held, models = shared.value
+        table = table.sort_by("bucket")
+        payloads = table.column("payload").to_pylist()
+        ids = table.column("ids")[0].as_py()
+        sizes = zip(table.column("n_words").to_pylist()[1:], table.column("n_pairs").to_pylist()[1:])
+        opened = [_released(payload, [w, w, p, p]) for payload, (w, p) in zip(payloads[1:], sizes)]
+        background_words, target_words, background_pairs, target_pairs = (
+            np.concatenate([one[i] for one in opened]).astype(np.float64) if opened else np.zeros(0) for i in range(4)
+        )
+        tokens = held.coder.coded(_texts(payloads[0], len(ids)))
+        place = held.places(tokens)
+        rest, n = _rest(tokens, place), len(ids)
+        losses = []
+        for model, own_words, own_pairs in ((models[0], target_words, target_pairs), (models[1], background_words, background_pairs)):
+            single = model.single[tokens.number]
+            single[rest.word_at] = (own_words[rest.word_is] + 1) / model.all
+            loss = model.held_loss(tokens, place, n)
+            pair = model.pair_loss(own_pairs[rest.pair_is], single[rest.pair_at])
+            loss += np.bincount(tokens.text[rest.pair_at], pair, n)
+            before = np.where(tokens.followed[rest.word_at], model.before_loss(own_words[rest.word_is]), 0.0)
+            losses.append(loss + np.bincount(tokens.text[rest.word_at], before, n))
+        many = np.bincount(tokens.text, minlength=n)
+        per_token = [pa.array(loss / np.maximum(many, 1)) for loss in losses]
+        return pa.table(
+            [pa.array(ids, pa.int64()), pa.array(many.astype(np.int64)), *per_token],
+            names=["id", "n_tokens", "target_loss", "background_loss"],
+        )
+
+    return both.groupBy("slice").applyInArrow(run, LOSSES)
 
 
 def targets(labels: DataFrame) -> DataFrame:
@@ -363,21 +435,11 @@ def score(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     known, distinct = _most_frequent(_word_counts(plain), VOCABULARY)
     coder = Coder(np.sort(known.view(np.uint64)))
     held = Held(coder, frequent_pairs(plain, coder, HELD_PAIRS), distinct)
-    chosen = targets(labels)
-    # The labels grow with the documents: a shuffle at every size, never a broadcast that a small table would get.
-    marked = plain.join(chosen.hint("merge"), plain["id"] == chosen["target_id"], "left").select(
-        F.monotonically_increasing_id().alias("row"), "id", "text", F.col("target_id").isNotNull().alias("is_target")
-    )
-    shared = df.sparkSession.sparkContext.broadcast((held, fit(marked, held)))
-    losses = met(scattered(marked, shared), shared)
-    per_token = [F.sum(name) / F.greatest(F.max("n_tokens"), F.lit(1)) for name in ("target_loss", "background_loss")]
-    scored = losses.groupBy("row").agg(
-        F.max("id").alias("id"),
-        F.max("n_tokens").alias("n_tokens"),
-        per_token[0].alias("target_loss"),
-        per_token[1].alias("background_loss"),
-    )
-    return scored.select(
+    slices = sliced(plain, labels)
+    shared = df.sparkSession.sparkContext.broadcast((held, fit(slices, held)))
+    total = slices.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    answers = answered(sent(slices, shared, max(1, -(-total // MEETING_ROWS))))
+    return scored(slices, answers, shared).select(
         F.col("id").alias(key),
         "n_tokens",
         "target_loss",
