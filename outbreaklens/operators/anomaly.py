@@ -1,9 +1,15 @@
 """One-class SVM on the early rows of every zone, and the anomaly score of every row.
 
 Rows with equal features carry equal dual weight, so Spark first groups the baseline rows by feature
-pair. The dual is then solved on the distinct points: in one piece when they fit into one working
-set, and otherwise by decomposition, where Spark keeps weights and gradients of all points, picks the
-worst violators, and only that bounded working set is solved at a time.
+pair. The dual is solved on the distinct points by a cascade: points are dealt to leaves of at most one working
+set, every leaf solves its own share in a task, and only points with weight go on, a few leaves together, until one
+problem is left. Then every point is held against that solution; points that violate it join the last problem, until
+there are none. A cascade has as many levels as the logarithm of the number of leaves. No point but support vectors
+and violators leaves its leaf, and none of the solving happens on the driver.
+
+Sums of kernels over many support vectors go through a grid. Vectors of a small cell are replaced by the moments of a
+power series around its centre, and a point meets only the cells within the distance `REACH`. What the sums lose by that is
+at most `LOST` of the total weight.
 
 Counts enter as shares of all rows, so the problem has the same scale for any number of rows; offset and
 weights are scaled back at the end. A solution is accepted only when the optimality gap, from a gradient
@@ -13,7 +19,9 @@ no longer gets closer raises an error.
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +29,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outbreaklens.operators.ordered import running_totals
 from outbreaklens.operators.series import BASELINE_ROWS, WEEK_ROWS
 from outbreaklens.session import checkpointed
 
@@ -32,6 +39,13 @@ SURGE_RATIO = 2.0
 WORKING_SET = 2_000
 GAP = 1e-12  # of the largest gradient
 STALLS = 3  # sweeps or gradients computed anew that bring nothing before the solver gives up
+FAN = 4  # leaves that are merged into one
+VIOLATION = 1e-11  # of the largest gradient, by which a point has to fall short to join the problem again
+# The grid, in units in which the kernel is exp(-d^2 / 2).
+CELL = 0.5
+ORDERS = 14  # terms of the series a feature
+REACH = 8.0
+LOST = 1e-12
 BROADCAST_PAIRS = 200_000
 # Points on the boundary have score 0 up to solver error; scores below this share of the offset become 0.
 BOUNDARY = 1e-7
@@ -93,8 +107,8 @@ class Scale:
 class OneClassModel:
     """Scale, kernel width, offset, and the weighted support vectors.
 
-    `vectors` and `alpha` hold them when they fit into one working set; otherwise `points` is a
-    stored table (features, alpha) that is read in blocks.
+    `vectors` and `alpha` hold them when all points fitted on fit into one working set; otherwise `points` is
+    a stored table (features, alpha).
     """
 
     features: tuple[str, ...]
@@ -104,7 +118,6 @@ class OneClassModel:
     vectors: np.ndarray | None = None
     alpha: np.ndarray | None = None
     points: DataFrame | None = None
-    block: int = WORKING_SET
 
 
 def _kernel(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
@@ -146,6 +159,8 @@ def _solve(kernel: np.ndarray, box: np.ndarray, alpha: np.ndarray, outside: np.n
     while True:
         own = kernel @ alpha
         grad = own + outside
+        if not np.isfinite(grad).all():
+            raise RuntimeError("the one-class SVM did not converge: the gradient is not finite")
         open_gap, value = _gap(alpha, box, grad), float(alpha @ (own / 2 + outside))
         if open_gap <= gap:
             return grad
@@ -173,27 +188,116 @@ def feature_pairs(rows: DataFrame, fitted: Column, features: tuple[str, ...] = F
     return checkpointed(rows.groupBy(*features).agg(F.count_if(fitted).cast("double").alias("box")))
 
 
+def _solve_points(x: np.ndarray, box: np.ndarray, alpha: np.ndarray, gamma: float, size: int) -> np.ndarray:
+    """Solve for any number of points with kernels of at most `size` of them at a time; changes alpha, returns the gradient.
+
+    Beyond `size` points the worst violators are solved for, and all gradients follow the change.
+    """
+    if len(x) <= size:
+        return _solve(_kernel(x, x, gamma), box, alpha, 0.0, GAP)
+
+    def sums(vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(x))
+        for at, to in itertools.product(range(0, len(x), size), range(0, len(vectors), size)):
+            found[at : at + size] += _kernel(x[at : at + size], vectors[to : to + size], gamma) @ weights[to : to + size]
+        return found
+
+    def anew() -> np.ndarray:
+        held = alpha > 0
+        return sums(x[held], alpha[held])
+
+    grad, fresh, nearest, stalls = anew(), True, math.inf, 0
+    while True:
+        open_gap = _gap(alpha, box, grad)
+        if open_gap <= GAP and fresh:
+            return grad
+        moved = np.zeros(0, int)
+        if open_gap > GAP:
+            up, down = np.flatnonzero(alpha < box), np.flatnonzero(alpha > 0)
+            up, down = up[np.argsort(grad[up], kind="stable")[: size // 2]], down[np.argsort(-grad[down], kind="stable")[: size // 2]]
+            work = np.union1d(up, down)
+            kernel, own = _kernel(x[work], x[work], gamma), alpha[work].copy()
+            _solve(kernel, box[work], own, grad[work] - kernel @ alpha[work], GAP / 2)
+            moved, change = work[own != alpha[work]], (own - alpha[work])[own != alpha[work]]
+            alpha[work] = own
+        if len(moved):
+            grad, fresh = grad + sums(x[moved], change), False
+            continue
+        stalls = stalls + 1 if fresh or open_gap >= nearest else 0
+        if stalls > STALLS:
+            raise RuntimeError(f"the one-class SVM did not converge: gap {open_gap:.3g}")
+        nearest, grad, fresh = min(nearest, open_gap), anew(), True
+
+
 def fit_one_class(
     pairs: DataFrame, features: tuple[str, ...] = FEATURES, nu: float = NU, working_set: int = WORKING_SET
 ) -> OneClassModel:
-    """Fit on the pairs that hold rows to fit on."""
+    """Fit on the pairs that hold rows to fit on, by a cascade of leaves of at most `working_set` points."""
     points = pairs.where("box > 0")
-    local = points.limit(working_set + 1).toPandas()
-    if local.empty:
+    total = F.sum("box")
+    told = points.agg(
+        F.count(F.lit(1)).alias("n"),
+        total.alias("rows"),
+        *[(F.sum(F.col(c) * F.col("box")) / total).alias(c) for c in features],
+        *[(F.min(c) < F.max(c)).alias(f"{c}_varies") for c in features],
+    ).first()
+    if not told["n"]:
         raise ValueError("no baseline rows to fit on")
-    if len(local) > working_set:
-        return _fit_by_decomposition(points, features, nu, working_set)
-    local = local.sort_values(["box", *features], ascending=[False, *[True] * len(features)])
-    raw, box = local[list(features)].to_numpy(float), local["box"].to_numpy(float)
-    rows = box.sum()
-    box = box / rows
-    mean = box @ raw
-    scale, gamma = _scale(mean, np.sqrt(box @ (raw - mean) ** 2))
-    x = scale.apply(raw)
-    alpha = np.clip(nu - (box.cumsum() - box), 0.0, box)
-    grad = _solve(_kernel(x, x, gamma), box, alpha, 0.0, GAP)
-    used = alpha > 0
-    return OneClassModel(features, scale, gamma, rows * _offset(alpha, box, grad), x[used], rows * alpha[used])
+    spread = points.agg(
+        *[F.sqrt(F.sum(F.col("box") * F.pow(F.col(c) - F.lit(told[c]), 2)) / total).alias(c) for c in features]
+    ).first()
+    scale, gamma = _scale([told[c] for c in features], [spread[c] if told[f"{c}_varies"] else 0.0 for c in features])
+    rows, leaves = float(told["rows"]), max(1, math.ceil(told["n"] / working_set))
+    names = list(features)
+    schema = ", ".join([*(f"{c} double" for c in names), "box double, alpha double, leaf int, offset double"])
+
+    def solved(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["box", *names], ascending=[False, *[True] * len(names)])
+        x, box = scale.apply(frame[names].to_numpy(float)), frame["box"].to_numpy(float)
+        alpha = frame["alpha"].to_numpy(float).copy()
+        if np.isnan(alpha).any():  # a leaf: its own mass, on the most frequent points first
+            alpha = np.clip(nu * box.sum() - (box.cumsum() - box), 0.0, box)
+        grad = _solve_points(x, box, alpha, gamma, working_set)
+        found = frame.assign(alpha=alpha, offset=_offset(alpha, box, grad))
+        return found[found["alpha"] > 0][[*names, "box", "alpha", "leaf", "offset"]]
+
+    def merged(df: DataFrame, count: int) -> DataFrame:
+        return checkpointed(df.withColumn("leaf", F.pmod("leaf", F.lit(count)).cast("int")).groupBy("leaf").applyInPandas(solved, schema))
+
+    dealt = points.select(
+        *[F.col(c).cast("double").alias(c) for c in names],
+        (F.col("box") / F.lit(rows)).alias("box"),
+        F.lit(None).cast("double").alias("alpha"),
+        F.pmod(F.xxhash64(*names), F.lit(leaves)).cast("int").alias("leaf"),
+        F.lit(None).cast("double").alias("offset"),
+    )
+    held, width = merged(dealt, leaves), leaves
+    while width > 1:
+        width = math.ceil(width / FAN)
+        held = merged(held, width)
+    while leaves > 1:
+        joined = _violators(dealt, held, names, scale, gamma)
+        if joined.isEmpty():
+            break
+        held = merged(held.unionByName(joined), 1)
+    offset = held.select(F.max("offset")).first()[0]
+    held = held.select(*names, (F.col("alpha") * rows).alias("alpha"))
+    if leaves == 1:
+        own = held.toPandas()
+        vectors = scale.apply(own[names].to_numpy(float))
+        return OneClassModel(features, scale, gamma, rows * offset, vectors, own["alpha"].to_numpy(float))
+    return OneClassModel(features, scale, gamma, rows * offset, points=held)
+
+
+def _violators(dealt: DataFrame, held: DataFrame, names: list[str], scale: Scale, gamma: float) -> DataFrame:
+    """Points without weight whose gradient lies below the offset, stored; they join the last problem with weight 0."""
+    sums = kernel_sums(dealt.select(*names), held, names, scale, gamma).withColumnRenamed("_sum", "_grad")
+    told = held.agg(F.max("offset").alias("offset"))
+    least = told.scalar() - F.lit(VIOLATION) * sums.agg(F.max(F.abs("_grad"))).scalar()
+    short = sums.where(F.col("_grad") < least).join(held.select(*names), names, "left_anti")
+    return checkpointed(
+        dealt.join(short.select(*names), names, "left_semi").withColumn("alpha", F.lit(0.0)).select(*held.columns)
+    )
 
 
 def _scale(mean, deviation) -> tuple[Scale, float]:
@@ -204,140 +308,102 @@ def _scale(mean, deviation) -> tuple[Scale, float]:
     return Scale(tuple(map(float, mean)), sd), 1.0 / varying if varying else 1.0
 
 
-def _add_kernel_sum(
-    df: DataFrame, features, scale: Scale, gamma: float, column: str, block: pd.DataFrame, weight: str
-) -> DataFrame:
-    """`column` plus the kernel sum over a bounded block of weighted points, for every row.
+def _places(names: list[str], scale: Scale, gamma: float) -> list[Column]:
+    """The features in units in which the kernel is exp(-d^2 / 2)."""
+    unit = math.sqrt(2 * gamma)
+    return [(F.col(c) - F.lit(mean)) / F.lit(sd) * F.lit(unit) for c, mean, sd in zip(names, scale.mean, scale.sd)]
 
-    The function that travels to the workers holds arrays and names only, nothing of this package.
-    """
-    names = list(features)
-    mean, sd = np.array(scale.mean), np.array(scale.sd)
-    vectors = (block[names].to_numpy(float) - mean) / sd
-    weights = block[weight].to_numpy(float)
 
-    def add(batches):
-        for batch in batches:
-            own = (batch[names].to_numpy(float) - mean) / sd
-            total = batch[column].to_numpy(float).copy()
-            for begin in range(0, len(own), 2_000):
-                rows = own[begin : begin + 2_000]
-                squared = ((rows[:, None, :] - vectors[None, :, :]) ** 2).sum(axis=2)
-                total[begin : begin + 2_000] += np.exp(-gamma * squared) @ weights
-            yield batch.assign(**{column: total})
+def moments(vectors: DataFrame, names: list[str], scale: Scale, gamma: float) -> DataFrame:
+    """Weighted vectors by grid cell: (cell, moments) with `ORDERS` powers a feature around the centre of the cell.
 
-    return df.mapInPandas(add, df.schema)
+    exp(-|x - y|^2 / 2) = exp(-|t|^2 / 2) * prod sum_j (t d)^j / j! * exp(-|d|^2 / 2) with t = x - c and d = y - c.
+    """
+    places = _places(names, scale, gamma)
+    cells = [F.floor(place / F.lit(CELL)) for place in places]
+    known = vectors.select(
+        F.array(*cells).alias("cell"),
+        *[(place - (cell + 0.5) * CELL).alias(f"_d{i}") for i, (place, cell) in enumerate(zip(places, cells))],
+        F.col("alpha"),
+    )
+    squared = sum((F.col(f"_d{i}") * F.col(f"_d{i}") for i in range(len(names))), F.lit(0.0))
+    known = known.withColumn("alpha", F.col("alpha") * F.exp(-squared / 2))
+
+    def power(orders: tuple[int, ...]) -> Column:
+        term = F.col("alpha")
+        for i, order in enumerate(orders):
+            if order:
+                term = term * F.pow(F.col(f"_d{i}"), F.lit(float(order)))
+        return term
+
+    every = list(itertools.product(range(ORDERS), repeat=len(names)))
+    sums = known.groupBy("cell").agg(*[F.sum(power(orders)).alias(f"_m{i}") for i, orders in enumerate(every)])
+    return sums.select("cell", F.array(*[F.col(f"_m{i}") for i in range(len(every))]).alias("moments"))
+
+
+def series_sums(x: np.ndarray, cells: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Kernel sums at the points `x`, in grid units, of the vectors in `cells` with these moments."""
+    width = x.shape[1]
+    factor = np.cumprod([1.0, *range(1, ORDERS)])
+    found = np.zeros(len(x))
+    for cell, own in zip(cells, sums):
+        t = x - (cell + 0.5) * CELL
+        near = np.flatnonzero((t * t).sum(axis=1) < (REACH + CELL) ** 2)
+        if not len(near):
+            continue
+        t = t[near]
+        powers = t[:, :, None] ** np.arange(ORDERS) / factor
+        part = powers[:, 0, :] @ own.reshape(ORDERS, -1)
+        for i in range(1, width):
+            part = (powers[:, i, :, None] * part.reshape(len(t), ORDERS, -1)).sum(axis=1)
+        found[near] += np.exp(-(t * t).sum(axis=1) / 2) * part.reshape(len(t))
+    return found
 
 
-def _kernel_sums(
-    targets: DataFrame, vectors: DataFrame, features, scale: Scale, gamma: float, weight: str, size: int
+def kernel_sums(
+    targets: DataFrame, vectors: DataFrame, names: list[str], scale: Scale, gamma: float, size: int = BROADCAST_PAIRS
 ) -> DataFrame:
-    """Kernel sum of all weighted `vectors` at every distinct target, in one job: (features, _sum).
+    """Kernel sum of all weighted `vectors` at every distinct target: (names, _sum).
 
-    Both sides are packed into blocks of about `size` rows by hash; every block of targets meets every block of
-    vectors by the vectors' block number, and the partial sums of a target are added up.
+    Targets meet the cells of their own and of the neighbouring large squares, whose side is `REACH`. A square with very
+    many targets is dealt to several tasks. The moments are as many rows as there are cells with vectors in them.
     """
-    names = list(features)
-    mean, sd = np.array(scale.mean), np.array(scale.sd)
-    n_targets, n_vectors = targets.count(), vectors.count()
-    own, other = max(1, math.ceil(n_targets / size)), max(1, math.ceil(n_vectors / size))
-
-    def packed(df: DataFrame, blocks: int, block: str, rows: str, columns: list[str]) -> DataFrame:
-        number = F.pmod(F.xxhash64(*names), F.lit(blocks)).alias(block)
-        return df.select(number, F.struct(*columns).alias("_row")).groupBy(block).agg(F.collect_list("_row").alias(rows))
-
-    met = (
-        packed(targets, own, "_own", "targets", names)
-        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(other - 1))))
-        .join(packed(vectors, other, "_block", "vectors", [*names, weight]), "_block")
-        .select("targets", "vectors")
+    schema = ", ".join(f"{c} double" for c in [*names, "_sum"])
+    parts = max(1, math.ceil(targets.count() / size))
+    ratio = round(REACH / CELL)
+    squares = F.transform("cell", lambda c: F.floor(c / ratio))
+    packed = (
+        moments(vectors, names, scale, gamma)
+        .groupBy(squares.alias("square"))
+        .agg(F.collect_list(F.struct("cell", "moments")).alias("cells"))
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     )
+    places = _places(names, scale, gamma)
+    around = F.array(*[F.array(*[F.lit(step) for step in steps]) for steps in itertools.product((-1, 0, 1), repeat=len(names))])
+    own = F.array(*[F.floor(place / F.lit(REACH)) for place in places])
+    located = targets.select(
+        F.struct(*names).alias("_row"),
+        F.array(*places).alias("_place"),
+        F.pmod(F.xxhash64(*names), F.lit(parts)).cast("int").alias("part"),
+        F.explode(F.transform(around, lambda step: F.zip_with(own, step, lambda a, b: a + b))).alias("square"),
+    )
+    # Rows of a square come in lists of bounded length; the cells stand in a list once a square and part.
+    lists = located.groupBy("square", "part", F.pmod(F.xxhash64("_row"), F.lit(64)).alias("_list")).agg(
+        F.collect_list(F.struct("_row", "_place")).alias("rows")
+    )
+    met = lists.join(packed, ["square", "part"]).select("rows", "cells")
 
-    def add(batches):
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for ones, others in zip(batch["targets"], batch["vectors"]):
-                x = np.array([[row[c] for c in names] for row in ones], float)
-                v = np.array([[row[c] for c in names] for row in others], float)
-                weights = np.array([row[weight] for row in others], float)
-                a, b = (x - mean) / sd, (v - mean) / sd
-                squared = sum((a[:, i][:, None] - b[:, i][None, :]) ** 2 for i in range(a.shape[1]))
-                part = pd.DataFrame(x, columns=names)
-                part["_sum"] = np.exp(-gamma * squared) @ weights
-                yield part
-
-    schema = ", ".join(f"{c} double" for c in [*names, "_sum"])
-    return met.mapInPandas(add, schema).groupBy(*names).agg(F.sum("_sum").alias("_sum"))
-
-
-def _renewed_gradient(state: DataFrame, features, scale: Scale, gamma: float, size: int) -> DataFrame:
-    sums = _kernel_sums(state, state.where("alpha > 0"), features, scale, gamma, "alpha", size)
-    return checkpointed(state.drop("grad").join(sums.withColumnRenamed("_sum", "grad"), list(features)))
+            for rows, cells in zip(batch["rows"], batch["cells"]):
+                x = np.array([list(row["_place"]) for row in rows], float)
+                total = series_sums(x, np.array([list(c["cell"]) for c in cells]), np.array([c["moments"] for c in cells]))
+                part = pd.DataFrame([[row["_row"][c] for c in names] for row in rows], columns=names)
+                yield part.assign(_sum=total)
 
-
-def _fit_by_decomposition(points: DataFrame, features: tuple[str, ...], nu: float, size: int) -> OneClassModel:
-    total = F.sum("box")
-    means = points.agg(total.alias("n"), *[(F.sum(F.col(c) * F.col("box")) / total).alias(c) for c in features]).first()
-    variances = points.agg(
-        *[(F.sum(F.col("box") * F.pow(F.col(c) - F.lit(means[c]), 2)) / total).alias(c) for c in features]
-    ).first()
-    scale, gamma = _scale([means[c] for c in features], [variances[c] ** 0.5 for c in features])
-    rows = float(means["n"])
-    order = [F.col("box").desc(), *[F.col(c) for c in features]]
-    shares = points.withColumn("box", F.col("box") / rows).withColumn("one", F.lit(1))
-    ranked, _ = running_totals(shares, order, ["box", "one"])
-    start = F.greatest(F.least(F.lit(nu) - (F.col("cum_box") - F.col("box")), F.col("box")), F.lit(0.0))
-    state = ranked.select(
-        F.col("cum_one").cast("bigint").alias("id"), *features, "box", start.alias("alpha"), F.lit(0.0).alias("grad")
-    )
-    state = _renewed_gradient(checkpointed(state), features, scale, gamma, size)
-
-    # The gradient of all points follows every change; it is computed anew before a solution is accepted and
-    # whenever the worst violators cannot be improved.
-    fresh, nearest, stalls = True, math.inf, 0
-    while True:
-        up = state.where("alpha < box").orderBy("grad", "id").limit(size // 2).toPandas()
-        down = state.where("alpha > 0").orderBy(F.desc("grad"), "id").limit(size // 2).toPandas()
-        largest = state.agg(F.max(F.abs("grad"))).first()[0]
-        open_gap = (down["grad"].max() - up["grad"].min()) / largest if len(up) and len(down) else 0.0
-        if open_gap <= GAP and fresh:
-            break
-        moved = up[:0]
-        if open_gap > GAP:
-            work = pd.concat([up, down]).drop_duplicates("id").reset_index(drop=True)
-            x = scale.apply(work[list(features)].to_numpy(float))
-            kernel, alpha = _kernel(x, x, gamma), work["alpha"].to_numpy(float).copy()
-            outside = work["grad"].to_numpy(float) - kernel @ alpha
-            _solve(kernel, work["box"].to_numpy(float), alpha, outside, GAP / 2)
-            work["change"], work["moved"] = alpha - work["alpha"], alpha
-            moved = work[work["change"] != 0]
-        if moved.empty:
-            if fresh:
-                raise RuntimeError(f"the one-class SVM did not converge: gap {open_gap:.3g}")
-            stalls = 0 if open_gap < nearest else stalls + 1
-            if stalls > STALLS:
-                raise RuntimeError(f"the one-class SVM did not converge: gap {open_gap:.3g}")
-            nearest = min(nearest, open_gap)
-            state, fresh = _renewed_gradient(state, features, scale, gamma, size), True
-            continue
-        lookup = state.sparkSession.createDataFrame(moved[["id", "moved"]])
-        # At most one working set of rows, hence the broadcast.
-        renewed = state.join(F.broadcast(lookup), "id", "left").withColumn("alpha", F.coalesce("moved", "alpha"))
-        renewed = renewed.select(*state.columns)
-        state = checkpointed(_add_kernel_sum(renewed, features, scale, gamma, "grad", moved, "change"))
-        fresh = False
-
-    free = (F.col("alpha") > 0) & (F.col("alpha") < F.col("box"))
-    rho = state.agg(
-        F.avg(F.when(free, F.col("grad"))).alias("free"),
-        F.max(F.when(F.col("alpha") >= F.col("box"), F.col("grad"))).alias("below"),
-        F.min(F.when(F.col("alpha") <= 0, F.col("grad"))).alias("above"),
-    ).first()
-    if rho["free"] is not None:
-        offset = rho["free"]
-    else:
-        offset = rho["below"] if rho["above"] is None else (rho["below"] + rho["above"]) / 2
-    weighted = state.where("alpha > 0").withColumn("alpha", F.col("alpha") * rows)
-    return OneClassModel(features, scale, gamma, rows * float(offset), points=weighted, block=size)
+    near = met.mapInPandas(add, schema)
+    # A target far from every vector has the sum 0.
+    return near.unionByName(targets.select(*names, F.lit(0.0).alias("_sum"))).groupBy(*names).agg(F.sum("_sum").alias("_sum"))
 
 
 def _kernel_sum(model: OneClassModel) -> Column:
@@ -369,7 +435,7 @@ def anomaly_score(
     if model.points is None:
         scored = scored.withColumn("_kernel_sum", _kernel_sum(model))
     else:
-        sums = _kernel_sums(scored, model.points, features, model.scale, model.gamma, "alpha", model.block)
+        sums = kernel_sums(scored, model.points, features, model.scale, model.gamma)
         scored = checkpointed(sums.withColumnRenamed("_sum", "_kernel_sum"))
     value = F.lit(model.rho) - F.col("_kernel_sum")
     value = F.when(F.abs(value) < BOUNDARY * abs(model.rho), F.lit(0.0)).otherwise(value)

@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from outbreaklens.operators import forest
 from outbreaklens.operators.anomaly import standardise, standardiser
 from outbreaklens.operators.ordered import date_at_fraction
 from outbreaklens.session import checkpointed
@@ -69,7 +70,7 @@ def train_forest(train: DataFrame, trees: int = TREES, depth: int = DEPTH, seed:
     """Random forest with balanced class weights; one feature per split, as the square root of three floors to one."""
     weighted = train.withColumn("_weight", _class_case(balanced_weights(train), LABEL, "weight"))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    forest = RandomForestClassifier(
+    classifier = RandomForestClassifier(
         labelCol=LABEL,
         weightCol="_weight",
         numTrees=trees,
@@ -77,7 +78,7 @@ def train_forest(train: DataFrame, trees: int = TREES, depth: int = DEPTH, seed:
         featureSubsetStrategy="1",
         seed=seed,
     )
-    return Pipeline(stages=[assembler, forest]).fit(weighted)
+    return Pipeline(stages=[assembler, classifier]).fit(weighted)
 
 
 def importances(model: PipelineModel) -> list[tuple[str, float]]:
@@ -165,13 +166,13 @@ def with_class(df: DataFrame, probability: str = "onset_probability", threshold:
     return df.withColumn("predicted", (F.col(probability) >= threshold).cast("int"))
 
 
-def predict_zones(state: DataFrame, network: PipelineModel, forest: PipelineModel, stats: DataFrame, density: Column) -> DataFrame:
+def predict_zones(state: DataFrame, network: PipelineModel, trees: PipelineModel, stats: DataFrame, density: Column) -> DataFrame:
     """Both probabilities for every zone at once; a missing density is replaced for scoring only."""
     inputs = state.withColumnRenamed("population_density", "_reported").withColumn(
         "population_density", F.coalesce("_reported", density, F.lit(0.0))
     )
     scored = with_probability(network, standardise(inputs, stats, FEATURES), "next_7d_onset_probability")
-    scored = with_probability(forest, scored, "baseline_rf_probability")
+    scored = with_probability(trees, scored, "baseline_rf_probability")
     return scored.select(
         *[c for c in state.columns if c != "population_density"],
         F.col("_reported").alias("population_density"),
@@ -180,6 +181,23 @@ def predict_zones(state: DataFrame, network: PipelineModel, forest: PipelineMode
     )
 
 
+def score_zones(state: DataFrame, by_network: Column, trees: DataFrame, density: Column, depth: int = DEPTH) -> DataFrame:
+    """Both probabilities for every zone by native expressions; a missing density is replaced for scoring only.
+
+    `by_network` is an expression on the features, `trees` the node table of the forest.
+    """
+    inputs = state.withColumnRenamed("population_density", "_reported").withColumn(
+        "population_density", F.coalesce("_reported", density, F.lit(0.0))
+    )
+    scored = forest.with_probability(inputs.withColumn("_network", by_network), trees, FEATURES, depth, "_forest")
+    return scored.select(
+        *[c for c in state.columns if c != "population_density"],
+        F.col("_reported").alias("population_density"),
+        F.bround("_network", 4).alias("next_7d_onset_probability"),
+        F.bround("_forest", 4).alias("baseline_rf_probability"),
+    )
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

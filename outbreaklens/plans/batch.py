@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outbreaklens.operators import anomaly, bulletins, cleaning, metrics, models, ordered, series, star
+from outbreaklens.operators import anomaly, bulletins, cleaning, forest, metrics, models, network, ordered, series, star
 from outbreaklens.plans import pipeline
 from outbreaklens.session import build_session, checkpointed
 from outbreaklens.sources import readers, writers
@@ -68,11 +68,18 @@ def train(spark: SparkSession, raw: Raw, out: str) -> None:
     seen, held = rows.where("is_train"), rows.where(~F.col("is_train"))
     stats = anomaly.standardiser(seen, models.FEATURES)
     writers.write_table(stats, f"{out}/feature_scale")
-    fitted = {"forest": models.train_forest(seen), "network": models.train_network(seen)}
-    for name, model in fitted.items():
-        models.save_model(model, f"{out}/models/{name}")
-        inputs = held if name == "forest" else anomaly.standardise(held, stats, models.FEATURES)
-        scored = checkpointed(models.with_class(models.with_probability(model, inputs)))
+    trees, fitted = models.train_forest(seen), network.train(seen)
+    models.save_model(trees, f"{out}/models/forest")
+    nodes = forest.nodes(trees, spark)
+    writers.write_table(nodes, f"{out}/models/forest_nodes")
+    writers.write_table(forest.importances(nodes, models.FEATURES), f"{out}/evaluation/forest/importances")
+    writers.write_table(network.table(fitted, spark), f"{out}/models/network")
+    results = {
+        "forest": forest.with_probability(held, nodes, models.FEATURES, models.DEPTH),
+        "network": held.withColumn("onset_probability", network.probability(fitted)),
+    }
+    for name, rows in results.items():
+        scored = checkpointed(models.with_class(rows))
         evaluation = f"{out}/evaluation/{name}"
         writers.write_table(metrics.confusion_matrix(scored, models.LABEL, "predicted"), f"{evaluation}/confusion")
         writers.write_table(metrics.classification_report(scored, models.LABEL, "predicted"), f"{evaluation}/report")
@@ -114,11 +121,10 @@ def predict(spark: SparkSession, out: str) -> DataFrame:
     """Both probabilities for every zone at its latest state."""
     state = star.zone_state(_table(spark, out, "star/health_zones"), _table(spark, out, "star/daily_cases"))
     known = _table(spark, out, "zone_day_features_labelled")
-    return models.predict_zones(
+    return models.score_zones(
         state,
-        models.load_model(f"{out}/models/network"),
-        models.load_model(f"{out}/models/forest"),
-        _table(spark, out, "feature_scale"),
+        network.probability(network.from_table(_table(spark, out, "models/network"))),
+        _table(spark, out, "models/forest_nodes"),
         ordered.median(known, "population_density").scalar(),
     )
 

