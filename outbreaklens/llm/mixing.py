@@ -10,7 +10,10 @@ every slot of every shard, piece by piece with the row they come from, and `mix`
 Targets: weights repeat over the sources in code point order, null last. The sources share `share` times all
 words by weight, no source gets more than `cap` times its words, and what is cut off goes to the others by weight.
 
-A null text has size 0 and is never taken. Null is a source of its own. Repeated rows are packed like other rows.
+A null text has size 0 and is never taken, nor is an empty one. Null is a source of its own. Repeated rows are folded into
+one with a number before anything else and packed copy by copy, and rows that share an id are dealt by their text as
+well, so no id and no text fills a window. Texts of any length are cut into pieces of at most a block. An empty table has
+an empty mix; other columns are not read.
 Only columns and joins are used. Every draw is a hash of seed and index, so reruns give the same mix.
 """
 
@@ -31,7 +34,7 @@ CAP = 2.0
 BLOCK = 64
 SHARD_SLOTS = 4096
 CELLS = 4096
-PACK_ROWS = 50_000
+PACK_ROWS = 10_000
 SMALL_SOURCES = 10_000  # a table of so many sources is broadcast
 SEED = 42
 IDENTITY = ["sid", "part", "tie", "key", "source", "size", "source_size", "target"]
@@ -137,9 +140,13 @@ def slots(sources: DataFrame, total: int) -> DataFrame:
 
 
 def packed(rows: DataFrame, n_rows: int) -> DataFrame:
-    """Rows (sid, key, size, mark) with the place of their first word in their source; `mark` orders rows of one key."""
-    parts = rows.withColumn("part", _uniform(F.lit(max(1, math.ceil(n_rows / PACK_ROWS))), F.col("key")))
-    inside = Window.partitionBy("sid", "part").orderBy(F.xxhash64("key"), "key", "size", "mark")
+    """Rows (sid, key, size, mark, copy) with the place of their first word in their source.
+
+    `mark` tells rows of one key apart and `copy` equal rows, so the parts are of about equal size whatever the keys.
+    """
+    one = [F.col(name) for name in ("key", "mark", "copy")]
+    parts = rows.withColumn("part", _uniform(F.lit(max(1, math.ceil(n_rows / PACK_ROWS))), *one))
+    inside = Window.partitionBy("sid", "part").orderBy(F.xxhash64(*one), "key", "size", "mark", "copy")
     before = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         parts.groupBy("sid", "part")
@@ -170,8 +177,11 @@ def _laid_out(
             F.xxhash64(text).alias("mark"),
             *kept,
         )
+        .groupBy("key", "source", "size", "mark")
+        .agg(F.count(F.lit(1)).alias("copies"), *[F.first("tokens").alias("tokens") for _ in kept])
     )
-    sizes = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
+    counted = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
+    sizes = targets(counted, weights, share, cap)
     blocks = F.ceil(F.col("source_size") / block)
     sources = checkpointed(
         sizes.withColumn("blocks", blocks).withColumn(
@@ -184,9 +194,10 @@ def _laid_out(
     n_sources, total = sources.agg(F.count(F.lit(1)), F.coalesce(F.sum("wanted"), F.lit(0))).first()
     side = F.broadcast(sources) if n_sources <= SMALL_SOURCES else sources
     known = rows.alias("r").join(side.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source"))).select(
-        "r.key", "r.size", "r.mark", "r.source", "s.sid", "s.source_size", "s.target", *(["r.tokens"] if content else [])
+        "r.key", "r.size", "r.mark", "r.source", "s.sid", "s.source_size", "s.target", *(["r.tokens"] if content else []),
+        F.explode(F.sequence(F.lit(1).cast("long"), "r.copies")).alias("copy"),
     )
-    placed = packed(known, rows.count())
+    placed = packed(known, rows.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0])
 
     turn, index = F.floor(F.col("index") / F.col("blocks")), F.col("index") % F.col("blocks")
     in_shard = Window.partitionBy("shard").orderBy(_uniform(F.lit(1 << 62), F.col("sid"), F.col("index")), "sid", "index")
@@ -194,7 +205,7 @@ def _laid_out(
         slots(sources.select("sid", "wanted"), total)
         .withColumn("slot", F.row_number().over(in_shard) - 1)
         .join(side.select("sid", "blocks"), "sid")
-        .select("shard", "slot", "sid", _permuted(index, F.col("blocks"), F.col("sid"), turn).alias("block"))
+        .select("shard", "slot", "sid", turn.alias("turn"), _permuted(index, F.col("blocks"), F.col("sid"), turn).alias("block"))
     )
 
     def piece(number: Column) -> Column:
@@ -235,6 +246,28 @@ def shards(
     return laid.select("shard", "slot", "source", "place", F.col("key").alias(key), "first", "n_words", "words")
 
 
+def copies(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights=WEIGHTS,
+    share: float = SHARE,
+    cap: float = CAP,
+    block: int = BLOCK,
+) -> DataFrame:
+    """What the slots of all shards hold of a row, pass by pass: (key, size, spans) with spans (first, n_words) in word order.
+
+    In a whole pass over a source all words of a row are there, in the last one those whose blocks were drawn. Spans that
+    touch are separate; a row that no slot holds is not there.
+    """
+    laid = _laid_out(df, key, text, source, weights, share, cap, block, False)[1]
+    spans = F.sort_array(F.collect_list(F.struct("first", "n_words")))
+    return laid.groupBy("sid", "part", "tie", "key", "size", "turn").agg(spans.alias("spans")).select(
+        F.col("key").alias(key), "size", "spans"
+    )
+
+
 def mix(
     df: DataFrame,
     key: str = "doc_id",
