@@ -119,7 +119,8 @@ def load(spark: SparkSession, raw: Raw, out: str) -> None:
 
 def predict(spark: SparkSession, out: str) -> DataFrame:
     """Both probabilities for every zone at its latest state."""
-    state = star.zone_state(_table(spark, out, "star/health_zones"), _table(spark, out, "star/daily_cases"))
+    tables = readers.current_tables(spark, f"{out}/star", ["health_zones", "daily_cases"])
+    state = star.zone_state(tables["health_zones"], tables["daily_cases"])
     known = _table(spark, out, "zone_day_features_labelled")
     return models.score_zones(
         state,

@@ -77,6 +77,44 @@ def _stems(pattern: str) -> str:
     return f"len(regexp_extract_all(paragraph, '(?i){pattern}'))"
 
 
+def _severity_step(before: str, after: str) -> str:
+    """One step: shares of terms, then shares of paragraphs by seed and terms."""
+    return f"""
+{after}_terms AS (
+  SELECT cell, sum(s0) AS s0, sum(s1) AS s1, sum(s2) AS s2
+  FROM (SELECT unnest(cells) AS cell, s0, s1, s2 FROM {before}) GROUP BY cell
+), {after}_all AS (
+  SELECT sum(s0) AS t0, sum(s1) AS t1, sum(s2) AS t2, count(*) AS n FROM {after}_terms
+), {after}_logs AS (
+  SELECT bulletin, pos, sum(ln((t.s0 + 0.5) / (t0 + 0.5 * n))) AS l0, sum(ln((t.s1 + 0.5) / (t1 + 0.5 * n))) AS l1,
+         sum(ln((t.s2 + 0.5) / (t2 + 0.5 * n))) AS l2
+  FROM (SELECT bulletin, pos, unnest(cells) AS cell FROM {before}) JOIN {after}_terms t USING (cell), {after}_all GROUP BY ALL
+), {after}_sums AS (
+  SELECT b.*, ln(seed0) + coalesce(l0, 0) AS g0, ln(seed1) + coalesce(l1, 0) AS g1, ln(seed2) + coalesce(l2, 0) AS g2
+  FROM {before} b LEFT JOIN {after}_logs USING (bulletin, pos)
+), {after} AS MATERIALIZED (
+  SELECT bulletin, pos, cells, seed0, seed1, seed2,
+         round(exp(g0 - greatest(g0, g1, g2)) / (exp(g0 - greatest(g0, g1, g2)) + exp(g1 - greatest(g0, g1, g2)) + exp(g2 - greatest(g0, g1, g2))), 9) AS s0,
+         round(exp(g1 - greatest(g0, g1, g2)) / (exp(g0 - greatest(g0, g1, g2)) + exp(g1 - greatest(g0, g1, g2)) + exp(g2 - greatest(g0, g1, g2))), 9) AS s1,
+         round(exp(g2 - greatest(g0, g1, g2)) / (exp(g0 - greatest(g0, g1, g2)) + exp(g1 - greatest(g0, g1, g2)) + exp(g2 - greatest(g0, g1, g2))), 9) AS s2
+  FROM {after}_sums
+)"""
+
+
+SEVERITY_SEEDS = f"""
+, weighed AS (
+  SELECT bulletin, pos, list_distinct(list_transform(list_distinct(regexp_extract_all(lower(paragraph), '[\\p{{L}}\\p{{M}}\\p{{N}}_''’-]+')),
+           lambda w: ('0x' || substr(md5(w), 1, 5))::INT)) AS cells,
+         CAST(1.0 AS DOUBLE) + {_stems("update|routine|recover|follow-up|monitor|discharged")} AS h0,
+         CAST(0.5 AS DOUBLE) + {_stems("increas|escalat|spread|rising|expand|surge|intensif|additional")} AS h1,
+         CAST(0.5 AS DOUBLE) + {_stems("emergenc|crisis|death|fatal|mortality|international concern")} AS h2
+  FROM paras
+), step0 AS MATERIALIZED (
+  SELECT bulletin, pos, cells, round(h0 / (h0 + h1 + h2), 9) AS seed0, round(h1 / (h0 + h1 + h2), 9) AS seed1,
+         round(h2 / (h0 + h1 + h2), 9) AS seed2, seed0 AS s0, seed1 AS s1, seed2 AS s2 FROM weighed
+),"""
+
+
 # Common tables: name -> (tables it reads, SQL).
 VIEWS: dict[str, tuple[list[str], str]] = {
     "raw_cases": ([], _raw("error", "cumulative_confirmed_cases")),
@@ -688,6 +726,18 @@ FROM page_text a JOIN body_text b USING (page_id)""",
         "paras",
     ),
     "severity_labels": _sql("SELECT bulletin, pos, label, confidence FROM judged", "judged"),
+    "severity_step": _sql(
+        SEVERITY_SEEDS + _severity_step("step0", "step1")
+        + " SELECT bulletin, pos, round_even(s0, 6) AS s0, round_even(s1, 6) AS s1, round_even(s2, 6) AS s2 FROM step1",
+        "paras",
+    ),
+    "severity_refined": _sql(
+        SEVERITY_SEEDS + ",".join(_severity_step(f"step{n}", f"step{n + 1}") for n in range(3))
+        + """
+SELECT bulletin, pos, CASE WHEN s2 = greatest(s0, s1, s2) THEN 'emergency-level crisis' WHEN s1 = greatest(s0, s1, s2) THEN 'concerning escalation'
+                           ELSE 'routine update' END AS label, round(greatest(s0, s1, s2), 3) AS confidence FROM step3""",
+        "paras",
+    ),
     "most_severe_paragraph": _sql(
         "SELECT b.bulletin, w.paragraph, w.label, w.confidence FROM bulletins b LEFT JOIN worst w USING (bulletin)",
         "bulletins", "worst",
@@ -806,6 +856,22 @@ FROM split WHERE is_train""",
     "appended_articles": _sql(
         "SELECT 'DON' || CAST(page_id AS VARCHAR) AS name, length(article) AS n_chars FROM page_text", "page_text"
     ),
+    "star_versions": _sql(
+        """
+SELECT 'health_zones' AS table_name, COUNT(*) AS n_rows, true AS replacement_failed FROM health_zones
+UNION ALL SELECT 'daily_cases', COUNT(*), true FROM series UNION ALL SELECT 'anomaly_scores', COUNT(*), true FROM scores""",
+        "health_zones", "series", "scores",
+    ),
+    "bulletin_files": _sql(
+        """
+SELECT b.bulletin, length(text) + 1 AS n_chars, coalesce(n, 0) AS n_paragraphs
+FROM bulletins b LEFT JOIN (SELECT bulletin, COUNT(*) AS n FROM paras GROUP BY 1) p ON b.bulletin = p.bulletin""",
+        "bulletins", "paras",
+    ),
+    "manifest_entries": """
+SELECT 'DON' || page_id::VARCHAR || '_' || CAST(DATE '2026-01-01' + CAST(page_id % 300 AS INT) AS VARCHAR) AS name,
+       'DON' || page_id::VARCHAR AS number, CAST(DATE '2026-01-01' + CAST(page_id % 300 AS INT) AS VARCHAR) AS published,
+       NOT url LIKE 'http://%' AS is_new FROM pages""",
     "bulletin_file_stems": _sql("SELECT bulletin, bulletin AS stem FROM bulletins", "bulletins"),
     "stored_probabilities": _sql(
         f"SELECT {KEY}, round_even(days_since_first_case * 7919 % 1000 / 1000, 2) AS shown, "

@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from outbreaklens.functions import text as t
 from outbreaklens.functions.display import bar_percent, score_tier
-from outbreaklens.operators import anomaly, bulletins, cleaning, forest, metrics, models, network, ordered, series, star
+from outbreaklens.operators import anomaly, bulletins, cleaning, forest, metrics, models, network, ordered, series, severity, star
 from outbreaklens.plans import pipeline, serving
 from outbreaklens.session import checkpointed, ensure_checkpoint_dir
 from outbreaklens.sources import readers, testviews, writers
@@ -610,6 +611,19 @@ def severity_labels(spark, folder):
     return rows.select("bulletin", "pos", "s.label", "s.confidence")
 
 
+@query
+def severity_step(spark, folder):
+    """Shares of every paragraph after one step from the stems."""
+    paragraphs = severity.seeded(testviews.bulletins(spark, folder))
+    after = severity.judged(paragraphs, severity.term_shares(paragraphs))
+    return after.select("bulletin", "pos", *[F.bround(name, 6).alias(name) for name in severity.SHARES])
+
+
+@query
+def severity_refined(spark, folder):
+    return severity.refined(testviews.bulletins(spark, folder)).select("bulletin", "pos", "label", "confidence")
+
+
 @query
 def most_severe_paragraph(spark, folder):
     worst = t.most_severe(t.paragraph_severity(F.col("text")))
@@ -1068,6 +1082,49 @@ def star_tables_sql(spark, folder):
     )
 
 
+@query
+def star_versions(spark, folder):
+    """Rows of the three tables after a replacement that fails at the last of them: those of the version before."""
+    path = _fresh_folder(spark, "star")
+    tables = dict(zip(("health_zones", "daily_cases", "anomaly_scores"), _star(spark, folder)))
+    writers.replace_tables(tables, path)
+    broken = {name: df.limit(0) for name, df in tables.items()}
+    broken["anomaly_scores"] = tables["anomaly_scores"].withColumn("nom", F.raise_error(F.lit("lost")).cast("string"))
+    try:
+        writers.replace_tables(broken, path)
+        failed = False
+    except PySparkException:
+        failed = True
+    current = readers.current_tables(spark, path, list(tables))
+    counts = [
+        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.lit(failed).alias("replacement_failed"))
+        for name, df in current.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query
+def bulletin_files(spark, folder):
+    """Bulletins written as one text file each and read back whole: name, length and paragraphs of every file."""
+    path = _fresh_folder(spark, "bulletins")
+    texts = testviews.bulletins(spark, folder)
+    writers.write_bulletins(texts, path)
+    read = readers.bulletins(spark, path, partitioned=True)
+    return read.select("bulletin", F.length("text").alias("n_chars"), F.size(t.paragraphs(F.col("text"))).alias("n_paragraphs"))
+
+
+@query
+def manifest_entries(spark, folder):
+    """A manifest of all pages: number and date out of every name, and whether the page is stored already."""
+    pages = testviews.pages(spark, folder)
+    date = F.date_format(F.date_add(F.lit("2026-01-01").cast("date"), (F.col("page_id") % 300).cast("int")), "yyyy-MM-dd")
+    name = F.concat(F.lit("DON"), F.col("page_id").cast("string"), F.lit("_"), date)
+    entries = readers.manifest(pages.select(name.alias("name"), "url"))
+    stored = pages.where(F.col("url").startswith("http://")).select(name.alias("name"))
+    fresh = star.only_new(entries, stored).select("name", F.lit(True).alias("is_new"))
+    return entries.join(fresh, "name", "left").select("name", "number", "published", F.coalesce("is_new", F.lit(False)).alias("is_new"))
+
+
 @query
 def file_integrity(spark, folder):
     files = readers.file_integrity(spark, f"{folder.rstrip('/')}/*.parquet")

@@ -9,28 +9,28 @@ from pyspark.sql import functions as F
 from outbreaklens.functions.html import article_text
 from outbreaklens.functions.text import bulletin_date, bulletin_number, date_or_error, file_stem, null_if_missing
 from outbreaklens.operators.cleaning import ENTRY
+from outbreaklens.sources import csvsplit
 from outbreaklens.sources.schemas import EXTRACTION, ZONES_GEOJSON
+from outbreaklens.sources.writers import latest_version, register
 
 
-def csv_table(spark: SparkSession, path: str, entry: bool = False) -> DataFrame:
+CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def csv_table(spark: SparkSession, path: str, entry: bool = False, split: bool = False) -> DataFrame:
     """A CSV file with a header, every column as text, the usual spellings of "missing" as NULL.
 
     Quoted line breaks stay in their cell; files of one folder with other columns are an error. With `entry`, the
-    place of every row in the files comes along.
+    place of every row in the files comes along. With `split`, files are read by as many tasks as they have splits
+    (`csvsplit`) and not by one task each.
     """
-    raw = spark.read.csv(
-        path,
-        header=True,
-        inferSchema=False,
-        enforceSchema=False,
-        multiLine=True,
-        quote='"',
-        escape='"',
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
-    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    raw = spark.read.csv(path, header=True, inferSchema=False, enforceSchema=False, multiLine=True, **CSV)
     cells = [null_if_missing(F.col(f"`{c}`")).alias(c) for c in raw.columns]
+    if split:
+        place = F.col("place")
+        raw = csvsplit.table(spark, path, raw.columns, CSV)
+    else:
+        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
     return raw.select(*cells, place.alias(ENTRY)) if entry else raw.select(*cells)
 
 
@@ -56,11 +56,11 @@ def national_deaths(spark: SparkSession, path: str) -> DataFrame:
 
 
 def zone_cases(spark: SparkSession, path: str) -> DataFrame:
-    return _required(csv_table(spark, path), ["nom", "date", "cumulative_confirmed_cases"], path)
+    return _required(csv_table(spark, path, split=True), ["nom", "date", "cumulative_confirmed_cases"], path)
 
 
 def zone_deaths(spark: SparkSession, path: str) -> DataFrame:
-    return _required(csv_table(spark, path), ["nom", "date", "cumulative_confirmed_deaths"], path)
+    return _required(csv_table(spark, path, split=True), ["nom", "date", "cumulative_confirmed_deaths"], path)
 
 
 def aliases(spark: SparkSession, path: str) -> DataFrame:
@@ -84,14 +84,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def bulletins(spark: SparkSession, folder: str) -> DataFrame:
+def bulletins(spark: SparkSession, folder: str, partitioned: bool = False) -> DataFrame:
     """One row per text file: bulletin (file stem) and whole text with plain line ends.
 
-    An empty folder is an error.
+    An empty folder is an error. With `partitioned` the files are those of `writers.write_bulletins`, whose folders carry
+    the names.
     """
+    text = F.regexp_replace("value", "\r\n?", "\n").alias("text")
+    if partitioned:
+        return spark.read.text(folder, wholetext=True).select(file_stem(F.col("file")).alias("bulletin"), text)
     files = spark.read.text(f"{folder.rstrip('/')}/*.txt", wholetext=True)
-    text = F.regexp_replace("value", "\r\n?", "\n")
-    return files.select(file_stem(F.col("_metadata.file_name")).alias("bulletin"), text.alias("text"))
+    return files.select(file_stem(F.col("_metadata.file_name")).alias("bulletin"), text)
 
 
 def extractions(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -104,6 +107,14 @@ def extractions(spark: SparkSession, path: str, multi_line: bool = False) -> Dat
         return spark.createDataFrame([], EXTRACTION)
 
 
+def current_tables(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
+    """Star tables of the last version that was written whole, each registered as a view of its name."""
+    last = latest_version(spark, folder)
+    if last is None:
+        raise FileNotFoundError(f"{folder} holds no version")
+    return register(spark, f"{folder.rstrip('/')}/versions/{last[1]}", names)
+
+
 def articles(pages: DataFrame, html: str = "html") -> DataFrame:
     """Pages with their article text."""
     return pages.withColumn("article", article_text(F.col(html)))
@@ -123,7 +134,11 @@ BULLETIN_PAGES = {
 
 def bulletin_manifest(spark: SparkSession, pages: dict[str, str] | None = None) -> DataFrame:
     """Name, page address, number and date of every listed bulletin."""
-    entries = spark.createDataFrame(list((pages or BULLETIN_PAGES).items()), "name string, url string")
+    return manifest(spark.createDataFrame(list((pages or BULLETIN_PAGES).items()), "name string, url string"))
+
+
+def manifest(entries: DataFrame) -> DataFrame:
+    """Entries (name, url) of any number, with the number and date that the name tells."""
     name = F.col("name")
     return entries.select("name", "url", bulletin_number(name).alias("number"), bulletin_date(name).alias("published"))
 

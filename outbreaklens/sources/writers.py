@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outbreaklens.operators.star import only_new
@@ -21,17 +24,60 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
+def write_bulletins(texts: DataFrame, path: str) -> None:
+    """One text file a bulletin, `<bulletin>.txt` in a folder of its own; two texts of one name are an error.
+
+    Spark names its files itself, so a bulletin's folder carries the name and its file the text, as it is.
+    """
+    twice = texts.groupBy("bulletin").count().where("count > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"two texts for {twice.first()['bulletin']}")
+    named = texts.select(F.concat("bulletin", F.lit(".txt")).alias("file"), F.coalesce("text", F.lit("")).alias("value"))
+    named.repartition("file").write.partitionBy("file").mode("overwrite").option("lineSep", "\n").text(path)
+
+
 def write_extractions(records: DataFrame, path: str) -> None:
     """Nested records as JSON lines in UTF-8."""
     records.write.mode("overwrite").json(path)
 
 
-def replace_tables(tables: dict[str, DataFrame], folder: str) -> None:
-    """Replace star tables under one folder and register each as a view of its name."""
+def replace_tables(tables: dict[str, DataFrame], folder: str) -> str:
+    """Replace star tables under one folder together, and register each as a view of its name.
+
+    The tables go to a folder of a new version. Only when all are written, one row with the version is appended to the
+    pointer, and readers (`readers.current_tables`) follow the pointer: before, during and after a failed replacement they
+    see all tables of one version. Returns the version's folder.
+    """
+    folder = folder.rstrip("/")
+    spark = next(iter(tables.values())).sparkSession
+    version = (latest_version(spark, folder) or (0, ""))[0] + 1
+    path = f"{folder}/versions/{version:010d}-{uuid.uuid4().hex}"
     for name, df in tables.items():
-        path = f"{folder.rstrip('/')}/{name}"
-        write_table(df, path)
-        df.sparkSession.read.parquet(path).createOrReplaceTempView(name)
+        write_table(df, f"{path}/{name}")
+    pointer = spark.createDataFrame([(version, path.rsplit("/", 1)[1])], "version long, name string")
+    pointer.coalesce(1).write.mode("append").parquet(f"{folder}/pointer")
+    register(spark, path, list(tables))
+    return path
+
+
+def register(spark: SparkSession, path: str, names: list[str]) -> dict[str, DataFrame]:
+    """The tables of one version, each registered as a view of its name."""
+    found = {name: spark.read.parquet(f"{path}/{name}") for name in names}
+    for name, df in found.items():
+        df.createOrReplaceTempView(name)
+    return found
+
+
+def latest_version(spark: SparkSession, folder: str) -> tuple[int, str] | None:
+    """Number and folder name of the last version that was written whole; of two of one number the later by name."""
+    try:
+        pointer = spark.read.schema("version long, name string").parquet(f"{folder.rstrip('/')}/pointer")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    last = pointer.agg(F.max(F.struct("version", "name"))).first()[0]
+    return tuple(last) if last else None
 
 
 def append_articles(manifest: DataFrame, stored: DataFrame, path: str) -> None:

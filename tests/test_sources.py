@@ -95,3 +95,76 @@ def test_manifest(spark):
 def test_spread_leaves_wide_scans_alone(spark):
     assert readers.spread(spark.range(10, numPartitions=2)).rdd.getNumPartitions() == 8
     assert readers.spread(spark.range(10, numPartitions=9)).rdd.getNumPartitions() == 9
+
+
+NASTY = [
+    ("plain", "b", "c"), ('two "quoted"', "line\nbreak", ""), ("a,b", "many\n\nbreaks\nin\none", 'x"y'), ("", "", "z"),
+    ("é" * 40, "commas,,,\nand \"quotes\"\n", "end"), ("ND", "NA", "3"),
+]
+
+
+def written(rows, path, end="\n"):
+    import csv
+
+    with open(path, "w", newline="", encoding="utf-8") as out:
+        writer = csv.writer(out, lineterminator=end)
+        writer.writerow(["a", "b", "c"])
+        writer.writerows(rows)
+
+
+@pytest.mark.parametrize("split_bytes, end", [(24, "\n"), (61, "\r\n"), (1 << 20, "\n")])
+def test_split_csv_equals_whole_files(spark, tmp_path, split_bytes, end):
+    """Quoted line breaks at every border of splits; a bare quote that opens nothing; two files."""
+    written(NASTY * 7, tmp_path / "one.csv", end)
+    written(NASTY[::-1] * 3, tmp_path / "two.csv", end)
+    (tmp_path / "three.csv").write_text('a,b,c\n5" wide,"ok ""then""",6"\n\n"x\n,""\ny",,2\n')
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(key) for key in keys]
+    try:
+        spark.conf.set(keys[0], str(split_bytes))
+        spark.conf.set(keys[1], "0")
+        got = readers.csv_table(spark, str(tmp_path), entry=True, split=True)
+        if split_bytes < 100:
+            assert got.rdd.getNumPartitions() > 10
+        rows = got.collect()
+        whole = readers.csv_table(spark, str(tmp_path)).collect()
+        assert sorted(map(str, (r[:3] for r in rows))) == sorted(map(str, (tuple(r) for r in whole)))
+        first = [tuple(r)[:3] for r in sorted(rows, key=lambda r: tuple(r[3])) if r[3]["file"].endswith("one.csv")]
+        assert first == [tuple(r) for r in readers.csv_table(spark, str(tmp_path / "one.csv")).collect()]
+    finally:
+        for key, value in zip(keys, before):
+            spark.conf.set(key, value)
+
+
+def test_split_csv_with_other_headers(spark, tmp_path):
+    written(NASTY, tmp_path / "one.csv")
+    (tmp_path / "two.csv").write_text("a,b,d\n1,2,3\n")
+    with pytest.raises(Exception, match="another header"):
+        readers.csv_table(spark, str(tmp_path), split=True).collect()
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "head.csv").write_text("a,b,c\n")
+    assert readers.csv_table(spark, str(tmp_path / "none"), split=True).collect() == []
+
+
+def test_star_versions(spark, tmp_path):
+    """A failed replacement leaves all tables of the version before; the next one shows all of its own."""
+    folder, names = str(tmp_path / "star"), ["a", "b"]
+    with pytest.raises(FileNotFoundError):
+        readers.current_tables(spark, folder, names)
+    writers.replace_tables({name: spark.range(3) for name in names}, folder)
+    broken = {"a": spark.range(7), "b": spark.range(7).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))}
+    with pytest.raises(Exception, match="lost"):
+        writers.replace_tables(broken, folder)
+    assert [readers.current_tables(spark, folder, names)[name].count() for name in names] == [3, 3]
+    writers.replace_tables({name: spark.range(5) for name in names}, folder)
+    assert [readers.current_tables(spark, folder, names)[name].count() for name in names] == [5, 5]
+    assert spark.table("a").count() == 5
+
+
+def test_written_bulletins(spark, tmp_path):
+    texts = spark.createDataFrame([("DON1_2026-05-17", "eins\nzwei é"), ("DON2_2026-05-18", None)], "bulletin string, text string")
+    writers.write_bulletins(texts, str(tmp_path / "x"))
+    rows = readers.bulletins(spark, str(tmp_path / "x"), partitioned=True).orderBy("bulletin").collect()
+    assert [tuple(r) for r in rows] == [("DON1_2026-05-17", "eins\nzwei é\n"), ("DON2_2026-05-18", "\n")]
+    with pytest.raises(ValueError, match="DON1"):
+        writers.write_bulletins(texts.union(texts), str(tmp_path / "y"))
