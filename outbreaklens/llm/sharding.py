@@ -1,32 +1,37 @@
 """Sharding by best-fit-decreasing bin packing of groups of equal texts.
 
-A group is never split. Groups of at least `1 / FINE` of a shard's fair share are packed one by one; there are
-at most `shards * FINE` of them. All smaller groups go by hash into `BUNDLES` bundles, which are packed like
-groups. So the driver packs a bounded list, whatever the size of the table, and Spark does the rest.
+A group is never split. Groups are packed in decreasing size, each into the bin with the least remaining capacity that
+still holds it. Groups of one size are alike to that rule: the tightest bin takes as many of them as it holds, then the
+next one. So the driver packs size classes with their numbers of groups, and Spark deals the groups of a class to its
+bins by their rank in it. Sizes are exact up to 2^13 bytes and rounded up to `BITS` leading bits beyond, so there are at
+most some 200,000 classes whatever the table.
 
 The capacity is the smallest one (found by bisection) at which best fit decreasing needs no more than the given
 number of shards. A group larger than an equal share of what is left takes a shard for itself; the others
 then share the rest equally. The law is `bytes`: sizes of shards are as equal as whole groups allow.
 
 Null and empty texts form one group of size 8 a row. Repeated rows are rows like any other and share a shard.
-An empty table gives no rows. Slots count the rows of a shard from 0, in an order that depends on the ids only.
+An empty table gives no rows; other columns are not read. A text of any length counts by its bytes alone. Slots count the
+rows of a shard from 0, in an order that depends on ids and texts only.
 """
 
 from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 from collections.abc import Hashable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from outbreaklens.llm.prefixtrie import numbered
 from outbreaklens.session import checkpointed
 
 SHARDS = 24
-FINE = 64
-BUNDLES = 4096
+BITS = 13  # leading bits of a size that tell classes apart
+HEAVY = 1536  # groups of more than this share of all rows are broadcast
 ROW_BYTES = 8
 SLOT_ROWS = 50_000  # rows numbered by one window partition, about
 
@@ -74,52 +79,90 @@ class CapacityTree:
         return [high[0], high[1], self._merge(low, high[2]), high[3]]
 
 
-def best_fit_decreasing(items: list[tuple[int, Hashable]], capacity: int, most: int) -> dict[Hashable, int] | None:
-    """Bin of every item, or None when more than `most` bins are needed. `items` are in decreasing size."""
-    tree, bins, placed = CapacityTree(), 0, {}
-    for size, name in items:
-        spot = tree.tightest(size)
-        if spot is None:
-            if bins == most or size > capacity:
-                return None
-            spot, bins = (capacity, bins), bins + 1
-        else:
-            tree.remove(spot)
-        placed[name] = spot[1]
-        tree.add((spot[0] - size, spot[1]))
-    return placed
+Spans = list[tuple[int, int]]  # (bin, number of groups) in the order in which a class is dealt
 
 
-def pack(items: Iterable[tuple[int, Hashable]], shards: int) -> dict[Hashable, int]:
-    """Shard of every item at the smallest capacity that `shards` bins need."""
-    queue = sorted(items, key=lambda item: (-item[0], str(item[1])))
-    placed: dict[Hashable, int] = {}
-    total = sum(size for size, _ in queue)
+def best_fit_classes(classes: list[tuple[int, int]], capacity: int, most: int) -> list[Spans] | None:
+    """Where the groups of each class (size, number) go, or None when more than `most` bins are needed.
+
+    `classes` are in decreasing size.
+    """
+    tree, bins, found = CapacityTree(), 0, []
+    for size, number in classes:
+        spans: Spans = []
+        while number:
+            spot = tree.tightest(size)
+            if spot is None:
+                if bins == most or size > capacity:
+                    return None
+                spot, bins = (capacity, bins), bins + 1
+            else:
+                tree.remove(spot)
+            taken = min(number, spot[0] // size)
+            spans.append((spot[1], taken))
+            tree.add((spot[0] - taken * size, spot[1]))
+            number -= taken
+        found.append(spans)
+    return found
+
+
+def pack_classes(classes: Iterable[tuple[int, int]], shards: int) -> dict[int, Spans]:
+    """For each size the shards of its groups, at the smallest capacity that `shards` bins need."""
+    queue = sorted(classes, reverse=True)
+    placed: dict[int, Spans] = {size: [] for size, _ in queue}
+    total = sum(size * number for size, number in queue)
     alone = 0
-    while alone < len(queue) and shards - alone > 1 and queue[alone][0] * (shards - alone) >= total:
-        total -= queue[alone][0]
-        placed[queue[alone][1]] = alone
+    while queue and shards - alone > 1 and queue[0][0] * (shards - alone) >= total:
+        size, number = queue[0]
+        total -= size
+        placed[size].append((alone, 1))
         alone += 1
-    rest, bins = queue[alone:], shards - alone
-    if not rest:
+        queue = ([(size, number - 1)] if number > 1 else []) + queue[1:]
+    if not queue:
         return placed
-    low = max(rest[0][0], math.ceil(total / bins))
-    high = math.ceil(total / bins) + rest[0][0]  # any-fit never needs more
-    best = best_fit_decreasing(rest, high, bins)
+    bins = shards - alone
+    low = max(queue[0][0], math.ceil(total / bins))
+    high = math.ceil(total / bins) + queue[0][0]  # any-fit never needs more
+    best = best_fit_classes(queue, high, bins)
     while low < high:
         capacity = (low + high) // 2
-        found = best_fit_decreasing(rest, capacity, bins)
+        found = best_fit_classes(queue, capacity, bins)
         if found is None:
             low = capacity + 1
         else:
             best, high = found, capacity
-    return placed | {name: alone + shard for name, shard in best.items()}
+    for (size, _), spans in zip(queue, best):
+        placed[size] += [(alone + at, number) for at, number in spans]
+    return placed
+
+
+def _dealt(names: list[tuple[int, Hashable]], spans: dict[int, Spans]) -> dict[Hashable, int]:
+    """Bins of named items, those of one size in their order."""
+    bins = {size: iter([at for at, number in own for _ in range(number)]) for size, own in spans.items()}
+    return {name: next(bins[size]) for size, name in names}
 
 
-def shard(
-    df: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS, bundles: int = BUNDLES
-) -> DataFrame:
-    """Shard and slot of every row of `df`; other columns are not read. Stores ids and digests once."""
+def best_fit_decreasing(items: list[tuple[int, Hashable]], capacity: int, most: int) -> dict[Hashable, int] | None:
+    """Bin of every item, or None when more than `most` bins are needed. `items` are in decreasing size."""
+    classes = sorted(Counter(size for size, _ in items).items(), reverse=True)
+    found = best_fit_classes(classes, capacity, most)
+    return None if found is None else _dealt(items, {size: spans for (size, _), spans in zip(classes, found)})
+
+
+def pack(items: Iterable[tuple[int, Hashable]], shards: int) -> dict[Hashable, int]:
+    """Shard of every item at the smallest capacity that `shards` bins need."""
+    queue = sorted(items, key=lambda item: (-item[0], str(item[1])))
+    return _dealt(queue, pack_classes(Counter(size for size, _ in queue).items(), shards))
+
+
+def _class(size: Column) -> Column:
+    """The size, rounded up to its leading `BITS` bits."""
+    step = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(size)) - (BITS - 1), F.lit(0))).cast("long")
+    return (F.call_function("div", size + step - 1, step) * step).cast("long")
+
+
+def shard(df: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS) -> DataFrame:
+    """Shard and slot of every row of `df`. Stores ids and digests once."""
     spark = df.sparkSession
     plain = F.coalesce(F.col(text), F.lit(""))
     rows = checkpointed(
@@ -129,38 +172,44 @@ def shard(
             F.crc32(plain.cast("binary")).alias("text_crc32"),
             F.unhex(F.sha2(plain.cast("binary"), 256)).alias("digest"),
         )
-    ).withColumn("bundle", F.pmod(F.xxhash64("digest"), F.lit(bundles)).cast("int"))
-    groups = rows.groupBy("digest", "bundle").agg(F.sum("size").alias("bytes"))
-    total, n_rows = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    large = F.col("bytes") * (shards * FINE) >= total
-    # At most shards * FINE large groups and `bundles` bundles reach the driver.
-    own = groups.where(large).select("digest", "bytes").collect()
-    together = groups.where(~large).groupBy("bundle").agg(F.sum("bytes").alias("bytes")).collect()
-    placed = pack([(r["bytes"], bytes(r["digest"])) for r in own] + [(r["bytes"], r["bundle"]) for r in together], shards)
-
-    by_digest = spark.createDataFrame(
-        [(bytearray(name), at) for name, at in placed.items() if isinstance(name, bytes)],
-        "digest binary, own_shard int",
     )
-    by_bundle = spark.createDataFrame(
-        [(name, at) for name, at in placed.items() if isinstance(name, int)], "bundle int, bundle_shard int"
+    groups = checkpointed(
+        rows.groupBy("digest")
+        .agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+        .select("digest", "n", _class(F.col("bytes")).alias("class"))
+    )
+    n_rows = rows.count()
+    classes = [(r["class"], r["count"]) for r in groups.groupBy("class").count().collect()]
+    spans = []
+    for size, own in pack_classes(classes, shards).items():
+        first = 1
+        for at, number in own:
+            spans.append((size, first, first + number, at))
+            first += number
+    # As many rows as there are classes, and up to a few more for each bin.
+    dealt = spark.createDataFrame(spans, "size_class long, first long, after long, shard int")
+    placed = checkpointed(
+        numbered(groups, "class", "digest")
+        .join(F.broadcast(dealt), (F.col("class") == F.col("size_class")) & (F.col("place") >= F.col("first")) & (F.col("place") < F.col("after")))
+        .select("digest", "n", "shard")
     )
-    dealt = (
-        rows.join(F.broadcast(by_digest), "digest", "left")
-        .join(F.broadcast(by_bundle), "bundle", "left")
-        .withColumn("shard", F.coalesce("own_shard", "bundle_shard"))
-        .withColumn("part", F.pmod(F.xxhash64("key", "digest"), F.lit(max(1, math.ceil(n_rows / SLOT_ROWS)))))
+    # Fewer than HEAVY groups hold such a share of the rows.
+    often = F.col("n") * HEAVY > n_rows
+    heavy = F.broadcast(placed.where(often).select("digest", "shard"))
+    found = rows.join(heavy, "digest").unionByName(
+        rows.join(heavy.select("digest"), "digest", "left_anti").join(placed.where(~often).select("digest", "shard"), "digest")
     )
-    numbered = dealt.withColumn(
+    found = found.withColumn("part", F.pmod(F.xxhash64("key", "digest"), F.lit(max(1, math.ceil(n_rows / SLOT_ROWS)))))
+    ranked = found.withColumn(
         "inside", F.row_number().over(Window.partitionBy("shard", "part").orderBy("key", "digest")) - 1
     )
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        dealt.groupBy("shard", "part")
+        found.groupBy("shard", "part")
         .count()
         .select("shard", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     )
-    return numbered.join(offsets, ["shard", "part"]).select(
+    return ranked.join(offsets, ["shard", "part"]).select(
         F.col("key").alias(key),
         "size",
         "text_crc32",

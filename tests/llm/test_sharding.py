@@ -77,3 +77,44 @@ def test_edges(spark):
     assert sharding.shard(df.limit(0)).collect() == []
     repeated = spark.createDataFrame([(None, "a"), (None, "a"), (1, "a"), (1, "a")], "doc_id long, text string")
     assert sorted(r["slot"] for r in sharding.shard(repeated).collect()) == [0, 1, 2, 3]
+
+
+def test_classes_equal_one_by_one():
+    """Bulk placement of equal sizes against best fit decreasing item by item."""
+    draw = random.Random(6)
+    for _ in range(60):
+        sizes = sorted((draw.choice([1, 2, 3, 5, 8, 13, draw.randrange(1, 40)]) for _ in range(draw.randrange(1, 120))), reverse=True)
+        capacity, most = draw.randrange(max(sizes), 200), draw.randrange(1, 12)
+        room, loads = [], []
+        for size in sizes:
+            fits = [(left, at) for at, left in enumerate(room) if left >= size]
+            at = min(fits)[1] if fits else len(room)
+            if not fits:
+                room.append(capacity)
+                loads.append([])
+            room[at] -= size
+            loads[at].append(size)
+        placed = sharding.best_fit_decreasing([(size, i) for i, size in enumerate(sizes)], capacity, most)
+        if len(room) > most:
+            assert placed is None
+            continue
+        mine = defaultdict(list)
+        for i, size in enumerate(sizes):
+            mine[placed[i]].append(size)
+        assert sorted(mine.values()) == sorted(loads)
+
+
+def test_spread_of_documents(spark):
+    """Whole groups packed one by one leave shards that differ by less than a thousandth."""
+    loads = [r[1] for r in sharding.shard(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).groupBy("shard").sum("size").collect()]
+    assert len(loads) == 24 and max(loads) < 1.001 * min(loads)
+
+
+def test_sizes_are_rounded_up_in_classes(spark):
+    from pyspark.sql import functions as F
+
+    sizes = [1, 8, 8191, 8192, 8193, 100_001, 10**9 + 1, 10**15 + 7]
+    rows = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", sharding._class(F.col("n")).alias("c")).collect()
+    for r in rows:
+        step = 2 ** max(r["n"].bit_length() - 13, 0)
+        assert r["c"] == -(-r["n"] // step) * step and (r["n"] > 8192 or r["c"] == r["n"])
