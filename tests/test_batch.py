@@ -67,7 +67,7 @@ def test_tables(spark, out):
 
 
 def test_read_queries(spark, out):
-    star = {n: spark.read.parquet(f"{out}/star/{n}") for n in ("health_zones", "daily_cases", "anomaly_scores")}
+    star = readers.current_tables(spark, f"{out}/star", ["health_zones", "daily_cases", "anomaly_scores"])
     ranking = serving.early_warning(star["anomaly_scores"], star["health_zones"]).collect()
     assert sorted(r["zone"] for r in ranking) == sorted(ZONES) and {r["date"] for r in ranking} == {DAYS[-1]}
     picture = serving.latest_picture(*star.values()).collect()
