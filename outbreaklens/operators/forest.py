@@ -72,8 +72,15 @@ def with_probability(df: DataFrame, table: DataFrame, features: tuple[str, ...],
         leaf = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
         return F.get(tree["nodes"], leaf)["positive"]
 
-    total = F.aggregate("_trees", F.lit(0.0), lambda sums, tree: sums + walked(tree))
-    return df.withColumn("_trees", trees).withColumn(out, total / F.size("_trees")).drop("_trees")
+    # The trees are named once, so the optimizer folds both projections into one and no row carries them.
+    nothing = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
+    mean = F.aggregate(
+        "_trees",
+        nothing,
+        lambda so_far, tree: F.struct((so_far["sum"] + walked(tree)).alias("sum"), (so_far["n"] + 1).alias("n")),
+        lambda total: total["sum"] / total["n"],
+    )
+    return df.withColumn("_trees", trees).withColumn(out, mean).drop("_trees")
 
 
 def importances(table: DataFrame, features: tuple[str, ...]) -> DataFrame:
