@@ -17,6 +17,8 @@ from outbreaklens.sources.schemas import EXTRACTION
 
 RECORD = T.StructType([field for field in EXTRACTION.fields if field.name in ("case_death_counts", "paragraph_severity")])
 BROADCAST_NAMES = 200_000
+FILTER_BITS = 1 << 24
+FILTER_HASHES = 2
 FIRST_WORDS = 1_000  # up to so many, word runs are built only where a longer name can begin
 
 
@@ -32,8 +34,28 @@ def bulletin_paragraphs(bulletins: DataFrame) -> DataFrame:
     return bulletins.select("bulletin", F.posexplode(t.paragraphs(F.col("text"))).alias("pos", "paragraph"))
 
 
-def _names_and_runs(gazetteer: DataFrame, broadcast_names: int) -> tuple[DataFrame, Column]:
-    """Gazetteer names by word run, and the distinct word runs of a text that can name one. Runs jobs on the gazetteer."""
+def _bits_of(gram: Column, bits: int) -> list[Column]:
+    """The places of a word run in a filter of so many bits."""
+    return [F.pmod(F.xxhash64(F.lit(seed), gram), F.lit(bits)) for seed in range(FILTER_HASHES)]
+
+
+def _name_filter(names: DataFrame, bits: int) -> Column:
+    """A filter of the names' word runs as a scalar: an array of `bits` / 64 numbers."""
+    spark = names.sparkSession
+    places = names.select(F.explode(F.array(*_bits_of(F.col("gram"), bits))).alias("bit"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))
+    set_bits = places.groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(one).alias("held"))
+    every = spark.range(bits // 64).join(set_bits, F.col("id") == F.col("word"), "left")
+    packed = every.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("held", F.lit(0).cast("long")).alias("held")))).alias("words"))
+    return packed.select(F.transform("words", lambda w: w["held"])).scalar()
+
+
+def _names_and_runs(bulletins: DataFrame, gazetteer: DataFrame, broadcast_names: int) -> tuple[DataFrame, DataFrame, Column]:
+    """The bulletins, gazetteer names by word run, and the distinct word runs of a text that can name one.
+
+    Runs jobs on the gazetteer. Of a gazetteer that is too large to broadcast, a filter of its names goes along, of at
+    most `FILTER_BITS` bits however many names there are; it drops the word runs that name nothing inside the row.
+    """
     gram = F.array_join(t.word_tokens(F.col("name")), " ")
     names = checkpointed(gazetteer.select(gram.alias("gram"), "name").where(F.col("gram") != "").distinct())
     words = F.split("gram", " ")
@@ -42,19 +64,29 @@ def _names_and_runs(gazetteer: DataFrame, broadcast_names: int) -> tuple[DataFra
     if (size["words"] or 1) > 1:
         starts = names.where(F.size(words) > 1).select(words[0]).distinct().limit(FIRST_WORDS + 1).collect()
         first_words = [r[0] for r in starts] if len(starts) <= FIRST_WORDS else None
+    runs = t.word_grams(F.col("text"), size["words"] or 1, first_words)
     if size["names"] <= broadcast_names:
-        names = F.broadcast(names)
-    return names, t.word_grams(F.col("text"), size["words"] or 1, first_words)
+        return bulletins, F.broadcast(names), runs
+    bits = min(FILTER_BITS, 1 << max(6, (size["names"] * 16).bit_length()))
+    told = bulletins.withColumn("_filter", _name_filter(names, bits))
+
+    def held(place: Column) -> Column:
+        word = F.get(F.col("_filter"), F.call_function("div", place, F.lit(64)))
+        return F.call_function("shiftright", word, (place % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+
+    # The filter is named once, so the projections fold into one and no row carries it.
+    return told, names, F.filter(runs, lambda run: F.forall(F.array(*_bits_of(run, bits)), held))
 
 
 def locations(bulletins: DataFrame, gazetteer: DataFrame, broadcast_names: int = BROADCAST_NAMES) -> DataFrame:
     """Sorted distinct place names per bulletin; bulletins without one are absent.
 
     Word runs become distinct within their text before they meet the gazetteer, so a frequent word
-    counts once per bulletin. A gazetteer of at most `broadcast_names` names is broadcast, so that
-    runs which name no place are dropped where they arise; a larger one takes part in a shuffle join.
+    counts once per bulletin. A gazetteer of at most `broadcast_names` names is broadcast; a larger one takes part in a
+    shuffle join with the runs that pass a filter of its names. Either way, runs which name no place are
+    dropped where they arise, the second time but for a few in a hundred.
     """
-    names, runs = _names_and_runs(gazetteer, broadcast_names)
+    bulletins, names, runs = _names_and_runs(bulletins, gazetteer, broadcast_names)
     grams = bulletins.select("bulletin", F.explode(runs).alias("gram"))
     return grams.join(names, "gram").groupBy("bulletin").agg(
         F.array_sort(F.collect_set("name")).alias("locations_mentioned")
@@ -67,7 +99,7 @@ def extract(bulletins: DataFrame, gazetteer: DataFrame, broadcast_names: int = B
     One scan of the texts: each gives a row with its counts and paragraphs, and a row for every word run, of which
     only place names are left. One aggregation brings them together.
     """
-    names, runs = _names_and_runs(gazetteer, broadcast_names)
+    bulletins, names, runs = _names_and_runs(bulletins, gazetteer, broadcast_names)
     record = F.struct(
         t.count_mentions(F.col("text")).alias("case_death_counts"),
         t.paragraph_severity(F.col("text")).alias("paragraph_severity"),

@@ -81,6 +81,30 @@ def clean_deaths(reports: DataFrame, aliases: DataFrame, strict: bool = True) ->
     return clean_dates(coerce_counts(named, DEATHS), strict)
 
 
+def with_reason(reports: DataFrame, column: str) -> DataFrame:
+    """Raw reports with `reason`: why a row cannot enter the series, or NULL for those that can.
+
+    The first that holds of: no name, no number, no date. Deaths may lack a number, as `clean_deaths` keeps those rows.
+    """
+    number = is_number(F.col(column)) if column == CASES else F.lit(True)
+    date = parsed_date(F.col("date"), strict=False)
+    return reports.withColumn(
+        "reason",
+        F.when(F.col("nom").isNull(), F.lit("no name"))
+        .when(~F.coalesce(number, F.lit(False)), F.lit("no number"))
+        .when(date.isNull(), F.lit("no date")),
+    )
+
+
+def accepted(reports: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """Raw reports that can enter the series, and the rejected ones as they came, with the reason.
+
+    Cleaned with `strict=False`, the accepted rows hold no NULL date, so none reaches a window.
+    """
+    told = with_reason(reports, column)
+    return told.where("reason IS NULL").drop("reason"), told.where("reason IS NOT NULL")
+
+
 def unmatched_zones(clean: DataFrame, official: DataFrame) -> DataFrame:
     """Reported zones that the official list does not hold."""
     return clean.select("nom_clean").distinct().join(

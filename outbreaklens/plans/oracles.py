@@ -429,6 +429,14 @@ ORACLES: dict[str, str] = {
         "LEFT JOIN aliases a ON trim(r.nom) = a.observed_name WHERE r.nom IS NOT NULL",
         "raw_cases", "aliases",
     ),
+    "rejected_reports": _sql(
+        """
+SELECT reason, COUNT(*) AS n_rows FROM (
+  SELECT CASE WHEN nom IS NULL THEN 'no name' WHEN TRY_CAST(cumulative_confirmed_cases AS DOUBLE) IS NULL THEN 'no number'
+              WHEN date LIKE '%-17%' THEN 'no date' ELSE 'accepted' END AS reason FROM raw_cases) GROUP BY reason
+UNION ALL SELECT 'accepted without date', 0""",
+        "raw_cases",
+    ),
     "coerce_counts": _sql(
         "SELECT nom, date, TRY_CAST(cumulative_confirmed_cases AS DOUBLE) AS cumulative_confirmed_cases FROM raw_cases",
         "raw_cases",
@@ -743,6 +751,7 @@ SELECT bulletin, pos, CASE WHEN s2 = greatest(s0, s1, s2) THEN 'emergency-level
         "bulletins", "worst",
     ),
     "gazetteer_locations": _sql("SELECT bulletin, array_to_string(names, '|') AS locations FROM places", "places"),
+    "gazetteer_locations_filtered": _sql("SELECT bulletin, array_to_string(names, '|') AS locations FROM places", "places"),
     "bulletin_headlines": _sql("SELECT * FROM headlines", "headlines"),
     "bulletin_briefing": _sql(
         """

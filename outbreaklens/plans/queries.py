@@ -140,6 +140,24 @@ def coerce_counts(spark, folder):
     return cleaning.coerce_counts(testviews.raw_cases(spark, folder), "cumulative_confirmed_cases")
 
 
+def _broken_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw case reports, those of the 17th of a month without a readable date."""
+    cases = testviews.raw_cases(spark, folder)
+    return cases.withColumn("date", F.when(F.col("date").contains("-17"), F.lit("soon")).otherwise(F.col("date")))
+
+
+@query
+def rejected_reports(spark, folder):
+    """Rejected case reports by reason, and the accepted ones after cleaning, none of them without a date."""
+    kept, rejected = cleaning.accepted(_broken_dates(spark, folder), cleaning.CASES)
+    clean = cleaning.clean_cases(kept, testviews.aliases(spark, folder), strict=False)
+    reasons = rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    dated = clean.where(F.col("date").isNotNull())
+    return reasons.unionByName(dated.agg(F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("n_rows"))).unionByName(
+        clean.where(F.col("date").isNull()).agg(F.lit("accepted without date").alias("reason"), F.count(F.lit(1)).alias("n_rows"))
+    )
+
+
 @query
 def clean_dates(spark, folder):
     reports = testviews.raw_cases(spark, folder).withColumn("date_text", F.col("date"))
@@ -636,6 +654,13 @@ def gazetteer_locations(spark, folder):
     return found.select("bulletin", F.array_join("locations_mentioned", "|").alias("locations"))
 
 
+@query
+def gazetteer_locations_filtered(spark, folder):
+    """The same places with a gazetteer that counts as too large to broadcast, behind the filter of its names."""
+    found = bulletins.locations(testviews.bulletins(spark, folder), testviews.gazetteer(spark, folder), broadcast_names=10)
+    return found.select("bulletin", F.array_join("locations_mentioned", "|").alias("locations"))
+
+
 @query
 def bulletin_headlines(spark, folder):
     records = bulletins.extract(testviews.bulletins(spark, folder), testviews.gazetteer(spark, folder))

@@ -88,3 +88,15 @@ def test_report_counts(spark):
         "case_counts_missing": 1, "case_dates_cleaned": 1, "death_rows": 2, "death_rows_without_zone": 1,
         "death_counts_missing": 1, "death_dates_cleaned": 1, "official_zones": 2, "unmatched_zones": 1,
     }
+
+
+def test_accepted_and_rejected(spark):
+    rows = [("A", "2026-06-01", "3"), (None, "2026-06-01", "3"), ("A", "soon", "3"), ("A", "2026-06-02]", "4"), ("B", None, "1"), ("B", "2026-06-01", "ND"), ("B", "x", "ND")]
+    reports = spark.createDataFrame(rows, f"nom string, date string, {cleaning.CASES} string")
+    kept, rejected = cleaning.accepted(reports, cleaning.CASES)
+    assert sorted(tuple(r) for r in kept.collect()) == [("A", "2026-06-01", "3"), ("A", "2026-06-02]", "4")]
+    assert sorted((str(r["nom"]), str(r["date"]), r["reason"]) for r in rejected.collect()) == [
+        ("A", "soon", "no date"), ("B", "2026-06-01", "no number"), ("B", "None", "no date"), ("B", "x", "no number"), ("None", "2026-06-01", "no name"),
+    ]
+    deaths = reports.withColumnRenamed(cleaning.CASES, cleaning.DEATHS)
+    assert cleaning.accepted(deaths, cleaning.DEATHS)[0].count() == 3

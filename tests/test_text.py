@@ -259,3 +259,21 @@ def test_mentions_take_linear_time(spark):
 
     seconds(2_000)
     assert seconds(80_000) < 10 * max(seconds(20_000), 0.1)
+
+
+def test_a_large_gazetteer_drops_runs_inside_the_row(spark):
+    """Names behind the filter: same places as a broadcast, and hardly a run that names nothing leaves its row."""
+    names = spark.range(3000).selectExpr("concat('Zone_', id) AS name").union(spark.createDataFrame([("Mont Blanc",), ("",), ("Rio 5",)], "name string"))
+    texts = spark.createDataFrame(
+        [("A", " ".join(f"word{i}" for i in range(4000)) + " Zone_7 and Mont Blanc"), ("B", "Rio 5 Zone_2999 Zone_3000"), ("C", None), ("D", "nothing")],
+        "bulletin string, text string",
+    )
+    want = {r[0]: r[1] for r in bulletins.locations(texts, names).collect()}
+    assert want == {"A": ["Mont Blanc", "Zone_7"], "B": ["Rio 5", "Zone_2999"]}
+    found = bulletins.locations(texts, names, broadcast_names=10)
+    assert {r[0]: r[1] for r in found.collect()} == want
+    told, _, runs = bulletins._names_and_runs(texts, names, 10)
+    left = told.select(F.explode(runs)).count()
+    assert 5 <= left < 5 + 8000 * 0.03
+    records = [bulletins.extract(texts.where("text is not null"), names, n).orderBy("bulletin").collect() for n in (10, 10_000)]
+    assert records[0] == records[1] and len(records[0]) == 3
