@@ -850,19 +850,29 @@ def network_training(spark, folder):
     )
 
 
+def _by_joins(rows: DataFrame, fitted: network.Network) -> DataFrame:
+    """`rows` with `plain`: the forward pass of a network as joins with its table of weights and sums by unit."""
+    weights = network.table(fitted, rows.sparkSession)
+    kept = checkpointed(rows.withColumn("_row", F.monotonically_increasing_id()))
+    inputs = F.array(*[F.col(c).cast("double") for c in models.FEATURES])
+    scale = weights.where("layer = -1").select(F.col("unit").alias("at"), F.col("weights")[0].alias("mean"), F.col("weights")[1].alias("sd"))
+    values = kept.select("_row", F.posexplode(inputs).alias("at", "value")).join(scale, "at")
+    values = values.select("_row", "at", ((F.col("value") - F.col("mean")) / F.col("sd")).alias("value"))
+    for layer in range(len(fitted.layers)):
+        own = weights.where(F.col("layer") == layer).select("unit", "bias", F.posexplode("weights").alias("at", "weight"))
+        reached = values.join(own, "at").groupBy("_row", "unit").agg((F.sum(F.col("value") * F.col("weight")) + F.max("bias")).alias("value"))
+        last = layer == len(fitted.layers) - 1
+        value = 1 / (1 + F.exp(-F.col("value"))) if last else F.greatest("value", F.lit(0.0))
+        values = reached.select("_row", F.col("unit").alias("at"), value.alias("value"))
+    return kept.join(values.select("_row", F.col("value").alias("plain")), "_row").drop("_row")
+
+
 @query
 def network_agreement(spark, folder):
-    """Rows where the native expression and the plain forward pass of the network differ: none."""
+    """Rows where the native expression and a forward pass by joins with the table of weights differ: none."""
     train, test = _train_and_test(spark, folder)
     fitted = network.train(train, iterations=10)
-    layers, mean, sd, names = fitted.layers, fitted.mean, fitted.sd, list(models.FEATURES)
-
-    def plain(batches):
-        for batch in batches:
-            values = (batch[names].to_numpy(float) - mean) / sd
-            yield batch.assign(plain=network.forward(layers, values))[["native", "plain"]]
-
-    rows = test.select(*names, network.probability(fitted).alias("native")).mapInPandas(plain, "native double, plain double")
+    rows = _by_joins(test.withColumn("native", network.probability(fitted)), fitted)
     return rows.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(~(F.abs(F.col("native") - F.col("plain")) < 1e-12)).alias("differing")
     )
@@ -918,16 +928,9 @@ def zone_probability_agreement(spark, folder):
     state = star.zone_state(testviews.health_zones(spark, folder), _facts(_series(spark, folder)))
     density = ordered.median(train, "population_density").scalar()
     native = models.score_zones(state, network.probability(net), forest.nodes(fitted, spark), density)
-    layers, mean, sd, names = net.layers, net.mean, net.sd, list(models.FEATURES)
-
-    def plain(batches):
-        for batch in batches:
-            values = (batch[names].to_numpy(float) - mean) / sd
-            yield batch.assign(by_network=network.forward(layers, values))[["nom", "by_network", "by_forest"]]
-
     inputs = state.withColumn("population_density", F.coalesce("population_density", density, F.lit(0.0)))
-    own = models.with_probability(fitted, inputs, "by_forest").select("nom", *names, "by_forest")
-    both = native.join(own.mapInPandas(plain, "nom string, by_network double, by_forest double"), "nom")
+    own = _by_joins(models.with_probability(fitted, inputs, "by_forest"), net).select("nom", "by_forest", F.col("plain").alias("by_network"))
+    both = native.join(own, "nom")
     # Rounding to four places may part values that differ in the last bit.
     apart = lambda a, b: ~(F.abs(F.col(a) - F.col(b)) <= 5.1e-5)
     return both.agg(
