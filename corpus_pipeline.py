@@ -110,8 +110,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = mixing.copies(keyed, ROW_KEY).select(F.col(ROW_KEY).alias(ADDED), "size", "spans")
     mixed = _once(keyed).alias("d").join(taken.alias("t"), F.col(f"d.{ROW_KEY}") == F.col(f"t.{ADDED}"))
     whole = F.aggregate("t.spans", F.lit(0).cast("long"), lambda n, span: n + span["n_words"]) == F.col("t.size")
-    tokens = words("d.text")
-    drawn = F.flatten(F.transform("t.spans", lambda span: F.slice(tokens, (span["first"] + 1).cast("int"), span["n_words"].cast("int"))))
+    # The words are an argument of the function, so a text is cut into words once and not once a span.
+    spans_of = lambda tokens: F.flatten(
+        F.transform("t.spans", lambda span: F.slice(tokens, (span["first"] + 1).cast("int"), span["n_words"].cast("int")))
+    )
+    drawn = F.element_at(F.transform(F.array(words("d.text")), spans_of), 1)
     text = F.when(whole, F.col("d.text")).otherwise(F.array_join(drawn, " "))
     made = {
         "text": text,
