@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,20 +37,45 @@ def test_documents(spark):
     assert found == plain(rows, 20)
 
 
-def test_early_stop_is_proved():
-    """Queries along one axis: a few segments settle them, and the answer is still exact."""
-    import numpy as np
-
+def close_vectors(n=3000, width=16):
+    """Vectors with one large component each, and queries along one axis."""
     draw = np.random.default_rng(5)
-    matrix = draw.integers(-20, 20, (3000, 16))
-    matrix[np.arange(3000), draw.integers(0, 16, 3000)] += draw.integers(500, 1024, 3000)
+    matrix = draw.integers(-20, 20, (n, width))
+    matrix[np.arange(n), draw.integers(0, width, n)] += draw.integers(500, 1024, n)
+    return matrix, np.eye(width, dtype=np.int64)[:8] * 1000
+
+
+def test_early_stop_is_proved():
+    """A few segments settle such queries, postings stay unread, and the answer is still exact."""
+    matrix, queries = close_vectors()
     index = topk.BlockIndex(np.arange(3000), matrix)
-    queries = np.eye(16, dtype=np.int64)[:8] * 1000
-    found = list(index.search(np.full(8, -1), queries))
-    for row in range(8):
-        scores = matrix @ queries[row]
-        best = sorted(zip((-scores).tolist(), range(3000)))[:10]
-        assert [(j, s) for _, r, j, s in found if r == row] == [(j, -s) for s, j in best]
+    assert len(index.values) == np.count_nonzero(matrix) == index.ends[-1]
+    for query in queries:
+        ids, scores = index.best(-1, query)
+        expected = sorted(zip((-(matrix @ query)).tolist(), range(3000)))[:10]
+        assert list(zip((-scores).tolist(), ids.tolist())) == expected
+    assert index.visited + index.skipped == 8 * len(index.values)
+    assert index.skipped > 0.8 * (index.visited + index.skipped)
+
+
+def test_scores_of_earlier_blocks_spare_postings():
+    """The k-th score carried from block to block rules vectors out sooner, ties included."""
+    draw = np.random.default_rng(8)
+    blocks = [draw.integers(-1000, 1000, (400, 8)) // 2**i for i in range(4)]
+    blocks.append(blocks[0])  # every score of the first block again, under larger ids
+    queries = draw.integers(-1000, 1000, (6, 8))
+    carried, counts = topk.Best(np.full(6, -1), queries), []
+    for i, matrix in enumerate(blocks):
+        alone, after = (topk.BlockIndex(np.arange(400) + 400 * i, matrix) for _ in range(2))
+        for query in queries:
+            alone.best(-1, query)
+        carried.add(after)
+        counts.append((alone.visited, after.visited))
+    assert all(after <= alone for alone, after in counts) and sum(a for _, a in counts) < 0.8 * sum(a for a, _ in counts)
+    everything = np.concatenate(blocks)
+    for (ids, scores), query in zip(carried.found, queries):
+        expected = sorted(zip((-(everything @ query)).tolist(), range(2000)))[:10]
+        assert list(zip((-scores).tolist(), ids.tolist())) == expected
 
 
 def test_ties_nulls_and_repeats(spark):
@@ -59,7 +85,7 @@ def test_ties_nulls_and_repeats(spark):
     rows += [(i, [draw.uniform(-1, 1) for _ in range(3)]) for i in range(40, 60)]
     rows += [(0, [0.25, -0.5, 0.125]), (7, [0.25, -0.5, 0.125]), (None, [1.0, 1.0, 1.0])]
     rows += [(70, None), (71, [nan, 0.0, 0.0]), (72, [inf, 0.0, 0.0]), (73, [None, 1.0, 0.0]), (80, []), (81, [1.0]), (90, [0.0] * 5)]
-    for sizes in ({}, {"block_vectors": 5, "query_vectors": 2}):
+    for sizes in ({}, {"block_vectors": 5, "query_vectors": 2}, {"block_vectors": 2, "query_vectors": 1, "span_blocks": 3}):
         assert searched(spark, rows, 20, **sizes) == plain(rows, 20)
 
 
