@@ -12,7 +12,8 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     """Hang the neighbours of each vertex (the larger ones, or the smaller ones and itself) on its least neighbour."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     seen = both if large else both.where("b < a")
-    least = seen.groupBy("a").agg(F.least("a", F.min("b")).alias("top"))
+    # Stored, so that no aggregation stands between the join and its exchanges: AQE then splits the links of a hub.
+    least = checkpointed(seen.groupBy("a").agg(F.least("a", F.min("b")).alias("top")))
     hung = seen.join(least, "a")
     if large:
         hung = hung.where("b > a").select(F.col("b").alias("a"), F.col("top").alias("b"))
@@ -26,8 +27,8 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(vertex, component) for the vertices of links (a, b), numbers both; the component is its least vertex.
 
-    Links are made distinct and loops dropped. Each round is stored, so that no lost executor undoes it, and
-    the rounds go on until the links no longer change.
+    Links are made distinct and loops dropped. Each round and its least neighbours are stored, so that no lost executor
+    undoes it, and the rounds go on until the links no longer change. No links, no rows.
     """
     state, before = checkpointed(links.where("a <> b").select("a", "b").distinct()), None
     while True:
