@@ -1,19 +1,5 @@
 """Size of the Arrow batches that carry texts to Python."""
 
-from __future__ import annotations
+from outbreaklens.session import BATCH_BYTES, bound_batches
 
-from pyspark.sql import SparkSession
-
-BATCH_BYTES = 8 << 20
-
-
-def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
-    """Let no batch of the session grow far beyond `most` bytes.
-
-    Whole texts are long: batches of ten thousand of them would stand in the memory of the JVM and of Python, several
-    times over. A smaller setting stays. Results do not depend on it.
-    """
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = int(spark.conf.get(name, str(1 << 26)).rstrip("b"))
-    if now <= 0 or now > most:
-        spark.conf.set(name, str(most))
+__all__ = ["BATCH_BYTES", "bound_batches"]

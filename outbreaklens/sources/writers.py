@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from urllib.parse import quote, urlsplit
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem, FileType
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outbreaklens.operators.star import only_new
+from outbreaklens.session import bound_batches
+
+FOLDER_FILES = 1000
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -25,15 +32,60 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_bulletins(texts: DataFrame, path: str) -> None:
-    """One text file a bulletin, `<bulletin>.txt` in a folder of its own; two texts of one name are an error.
+    """One text file a bulletin, `<bulletin>.txt`; two texts of one name are an error.
 
-    Spark names its files itself, so a bulletin's folder carries the name and its file the text, as it is.
+    Tasks write the files themselves, by name, into folders of about `FOLDER_FILES` files: Spark's writer would give every
+    file a folder of its own, and move each of them twice. A file that is written again is the same file. Of a file system
+    that tasks cannot open, Spark's writer takes over; there a bulletin's folder carries the name.
     """
-    twice = texts.groupBy("bulletin").count().where("count > 1")
-    if not twice.isEmpty():
-        raise ValueError(f"two texts for {twice.first()['bulletin']}")
-    named = texts.select(F.concat("bulletin", F.lit(".txt")).alias("file"), F.coalesce("text", F.lit("")).alias("value"))
-    named.repartition("file").write.partitionBy("file").mode("overwrite").option("lineSep", "\n").text(path)
+    names = texts.groupBy("bulletin").count()
+    told = names.agg(F.sum("count").alias("rows"), F.max("count").alias("most")).first()
+    if (told["most"] or 0) > 1:
+        raise ValueError(f"two texts for {names.where('count > 1').first()['bulletin']}")
+    named = texts.select("bulletin", F.coalesce("text", F.lit("")).alias("value"))
+    folder = _by_tasks(texts.sparkSession, path)
+    if folder is None:
+        named = named.select(F.concat("bulletin", F.lit(".txt")).alias("file"), "value")
+        named.repartition("file").write.partitionBy("file").mode("overwrite").option("lineSep", "\n").text(path)
+        return
+    files, at = FileSystem.from_uri(folder)
+    if files.get_file_info(at).type != FileType.NotFound:
+        files.delete_dir(at)
+    files.create_dir(at, recursive=True)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, at = FileSystem.from_uri(folder)
+        there = set()
+        for batch in batches:
+            for part, name, value in zip(*(column.to_pylist() for column in batch.columns)):
+                own = f"{at}/part={part}"
+                if own not in there:
+                    files.create_dir(own, recursive=True)
+                    there.add(own)
+                with files.open_output_stream(f"{own}/{_file_name(name)}") as out:
+                    out.write(value.encode() + b"\n")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    bound_batches(texts.sparkSession)
+    part = F.pmod(F.crc32(F.coalesce("bulletin", F.lit("")).cast("binary")), F.lit(1 + (told["rows"] or 0) // FOLDER_FILES))
+    written = named.select(part.alias("part"), "bulletin", "value").mapInArrow(write, "n long").agg(F.sum("n")).first()[0]
+    if (written or 0) != (told["rows"] or 0):
+        raise RuntimeError(f"{written} files written for {told['rows']} texts")
+
+
+def _by_tasks(spark: SparkSession, path: str) -> str | None:
+    """The address of a folder that tasks can open by themselves, or None."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    scheme = urlsplit(path).scheme or urlsplit(default).scheme
+    return urlsplit(path).path.rstrip("/") if scheme == "file" else None
+
+
+def _file_name(name: str | None) -> str:
+    """The name of a bulletin's file; what a file name or a listing would not keep is escaped."""
+    if not name:
+        return "%01.txt" if name == "" else "%00.txt"
+    kept = quote(name, safe="")
+    return f"%{ord(kept[0]):02X}{kept[1:]}.txt" if kept[0] in "._" else f"{kept}.txt"
 
 
 def write_extractions(records: DataFrame, path: str) -> None:

@@ -168,3 +168,18 @@ def test_written_bulletins(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("DON1_2026-05-17", "eins\nzwei é\n"), ("DON2_2026-05-18", "\n")]
     with pytest.raises(ValueError, match="DON1"):
         writers.write_bulletins(texts.union(texts), str(tmp_path / "y"))
+
+
+def test_written_bulletins_keep_their_names_in_few_folders(spark, tmp_path):
+    """One file a bulletin, named after it; Spark's writer made a folder for each of them."""
+    names = [f"DON{i}_2026-05-17" for i in range(300)] + ["_a b+c/ü%41.x", ".txt", "", None]
+    texts = spark.createDataFrame([(name, f"{name}\r\nzwei é") for name in names], "bulletin string, text string")
+    for _ in range(2):  # a second call replaces the files
+        writers.write_bulletins(texts, str(tmp_path / "x"))
+    rows = readers.bulletins(spark, str(tmp_path / "x"), partitioned=True).collect()
+    assert {r["bulletin"]: r["text"] for r in rows} == {name: f"{name}\nzwei é\n" for name in names} and len(rows) == len(names)
+    files = [f for f in (tmp_path / "x").rglob("*") if f.is_file()]
+    assert len(files) == len(names) and len({f.parent for f in files}) == 1
+    assert {f"{name}.txt" for name in names[:300]} <= {f.name for f in files}
+    writers.write_bulletins(texts.limit(0), str(tmp_path / "x"))
+    assert not [f for f in (tmp_path / "x").rglob("*") if f.is_file()]
