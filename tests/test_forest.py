@@ -52,3 +52,18 @@ def test_a_forest_without_a_split(spark, train):
     scored = forest.with_probability(train, table, models.FEATURES, models.DEPTH)
     assert {r[0] for r in scored.select("onset_probability").distinct().collect()} == {1.0}
     assert forest.with_probability(train.limit(0), table, models.FEATURES, models.DEPTH).collect() == []
+
+
+def test_every_cell_is_walked_once(spark, train, fitted, monkeypatch):
+    """Many rows cost no more walks than there are cells; at, beside and far from a threshold, and with nothing, they go as a row that is walked."""
+    table = forest.nodes(fitted, spark)
+    cuts = [sorted({r["threshold"] for r in table.collect() if r["feature"] == i}) for i in range(3)]
+    draw = random.Random(5)
+    sides = [[*own, *[cut + 1e-9 for cut in own], *[cut - 1e-9 for cut in own], -1e300, float("inf"), float("nan"), None] for own in cuts]
+    rows = spark.createDataFrame([tuple(draw.choice(side) for side in sides) for _ in range(2000)], SCHEMA.rsplit(",", 1)[0]).coalesce(1)
+    by_cell = forest.with_probability(rows, table, models.FEATURES, 4, "p")
+    plan = by_cell._jdf.queryExecution().executedPlan().toString().split("Subqueries")[0]
+    assert "_trees" not in plan  # the rows themselves are not walked
+    monkeypatch.setattr(forest, "GRID_CELLS", 0)
+    by_row = forest.with_probability(rows, table, models.FEATURES, 4, "p")
+    assert [r["p"] for r in by_cell.collect()] == [r["p"] for r in by_row.collect()]
