@@ -80,3 +80,21 @@ def test_zone_predictions_for_silent_zones(spark, train):
     assert got[0]["population_density"] is None
     assert got[1]["baseline_rf_probability"] > got[0]["baseline_rf_probability"]
     assert all(0 <= r["next_7d_onset_probability"] <= 1 for r in got)
+
+
+def sizes_of(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_rows_are_dealt_for_training(spark, train, monkeypatch):
+    """The copies of the rarer class came out of a window over dates, at most one part a date."""
+    one = train.coalesce(1)
+    parts = sizes_of(models.dealt(one, 50))
+    assert sum(parts) == 400 and len(parts) == 8 and max(parts) <= 60
+    assert models.dealt(one, 50).exceptAll(one).isEmpty() and sizes_of(models.dealt(one, 400)) == [400]
+    assert models.dealt(one.limit(0), 50).collect() == []
+    rare = train.where(F.col(models.LABEL) == 0).unionByName(train.where(F.col(models.LABEL) == 1).limit(40).withColumn("date", F.lit(dt.date(2026, 5, 1))))
+    seen = []
+    monkeypatch.setattr(models, "dealt", lambda rows, f=models.dealt: seen.append(f(rows, 40)) or seen[-1])
+    assert models.train_network(rare, segment=2, max_iterations=4) is not None
+    assert len(seen) == 1 and max(sizes_of(seen[0])) <= 60
