@@ -33,6 +33,7 @@ SHARE = 1.5
 CAP = 2.0
 BLOCK = 64
 SHARD_SLOTS = 4096
+TASK_SLOTS = 1 << 18
 CELLS = 4096
 PACK_ROWS = 10_000
 SMALL_SOURCES = 10_000  # a table of so many sources is broadcast
@@ -86,6 +87,7 @@ def slots(sources: DataFrame, total: int) -> DataFrame:
     `sources` has sid and wanted (slots of the source).
     """
     spark = sources.sparkSession
+    few = sources.count() <= SMALL_SOURCES
     order = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)
     ranges = sources.where("wanted > 0").withColumn("low", F.coalesce(F.sum("wanted").over(order), F.lit(0)))
     width = max(1, math.ceil(total / CELLS))
@@ -101,15 +103,11 @@ def slots(sources: DataFrame, total: int) -> DataFrame:
         spark.range(total)
         .select((F.col("id") / SHARD_SLOTS).cast("long").alias("shard"), "id", _uniform(F.lit(total), F.col("id")).alias("at"))
         .withColumn("cell", F.floor(F.col("at") / width))
-        .join(cells, "cell")
+        .join(F.broadcast(cells) if few else cells.hint("merge"), "cell")
         .where((F.col("at") >= F.col("low")) & (F.col("at") < F.col("high")))
         .select("shard", "id", "sid")
     )
     counts = checkpointed(drawn.groupBy("shard", "sid").agg(F.count(F.lit(1)).alias("n")))
-    before = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    indexed = counts.select("shard", "sid", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")).select(
-        "shard", "sid", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("index")
-    )
     got = sources.join(counts.groupBy("sid").agg(F.sum("n").alias("got")), "sid", "left").select(
         "sid", "wanted", F.coalesce("got", F.lit(0)).alias("got")
     )
@@ -121,9 +119,16 @@ def slots(sources: DataFrame, total: int) -> DataFrame:
         F.coalesce(F.sum(over).over(order), F.lit(0)).alias("over_before"),
         F.coalesce(F.sum(under).over(order), F.lit(0)).alias("under_before"),
     )
+    # Runs of slots meet their sources as runs and are dealt to tasks by their slots. A plan takes the slots of a run for one
+    # row: it would broadcast them all, or leave them to one task, so joins of what is spread out are told how to be done.
+    before = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    runs = counts.select(
+        "shard", "sid", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"), F.col("n").alias("length")
+    ).join(moved, "sid").repartition(max(1, math.ceil(total / TASK_SLOTS)), "shard")
+    end = F.col("first") + F.col("length")
     surplus = (
-        indexed.join(moved.where("got > wanted"), "sid")
-        .where(F.col("index") >= F.col("wanted"))
+        runs.where(end > F.col("wanted"))
+        .select("shard", "over_before", "wanted", F.explode(F.sequence(F.greatest("first", "wanted"), end - 1)).alias("index"))
         .select("shard", (F.col("over_before") + F.col("index") - F.col("wanted")).alias("ordinal"))
     )
     missing = (
@@ -132,10 +137,9 @@ def slots(sources: DataFrame, total: int) -> DataFrame:
         .select("sid", "index", (F.col("under_before") + F.col("index") - F.col("got")).alias("ordinal"))
     )
     return (
-        indexed.join(moved, "sid")
-        .where(F.col("index") < F.col("wanted"))
-        .select("shard", "sid", "index")
-        .unionByName(surplus.join(missing, "ordinal").select("shard", "sid", "index"))
+        runs.where("first < wanted")
+        .select("shard", "sid", F.explode(F.sequence(F.col("first"), F.least(end, F.col("wanted")) - 1)).alias("index"))
+        .unionByName(surplus.hint("merge").join(missing, "ordinal").select("shard", "sid", "index"))
     )
 
 
@@ -224,7 +228,7 @@ def _laid_out(
         .select(*IDENTITY, F.explode(F.transform(F.sequence(first, last), piece)).alias("piece"))
         .select(*IDENTITY, "piece.*")
     )
-    return placed, pieces.join(mapped, ["sid", "block"])
+    return placed, pieces.hint("merge").join(mapped, ["sid", "block"])
 
 
 def shards(

@@ -133,3 +133,28 @@ def test_shards_hold_the_words_of_the_mix(spark):
     for r in mixing.mix(df).collect():
         by_row[r["doc_id"]] += r["taken"]
     assert {i: n for i, n in by_row.items() if n} == dict(taken)
+
+
+def broadcast_rows(plan) -> list[int]:
+    """Rows of every broadcast in a plan that has run."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return broadcast_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return broadcast_rows(plan.plan())
+    own = [plan.metrics().apply("numOutputRows").value()] if kind == "BroadcastExchangeExec" else []
+    return own + [n for i in range(plan.children().size()) for n in broadcast_rows(plan.children().apply(i))]
+
+
+def test_neither_slots_nor_pieces_are_broadcast(spark):
+    """Plans take what a row is spread out to for one row; broadcast, all slots of the mix stood in the driver."""
+    rows = [(i, (6400, f"s{i % 20}")) for i in range(200)]
+    for made in (mixing.mix, mixing.copies):
+        mixed = made(documents(spark, [row for _, row in rows]))
+        assert len(mixed.collect()) >= len(rows)
+        found = broadcast_rows(mixed._jdf.queryExecution().executedPlan())
+        assert found and max(found) <= mixing.CELLS + 100
+    sources = spark.createDataFrame([(i, 5000) for i in range(20)], "sid int, wanted long")
+    dealt = mixing.slots(sources, 100_000)
+    assert len(dealt.collect()) == 100_000
+    assert max(broadcast_rows(dealt._jdf.queryExecution().executedPlan())) <= mixing.CELLS + 100
