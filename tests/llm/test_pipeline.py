@@ -232,3 +232,14 @@ def test_run_leaves_one_folder(spark, documents, tmp_path):
         corpus_pipeline.warc.scratch_folder = plain
     system = spark._jvm.org.apache.hadoop.fs.Path(made[0]).getFileSystem(spark._jsc.hadoopConfiguration())
     assert [system.exists(spark._jvm.org.apache.hadoop.fs.Path(folder)) for folder in made] == [False] * 4 + [True]
+
+
+def test_mixing_broadcasts_no_slots(spark):
+    """The slots of all sources stood in the driver when a plan took a run of them for one row."""
+    from test_mixing import broadcast_rows
+
+    rows = [(i, " ".join(f"w{i}-{k}" for k in range(3200)), f"s{i % 10}", 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    mixed = corpus_pipeline.mix_sources(spark, docs, "")
+    assert mixed.select("doc_id").distinct().count() > 100
+    assert mixed.collect() and max(broadcast_rows(mixed._jdf.queryExecution().executedPlan())) <= 5000
