@@ -43,7 +43,7 @@ def write_bulletins(texts: DataFrame, path: str) -> None:
     if (told["most"] or 0) > 1:
         raise ValueError(f"two texts for {names.where('count > 1').first()['bulletin']}")
     named = texts.select("bulletin", F.coalesce("text", F.lit("")).alias("value"))
-    folder = _by_tasks(texts.sparkSession, path)
+    folder = local_folder(texts.sparkSession, path)
     if folder is None:
         named = named.select(F.concat("bulletin", F.lit(".txt")).alias("file"), "value")
         named.repartition("file").write.partitionBy("file").mode("overwrite").option("lineSep", "\n").text(path)
@@ -73,7 +73,7 @@ def write_bulletins(texts: DataFrame, path: str) -> None:
         raise RuntimeError(f"{written} files written for {told['rows']} texts")
 
 
-def _by_tasks(spark: SparkSession, path: str) -> str | None:
+def local_folder(spark: SparkSession, path: str) -> str | None:
     """The address of a folder that tasks can open by themselves, or None."""
     default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
     scheme = urlsplit(path).scheme or urlsplit(default).scheme

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from outbreaklens.operators import star
@@ -183,3 +184,18 @@ def test_written_bulletins_keep_their_names_in_few_folders(spark, tmp_path):
     assert {f"{name}.txt" for name in names[:300]} <= {f.name for f in files}
     writers.write_bulletins(texts.limit(0), str(tmp_path / "x"))
     assert not [f for f in (tmp_path / "x").rglob("*") if f.is_file()]
+
+
+def test_bulletin_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver knows folders, not files, and a task reads several folders; texts of any size come back whole."""
+    monkeypatch.setattr(writers, "FOLDER_FILES", 10)
+    monkeypatch.setattr(readers, "BATCH_BYTES", 1000, raising=False)
+    wanted = {f"DON{i}_2026-05-17": f"é {i}\n" * (i % 7) + "x" * (5000 * (i % 50 == 0)) for i in range(300)}
+    writers.write_bulletins(spark.createDataFrame(list(wanted.items()), "bulletin string, text string"), str(tmp_path / "x"))
+    (tmp_path / "x" / "_SUCCESS").touch()
+    read = readers.bulletins(spark, str(tmp_path / "x"), partitioned=True)
+    assert read.inputFiles() == [] and read.rdd.getNumPartitions() <= 8 < len(list((tmp_path / "x").glob("part=*")))
+    rows = read.collect()
+    assert len(rows) == 300 and {r["bulletin"]: r["text"] for r in rows} == {name: f"{text}\n" for name, text in wanted.items()}
+    with pytest.raises(AnalysisException):
+        readers.bulletins(spark, str(tmp_path / "absent"), partitioned=True).collect()
